@@ -1,0 +1,21 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+
+    The proof is one small job (``limit(max_rows + 1).count()``) that stops
+    reading as soon as the bound is exceeded.  Beyond the bound the join is
+    left to the planner: a shuffled sort-merge join, which AQE may still turn
+    into a broadcast from measured runtime sizes.  Used for dimensions that are
+    small by design (account hierarchy, legal entities); the caller picks the
+    bound.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
