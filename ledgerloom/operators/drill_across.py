@@ -1,0 +1,24 @@
+"""Drill-across: combine facts of different grain at a shared grain.
+
+Joining a quarter-grain fact directly to month x contract-grain facts (as a
+metric join on year, quarter and entity does) multiplies every sum by the
+other side's row count.  Drill-across aggregates each fact to the shared
+keys first, then joins the aggregates: one row per key on each side, so the
+join is 1:1 and no sum is inflated.  Keys may be null (null-safe equality).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def drill_across(base: DataFrame, others: list[DataFrame], keys: list[str], how: str = "left") -> DataFrame:
+    """``base`` and ``others`` must already be unique on ``keys``."""
+    out = base
+    for other in others:
+        cond = [out[k].eqNullSafe(other[k]) for k in keys]
+        out = out.join(other, cond, how).select(
+            *[out[k] for k in keys],
+            *[out[c] for c in out.columns if c not in keys],
+            *[other[c] for c in other.columns if c not in keys])
+    return out

@@ -163,3 +163,41 @@ def g7(spark, sf_dir):
 
 
 __all__ = ["trial_balance"]
+
+
+# ---------------------------------------------------------------- metric views
+from ledgerloom.plans import metrics  # noqa: E402
+
+
+@query("m1_metric_growth_revenue")
+def m1(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return metrics.growth_revenue(lh.fact_revenue_recognition, lh.dim_all_contracts).query(
+        ["revenue_year", "revenue_quarter", "legal_entity", "legal_entity_name", "agreement_type",
+         "contract_status"])
+
+
+@query("m2_metric_cash_obligations")
+def m2(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return metrics.cash_obligations(lh.stg_spend_transactions, lh.dim_all_contracts).query(
+        ["invoice_year", "invoice_status", "legal_entity", "agreement_type"])
+
+
+@query("m3_metric_headcount")
+def m3(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return metrics.headcount(lh.fact_emp_quarterly_cost, lh.fact_revenue_recognition, lh.fact_spend_recognition)
+
+
+@query("m4_metric_planning")
+def m4(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return metrics.planning(lh.dim_fpa_scenarios, lh.fact_fpa_budgets, lh.fact_fpa_actuals,
+                            lh.fact_fpa_forecasts).query(
+        ["fiscal_year", "fiscal_quarter", "fiscal_quarter_name", "cost_center_id", "legal_entity_id"])
+
+
+@query("m5_sample_order_metrics")
+def m5(spark, sf_dir):
+    return metrics.sample_orders(Fixtures(spark, sf_dir).table("orders")).query(["order_date", "customer_segment"])
