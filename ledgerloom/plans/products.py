@@ -201,3 +201,24 @@ def m4(spark, sf_dir):
 @query("m5_sample_order_metrics")
 def m5(spark, sf_dir):
     return metrics.sample_orders(Fixtures(spark, sf_dir).table("orders")).query(["order_date", "customer_segment"])
+
+
+# ---------------------------------------------------------------- raw-file round trips (IO1-IO10)
+from ledgerloom.sources import readers, sinks  # noqa: E402
+
+
+def _round_trip(source: str):
+    def fn(spark, sf_dir):
+        """Write the fixture in the reference's raw layout (JSON / CSV by month /
+        Hive-partitioned CSV, epoch dates, double money) under a fresh folder of
+        the shared checkpoint folder, read it back with explicit schemas and
+        convert to silver."""
+        root = sinks.new_scratch(spark, "raw")
+        sinks.write_raw(getattr(Fixtures(spark, sf_dir), source), root, source)
+        return readers.RawFiles(spark, root).silver(source)
+    return fn
+
+
+for _src in ("coa", "employees", "outbound_contracts", "revenue_transactions", "revenue_billings",
+             "purchase_orders", "spend_invoices"):
+    query(f"io_raw_round_trip_{_src}")(_round_trip(_src))
