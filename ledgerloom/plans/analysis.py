@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import MONEY, ratio
-from ledgerloom.plans import recognition, statements, workforce
+from ledgerloom.plans import recognition, statements, trial_balance, workforce
 from ledgerloom.plans.registry import STATEMENT_DATE, lakehouse, query, tabular
 from ledgerloom.plans.trial_balance import BALANCE
 from ledgerloom.sources.fixtures import AS_OF, Fixtures
@@ -26,9 +26,15 @@ def _tb(spark, sf_dir) -> DataFrame:
     return lakehouse(spark, sf_dir).fact_gl_trial_balances
 
 
-def _latest(tb: DataFrame) -> DataFrame:
-    """Rows of the latest snapshot (scalar sub-query, planned once)."""
-    return tb.where(F.col("as_of_date") == tb.select(F.max("as_of_date")).scalar())
+def _latest_tb(spark, sf_dir) -> DataFrame:
+    """Rows of the latest trial-balance snapshot, computed as one aggregation."""
+    lh = lakehouse(spark, sf_dir)
+    return trial_balance.latest_snapshot(lh.fact_gl_entries, lh.tb_start, lh.tb_end, lh.run_ts)
+
+
+def _tb_at(spark, sf_dir, as_of) -> DataFrame:
+    lh = lakehouse(spark, sf_dir)
+    return trial_balance.trial_balance_at(lh.fact_gl_entries, as_of, lh.tb_start, lh.tb_end, lh.run_ts)
 
 
 # ---------------------------------------------------------------- ledger (Q1-Q7)
@@ -105,7 +111,7 @@ def q9(spark, sf_dir):
 
 @query("q10_latest_by_account_type")
 def q10(spark, sf_dir):
-    return (_latest(_tb(spark, sf_dir)).groupBy("account_type")
+    return (_latest_tb(spark, sf_dir).groupBy("account_type")
             .agg(F.count_distinct("account_number").alias("account_count"),
                  _b("debit_balance").alias("total_debit_balance"), _b("credit_balance").alias("total_credit_balance"),
                  F.sum("entry_count").alias("total_entries")))
@@ -114,7 +120,7 @@ def q10(spark, sf_dir):
 @query("q11_top_balances_latest")
 def q11(spark, sf_dir):
     """Top 10 balances of the latest snapshot (a top-k report; ties broken by key)."""
-    t = _latest(_tb(spark, sf_dir)).withColumn(
+    t = _latest_tb(spark, sf_dir).withColumn(
         "total_balance", (F.col("debit_balance") + F.col("credit_balance")).cast(BALANCE))
     return (t.orderBy(F.col("total_balance").desc(), F.col("account_number").asc_nulls_last(),
                       F.col("legal_entity_id").asc_nulls_last(), F.col("cost_center_id").asc_nulls_last(),
@@ -125,7 +131,7 @@ def q11(spark, sf_dir):
 
 
 def _latest_by(spark, sf_dir, key, extra_filter=None):
-    t = _latest(_tb(spark, sf_dir))
+    t = _latest_tb(spark, sf_dir)
     if extra_filter is not None:
         t = t.where(extra_filter)
     return (t.groupBy(key, "account_type")
@@ -150,12 +156,12 @@ def q14(spark, sf_dir):
 
 @query("q15_balance_sheet")
 def q15(spark, sf_dir):
-    return statements.balance_sheet(_tb(spark, sf_dir), STATEMENT_DATE)
+    return statements.balance_sheet(_tb_at(spark, sf_dir, STATEMENT_DATE), STATEMENT_DATE)
 
 
 @query("q16_income_statement")
 def q16(spark, sf_dir):
-    return statements.income_statement(_tb(spark, sf_dir), STATEMENT_DATE)
+    return statements.income_statement(_tb_at(spark, sf_dir, STATEMENT_DATE), STATEMENT_DATE)
 
 
 # ---------------------------------------------------------------- revenue (Q17-Q22)
