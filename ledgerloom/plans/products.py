@@ -36,11 +36,6 @@ def g2(spark, sf_dir):
     return lakehouse(spark, sf_dir).dim_all_contracts
 
 
-@query("g9_dim_gl_accounts")
-def g9(spark, sf_dir):
-    return lakehouse(spark, sf_dir).dim_gl_accounts
-
-
 # ---------------------------------------------------------------- staging
 @query("s1_stg_spend_transactions")
 def s1(spark, sf_dir):
