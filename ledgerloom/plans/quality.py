@@ -372,3 +372,17 @@ def so3(spark, sf_dir):
     """SO3: parties that supply but are not customers (set difference)."""
     fx = Fixtures(spark, sf_dir)
     return fx.suppliers.select("third_party_id").subtract(fx.customers.select("third_party_id"))
+
+
+@query("a13_billing_amount_statistics")
+def a13(spark, sf_dir):
+    """Count / min / max / mean / stddev of billed and retention amounts.
+    Mean is exact (half-up to the cent); stddev is reported to the cent."""
+    b = Fixtures(spark, sf_dir).revenue_billings
+    parts = []
+    for col in ("billed_amount", "retention_amount"):
+        parts.append(b.agg(F.lit(col).alias("measure"), F.count(col).alias("row_count"),
+                           F.min(col).alias("min_value"), F.max(col).alias("max_value"),
+                           ratio(F.sum(col), F.count(col), den_places=0).cast(MONEY).alias("mean_value"),
+                           F.stddev_samp(F.col(col).cast("double")).cast(MONEY).alias("stddev_value")))
+    return parts[0].unionByName(parts[1])
