@@ -110,3 +110,16 @@ def write_raw(df: DataFrame, root: str, source: str) -> None:
 def new_scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     return shared_folder(spark, f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and read it from there.
+
+    For an intermediate used twice in one plan whose two uses Catalyst would
+    prune differently (so the shuffle cannot be reused): one pass over the
+    inputs instead of two, and a lost executor re-reads the checkpoint files
+    instead of recomputing the lineage.  Reliable checkpoint only (never a
+    machine-local one).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
