@@ -49,28 +49,19 @@ def stg_commit_spend(contracts: DataFrame, method: str = "conserving") -> DataFr
     return stg_commit(contracts, "Inbound", method)
 
 
-def _typed_nulls(df: DataFrame, prefix: str) -> list[Column]:
-    return [F.lit(None).cast(f.dataType).alias(prefix + f.name) for f in df.schema.fields]
-
-
 def recognize(commit: DataFrame, consumption: DataFrame) -> DataFrame:
     """Full outer join of commitment and consumption on JOIN_KEYS.
 
     ``commit`` and ``consumption`` each carry a ``month`` column and the other
     JOIN_KEYS; the result has every column of both, prefixed ``c_`` / ``t_``.
+    Each input is read once.  A null key never matches; such rows come out
+    one-sided.  They do not pile up in one reducer either: the shuffle hashes
+    all four keys together, and each side has one row per key combination.
     """
     c = commit.select(*[F.col(x).alias("c_" + x) for x in commit.columns])
     t = consumption.select(*[F.col(x).alias("t_" + x) for x in consumption.columns])
-    c_keyed = F.lit(True)
-    t_keyed = F.lit(True)
-    for k in JOIN_KEYS:
-        c_keyed = c_keyed & F.col("c_" + k).isNotNull()
-        t_keyed = t_keyed & F.col("t_" + k).isNotNull()
     cond = [F.col("c_" + k) == F.col("t_" + k) for k in JOIN_KEYS]
-    matched = c.where(c_keyed).join(t.where(t_keyed), cond, "full_outer")
-    commit_only = c.where(~c_keyed).select(*c.columns, *_typed_nulls(consumption, "t_"))
-    consumption_only = t.where(~t_keyed).select(*_typed_nulls(commit, "c_"), *t.columns)
-    return matched.unionByName(commit_only).unionByName(consumption_only)
+    return c.join(t, cond, "full_outer")
 
 
 def _recognition_select(j: DataFrame, name_col: str, amount_col: str, measures: list[str]) -> DataFrame:
