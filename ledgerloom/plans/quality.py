@@ -194,19 +194,21 @@ def v12(spark, sf_dir):
 
 @query("v13_key_uniqueness")
 def v13(spark, sf_dir):
+    """Row count vs distinct keys; one aggregation per table."""
     fx = Fixtures(spark, sf_dir)
     lh = lakehouse(spark, sf_dir)
-    specs = [("raw_coa_hierarchy", fx.coa, "coa_id"), ("dim_all_contracts", lh.dim_all_contracts, "contract_id"),
-             ("raw_spend_invoices", fx.spend_invoices, "invoice_id"),
-             ("raw_spend_invoices", fx.spend_invoices, "invoice_number"),
-             ("raw_revenue_transactions", fx.revenue_transactions, "rev_trx_id"),
-             ("raw_purchase_orders", fx.purchase_orders, "purchase_order_id"),
-             ("fact_gl_entries", lh.fact_gl_entries, "gl_entry_id")]
-    parts = [df.agg(F.lit(t).alias("table_name"), F.lit(k).alias("key_column"), F.count(F.lit(1)).alias("row_count"),
-                    F.count_distinct(k).alias("distinct_keys")) for t, df, k in specs]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    specs = [("raw_coa_hierarchy", fx.coa, ["coa_id"]), ("dim_all_contracts", lh.dim_all_contracts, ["contract_id"]),
+             ("raw_spend_invoices", fx.spend_invoices, ["invoice_id", "invoice_number"]),
+             ("raw_revenue_transactions", fx.revenue_transactions, ["rev_trx_id"]),
+             ("raw_purchase_orders", fx.purchase_orders, ["purchase_order_id"]),
+             ("fact_gl_entries", lh.fact_gl_entries, ["gl_entry_id"])]
+    out = None
+    for t, df, keys in specs:
+        row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_distinct(k).alias(k) for k in keys])
+        part = row.select(F.explode(F.array(*[
+            F.struct(F.lit(t).alias("table_name"), F.lit(k).alias("key_column"), F.col("_n").alias("row_count"),
+                     F.col(k).alias("distinct_keys")) for k in keys])).alias("_r")).select("_r.*")
+        out = part if out is None else out.unionByName(part)
     return out.withColumn("is_unique", F.col("row_count") == F.col("distinct_keys"))
 
 
@@ -242,25 +244,29 @@ def v15(spark, sf_dir):
     return commit.join(cons, ["contract_id", "period_month"], "inner")
 
 
+def _unpivot_counts(row: DataFrame, names: list[str], label: str, value: str) -> DataFrame:
+    """One-row aggregate -> one row per named count (narrow explode)."""
+    return row.select(F.explode(F.array(*[F.struct(F.lit(n).alias(label), F.col(n).alias(value))
+                                          for n in names])).alias("_r")).select("_r.*")
+
+
 @query("v16_ledger_scope_exclusions")
 def v16(spark, sf_dir):
     """Rows the ledger's positive-amount and status filters leave out (credit
-    notes, refunds, zero payments, cancelled or status-less invoices)."""
+    notes, refunds, zero payments, cancelled or status-less invoices); one
+    scan per staging table."""
     lh = lakehouse(spark, sf_dir)
     rev, spend = lh.stg_revenue_transactions, lh.stg_spend_transactions
-    rows = [
-        ("revenue_invoice_non_positive", rev.where(F.col("invoice_date").isNotNull() & (F.col("billed_amount") <= 0))),
-        ("spend_invoice_non_positive",
-         spend.where(F.col("invoice_date").isNotNull() & (F.col("total_invoice_amount") <= 0))),
-        ("spend_invoice_cancelled", spend.where(F.col("invoice_status") == "cancelled")),
-        ("spend_invoice_null_status", spend.where(F.col("invoice_id").isNotNull() & F.col("invoice_status").isNull())),
-        ("spend_payment_non_positive", spend.where(F.col("payment_date").isNotNull() & (F.col("amount_paid") <= 0))),
-    ]
-    out = None
-    for name, df in rows:
-        part = df.agg(F.lit(name).alias("exclusion"), F.count(F.lit(1)).alias("row_count"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    r = rev.agg(F.count_if(F.col("invoice_date").isNotNull() & (F.col("billed_amount") <= 0))
+                .alias("revenue_invoice_non_positive"))
+    s = spend.agg(
+        F.count_if(F.col("invoice_date").isNotNull() & (F.col("total_invoice_amount") <= 0))
+        .alias("spend_invoice_non_positive"),
+        F.count_if(F.col("invoice_status") == "cancelled").alias("spend_invoice_cancelled"),
+        F.count_if(F.col("invoice_id").isNotNull() & F.col("invoice_status").isNull()).alias("spend_invoice_null_status"),
+        F.count_if(F.col("payment_date").isNotNull() & (F.col("amount_paid") <= 0)).alias("spend_payment_non_positive"))
+    return (_unpivot_counts(r, r.columns, "exclusion", "row_count")
+            .unionByName(_unpivot_counts(s, s.columns, "exclusion", "row_count")))
 
 
 @query("v17_retained_receivables")
@@ -376,13 +382,17 @@ def so3(spark, sf_dir):
 
 @query("a13_billing_amount_statistics")
 def a13(spark, sf_dir):
-    """Count / min / max / mean / stddev of billed and retention amounts.
-    Mean is exact (half-up to the cent); stddev is reported to the cent."""
+    """Count / min / max / mean / stddev of billed and retention amounts in
+    one scan.  Mean is exact (half-up to the cent); stddev is reported to the cent."""
     b = Fixtures(spark, sf_dir).revenue_billings
-    parts = []
-    for col in ("billed_amount", "retention_amount"):
-        parts.append(b.agg(F.lit(col).alias("measure"), F.count(col).alias("row_count"),
-                           F.min(col).alias("min_value"), F.max(col).alias("max_value"),
-                           ratio(F.sum(col), F.count(col), den_places=0).cast(MONEY).alias("mean_value"),
-                           F.stddev_samp(F.col(col).cast("double")).cast(MONEY).alias("stddev_value")))
-    return parts[0].unionByName(parts[1])
+    measures = ("billed_amount", "retention_amount")
+    stats = []
+    for col in measures:
+        stats += [F.count(col).alias(f"{col}__n"), F.min(col).alias(f"{col}__min"), F.max(col).alias(f"{col}__max"),
+                  ratio(F.sum(col), F.count(col), den_places=0).cast(MONEY).alias(f"{col}__mean"),
+                  F.stddev_samp(F.col(col).cast("double")).cast(MONEY).alias(f"{col}__sd")]
+    row = b.agg(*stats)
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("measure"), F.col(f"{c}__n").alias("row_count"), F.col(f"{c}__min").alias("min_value"),
+                 F.col(f"{c}__max").alias("max_value"), F.col(f"{c}__mean").alias("mean_value"),
+                 F.col(f"{c}__sd").alias("stddev_value")) for c in measures])).alias("_r")).select("_r.*")
