@@ -14,7 +14,7 @@ def canon(v):
     if isinstance(v, bool):
         return v
     if isinstance(v, decimal.Decimal):
-        return ("dec", format(v.normalize(), "f"))
+        return ("dec", str(v))
     if isinstance(v, float):
         return "nan" if math.isnan(v) else ("f", repr(v))
     if isinstance(v, int):
