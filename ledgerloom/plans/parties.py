@@ -18,8 +18,9 @@ def party_by_role(party: DataFrame, role_col: str, name_col: str = "third_party_
     """role id -> (third_party_id, name), one row per role id.
 
     ``dim_third_party`` repeats a role id once per other role of the same
-    party; the lookup is de-duplicated so a join on the role never fans out.
+    party; the lookup is de-duplicated (hash aggregate on the three columns)
+    so a join on the role never fans out.
     """
     return (party.where(party[role_col].isNotNull())
             .select(role_col, "third_party_id", party["third_party_name"].alias(name_col))
-            .dropDuplicates([role_col]))
+            .distinct())
