@@ -73,3 +73,11 @@ def test_metric_view_dependent_and_distinct_measures(spark):
     assert out["a"].value_per_row == 200 and out["a"].value_once == 100
     assert out["b"].value_once == 50
     assert mv.query().schema["region"].metadata["comment"] == "Region"
+
+
+def test_static_leg_positions_equal_window_numbering(spark):
+    from ledgerloom.operators.legs import number_legs_by_window
+    gl = lakehouse(spark, SF_SMALL).fact_gl_entries
+    pos = gl.withColumn("static_position", F.element_at(F.split("gl_entry_id", "-"), -1).cast("int"))
+    numbered = number_legs_by_window(pos, ["transaction_type", "transaction_id", "reference_number"])
+    assert numbered.where(F.col("static_position") != F.col("window_position")).count() == 0
