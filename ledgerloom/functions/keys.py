@@ -55,6 +55,10 @@ def with_sequence_id(df: DataFrame, order_cols: list[str], start: int = 1,
               .withColumn("_mono", F.monotonically_increasing_id()))
     # monotonically_increasing_id = (partition id << 33) + position in partition.
     ranged = ranged.withColumn("_pos", F.col("_mono") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    # Pin partition ids and positions once (reliable checkpoint in the shared
+    # folder): the counts and the join below must see the same partitioning.
+    from ledgerloom.sources.sinks import cut_lineage
+    ranged = cut_lineage(ranged)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(
         "_offset",
