@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import MONEY, ratio
-from ledgerloom.plans import recognition, statements, trial_balance, workforce
+from ledgerloom.plans import ledger, recognition, statements, trial_balance, workforce
 from ledgerloom.plans.registry import STATEMENT_DATE, lakehouse, query, tabular
 from ledgerloom.plans.trial_balance import BALANCE
 from ledgerloom.sources.fixtures import AS_OF, Fixtures
@@ -22,6 +22,12 @@ def _gl(spark, sf_dir) -> DataFrame:
     return lakehouse(spark, sf_dir).fact_gl_entries
 
 
+def _gl_accounts(spark, sf_dir, *accounts) -> DataFrame:
+    """Ledger rows of the given accounts only (legs chosen up front)."""
+    lh = lakehouse(spark, sf_dir)
+    return ledger.gl_for_accounts(lh.stg_revenue_transactions, lh.stg_spend_transactions, list(accounts), lh.run_ts)
+
+
 def _tb(spark, sf_dir) -> DataFrame:
     return lakehouse(spark, sf_dir).fact_gl_trial_balances
 
@@ -63,14 +69,14 @@ def q3(spark, sf_dir):
 
 @query("q4_monthly_cash_flow")
 def q4(spark, sf_dir):
-    return (_gl(spark, sf_dir).where(F.col("account_number") == 1000)
+    return (_gl_accounts(spark, sf_dir, 1000)
             .groupBy(F.trunc("gl_date", "month").alias("month"))
             .agg(_b("debit_amount").alias("cash_in"), _b("credit_amount").alias("cash_out"))
             .withColumn("net_cash_flow", (F.col("cash_in") - F.col("cash_out")).cast(BALANCE)))
 
 
 def _account_flows(spark, sf_dir, account, inc, dec, names):
-    gl = _gl(spark, sf_dir).where(F.col("account_number") == account)
+    gl = _gl_accounts(spark, sf_dir, account)
     return (gl.agg(_b(inc).alias(names[0]), _b(dec).alias(names[1]))
             .withColumn(names[2], (F.col(names[0]) - F.col(names[1])).cast(BALANCE)))
 
@@ -89,14 +95,17 @@ def q6(spark, sf_dir):
 
 @query("q7_revenue_by_category")
 def q7(spark, sf_dir):
-    return (_gl(spark, sf_dir).where(F.col("account_number") == 4000)
+    return (_gl_accounts(spark, sf_dir, 4000)
             .groupBy("category").agg(_b("credit_amount").alias("total_revenue")))
 
 
 # ---------------------------------------------------------------- trial balance (Q8-Q16)
 @query("q8_account_balances_by_month_end")
 def q8(spark, sf_dir):
-    return (_tb(spark, sf_dir).where(F.col("account_number") == 2000)
+    lh = lakehouse(spark, sf_dir)
+    tb = trial_balance.fact_gl_trial_balances(_gl_accounts(spark, sf_dir, 2000), spark, lh.tb_start, lh.tb_end,
+                                              lh.run_ts)
+    return (tb
             .groupBy("as_of_date", "account_name", "account_number")
             .agg(*[_b(c).alias(c) for c in ("total_credits", "total_debits", "net_balance", "debit_balance",
                                              "credit_balance")]))

@@ -85,13 +85,7 @@ def revenue_entries(stg_rev: DataFrame, types=(REVENUE_INVOICE, REVENUE_PAYMENT)
                     run_ts: Column | None = None) -> DataFrame:
     """S6 + S7 from one scan of stg_revenue_transactions."""
     legs = [leg for leg in revenue_legs(stg_rev) if leg.transaction_type in types]
-    keep = [F.col("rev_trx_id").alias("transaction_id"), "billing_id", "third_party_id",
-            F.col("customer_name").alias("third_party_name"), F.col("customer_id").alias("counterparty_role_id"),
-            "contract_id", F.col("coa_meta.legal_entity_id").alias("legal_entity_id"),
-            F.col("coa_meta.legal_entity_name").alias("legal_entity_name"),
-            F.col("coa_meta.cost_center_id").alias("cost_center_id"),
-            F.col("coa_meta.cost_center_name").alias("cost_center_name"),
-            F.col("rev_category").alias("category")]
+    keep = _REVENUE_KEEP()
     # Entry id: type prefix, transaction, billing (a transaction may have several), leg position.
     return _finish(explode_legs(stg_rev, legs, keep), ["transaction_id", "billing_id"], run_ts)
 
@@ -100,13 +94,7 @@ def spend_entries(stg_spend: DataFrame, types=(SPEND_INVOICE, SPEND_PAYMENT),
                   run_ts: Column | None = None) -> DataFrame:
     """S8 + S9 from one scan of stg_spend_transactions."""
     legs = [leg for leg in spend_legs(stg_spend) if leg.transaction_type in types]
-    keep = [F.col("invoice_id").alias("transaction_id"), "third_party_id",
-            F.col("supplier_name").alias("third_party_name"), F.col("supplier_id").alias("counterparty_role_id"),
-            "contract_id", F.col("coa_meta.legal_entity_id").alias("legal_entity_id"),
-            F.col("coa_meta.legal_entity_name").alias("legal_entity_name"),
-            F.col("coa_meta.cost_center_id").alias("cost_center_id"),
-            F.col("coa_meta.cost_center_name").alias("cost_center_name"),
-            F.col("invoice_category").alias("category")]
+    keep = _SPEND_KEEP()
     return _finish(explode_legs(stg_spend, legs, keep), ["transaction_id"], run_ts)
 
 
@@ -129,3 +117,49 @@ def stg_spend_payment_entries(stg_spend: DataFrame, run_ts: Column | None = None
 def fact_gl_entries(stg_rev: DataFrame, stg_spend: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """All four entry types; two scans (one per staging table), no shuffle."""
     return revenue_entries(stg_rev, run_ts=run_ts).unionByName(spend_entries(stg_spend, run_ts=run_ts))
+
+
+def gl_for_accounts(stg_rev: DataFrame, stg_spend: DataFrame, accounts: list[int],
+                    run_ts: Column | None = None) -> DataFrame:
+    """The ledger restricted to ``accounts``, building only those legs.
+
+    Equal to ``fact_gl_entries(...).where(account_number IN accounts)``, but
+    an account filter cannot be pushed into the generated leg array, so the
+    restriction is applied when the legs are chosen: a staging table without
+    any of the accounts is not read at all (AR and revenue touch only the
+    revenue side, AP only the spend side).
+    """
+    wanted = set(accounts)
+    parts = []
+    for stg, legs_of, keep, ids in (
+            (stg_rev, revenue_legs, _REVENUE_KEEP, ["transaction_id", "billing_id"]),
+            (stg_spend, spend_legs, _SPEND_KEEP, ["transaction_id"])):
+        legs = [leg for leg in legs_of(stg) if leg.account_number in wanted]
+        if legs:
+            parts.append(_finish(explode_legs(stg, legs, keep()), ids, run_ts))
+    if not parts:
+        return fact_gl_entries(stg_rev, stg_spend, run_ts).where(F.lit(False))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _REVENUE_KEEP():
+    return [F.col("rev_trx_id").alias("transaction_id"), "billing_id", "third_party_id",
+            F.col("customer_name").alias("third_party_name"), F.col("customer_id").alias("counterparty_role_id"),
+            "contract_id", F.col("coa_meta.legal_entity_id").alias("legal_entity_id"),
+            F.col("coa_meta.legal_entity_name").alias("legal_entity_name"),
+            F.col("coa_meta.cost_center_id").alias("cost_center_id"),
+            F.col("coa_meta.cost_center_name").alias("cost_center_name"),
+            F.col("rev_category").alias("category")]
+
+
+def _SPEND_KEEP():
+    return [F.col("invoice_id").alias("transaction_id"), "third_party_id",
+            F.col("supplier_name").alias("third_party_name"), F.col("supplier_id").alias("counterparty_role_id"),
+            "contract_id", F.col("coa_meta.legal_entity_id").alias("legal_entity_id"),
+            F.col("coa_meta.legal_entity_name").alias("legal_entity_name"),
+            F.col("coa_meta.cost_center_id").alias("cost_center_id"),
+            F.col("coa_meta.cost_center_name").alias("cost_center_name"),
+            F.col("invoice_category").alias("category")]

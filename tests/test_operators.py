@@ -81,3 +81,12 @@ def test_static_leg_positions_equal_window_numbering(spark):
     pos = gl.withColumn("static_position", F.element_at(F.split("gl_entry_id", "-"), -1).cast("int"))
     numbered = number_legs_by_window(pos, ["transaction_type", "transaction_id", "reference_number"])
     assert numbered.where(F.col("static_position") != F.col("window_position")).count() == 0
+
+
+def test_gl_for_accounts_equals_filtered_ledger(spark):
+    from ledgerloom.plans import ledger
+    lh = lakehouse(spark, SF_SMALL)
+    full = lh.fact_gl_entries
+    for accounts in ([1100], [2000, 5100], [1000], [3000]):
+        part = ledger.gl_for_accounts(lh.stg_revenue_transactions, lh.stg_spend_transactions, accounts, lh.run_ts)
+        assert rows(part) == rows(full.where(F.col("account_number").isin(accounts)))
