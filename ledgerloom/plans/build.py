@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ledgerloom.plans import contracts, ledger, parties, planning, recognition, scorecard, staging, trial_balance, workforce
 from ledgerloom.plans.lakehouse import Lakehouse
 from ledgerloom.sources.sinks import materialize
 
@@ -50,6 +49,3 @@ class StoredLakehouse(Lakehouse):
             self._stored[name] = materialize(df, self.spark, name, self.base, parts)
         return dict(self._stored)
 
-
-__all__ = ["StoredLakehouse", "ORDER", "contracts", "ledger", "parties", "planning", "recognition", "scorecard",
-           "staging", "trial_balance", "workforce"]

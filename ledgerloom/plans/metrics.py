@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -208,5 +206,3 @@ def sample_orders(orders: DataFrame) -> MetricView:
                     display_name="Average Order Value", synonyms=("aov",)),
         ])
 
-
-__all__ = ["Decimal"]

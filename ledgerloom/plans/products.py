@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.plans import ledger, recognition, trial_balance, workforce
+from ledgerloom.plans import ledger, recognition, workforce
 from ledgerloom.plans.registry import lakehouse, query, tabular
 from ledgerloom.sources.fixtures import AS_OF, Fixtures
 
@@ -157,8 +157,6 @@ def g7(spark, sf_dir):
     return lakehouse(spark, sf_dir).fact_supplier_scorecard
 
 
-__all__ = ["trial_balance"]
-
 
 # ---------------------------------------------------------------- metric views
 from ledgerloom.plans import metrics  # noqa: E402
