@@ -10,8 +10,9 @@ aggregations, a 24-way union).  Here:
    window input has at most one row per key and month, so a hot key cannot
    overload a task);
 3. each running row is valid from its month end until the key's next active
-   month; a range join against the small, broadcast month-end calendar emits
-   exactly one output row per (as_of, key) - no re-aggregation.
+   month; a ``sequence`` of those month ends is exploded in place (a narrow
+   generate - no join, no broadcast), emitting exactly one output row per
+   (as_of, key) with no re-aggregation.
 
 Sum, count, min and max compose this way; null dates drop out of every
 snapshot, null dims form their own group (as in ``GROUP BY``).
@@ -19,22 +20,24 @@ snapshot, null dims form their own group (as in ``GROUP BY``).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def cumulative_snapshots(df: DataFrame, date_col: str, dims: list[str], sums: dict[str, str],
-                         calendar: DataFrame, as_of_col: str = "as_of_date",
+                         start, end, as_of_col: str = "as_of_date",
                          count_col: str | None = "entry_count", first_col: str | None = "first_entry_date",
-                         last_col: str | None = "last_entry_date", until=None) -> DataFrame:
-    """Balances of ``sums`` (output name -> input column) for every month end.
+                         last_col: str | None = "last_entry_date") -> DataFrame:
+    """Balances of ``sums`` (output name -> input column) at every month end in [start, end].
 
-    ``calendar`` holds one month-end date per row in ``as_of_col`` (bounded:
-    one row per month, broadcast).  ``until`` (the last as-of date, if known)
-    is pushed down as a filter so later entries are never aggregated.
+    Entries after ``end`` are filtered out before any aggregation (pushed
+    towards the scan).
     """
-    cal = F.broadcast(calendar.select(as_of_col))
-    month = F.last_day(F.col(date_col)).alias("_month_end")
+    start = _date(start)
+    end = _date(end)
+    keep = F.col(date_col).isNotNull() & (F.col(date_col) <= F.lit(end))
     aggs = [F.sum(src).alias(name) for name, src in sums.items()]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
@@ -42,11 +45,7 @@ def cumulative_snapshots(df: DataFrame, date_col: str, dims: list[str], sums: di
         aggs.append(F.min(date_col).alias(first_col))
     if last_col:
         aggs.append(F.max(date_col).alias(last_col))
-    keep = F.col(date_col).isNotNull()
-    if until is not None:
-        keep = keep & (F.col(date_col) <= F.lit(until))
-    monthly = (df.where(keep)
-               .groupBy(*dims, month).agg(*aggs))
+    monthly = df.where(keep).groupBy(*dims, F.last_day(F.col(date_col)).alias("_month_end")).agg(*aggs)
     w = Window.partitionBy(*dims).orderBy("_month_end")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = [F.sum(name).over(running).alias(name) for name in sums]
@@ -56,14 +55,21 @@ def cumulative_snapshots(df: DataFrame, date_col: str, dims: list[str], sums: di
         cols.append(F.min(first_col).over(running).alias(first_col))
     if last_col:
         cols.append(F.max(last_col).over(running).alias(last_col))
-    cumulative = monthly.select(*dims, "_month_end", F.lead("_month_end").over(w).alias("_next_month_end"),
-                                *cols)
-    joined = cumulative.join(
-        cal,
-        (F.col(as_of_col) >= F.col("_month_end"))
-        & (F.col("_next_month_end").isNull() | (F.col(as_of_col) < F.col("_next_month_end"))),
-    )
-    return joined.drop("_month_end", "_next_month_end")
+    cumulative = monthly.select(*dims, "_month_end", F.lead("_month_end").over(w).alias("_next_month_end"), *cols)
+    # Month ends this running row stands for: from its own month up to the
+    # month before the key's next active month, clipped to [start, end].
+    first = F.greatest(F.trunc("_month_end", "month"), F.lit(start.replace(day=1)))
+    last = F.least(F.trunc(F.coalesce(F.add_months("_next_month_end", -1), F.lit(end)), "month"),
+                   F.lit(end.replace(day=1)))
+    months = F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("_month_start")
+    out = (cumulative.where(first <= last).select("*", months)
+           .withColumn(as_of_col, F.last_day("_month_start"))
+           .where((F.col(as_of_col) >= F.lit(start)) & (F.col(as_of_col) <= F.lit(end))))
+    return out.drop("_month_start", "_month_end", "_next_month_end")
+
+
+def _date(value) -> dt.date:
+    return value if isinstance(value, dt.date) else dt.date.fromisoformat(str(value))
 
 
 def snapshots_by_filter(df: DataFrame, date_col: str, dims: list[str], sums: dict[str, str],
