@@ -5,17 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Bound proofs already made, per DataFrame object (the object is kept alive
+# with its result, so an id is never reused for a different frame).
+_PROVEN: dict[int, tuple[DataFrame, int, bool]] = {}
+
 
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
 
     The proof is one small job (``limit(max_rows + 1).count()``) that stops
-    reading as soon as the bound is exceeded.  Beyond the bound the join is
-    left to the planner: a shuffled sort-merge join, which AQE may still turn
-    into a broadcast from measured runtime sizes.  Used for dimensions that are
-    small by design (account hierarchy, legal entities); the caller picks the
-    bound.
+    reading as soon as the bound is exceeded; it is made once per DataFrame
+    object (a dimension shared by several joins is checked once).  Beyond the
+    bound the join is left to the planner: a shuffled sort-merge join, which
+    AQE may still turn into a broadcast from measured runtime sizes.  Used for
+    dimensions that are small by design (account hierarchy, legal entities);
+    the caller picks the bound.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    seen = _PROVEN.get(id(df))
+    if seen is not None and seen[0] is df and seen[1] == max_rows:
+        small = seen[2]
+    else:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        _PROVEN[id(df)] = (df, max_rows, small)
+    return F.broadcast(df) if small else df
