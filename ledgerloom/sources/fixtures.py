@@ -59,7 +59,8 @@ class Fixtures:
     _cache: dict = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """One read (file listing and footer schema) per table per instance."""
+        return self._memo(f"table:{name}", lambda: self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
 
     def _memo(self, name, build):
         if name not in self._cache:
