@@ -215,3 +215,19 @@ def _round_trip(source: str):
 for _src in ("coa", "employees", "outbound_contracts", "revenue_transactions", "revenue_billings",
              "purchase_orders", "spend_invoices"):
     query(f"io_raw_round_trip_{_src}")(_round_trip(_src))
+
+
+@query("m1_metric_growth_revenue_by_customer_month")
+def m1_customer(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return metrics.growth_revenue(lh.fact_revenue_recognition, lh.dim_all_contracts).query(
+        ["revenue_month", "customer"],
+        ["recognized_revenue", "monthly_recurring_revenue", "transaction_count", "contract_revenue_at_risk"])
+
+
+@query("m2_metric_cash_obligations_by_supplier")
+def m2_supplier(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return metrics.cash_obligations(lh.stg_spend_transactions, lh.dim_all_contracts).query(
+        ["supplier", "contract_status", "invoice_month"],
+        ["total_invoice_amount", "outstanding_payables", "days_payable_outstanding", "invoice_count"])
