@@ -164,3 +164,26 @@ def test_amortise_methods_row_counts_equal(spark, method):
 def test_chart_of_accounts(spark):
     coa = {r.account_number: (r.account_name, r.account_type) for r in ledger.dim_gl_accounts(spark).collect()}
     assert coa[1000] == ("Cash", "Asset") and coa[5100] == ("Tax Expense", "Expense") and len(coa) == 6
+
+
+def test_recognition_unmatched_entity_and_null_contract(spark):
+    from ledgerloom.plans import recognition
+    commit = spark.createDataFrame(
+        [(7, "C-7", D(2024, 3, 1), Decimal("100.00"), 9, "party", 100001, "LE1")],
+        "contract_id long, contract_number string, amortization_month date, monthly_amortized_value decimal(18,2), "
+        "third_party_id long, third_party_name string, legal_entity_id long, legal_entity_name string")
+    trx = spark.createDataFrame(
+        [(1, D(2024, 3, 5), 9, "party", 7, "labor", Decimal("40.00"), Decimal("40.00"), None, 100002, "LE2"),
+         (2, D(2024, 3, 6), 9, "party", None, "compute", Decimal("5.00"), None, None, 100001, "LE1")],
+        "rev_trx_id long, transaction_date date, third_party_id long, customer_name string, contract_id long, "
+        "rev_category string, amount decimal(18,2), billed_amount decimal(18,2), payment_received_date date, "
+        "le_id long, le_name string")
+    trx = trx.withColumn("coa_meta", F.struct(F.col("le_id").alias("legal_entity_id"),
+                                              F.col("le_name").alias("legal_entity_name"))).drop("le_id", "le_name")
+    out = {(r.rev_recognition_indicator, r.contract_id, r.trx_contract_id, r.legal_entity_id): r
+           for r in recognition.fact_revenue_recognition(commit, trx).collect()}
+    assert set(out) == {("commit_revenue", 7, None, 100001), ("consumption_revenue", None, 7, 100002),
+                        ("consumption_revenue", None, None, 100001)}
+    assert out[("commit_revenue", 7, None, 100001)].rev_recognized_amount == Decimal("100.00")
+    assert out[("consumption_revenue", None, 7, 100002)].rev_sku_labor == Decimal("40.00")
+    assert out[("consumption_revenue", None, None, 100001)].rev_recognized_amount == Decimal("5.00")
