@@ -139,3 +139,10 @@ class MetricView:
                 out = out.withColumn(m, spec.derived({n: F.col(n) for n in needed}))
         return out.select(*[F.col(n).alias(n, metadata=_metadata(self.dimensions[n])) for n in dimensions],
                           *[F.col(m).alias(m, metadata=_metadata(self.measures[m])) for m in measures])
+
+    def create_view(self, name: str | None = None, dimensions: list[str] | None = None,
+                    measures: list[str] | None = None) -> DataFrame:
+        """IO12: register a query of this view for SQL (``SELECT * FROM name``)."""
+        df = self.query(dimensions, measures)
+        df.createOrReplaceTempView(name or self.name)
+        return df

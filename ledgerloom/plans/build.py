@@ -49,3 +49,44 @@ class StoredLakehouse(Lakehouse):
             self._stored[name] = materialize(df, self.spark, name, self.base, parts)
         return dict(self._stored)
 
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Build every product from the reference's raw folder layout.
+
+    python -m ledgerloom.plans.build --raw ROOT --out BASE [--as-of 2025-10-01]
+        [--tb-start 2023-10-01 --tb-end 2025-09-30] [--products a,b,...]
+    """
+    import argparse
+    import datetime as dt
+
+    from ledgerloom.session import DEFAULT_CONF, ensure_checkpoint_dir
+    from ledgerloom.sources.readers import RawFiles
+    from pyspark.sql import SparkSession
+
+    p = argparse.ArgumentParser(description=main.__doc__)
+    p.add_argument("--raw", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--as-of", default=dt.date.today().isoformat())
+    p.add_argument("--tb-start", default="2023-10-01")
+    p.add_argument("--tb-end", default="2025-09-30")
+    p.add_argument("--scenario-start", default="2023-01-01")
+    p.add_argument("--scenario-end", default="2025-10-01")
+    p.add_argument("--products", default="")
+    a = p.parse_args(argv)
+    builder = SparkSession.builder.appName("ledgerloom-build")
+    for k, v in DEFAULT_CONF.items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    ensure_checkpoint_dir(spark)
+    d = dt.date.fromisoformat
+    lake = StoredLakehouse(spark, RawFiles(spark, a.raw), as_of=d(a.as_of), tb_start=d(a.tb_start),
+                           tb_end=d(a.tb_end), scenario_start=d(a.scenario_start), scenario_end=d(a.scenario_end),
+                           run_ts=None, base=a.out)
+    built = lake.build([n for n in a.products.split(",") if n] or None)
+    print(",".join(built))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -50,3 +50,27 @@ def test_lakehouse_from_raw_files_equals_fixture_run(spark):
     assert rows(raw.fact_gl_entries) == rows(ref.fact_gl_entries)
     assert rows(raw.fact_gl_trial_balances) == rows(ref.fact_gl_trial_balances)
     assert rows(raw.fact_revenue_recognition) == rows(ref.fact_revenue_recognition)
+
+
+def test_build_cli_from_raw_files(spark):
+    import os
+    from ledgerloom.plans import build
+    from ledgerloom.sources import schemas, sinks
+    root = new_scratch(spark, "cliraw")
+    fxs = Fixtures(spark, SF_SMALL)
+    for source in schemas.SCHEMAS:
+        sinks.write_raw(getattr(fxs, source), root, source)
+    out = new_scratch(spark, "cliout")
+    assert build.main(["--raw", root, "--out", out, "--as-of", "2001-08-01", "--tb-start", "1999-08-31",
+                       "--tb-end", "2001-07-31", "--products",
+                       "dim_third_party,stg_revenue_transactions,stg_spend_transactions,fact_gl_entries"]) == 0
+    assert spark.read.parquet(os.path.join(out, "fact_gl_entries")).count() == \
+        lakehouse(spark, SF_SMALL).fact_gl_entries.count()
+
+
+def test_metric_view_as_sql_view(spark):
+    from ledgerloom.plans import metrics
+    mv = metrics.sample_orders(Fixtures(spark, SF_SMALL).table("orders"))
+    mv.create_view("sample_order_metrics", ["customer_segment"])
+    got = spark.sql("SELECT SUM(order_count) FROM sample_order_metrics").first()[0]
+    assert got == Fixtures(spark, SF_SMALL).table("orders").count()
