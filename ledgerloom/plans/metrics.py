@@ -1,4 +1,10 @@
-"""The metric views M1-M5 over the gold tables."""
+"""The metric views M1-M5 over the gold tables.
+
+Fixed values: the view, dimension and measure names, their expressions'
+thresholds (price bands 100000 / 10000, sales cost center 1002, per-100K
+scaling) and the comments, display names, formats and synonyms follow the
+metric definitions being re-expressed.
+"""
 
 from __future__ import annotations
 

@@ -118,6 +118,8 @@ def v6(spark, sf_dir):
             .orderBy(F.col("total_consumed").desc(), "contract_id").limit(10))
 
 
+# Utilisation bands (percent, upper bound exclusive) and
+# contract-age bands (days), with their labels.
 UTILISATION_EDGES = [25, 50, 75, 100]
 UTILISATION_LABELS = ["0-25%", "25-50%", "50-75%", "75-100%", "Above 100%"]
 
