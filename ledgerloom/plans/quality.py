@@ -234,16 +234,30 @@ def v14(spark, sf_dir):
 @query("v15_double_recognised_contract_months")
 def v15(spark, sf_dir):
     """Contract-months recognised twice: a commit-only row and an unmatched
-    consumption row of the same contract and month (legal entities differ, D5)."""
+    consumption row of the same contract and month (legal entities differ, D5).
+
+    One read of the recognition table: a commit-only row is unique per
+    (contract, month), so a window over (contract, month) attaches it to the
+    unmatched consumption rows - no self-join; each window partition holds one
+    commit row and the few aggregated consumption rows of that month.
+    """
+    from pyspark.sql import Window
+
     r = lakehouse(spark, sf_dir).fact_revenue_recognition
-    commit = (r.where((F.col("rev_recognition_indicator") == "commit_revenue") & F.col("contract_id").isNotNull())
-              .select("contract_id", "period_month", F.col("rev_recognized_amount").alias("commit_amount"),
-                      F.col("legal_entity_id").alias("commit_legal_entity_id")))
-    cons = (r.where(F.col("contract_id").isNull() & F.col("trx_contract_id").isNotNull())
-            .select(F.col("trx_contract_id").alias("contract_id"), "period_month",
+    commit = (F.col("rev_recognition_indicator") == "commit_revenue") & F.col("contract_id").isNotNull()
+    unmatched = F.col("contract_id").isNull() & F.col("trx_contract_id").isNotNull()
+    tagged = (r.where(commit | unmatched)
+              .withColumn("_is_commit", commit)
+              .withColumn("_key", F.when(commit, F.col("contract_id")).otherwise(F.col("trx_contract_id"))))
+    w = Window.partitionBy("_key", "period_month")
+    return (tagged
+            .withColumn("commit_amount", F.max(F.when(F.col("_is_commit"), F.col("rev_recognized_amount"))).over(w))
+            .withColumn("commit_legal_entity_id", F.max(F.when(F.col("_is_commit"), F.col("legal_entity_id"))).over(w))
+            .withColumn("_has_commit", F.max(F.col("_is_commit").cast("int")).over(w))
+            .where(~F.col("_is_commit") & (F.col("_has_commit") == 1))
+            .select(F.col("_key").alias("contract_id"), "period_month", "commit_amount", "commit_legal_entity_id",
                     F.col("rev_recognized_amount").alias("consumption_amount"),
                     F.col("legal_entity_id").alias("consumption_legal_entity_id")))
-    return commit.join(cons, ["contract_id", "period_month"], "inner")
 
 
 def _unpivot_counts(row: DataFrame, names: list[str], label: str, value: str) -> DataFrame:
