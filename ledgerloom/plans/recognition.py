@@ -8,8 +8,9 @@ monthly consumption (transactions aggregated per contract, party, entity and
 month) in a full outer join; a month's recognised amount is the consumption
 when there is any, else the amortised commitment.  Both sides are aggregated
 before the join, so each side is unique on the join key and no key can be
-skewed.  Rows with a null key can never match (NULL = NULL is not true); they
-bypass the join and are appended as one-sided rows.
+skewed.  Rows with a null key can never match (NULL = NULL is not true) and
+come out one-sided; the shuffle hashes all four keys, so they do not gather
+in one reducer.
 """
 
 from __future__ import annotations
