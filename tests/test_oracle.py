@@ -50,3 +50,18 @@ def test_bucket_query_is_deterministic(spark):
 @pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test data missing")
 def test_smoke_data_present():
     assert os.path.exists(f"{SF_SMALL}/orders.parquet")
+
+
+SPARK_TO_DUCK = {"BIGINT": "BIGINT", "INT": "INTEGER", "STRING": "VARCHAR", "DATE": "DATE", "BOOLEAN": "BOOLEAN",
+                 "DOUBLE": "DOUBLE", "TIMESTAMP": "TIMESTAMP", "TIMESTAMP_NTZ": "TIMESTAMP",
+                 "ARRAY<STRING>": "VARCHAR[]"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_types_match_oracle(spark, con, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString().upper(), f.dataType.simpleString().upper())
+                   for f in df.schema.fields}
+    rel = con.sql(ORACLE[name])
+    duck_types = {c: str(t).upper() for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
