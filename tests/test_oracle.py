@@ -65,3 +65,15 @@ def test_query_types_match_oracle(spark, con, name):
     rel = con.sql(ORACLE[name])
     duck_types = {c: str(t).upper() for c, t in zip(rel.columns, rel.types)}
     assert spark_types == duck_types
+
+
+@pytest.mark.parametrize("name", ["io_raw_round_trip_revenue_billings", "q4_monthly_cash_flow"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = QUERIES[name](spark, SF_SMALL)
+        _, expected = duck_rows(con, ORACLE[name])
+        assert rows(df) == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
