@@ -11,9 +11,9 @@ reference's YAML metric views expand to at query time.
   after one aggregation pass.  Helper measures needed only by derived ones
   are computed and dropped.
 * ``distinct_key`` measures sum a value once per key within each group
-  (e.g. contract value once per contract, not once per invoice); they are
-  computed by a second aggregation at (dimensions, key) grain and joined
-  back null-safely on the dimensions.
+  (e.g. contract value once per contract, not once per invoice); with
+  dimensions they come from the same single read via GROUPING SETS
+  ((dims), (dims, key)) and a window over the aggregated rows.
 * Display metadata (comment, display name, format, synonyms) travels in the
   output columns' metadata.
 Plain column names in dimensions and measures refer to the source; joined
@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -124,15 +124,18 @@ class MetricView:
         needed = self._closure(measures)
         plain = [m for m in needed if self.measures[m].expr is not None and self.measures[m].distinct_key is None]
         by_key = [m for m in needed if self.measures[m].distinct_key is not None]
-        out = rel.groupBy(*keys).agg(*[self.measures[m].expr().alias(m) for m in plain]) if plain else \
-            rel.select(*keys).distinct()
-        for m in by_key:
-            spec = self.measures[m]
-            key = F.col(spec.distinct_key if "." in spec.distinct_key else f"source.{spec.distinct_key}")
-            once = (rel.groupBy(*keys, key.alias("_key")).agg(F.max(spec.expr()).alias("_v"))
-                    .groupBy(*dimensions).agg(F.sum("_v").alias(m)))
-            cond = [out[n].eqNullSafe(once[n]) for n in dimensions]
-            out = out.join(once, cond, "left").select(out["*"], once[m]) if dimensions else out.crossJoin(once)
+        if by_key and dimensions:
+            out = self._with_distinct_key_measures(rel, dcols, dimensions, plain, by_key)
+        else:
+            out = rel.groupBy(*keys).agg(*[self.measures[m].expr().alias(m) for m in plain]) if plain else \
+                rel.select(*keys).distinct()
+            for m in by_key:
+                spec = self.measures[m]
+                key = F.col(spec.distinct_key if "." in spec.distinct_key else f"source.{spec.distinct_key}")
+                once = (rel.groupBy(*keys, key.alias("_key")).agg(F.max(spec.expr()).alias("_v"))
+                        .groupBy(*dimensions).agg(F.sum("_v").alias(m)))
+                out = out.crossJoin(once) if not dimensions else out.join(
+                    once, [out[n].eqNullSafe(once[n]) for n in dimensions], "left").select(out["*"], once[m])
         for m in needed:
             spec = self.measures[m]
             if spec.derived is not None:
@@ -140,6 +143,39 @@ class MetricView:
         return out.select(*[F.col(n).alias(n, metadata=_metadata(self.dimensions[n])) for n in dimensions],
                           *[F.col(m).alias(m, metadata=_metadata(self.measures[m])) for m in measures])
 
+    def _with_distinct_key_measures(self, rel: DataFrame, dcols: dict, dimensions: list[str], plain: list[str],
+                                    by_key: list[str]) -> DataFrame:
+        """Plain and once-per-key measures from ONE read of the relation.
+
+        GROUPING SETS ((dims), (dims, key_1), ...) aggregates every grouping in
+        a single pass (partial aggregation map-side, so hot keys are combined
+        before the shuffle); ``grouping_id()`` tells the (dims) rows from the
+        (dims, key) rows even when a key is null.  The per-key rows are then
+        summed per dims by a window over the aggregated rows.
+        """
+        key_specs = sorted({self.measures[m].distinct_key for m in by_key})
+        dnames = [f"_d{i}" for i in range(len(dimensions))]
+        knames = [f"_k{i}" for i in range(len(key_specs))]
+        proj = rel.select("*", *[dcols[n].alias(d) for n, d in zip(dimensions, dnames)],
+                          *[F.col(k if "." in k else f"source.{k}").alias(kn) for k, kn in zip(key_specs, knames)])
+        sets = [dnames] + [dnames + [kn] for kn in knames]
+        aggs = [self.measures[m].expr().alias(m) for m in plain]
+        aggs += [F.max(self.measures[m].expr()).alias(f"_v_{m}") for m in by_key]
+        g = proj.groupingSets(sets, *dnames, *knames).agg(F.grouping_id().alias("_gid"), *aggs)
+        nk = len(knames)
+        base_gid = (1 << nk) - 1                      # every key rolled up
+        # Per dims group, sum the once-per-key values of the (dims, key) rows
+        # with a window over the aggregated rows (one row per key, never raw
+        # data), so the grouping-sets result is used once - one read in all.
+        w = Window.partitionBy(*dnames)
+        out = g
+        for i, (k, kn) in enumerate(zip(key_specs, knames)):
+            gid = base_gid - (1 << (nk - 1 - i))      # only key i kept
+            for m in (m for m in by_key if self.measures[m].distinct_key == k):
+                out = out.withColumn(m, F.sum(F.when(F.col("_gid") == gid, F.col(f"_v_{m}"))).over(w))
+        out = out.where(F.col("_gid") == base_gid)
+        return out.select(*[F.col(d).alias(n) for d, n in zip(dnames, dimensions)], *plain, *by_key)
+
     def create_view(self, name: str | None = None, dimensions: list[str] | None = None,
                     measures: list[str] | None = None) -> DataFrame:
         """IO12: register a query of this view for SQL (``SELECT * FROM name``)."""
