@@ -45,15 +45,21 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset.
+    """The shared folder for checkpoints and stored tables; the same on every call.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when nothing is configured (local tests) a fresh scratch folder
-    is taken.
+    ``spark.checkpoint.dir`` names it on a cluster.  Only a ``local`` master may
+    do without: there a scratch folder of this machine is taken once, since
+    driver and executors are one process.  Anywhere else an unset folder is an
+    error, because executors do not share a machine's own disk.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
+        return configured.rstrip("/")
+    if not sc.getCheckpointDir():
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-ckpt-"))
+    return sc.getCheckpointDir()
