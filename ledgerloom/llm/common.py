@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +14,30 @@ from pyspark.sql import functions as F
 from ledgerloom.session import ensure_checkpoint_dir
 
 
+@functools.lru_cache(maxsize=1)
+def _archive() -> str:
+    """A zip file of the library's modules, on the driver."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerloom-py-"), "ledgerloom.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "ledgerloom")):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), root))
+    return path
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers import the library, wherever the driver found it (``--py-files`` for callers)."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        spark.sparkContext.addPyFile(_archive())
+        _shipped.add(app)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex[:12]}"
