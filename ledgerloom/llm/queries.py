@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe, packing
-from ledgerloom.llm.common import table
+from ledgerloom.llm import bpe, minhash, packing, toxicity
+from ledgerloom.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -18,8 +19,19 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
+
+
+@query
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 @query
@@ -32,3 +44,9 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text decoded from them."""
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the training rows of ``labels``."""
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
