@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, minhash, packing, toxicity
+from ledgerloom.llm import bpe, minhash, packing, quality, secret_scan, toxicity
 from ledgerloom.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +51,21 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from the training rows of ``labels``."""
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    judged = quality.judged(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lost",
+                         "base_failed", "kept")
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    found = secret_scan.scanned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    number = lambda kind: F.size(F.filter("base_spans", lambda x: x["kind"] == kind)).cast("long")
+    return found.select("doc_id", number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"),
+                        F.sha2(secret_scan.written(F.col("base_spans")), 256).alias("base_sha256"),
+                        secret_scan.written(F.col("all_spans")).alias("spans"))
