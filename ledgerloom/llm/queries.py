@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, minhash, packing, quality, secret_scan, toxicity
+from ledgerloom.llm import bpe, minhash, packing, quality, secret_scan, toxicity, warc
 from ledgerloom.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"),
                         F.sha2(secret_scan.written(F.col("base_spans")), 256).alias("base_sha256"),
                         secret_scan.written(F.col("all_spans")).alias("spans"))
+
+
+@query
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures of every page, read back from the archives written of them."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "url_key", "captured")
