@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, minhash, packing, quality, secret_scan, toxicity, warc
+from ledgerloom.llm import bpe, embeddings, minhash, packing, quality, secret_scan, toxicity, warc
 from ledgerloom.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captures of every page, read back from the archives written of them."""
     return warc.round_trip(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "url_key", "captured")
+
+
+@query
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate component of every vector."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
