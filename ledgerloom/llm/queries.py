@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, embeddings, minhash, packing, quality, secret_scan, toxicity, warc
+from ledgerloom.llm import bpe, embeddings, html_extract, minhash, packing, quality, secret_scan, toxicity, warc
 from ledgerloom.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,9 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and near-duplicate component of every vector."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
