@@ -26,8 +26,6 @@ separate rows.  An empty table gives an empty result.
 from __future__ import annotations
 
 import bisect
-import functools
-import os
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -38,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.bpe import Encoder
+from ledgerloom.llm.bpe import encoder
 from ledgerloom.llm.common import stored
 
 BUDGET = 2048
@@ -56,31 +54,6 @@ class Move(NamedTuple):
     each: int
 
 
-@functools.lru_cache(maxsize=2)
-def _encoder(path: str) -> Encoder:
-    """Ids by the tokenizers library; the encoder cuts words and remembers the ids of those seen before."""
-    from tokenizers import Tokenizer
-
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    tok = Tokenizer.from_file(path)
-    tok.no_truncation()
-    tok.no_padding()
-
-    def merge(words: list[str]) -> list[bytes]:
-        # One call for all words: a line feed between two of them is a word of
-        # its own, so every other word of the joined text is one of ours.
-        plain = [w for w in words if not w.isspace()]
-        got = tok.encode("\n".join(plain), add_special_tokens=False)
-        ends = np.searchsorted(np.array(got.word_ids, np.int64), 2 * np.arange(len(plain)), side="right").tolist()
-        starts = np.searchsorted(np.array(got.word_ids, np.int64), 2 * np.arange(len(plain)), side="left").tolist()
-        flat = np.array(got.ids, "<u4").tobytes()
-        ids = {w: flat[4 * s:4 * e] for w, s, e in zip(plain, starts, ends, strict=True)}
-        return [ids[w] if w in ids else np.array(tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-                for w in words]
-
-    return Encoder(path, merge)
-
-
 def cut(length: int, budget: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document; only the first may be shorter than the budget."""
     head = length % budget or budget
@@ -89,7 +62,10 @@ def cut(length: int, budget: int) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, path: str, budget: int = BUDGET, end_id: int = END_ID,
            with_ids: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): documents as token pieces; ``with_ids`` keeps the ids."""
+    """(doc_id, piece, start, length, ids_crc32): documents as token pieces; ``with_ids`` keeps the ids.
+
+    The ids are those of the tokenizers library with the same vocabulary.
+    """
     fields = [T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("piece", T.IntegerType()),
               T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
               T.StructField("ids_crc32", T.LongType())]
@@ -98,7 +74,7 @@ def pieces(docs: DataFrame, path: str, budget: int = BUDGET, end_id: int = END_I
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = _encoder(path)
+        enc = encoder(path)
         for pdf in batches:
             rows = []
             texts = enc.encode_all(t or "" for t in pdf["text"])
@@ -164,9 +140,11 @@ def ranked(parts: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     partition plus what earlier partitions hold of that length.
     """
     order = ["length", "doc_id", "piece", "start"]
+    # Range partitioning reads its input twice, so the pieces are made first.
+    parts = stored(parts, "pieces")
     split = stored(parts.repartitionByRange(*order).sortWithinPartitions(*order)
                    .withColumn("part", F.spark_partition_id())
-                   .withColumn("place", F.monotonically_increasing_id()), "pieces")
+                   .withColumn("place", F.monotonically_increasing_id()), "sorted")
     # One row for each length and partition; the lengths are bounded by the budget.
     held = split.groupBy("length", "part").agg(F.count("*").alias("n"), F.min("place").alias("low"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
