@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, embeddings, html_extract, minhash, packing, quality, secret_scan, toxicity, warc
+from ledgerloom.llm import bpe, chat, embeddings, html_extract, minhash, packing, quality, secret_scan, toxicity, warc
 from ledgerloom.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,9 @@ ORACLE: dict[str, str] = {}
 #: The vocabulary of the packing and encoding queries; a parameter of the operators.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
+#: Tools that the calls of ``conversations`` are checked against.
+TOOLS = {"search": {"query": "string", "limit": "integer"}, "calculate": {"expression": "string"}}
+
 
 def query(fn):
     @functools.wraps(fn)
@@ -88,3 +91,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message, tool call and tool result of the conversations in canonical JSON, in topological order."""
+    tools = chat.tool_schemas(spark, TOOLS, {"search": ["query"]})
+    return chat.documents(table(spark, sf_dir, "conversations"), tools)
