@@ -30,6 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ledgerloom.llm.common import map_frames
+
 #: Words kept in each of the two generations of a worker's cache.
 CACHE_WORDS = 500_000
 #: No pair here can be merged; larger than any (rank, position) key.
@@ -346,7 +348,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
             yield pd.DataFrame({"doc_id": pdf["doc_id"],
                                 "ids": [i.astype(np.int32) for i in enc.encode_all(t or "" for t in pdf["text"])]})
 
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInPandas(run, schema)
+    return map_frames(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")), run, schema)
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
@@ -359,7 +361,7 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
             yield pd.DataFrame({"doc_id": pdf["doc_id"],
                                 "text": [enc.decode(np.asarray(i if i is not None else [], np.int64)) for i in pdf["ids"]]})
 
-    return encoded.select("doc_id", "ids").mapInPandas(run, schema)
+    return map_frames(encoded.select("doc_id", "ids"), run, schema)
 
 
 def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
@@ -385,4 +387,4 @@ def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
             out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
             yield out
 
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return map_frames(docs.select("doc_id", "text"), run, schema)

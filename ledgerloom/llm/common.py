@@ -7,9 +7,14 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerloom.session import ensure_checkpoint_dir
 
@@ -54,6 +59,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_frames(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+               schema: T.StructType | str) -> DataFrame:
+    """``mapInPandas`` with Python values: integers stay integers beside nulls, and a null is None."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    target = to_arrow_schema(fields)
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frames = (pd.DataFrame({n: pd.Series(c.to_pylist(), dtype=object) for n, c in zip(b.schema.names, b.columns, strict=True)})
+                  for b in parts)
+        for pdf in run(frames):
+            arrays = [pa.array(pdf[f.name].tolist(), f.type, from_pandas=True) for f in target]
+            yield pa.RecordBatch.from_arrays(arrays, schema=target)
+
+    return df.mapInArrow(batches, fields)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import components, stored
+from ledgerloom.llm.common import components, map_frames, stored
 
 COSINE = 0.95
 TABLES = 16
@@ -130,7 +130,7 @@ def directions(vectors: DataFrame) -> DataFrame:
                                     "keys": pd.Series(number, part.index, object),
                                     "class": pd.Series(names, part.index, object)})
 
-    return vectors.select("vec_id", "embedding").mapInPandas(run, schema)
+    return map_frames(vectors.select("vec_id", "embedding"), run, schema)
 
 
 def cosine(a: str, b: str):

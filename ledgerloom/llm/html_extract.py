@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ledgerloom.llm.common import map_frames
+
 #: HTML elements that end a block; that hold no text; that have no end tag.
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table
@@ -340,4 +342,4 @@ def extract(pages: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"page_id": part["page_id"], "url": part["url"],
                                     "text": pd.Series(texts, part.index, object), "n_chars": [len(t) for t in texts]})
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, schema)
+    return map_frames(pages.select("page_id", "url", "html"), run, schema)

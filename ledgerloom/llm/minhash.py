@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import components, stored
+from ledgerloom.llm.common import components, map_frames, stored
 
 WORDS = 5
 PERCENT = 75
@@ -128,7 +128,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                                 "sig": [s if ok else None for s, ok in zip(sig, some, strict=True)],
                                 "bands": [k if ok else None for k, ok in zip(key, some, strict=True)]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return map_frames(docs.select("doc_id", "text"), run, schema)
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -188,7 +188,7 @@ def _full_sets(docs: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "set_lo": ids[:, 0], "set_hi": ids[:, 1],
                                     "shingles": sets})
 
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return map_frames(docs.select("doc_id", "text"), run, schema)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm.bpe import encoder
-from ledgerloom.llm.common import stored
+from ledgerloom.llm.common import map_frames, stored
 
 BUDGET = 2048
 #: Id that closes every document.
@@ -86,7 +86,7 @@ def pieces(docs: DataFrame, path: str, budget: int = BUDGET, end_id: int = END_I
                     rows.append((*row, own.astype(np.int32)) if with_ids else row)
             yield pd.DataFrame(rows, columns=names)
 
-    return docs.select("doc_id", "text").mapInPandas(run, T.StructType(fields))
+    return map_frames(docs.select("doc_id", "text"), run, T.StructType(fields))
 
 
 def plan_sweeps(counts: dict[int, int], budget: int = BUDGET) -> list[Move]:
@@ -175,7 +175,7 @@ def place(with_rank: DataFrame, moves: list[Move]) -> DataFrame:
             yield pdf.drop(columns="rank").assign(sequence_id=move[:, 2] + nth // move[:, 4],
                                                   offset=move[:, 3] + nth % move[:, 4] * length)
 
-    return with_rank.mapInPandas(run, schema)
+    return map_frames(with_rank, run, schema)
 
 
 def pack(docs: DataFrame, path: str, budget: int = BUDGET, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:

@@ -28,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import stored
+
 #: Fixed values of the base rules.
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -130,7 +132,8 @@ def judged(docs: DataFrame, docs_limit: int = LINE_DOCS, per_mille: int = LINE_P
     lines of a host's average document can be above it, which bounds the array
     that is joined to the host's documents.
     """
-    above = common_lines(docs, docs_limit, per_mille).groupBy("host").agg(F.array_sort(F.collect_list("line")).alias("common"))
+    above = stored(common_lines(docs, docs_limit, per_mille).groupBy("host")
+                   .agg(F.array_sort(F.collect_list("line")).alias("common")), "lines")
     found = base(docs).alias("d").join(above.alias("a"), F.expr("d.source <=> a.host"), "left").drop("host")
     common = F.coalesce("common", F.array().cast("array<bigint>"))
     found = found.withColumn("common", common)

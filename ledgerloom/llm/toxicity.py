@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import stored
+from ledgerloom.llm.common import map_frames, stored
 
 ORDER = 6
 FOLDS = 5
@@ -138,7 +138,7 @@ def _word_counts(labelled: DataFrame) -> DataFrame:
                     counts = (Counter(), Counter())
         yield out()
 
-    parts = labelled.mapInPandas(run, "word string, toxic long, ordinary long")
+    parts = map_frames(labelled, run, "word string, toxic long, ordinary long")
     return parts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
@@ -166,7 +166,7 @@ def _in_slots(rows: DataFrame) -> DataFrame:
 
     sums = [F.sum(c).cast("double").alias(c) for c in ("a", "b", "m", "n", "o")]
     schema = "kind int, a long, b long, m long, n long, o long, slot long"
-    return rows.mapInPandas(run, schema).groupBy("kind", "slot").agg(*sums)
+    return map_frames(rows, run, schema).groupBy("kind", "slot").agg(*sums)
 
 
 def fit(labelled: DataFrame) -> Model | None:
@@ -241,7 +241,7 @@ def evidence(docs: DataFrame, model: Model) -> DataFrame:
                                     "evidence": [sum(v) / max(1, len(v)) for v in values],
                                     "clear": [sum(x - CLEAR for x in v if x > CLEAR) / max(1, len(v)) for v in values]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return map_frames(docs.select("doc_id", "text"), run, schema)
 
 
 def fit_curve(bins: list[tuple[float, float, int, int]]) -> tuple[float, float, float]:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import scratch_path, stored
+from ledgerloom.llm.common import map_frames, scratch_path, stored
 
 #: Characters of records after which an archive is closed.
 ARCHIVE_CHARS = 4_000_000
@@ -140,7 +140,7 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES, captur
             yield pd.DataFrame({"value": pd.Series([(_BREAK * 2).join(held)], dtype=object)})
 
     # One row is one archive, and one file.
-    (with_responses(pages, least).mapInPandas(run, "value string").write.option("lineSep", _BREAK * 2)
+    (map_frames(with_responses(pages, least), run, "value string").write.option("lineSep", _BREAK * 2)
      .option("maxRecordsPerFile", 1).option("compression", "gzip").text(path))
 
 
@@ -197,7 +197,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
                 yield out.where(out.notna(), None)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    return files.mapInPandas(run, RECORD)
+    return map_frames(files, run, RECORD)
 
 
 class LoserTree:
@@ -260,7 +260,7 @@ def merged_index(runs: DataFrame) -> DataFrame:
         if held:
             yield pd.DataFrame(held, columns=names, dtype=object)
 
-    return runs.repartitionByRange("url_key", "captured", "page_id", "place").mapInPandas(run, runs.schema)
+    return map_frames(runs.repartitionByRange("url_key", "captured", "page_id", "place"), run, runs.schema)
 
 
 def round_trip(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
