@@ -116,7 +116,7 @@ def common_lines(docs: DataFrame, docs_limit: int = LINE_DOCS, per_mille: int =
     everyone has is gathered in one place.
     """
     own = docs.select(F.col("source").alias("host"), F.array_distinct(F.array_compact(line_hashes(F.col("text")))).alias("own"))
-    unique = own.select("host", F.xxhash64("own").alias("doc"), "own").dropDuplicates(["host", "doc"])
+    unique = stored(own.select("host", F.xxhash64("own").alias("doc"), "own").dropDuplicates(["host", "doc"]), "documents")
     sizes = unique.groupBy("host").agg(F.count("*").alias("n_docs"))
     counted = (unique.select("host", F.explode("own").alias("line")).groupBy("host", "line")
                .agg(F.count("*").alias("n")).where(F.col("n") > docs_limit))
