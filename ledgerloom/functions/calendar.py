@@ -8,13 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _d(value) -> dt.date:
+def as_date(value) -> dt.date:
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(str(value))
 
 
+def month_end_of(day: dt.date) -> dt.date:
+    """The last day of the day's month."""
+    return (day.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+
+
 def month_ends(spark: SparkSession, start, end, name: str = "as_of_date") -> DataFrame:
     """Every month end d with start <= d <= end (the reference's snapshot list)."""
-    start, end = _d(start), _d(end)
+    start, end = as_date(start), as_date(end)
     first = start.replace(day=1)
     return (spark.range(1)
             .select(F.explode(F.sequence(F.lit(first), F.lit(end), F.expr("interval 1 month"))).alias("m"))
@@ -28,7 +33,7 @@ def quarters(spark: SparkSession, start, end) -> DataFrame:
     Columns: fiscal_year, fiscal_quarter, fiscal_quarter_name ('FY2024Q1'),
     quarter_start_date (date).
     """
-    start, end = _d(start), _d(end)
+    start, end = as_date(start), as_date(end)
     return (spark.range(1)
             .select(F.explode(F.sequence(F.trunc(F.lit(start), "quarter"), F.trunc(F.lit(end), "quarter"),
                                          F.expr("interval 3 months"))).alias("quarter_start_date"))

@@ -6,20 +6,31 @@ with the session time zone pinned to UTC (see ``ledgerloom.session``).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_col
 
 
+SECONDS_A_DAY = 86_400
+
+
 def epoch_to_timestamp(col) -> Column:
     """Epoch seconds (long) -> TimestampType."""
     return F.timestamp_seconds(as_col(col))
 
 
 def epoch_to_date(col) -> Column:
-    """Epoch seconds (long) -> DateType, in the session time zone (UTC)."""
-    return F.to_date(F.timestamp_seconds(as_col(col)))
+    """Epoch seconds (long) -> the UTC day, by integer arithmetic: no session time zone takes part."""
+    days = F.floor(as_col(col) / F.lit(SECONDS_A_DAY)).cast("int")
+    return F.date_add(F.lit(dt.date(1970, 1, 1)), days)
+
+
+def date_to_epoch(col) -> Column:
+    """A day -> epoch seconds of its UTC midnight, by integer arithmetic."""
+    return F.datediff(F.to_date(as_col(col)), F.lit(dt.date(1970, 1, 1))).cast("long") * F.lit(SECONDS_A_DAY)
 
 
 def month_start(col) -> Column:

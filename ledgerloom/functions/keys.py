@@ -32,38 +32,30 @@ def scenario_number(cost_center_id, legal_entity_id, year, quarter) -> Column:
 def bucket(key, salt: str, buckets: int) -> Column:
     """Deterministic bucket in [0, buckets) from a hashed key and a salt.
 
-    Used for reproducible sampling and A/B splits; ``pmod`` avoids the
-    ``abs(min_int)`` overflow of ``abs(hash(k)) % n``.
+    Used for reproducible sampling and A/B splits.  The first eight hexadecimal
+    digits of an MD5 are the same number in every engine and never negative.
     """
-    return F.pmod(F.xxhash64(as_col(key), F.lit(salt)), F.lit(buckets)).cast("int")
+    digits = F.substring(F.md5(F.concat(as_col(key).cast("string"), F.lit(salt))), 1, 8)
+    return (F.conv(digits, 16, 10).cast("long") % F.lit(buckets)).cast("int")
 
 
-def with_sequence_id(df: DataFrame, order_cols: list[str], start: int = 1,
+def with_sequence_id(df: DataFrame, order_cols: list[str], block: Column, start: int = 1,
                      name: str = "seq_id") -> DataFrame:
     """Dense 0-gap numbering of all rows in ``order_cols`` order, plus ``start``.
 
     The reference numbers rows with ``row_number()`` over the whole table, which
-    sorts everything in one task.  Here the rows are range-partitioned and
-    sorted in parallel; each partition's offset comes from a per-partition
-    count (one row per partition, so that side has a proven bound), and the
-    id is offset + position inside the partition.  ``order_cols`` must be a
-    unique key so the numbering is deterministic.
+    sorts everything in one task.  Here ``block`` cuts the order into
+    consecutive blocks (any non-decreasing function of the order, such as a key
+    divided by a block size): rows are numbered inside their block, and a block
+    begins where the counts of the earlier ones end (one row per block).
+    ``order_cols`` must be a unique key; then a recomputed task gives the same
+    numbers, and building the plan runs no job.
     """
-    ranged = (df.repartitionByRange(*[F.col(c) for c in order_cols])
-              .sortWithinPartitions(*order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id()))
-    # monotonically_increasing_id = (partition id << 33) + position in partition.
-    ranged = ranged.withColumn("_pos", F.col("_mono") - F.shiftleft(F.col("_pid").cast("long"), 33))
-    # Pin partition ids and positions once (reliable checkpoint in the shared
-    # folder): the counts and the join below must see the same partitioning.
-    from ledgerloom.sources.sinks import cut_lineage
-    ranged = cut_lineage(ranged)
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)))
-    return (ranged.join(F.broadcast(offsets.select("_pid", "_offset")), "_pid")
-            .withColumn(name, F.col("_offset") + F.col("_pos") + F.lit(start))
-            .drop("_pid", "_mono", "_pos", "_offset"))
+    blocks = df.withColumn("_block", block)
+    inside = F.row_number().over(Window.partitionBy("_block").orderBy(*order_cols))
+    counts = blocks.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("_block").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (blocks.withColumn("_inside", inside).join(offsets, F.col("_block").eqNullSafe(F.col("_of")))
+            .withColumn(name, F.col("_before") + F.col("_inside") + F.lit(start - 1))
+            .drop("_block", "_of", "_before", "_inside"))

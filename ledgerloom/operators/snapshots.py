@@ -70,23 +70,3 @@ def cumulative_snapshots(df: DataFrame, date_col: str, dims: list[str], sums: di
 
 def _date(value) -> dt.date:
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(str(value))
-
-
-def snapshots_by_filter(df: DataFrame, date_col: str, dims: list[str], sums: dict[str, str],
-                        as_of_dates: list, as_of_col: str = "as_of_date") -> DataFrame:
-    """The reference's shape: one filter + aggregate per month end, unioned.
-
-    Kept as the plain-semantics baseline for tests and the benchmark.
-    """
-    parts = []
-    for d in as_of_dates:
-        parts.append(df.where(F.col(date_col) <= F.lit(d)).groupBy(*dims).agg(
-            *[F.sum(src).alias(name) for name, src in sums.items()],
-            F.count(F.lit(1)).alias("entry_count"),
-            F.min(date_col).alias("first_entry_date"),
-            F.max(date_col).alias("last_entry_date"),
-        ).withColumn(as_of_col, F.lit(d)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

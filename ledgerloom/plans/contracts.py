@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import checked_broadcast
 from ledgerloom.plans.parties import party_by_role
 
 # Columns both contract kinds share (the reference's templated column list).
@@ -36,8 +35,7 @@ def dim_all_contracts(outbound: DataFrame, inbound: DataFrame, party: DataFrame,
            .select(*CONTRACT_COLS, F.lit("Inbound").alias("agreement_type"), "third_party_id",
                    "third_party_name"))
     base = out.unionByName(inb)
-    entities = checked_broadcast(legal_entities(coa), max_rows=100_000)
-    return (base.join(entities, "legal_entity_id", "left")
+    return (base.join(legal_entities(coa), "legal_entity_id", "left")
             .select(*OUTPUT_COLS)
             .withColumn("contract_start_date", F.to_date("contract_start_date"))
             .withColumn("estimated_completion_date", F.to_date("estimated_completion_date")))

@@ -375,8 +375,7 @@ def r3(spark, sf_dir):
 
 @query("r4_invoice_buckets")
 def r4(spark, sf_dir):
-    """Deterministic 100-way bucket per invoice (sampling / A-B splits).
-    Engine-specific hash: no SQL oracle."""
+    """Deterministic 100-way bucket per invoice (sampling / A-B splits)."""
     inv = Fixtures(spark, sf_dir).spend_invoices
     return inv.select("invoice_id", bucket(F.col("invoice_id"), "status", 100).alias("bucket"))
 
@@ -386,7 +385,8 @@ def w2(spark, sf_dir):
     """Dense surrogate keys in customer order from a start offset, without a
     one-partition global sort."""
     c = Fixtures(spark, sf_dir).customers.select("customer_id", "customer_name")
-    return with_sequence_id(c, ["customer_id"], start=20000001, name="customer_key")
+    block = F.floor(F.col("customer_id") / 100_000)
+    return with_sequence_id(c, ["customer_id"], block, start=20000001, name="customer_key")
 
 
 @query("so3_supplier_only_parties")

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import day_diff
-from ledgerloom.sources.sinks import cut_lineage
 
 LEAD_TIMES = {
     "po_to_gr": ("purchase_order_date", "goods_received_date"),
@@ -43,12 +42,15 @@ def _avg(name: str) -> Column:
 
 
 def fact_supplier_scorecard(fact_spend: DataFrame) -> DataFrame:
-    per = cut_lineage(supplier_lead_times(fact_spend))
-    # Global bounds: an aggregate without grouping keys has exactly one row,
-    # so broadcasting it is bounded by construction.  Both uses of ``per`` are
-    # read the checkpointed per-supplier table (one pass over the facts).
-    bounds = per.agg(*[agg(f"{n}_{s}").alias(f"_{n}_{s}") for n in LEAD_TIMES
-                       for s, agg in (("min", F.min), ("max", F.max))]).withColumn("_one", F.lit(1))
+    per = supplier_lead_times(fact_spend)
+    # Global bounds: an aggregate without grouping keys has exactly one row, so
+    # broadcasting it is bounded by construction.  ``_all`` keeps every column
+    # of ``per`` in this branch too; both branches then have the same shuffle,
+    # which Spark runs once: one pass over the facts.
+    bounds = (per.agg(*[agg(f"{n}_{s}").alias(f"_{n}_{s}") for n in LEAD_TIMES
+                        for s, agg in (("min", F.min), ("max", F.max))],
+                      F.max(F.struct(*per.columns)).alias("_all"))
+              .where(F.col("_all").isNotNull()).drop("_all").withColumn("_one", F.lit(1)))
     joined = per.withColumn("_one", F.lit(1)).join(F.broadcast(bounds), "_one")
     cols = [*KEYS, "transaction_count"]
     scores = []

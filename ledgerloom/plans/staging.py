@@ -10,11 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import MONEY
-from ledgerloom.operators.joins import checked_broadcast
 from ledgerloom.plans.parties import party_by_role
 
-COA_BOUND = 1_000_000   # rows in an account hierarchy (centers x entities x accounts)
-
 
 def coa_meta(prefix: str = "") -> Column:
     """The struct the reference carries: coa_id, cost center and legal entity."""
@@ -46,17 +43,16 @@ def stg_spend_transactions(purchase_orders: DataFrame, party: DataFrame, coa: Da
                            invoices: DataFrame) -> DataFrame:
     """PO LEFT JOIN party (by supplier) LEFT JOIN hierarchy LEFT JOIN invoice.
 
-    The hierarchy is a broadcast dimension; the PO-invoice join is a large-large
-    equi join on purchase_order_id (sort-merge; AQE splits skewed partitions).
+    The hierarchy is joined as its size asks for (Spark broadcasts it while it is
+    small); the PO-invoice join is a large-large equi join on purchase_order_id (sort-merge; AQE splits skewed partitions).
     Invoice year/month are derived from the invoice date (the reference's
     partition columns are lost to recursive file lookup).
     """
     po = purchase_orders.alias("po")
     sup = party_by_role(party, "supplier_id", "supplier_name")
-    acct = checked_broadcast(coa, COA_BOUND)
     inv = invoices.drop("invoice_year", "invoice_month")
     joined = (po.join(sup, "supplier_id", "left")
-              .join(acct, "coa_id", "left")
+              .join(coa, "coa_id", "left")
               .join(inv, "purchase_order_id", "left"))
     return joined.select(
         "purchase_order_id", "contract_id", "purchase_order_number", "purchase_order_date",
@@ -82,9 +78,8 @@ def stg_revenue_transactions(transactions: DataFrame, party: DataFrame, coa: Dat
                              billings: DataFrame) -> DataFrame:
     """S3: revenue transaction LEFT JOIN party (by customer) LEFT JOIN hierarchy LEFT JOIN billing."""
     cust = party_by_role(party, "customer_id", "customer_name")
-    acct = checked_broadcast(coa, COA_BOUND)
     joined = (transactions.join(cust, "customer_id", "left")
-              .join(acct, "coa_id", "left")
+              .join(coa, "coa_id", "left")
               .join(billings, "rev_trx_id", "left"))
     return joined.select(
         "rev_trx_id", F.to_date("transaction_date").alias("transaction_date"), "customer_id",

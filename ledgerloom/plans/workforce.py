@@ -52,17 +52,3 @@ def fact_emp_quarterly_cost(employees: DataFrame, as_of) -> DataFrame:
     return (employee_quarters(employees, as_of)
             .groupBy("employment_year", "employment_quarter", "cost_center_id", "legal_entity_id")
             .agg(F.sum("quarterly_salary").cast(SALARY_SUM).alias("agg_qtr_salary")))
-
-
-def fact_emp_quarterly_cost_by_day(employees: DataFrame, as_of) -> DataFrame:
-    """The reference's day-level explode (baseline for tests and the benchmark)."""
-    end = F.coalesce(F.col("termination_date"), F.lit(as_of).cast("date"))
-    days = (employees.where(F.col("hire_date").isNotNull() & (end >= F.col("hire_date")))
-            .select("*", F.posexplode(F.sequence(F.lit(0), F.datediff(end, F.col("hire_date")))).alias("seq", "d"))
-            .select("employee_id", "employee_name", "cost_center_id", "legal_entity_id", "salary",
-                    (F.col("salary") * F.lit(QUARTER_SHARE)).alias("quarterly_salary"),
-                    F.year(F.date_add("hire_date", F.col("seq"))).alias("employment_year"),
-                    F.quarter(F.date_add("hire_date", F.col("seq"))).alias("employment_quarter"))
-            .distinct())
-    return (days.groupBy("employment_year", "employment_quarter", "cost_center_id", "legal_entity_id")
-            .agg(F.sum("quarterly_salary").cast(SALARY_SUM).alias("agg_qtr_salary")))

@@ -28,6 +28,7 @@ JSON_FOLDERS = {"coa": "coa_hierarchy", "third_parties": "third_parties", "custo
                 "suppliers": "suppliers", "employees": "employees", "outbound_contracts": "outbound_contracts",
                 "inbound_contracts": "inbound_contracts"}
 MONTH_FOLDERS = {"revenue_transactions": "revenue_transactions", "purchase_orders": "purchase_orders"}
+FOLDER_COLS = ["invoice_year", "invoice_month"]
 PARTITIONED_FOLDERS = {"revenue_billings": "revenue_billings", "spend_invoices": "spend_invoices"}
 
 
@@ -101,13 +102,9 @@ class RawFiles:
         if source == "outbound_contracts":
             df = df.drop("project_id")
         if source in PARTITIONED_FOLDERS:
-            # Partition columns come from the folder names; the date is the truth.
-            date_col = "invoice_date"
-            df = (df.drop("invoice_year", "invoice_month")
-                  .withColumn("invoice_year", F.year(date_col).cast("long"))
-                  .withColumn("invoice_month", F.month(date_col).cast("long")))
-            if source == "revenue_billings":
-                df = df.drop("invoice_year", "invoice_month")
+            # The folder columns stay as they are, so a filter on them prunes folders.
+            df = df.select(*[c for c in df.columns if c not in FOLDER_COLS],
+                           *[F.col(c).cast("long").alias(c) for c in FOLDER_COLS])
         return df
 
     def __getattr__(self, name: str) -> DataFrame:

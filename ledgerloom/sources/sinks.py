@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.dates import date_to_epoch, epoch_to_date
 from ledgerloom.session import ensure_checkpoint_dir
 from ledgerloom.sources import readers, schemas
 
@@ -26,31 +27,52 @@ def materialize(df: DataFrame, spark: SparkSession, name: str, base: str | None
                 partition_by: list[str] | None = None) -> DataFrame:
     """IO10: overwrite ``name`` as parquet and return a DataFrame reading it."""
     path = f"{base.rstrip('/')}/{name}" if base else shared_folder(spark, "tables", name)
-    writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        gathered(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+#: Files into which one partition folder is spread.
+FILES_PER_FOLDER = 4
+
+
+def gathered(df: DataFrame, columns: list[str], files: int = FILES_PER_FOLDER) -> DataFrame:
+    """Rows dealt so that each folder of ``columns`` is written by at most ``files`` tasks.
+
+    Without this every task writes into every folder (tasks x folders files).
+    The salt, from the row's other values, spreads a folder that holds a large
+    share of the rows.
+    """
+    others = [c for c, kind in df.dtypes if c not in columns and not kind.startswith(("map", "variant"))]
+    salt = F.pmod(F.xxhash64(*others), F.lit(files)) if others else F.lit(0)
+    return df.withColumn("_salt", salt).repartition(*columns, "_salt").drop("_salt")
+
+
 def write_json_single(df: DataFrame, path: str) -> None:
-    """IO7: one JSON file (``coalesce(1)``): only for small reference tables."""
+    """IO7: one JSON file (``coalesce(1)``): only for the account hierarchy, which does not grow with the data."""
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
+def write_json(df: DataFrame, path: str) -> None:
+    """IO7: JSON lines, a file per task."""
+    df.write.mode("overwrite").json(path)
+
+
 def write_csv_by_month(df: DataFrame, path: str, date, month_col: str = "month") -> None:
     """IO8: CSV with header, one folder per month (``partitionBy`` instead of a driver loop).
 
     ``date`` is a column name or Column giving each row's date.
     """
     d = F.col(date) if isinstance(date, str) else date
-    (df.withColumn(month_col, F.date_format(d, "yyyy_MM"))
+    (gathered(df.withColumn(month_col, F.date_format(d, "yyyy_MM")), [month_col])
      .write.mode("overwrite").option("header", "true").partitionBy(month_col).csv(path))
 
 
 def write_csv_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
     """IO9: CSV with header, Hive-partitioned by ``columns``."""
-    df.write.mode("overwrite").option("header", "true").partitionBy(*columns).csv(path)
+    gathered(df, columns).write.mode("overwrite").option("header", "true").partitionBy(*columns).csv(path)
 
 
 def use_database(spark: SparkSession, name: str) -> None:
@@ -75,6 +97,12 @@ def with_comment(df: DataFrame, comments: dict[str, str]) -> DataFrame:
                        for c in df.columns])
 
 
+def comment_table(spark: SparkSession, name: str, comment: str) -> None:
+    """IO15: a comment on a catalog table, shown by ``DESCRIBE EXTENDED``."""
+    quoted = comment.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"COMMENT ON TABLE {name} IS '{quoted}'")
+
+
 # -- raw layout writers (the reference's bronze files, from silver frames) ---------
 def to_bronze(df: DataFrame, source: str) -> DataFrame:
     """Silver -> raw typing: dates as epoch seconds (UTC), money as double."""
@@ -83,7 +111,7 @@ def to_bronze(df: DataFrame, source: str) -> DataFrame:
     cols = []
     for c in df.columns:
         if c in epochs:
-            cols.append(F.unix_timestamp(F.to_timestamp(F.col(c))).alias(c))
+            cols.append(date_to_epoch(c).alias(c))
         elif c in money:
             cols.append(F.col(c).cast("double").alias(c))
         else:
@@ -95,13 +123,14 @@ def write_raw(df: DataFrame, root: str, source: str) -> None:
     """Write one silver frame in the reference's raw folder layout under ``root``."""
     bronze = to_bronze(df, source)
     if source in readers.JSON_FOLDERS:
-        write_json_single(bronze, f"{root}/{readers.JSON_FOLDERS[source]}")
+        write = write_json_single if source == "coa" else write_json
+        write(bronze, f"{root}/{readers.JSON_FOLDERS[source]}")
     elif source in readers.MONTH_FOLDERS:
         date_col = "transaction_date" if source == "revenue_transactions" else "purchase_order_date"
         write_csv_by_month(bronze, f"{root}/{readers.MONTH_FOLDERS[source]}",
-                           F.to_date(F.timestamp_seconds(date_col)))
+                           epoch_to_date(date_col))
     else:
-        d = F.to_date(F.timestamp_seconds("invoice_date"))
+        d = epoch_to_date("invoice_date")
         write_csv_partitioned(bronze.drop("invoice_year", "invoice_month")
                               .withColumn("invoice_year", F.year(d)).withColumn("invoice_month", F.month(d)),
                               f"{root}/{readers.PARTITIONED_FOLDERS[source]}", ["invoice_year", "invoice_month"])
@@ -110,16 +139,3 @@ def write_raw(df: DataFrame, root: str, source: str) -> None:
 def new_scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     return shared_folder(spark, f"{label}-{uuid.uuid4().hex[:12]}")
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and read it from there.
-
-    For an intermediate used twice in one plan whose two uses Catalyst would
-    prune differently (so the shuffle cannot be reused): one pass over the
-    inputs instead of two, and a lost executor re-reads the checkpoint files
-    instead of recomputing the lineage.  Reliable checkpoint only (never a
-    machine-local one).
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

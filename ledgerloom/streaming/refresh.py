@@ -11,26 +11,45 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.sinks import gathered
+
 
 def refresh_months(df: DataFrame, path: str, date_col: str, months: list[dt.date] | None = None,
                    month_col: str = "period_month") -> DataFrame:
-    """Overwrite the month partitions of ``path`` present in ``df`` (or only ``months``).
+    """Replace the month partitions of ``path`` present in ``df``, or exactly ``months``.
 
-    Returns the rows written (lazily).  The month filter is applied before the
-    write, so only the affected months are recomputed upstream when the
-    filter can be pushed down (e.g. to a partitioned source).
+    Returns the refreshed rows as stored.  The month filter is applied before
+    the write, so only the affected months are recomputed upstream when the
+    filter can be pushed down (e.g. to a partitioned source).  A named month
+    that has no rows any more loses its folder, which a dynamic overwrite
+    alone would leave as it was.
     """
+    spark = df.sparkSession
     out = df.withColumn(month_col, F.trunc(F.col(date_col), "month"))
     if months is not None:
-        out = out.where(F.col(month_col).isin([m.replace(day=1) for m in months]))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        months = sorted({m.replace(day=1) for m in months})
+        out = out.where(F.col(month_col).isin(months))
+    (gathered(out, [month_col]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(month_col).parquet(path))
-    return out
+    if months is None:
+        return spark.read.schema(out.schema).parquet(path)
+    stored = read_months(spark, path, months, month_col, out.schema)
+    empty = set(months) - {r[0] for r in out.select(month_col).distinct().collect()}
+    for month in sorted(empty):                      # at most one folder per named month
+        _drop_folder(spark, f"{path.rstrip('/')}/{month_col}={month.isoformat()}")
+    return stored.where(~F.col(month_col).isin(sorted(empty))) if empty else stored
+
+
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def read_months(spark, path: str, months: list[dt.date], month_col: str = "period_month") -> DataFrame:
+def read_months(spark: SparkSession, path: str, months: list[dt.date], month_col: str = "period_month",
+                schema=None) -> DataFrame:
     """Read selected month partitions (partition pruning on ``month_col``)."""
-    return spark.read.parquet(path).where(F.col(month_col).isin([m.replace(day=1) for m in months]))
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).where(F.col(month_col).isin([m.replace(day=1) for m in months]))

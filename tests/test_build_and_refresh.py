@@ -37,6 +37,34 @@ def test_month_refresh_is_idempotent(spark):
     assert read_months(spark, path, months).select(F.min("gl_date")).first()[0] >= dt.date(1998, 1, 1)
 
 
+def test_refresh_drops_months_that_became_empty(spark):
+    path = new_scratch(spark, "refresh")
+    jan, feb, mar = dt.date(2024, 1, 5), dt.date(2024, 2, 5), dt.date(2024, 3, 5)
+    both = spark.createDataFrame([(jan, 1), (feb, 2), (mar, 3)], "d date, v int")
+    refresh_months(both, path, "d")
+    out = refresh_months(both.where("v <> 2"), path, "d", [jan, feb])
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 3]
+    assert [r.v for r in out.collect()] == [1]
+
+
+def test_refresh_writes_few_files(spark):
+    import glob
+    path = new_scratch(spark, "refresh")
+    rows_ = spark.range(4000, numPartitions=16).select(
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 90).cast("int")).alias("d"), "id")
+    refresh_months(rows_, path, "d")
+    assert len(glob.glob(path.removeprefix("file:") + "/*/*.parquet")) <= 3 * 4
+
+
+def test_materialize_reuses_one_folder(spark):
+    from ledgerloom.session import ensure_checkpoint_dir
+    from ledgerloom.sources.sinks import materialize
+    assert ensure_checkpoint_dir(spark) == ensure_checkpoint_dir(spark)
+    one = materialize(spark.range(3), spark, "same_name").inputFiles()
+    two = materialize(spark.range(5), spark, "same_name")
+    assert two.count() == 5 and two.inputFiles()[0].rsplit("/", 1)[0] == one[0].rsplit("/", 1)[0]
+
+
 def test_lakehouse_from_raw_files_equals_fixture_run(spark):
     from ledgerloom.plans.lakehouse import Lakehouse
     from ledgerloom.sources import readers, sinks, schemas

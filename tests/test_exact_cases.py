@@ -13,6 +13,7 @@ from ledgerloom.plans import ledger, scorecard, workforce
 from ledgerloom.plans.planning import fact_fpa_budgets, fact_fpa_forecasts
 
 D = dt.date
+from tests.yardsticks import quarterly_cost_by_day
 
 
 def _contracts(spark, rows):
@@ -125,7 +126,7 @@ def test_termination_before_hire_gets_no_quarters(spark):
     q = workforce.fact_emp_quarterly_cost(emp, D(2025, 1, 1))
     got = {(r.employment_year, r.employment_quarter): r.agg_qtr_salary for r in q.collect()}
     assert got == {(2024, 1): Decimal("100"), (2024, 2): Decimal("100"), (2024, 3): Decimal("100")}
-    assert sorted(q.collect()) == sorted(workforce.fact_emp_quarterly_cost_by_day(emp, D(2025, 1, 1)).collect())
+    assert sorted(q.collect()) == sorted(quarterly_cost_by_day(emp, D(2025, 1, 1)).collect())
 
 
 def test_supplier_with_equal_min_max_lead_time_gets_null_score(spark):

@@ -33,6 +33,41 @@ def test_partition_pruning_on_partitioned_invoices(spark):
     assert raw.count() == inv.where(F.year("invoice_date") == 1998).count()
 
 
+def test_filters_on_folder_columns_prune_in_silver(spark):
+    root = sinks.new_scratch(spark, "io")
+    fx = Fixtures(spark, SF_SMALL)
+    for source in ("spend_invoices", "revenue_billings"):
+        sinks.write_raw(getattr(fx, source), root, source)
+        silver = readers.RawFiles(spark, root).silver(source).where(F.col("invoice_year") == 1998)
+        plan = silver._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(invoice_year" in plan
+        assert silver.count() == getattr(fx, source).where(F.year("invoice_date") == 1998).count() > 0
+
+
+def test_epochs_are_utc_days_in_any_session_zone(spark):
+    from ledgerloom.functions.dates import date_to_epoch, epoch_to_date
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    epochs = [(0, "1970-01-01"), (1704067200, "2024-01-01"), (1704067199, "2023-12-31"), (-1, "1969-12-31")]
+    try:
+        for other in ("UTC", "America/Los_Angeles", "Pacific/Auckland"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            df = spark.createDataFrame(epochs, "e long, d string")
+            got = df.select("d", epoch_to_date("e").cast("string").alias("day"), date_to_epoch(F.to_date("d")).alias("back")).collect()
+            assert [r.day for r in got] == [d for _, d in epochs]
+            assert [r.back for r in got] == [0, 1704067200, 1703980800, -86400]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_table_comment(spark):
+    sinks.use_database(spark, "ledgerloom_test")
+    spark.sql("CREATE TABLE IF NOT EXISTS commented (k int) USING parquet")
+    sinks.comment_table(spark, "commented", "the owner's table")
+    shown = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED commented").collect()}
+    assert shown["Comment"] == "the owner's table"
+    spark.sql("USE default")
+
+
 def test_views_tables_preview_and_comments(spark):
     sinks.use_database(spark, "ledgerloom_test")
     df = spark.createDataFrame([(2, "b"), (1, "a"), (3, "c")], "k int, v string")

@@ -13,13 +13,13 @@ from ledgerloom.plans import trial_balance
 from ledgerloom.plans.registry import lakehouse
 from tests.conftest import SF_SMALL
 from tests.helpers import rows
+from tests.yardsticks import trial_balances_one_by_one
 
 
 def test_trial_balance_one_pass_equals_24_filters(spark):
     lh = lakehouse(spark, SF_SMALL)
     fast = lh.fact_gl_trial_balances
-    slow = trial_balance.fact_gl_trial_balances_by_filter(lh.fact_gl_entries, spark, lh.tb_start, lh.tb_end,
-                                                          lh.run_ts)
+    slow = trial_balances_one_by_one(lh.fact_gl_entries, lh.tb_start, lh.tb_end, lh.run_ts)
     assert rows(fast) == rows(slow)
 
 

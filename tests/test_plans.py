@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from ledgerloom.functions.dates import fiscal_quarter, fiscal_year
-from ledgerloom.operators.joins import checked_broadcast
 from tests.conftest import SF_SMALL
 
 Q = entry.queries()
@@ -37,12 +36,27 @@ def test_scans_read_only_needed_columns(spark):
     assert "o_orderpriority" not in scan and "o_custkey" not in scan
 
 
-def test_checked_broadcast_falls_back_beyond_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert "BroadcastExchange" in _plan(spark.range(100000).join(checked_broadcast(small, 100), "id"))
-    joined = spark.range(100000).join(checked_broadcast(big, 100), "id")
-    assert joined.count() == 1000
+def _jobs(spark) -> int:
+    spark.range(1).count()
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+PRODUCTS = [k for k in Q if not k.startswith(("op", "pipeline", "io_"))]
+
+
+def test_building_a_plan_runs_no_job(spark):
+    before = _jobs(spark)
+    for name in PRODUCTS:
+        Q[name](spark, SF_SMALL)
+    assert _jobs(spark) == before + 1          # the probe's own job
+
+
+def test_scorecard_reads_the_facts_once(spark):
+    df = Q["g7_fact_supplier_scorecard"](spark, SF_SMALL)
+    df.collect()
+    plan = _plan(df)
+    final = plan.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final or final.count("FileScan parquet [l_orderkey") <= 2
 
 
 def test_fiscal_year_with_february_start(spark):
