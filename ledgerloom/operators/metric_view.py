@@ -11,9 +11,10 @@ reference's YAML metric views expand to at query time.
   after one aggregation pass.  Helper measures needed only by derived ones
   are computed and dropped.
 * ``distinct_key`` measures sum a value once per key within each group
-  (e.g. contract value once per contract, not once per invoice); with
-  dimensions they come from the same single read via GROUPING SETS
-  ((dims), (dims, key)) and a window over the aggregated rows.
+  (e.g. contract value once per contract, not once per invoice).  The relation
+  is aggregated by (dimensions, key) and that by the dimensions: one read, and
+  partial aggregation at both levels.  ``additive`` measures add up over the
+  keys; others are aggregated by the dimensions alone and joined.
 * Display metadata (comment, display name, format, synonyms) travels in the
   output columns' metadata.
 Plain column names in dimensions and measures refer to the source; joined
@@ -25,7 +26,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -46,6 +47,7 @@ class Measure:
     derived: Callable[[dict[str, Column]], Column] | None = None
     depends: tuple = ()                                     # measures used by ``derived``
     distinct_key: str | None = None                         # sum ``expr`` once per key
+    additive: bool = True                                   # adds up over the parts of a group
     comment: str = ""
     display_name: str = ""
     synonyms: tuple = ()
@@ -69,6 +71,23 @@ def _metadata(obj) -> dict:
     return md
 
 
+@dataclass(frozen=True)
+class Fact:
+    """A table of a drill-across view: the dimensions it knows and the measures it has."""
+
+    source: DataFrame
+    dimensions: dict[str, Column]
+    measures: list[str]
+
+
+def _side_by_side(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of two aggregates on keys that may be null; each is unique on them."""
+    names = [c for c in right.columns if c not in keys]
+    right = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *names)
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys] or [F.lit(True)]
+    return left.join(right, on, "left").select(*left.columns, *names)
+
+
 class MetricView:
     def __init__(self, name: str, source: DataFrame, dimensions: list[Dimension], measures: list[Measure],
                  joins: list[Join] = (), comment: str = ""):
@@ -123,19 +142,20 @@ class MetricView:
         keys = [dcols[n].alias(n) for n in dimensions]
         needed = self._closure(measures)
         plain = [m for m in needed if self.measures[m].expr is not None and self.measures[m].distinct_key is None]
-        by_key = [m for m in needed if self.measures[m].distinct_key is not None]
-        if by_key and dimensions:
-            out = self._with_distinct_key_measures(rel, dcols, dimensions, plain, by_key)
-        else:
-            out = rel.groupBy(*keys).agg(*[self.measures[m].expr().alias(m) for m in plain]) if plain else \
-                rel.select(*keys).distinct()
-            for m in by_key:
-                spec = self.measures[m]
-                key = F.col(spec.distinct_key if "." in spec.distinct_key else f"source.{spec.distinct_key}")
-                once = (rel.groupBy(*keys, key.alias("_key")).agg(F.max(spec.expr()).alias("_v"))
-                        .groupBy(*dimensions).agg(F.sum("_v").alias(m)))
-                out = out.crossJoin(once) if not dimensions else out.join(
-                    once, [out[n].eqNullSafe(once[n]) for n in dimensions], "left").select(out["*"], once[m])
+        by_key: dict[str, list[str]] = {}
+        for m in needed:
+            if self.measures[m].distinct_key is not None:
+                by_key.setdefault(self.measures[m].distinct_key, []).append(m)
+        out = None
+        for key, once in by_key.items():
+            shared = [m for m in plain if self.measures[m].additive] if out is None else []
+            part = self._once_per_key(rel, keys, dimensions, key, once, shared)
+            plain = [m for m in plain if m not in shared]
+            out = part if out is None else _side_by_side(out, part, dimensions)
+        if plain or out is None:
+            aggs = [self.measures[m].expr().alias(m) for m in plain]
+            part = rel.groupBy(*keys).agg(*aggs) if aggs else rel.select(*keys).distinct()
+            out = part if out is None else _side_by_side(out, part, dimensions)
         for m in needed:
             spec = self.measures[m]
             if spec.derived is not None:
@@ -143,38 +163,14 @@ class MetricView:
         return out.select(*[F.col(n).alias(n, metadata=_metadata(self.dimensions[n])) for n in dimensions],
                           *[F.col(m).alias(m, metadata=_metadata(self.measures[m])) for m in measures])
 
-    def _with_distinct_key_measures(self, rel: DataFrame, dcols: dict, dimensions: list[str], plain: list[str],
-                                    by_key: list[str]) -> DataFrame:
-        """Plain and once-per-key measures from ONE read of the relation.
-
-        GROUPING SETS ((dims), (dims, key_1), ...) aggregates every grouping in
-        a single pass (partial aggregation map-side, so hot keys are combined
-        before the shuffle); ``grouping_id()`` tells the (dims) rows from the
-        (dims, key) rows even when a key is null.  The per-key rows are then
-        summed per dims by a window over the aggregated rows.
-        """
-        key_specs = sorted({self.measures[m].distinct_key for m in by_key})
-        dnames = [f"_d{i}" for i in range(len(dimensions))]
-        knames = [f"_k{i}" for i in range(len(key_specs))]
-        proj = rel.select("*", *[dcols[n].alias(d) for n, d in zip(dimensions, dnames)],
-                          *[F.col(k if "." in k else f"source.{k}").alias(kn) for k, kn in zip(key_specs, knames)])
-        sets = [dnames] + [dnames + [kn] for kn in knames]
-        aggs = [self.measures[m].expr().alias(m) for m in plain]
-        aggs += [F.max(self.measures[m].expr()).alias(f"_v_{m}") for m in by_key]
-        g = proj.groupingSets(sets, *dnames, *knames).agg(F.grouping_id().alias("_gid"), *aggs)
-        nk = len(knames)
-        base_gid = (1 << nk) - 1                      # every key rolled up
-        # Per dims group, sum the once-per-key values of the (dims, key) rows
-        # with a window over the aggregated rows (one row per key, never raw
-        # data), so the grouping-sets result is used once - one read in all.
-        w = Window.partitionBy(*dnames)
-        out = g
-        for i, (k, kn) in enumerate(zip(key_specs, knames)):
-            gid = base_gid - (1 << (nk - 1 - i))      # only key i kept
-            for m in (m for m in by_key if self.measures[m].distinct_key == k):
-                out = out.withColumn(m, F.sum(F.when(F.col("_gid") == gid, F.col(f"_v_{m}"))).over(w))
-        out = out.where(F.col("_gid") == base_gid)
-        return out.select(*[F.col(d).alias(n) for d, n in zip(dnames, dimensions)], *plain, *by_key)
+    def _once_per_key(self, rel: DataFrame, keys: list[Column], dimensions: list[str], key: str, once: list[str],
+                      shared: list[str]) -> DataFrame:
+        """``once`` measures counted once per ``key``, and additive ``shared`` ones, by the dimensions."""
+        column = F.col(key if "." in key else f"source.{key}")
+        first = rel.groupBy(*keys, column.alias("_key")).agg(
+            *[self.measures[m].expr().alias(m) for m in shared], *[F.max(self.measures[m].expr()).alias(m) for m in once])
+        total = lambda m: F.sum(m).cast(first.schema[m].dataType) if m in shared else F.sum(m)
+        return first.groupBy(*dimensions).agg(*[total(m).alias(m) for m in shared + once])
 
     def create_view(self, name: str | None = None, dimensions: list[str] | None = None,
                     measures: list[str] | None = None) -> DataFrame:
@@ -182,3 +178,45 @@ class MetricView:
         df = self.query(dimensions, measures)
         df.createOrReplaceTempView(name or self.name)
         return df
+
+
+class DrillAcrossView(MetricView):
+    """A metric view over several facts of different grain.
+
+    Each fact is aggregated to those of the chosen dimensions that it knows,
+    and the aggregates are joined to the first fact's: no sum is multiplied by
+    the other facts' rows, as it would be if the facts were joined first.  A
+    fact that lacks a chosen dimension repeats its amounts along it.  ``where``
+    is a condition on dimension names and applies to the facts that know all
+    dimensions it names.
+    """
+
+    def __init__(self, name: str, facts: list[Fact], dimensions: list[Dimension], measures: list[Measure], comment: str = ""):
+        super().__init__(name, facts[0].source, dimensions, measures, comment=comment)
+        self.facts = facts
+
+    def query(self, dimensions: list[str] | None = None, measures: list[str] | None = None,
+              where: dict[str, object] | None = None) -> DataFrame:
+        """``where`` gives the value, or the list of values, of each dimension that is restricted."""
+        dimensions = list(self.dimensions) if dimensions is None else list(dimensions)
+        measures = [m for m in self.measures if not m.startswith("_")] if measures is None else list(measures)
+        needed = self._closure(measures)
+        out = None
+        for fact in self.facts:
+            own = [m for m in needed if m in fact.measures]
+            if out is not None and not own:
+                continue
+            rows = fact.source
+            for name, value in (where or {}).items():
+                if name in fact.dimensions:
+                    rows = rows.where(fact.dimensions[name].isin(value if isinstance(value, list) else [value]))
+            known = [d for d in dimensions if d in fact.dimensions]
+            by = [fact.dimensions[d].alias(d) for d in known]
+            aggs = [self.measures[m].expr().alias(m) for m in own]
+            part = rows.groupBy(*by).agg(*aggs) if aggs else rows.select(*by).distinct()
+            out = part if out is None else _side_by_side(out, part, known)
+        for m in needed:
+            if self.measures[m].derived is not None:
+                out = out.withColumn(m, self.measures[m].derived({n: F.col(n) for n in needed}))
+        return out.select(*[F.col(n).alias(n, metadata=_metadata(self.dimensions[n])) for n in dimensions],
+                          *[F.col(m).alias(m, metadata=_metadata(self.measures[m])) for m in measures])

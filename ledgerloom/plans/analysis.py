@@ -255,10 +255,8 @@ def q23(spark, sf_dir):
 @query("q24_forecast_vs_actual")
 def q24(spark, sf_dir):
     lh = lakehouse(spark, sf_dir)
-    s = lh.dim_fpa_scenarios
-    a = lh.fact_fpa_actuals.select("scenario_key", "actual_amount")
-    f = lh.fact_fpa_forecasts.select("scenario_key", "forecast_amount")
-    return (s.join(a, "scenario_key", "left").join(f, "scenario_key", "left")
+    plan = lh.fpa_plan.select("scenario_key", "actual_amount", "forecast_amount")
+    return (lh.dim_fpa_scenarios.join(plan, "scenario_key", "left")
             .select("fiscal_year", "fiscal_quarter", "scenario_key", "cost_center_id", "cost_center_name",
                     "legal_entity_id", "legal_entity_name", "forecast_amount", "actual_amount",
                     ratio("actual_amount", "forecast_amount", places=4).alias("forecast_accuracy")))
@@ -287,23 +285,24 @@ def q26(spark, sf_dir):
                  F.count_distinct("customer_id").alias("distinct_customers"))
 
 
+def _names_of_several(df, key, one, name, out):
+    """Names of the ``one``s of every key that has several: the keys first, then only their names."""
+    several = df.groupBy(key).agg(F.count_distinct(one).alias("n")).where("n > 1").select(key)
+    return (df.join(several, key, "left_semi").groupBy(key)
+            .agg(F.sort_array(F.collect_list(name)).alias(out)))
+
+
 @query("q27_multi_customer_parties_that_supply")
 def q27(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     cust = fx.customers.join(fx.suppliers.select("third_party_id"), "third_party_id", "left_semi")
-    return (cust.groupBy("third_party_id")
-            .agg(F.sort_array(F.collect_list("customer_name")).alias("customer_names"),
-                 F.count_distinct("customer_id").alias("_n"))
-            .where(F.col("_n") > 1).drop("_n"))
+    return _names_of_several(cust, "third_party_id", "customer_id", "customer_name", "customer_names")
 
 
 @query("q28_multi_supplier_parties")
 def q28(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    return (fx.suppliers.groupBy("third_party_id")
-            .agg(F.sort_array(F.collect_list("supplier_name")).alias("supplier_names"),
-                 F.count_distinct("supplier_id").alias("_n"))
-            .where(F.col("_n") > 1).drop("_n"))
+    return _names_of_several(Fixtures(spark, sf_dir).suppliers, "third_party_id", "supplier_id", "supplier_name",
+                             "supplier_names")
 
 
 # ---------------------------------------------------------------- raw data profiles (Q29-Q36)

@@ -22,7 +22,7 @@ ORDER = [
     ("fact_revenue_recognition", None), ("fact_spend_recognition", None),
     ("fact_gl_entries", None), ("fact_gl_trial_balances", ["as_of_date"]),
     ("dim_employees", None), ("fact_emp_quarterly_cost", None),
-    ("dim_fpa_scenarios", None), ("fact_fpa_actuals", None), ("fact_fpa_budgets", None),
+    ("dim_fpa_scenarios", None), ("fpa_plan", None), ("fact_fpa_actuals", None), ("fact_fpa_budgets", None),
     ("fact_fpa_forecasts", None), ("fact_supplier_scorecard", None),
 ]
 
@@ -54,7 +54,7 @@ class StoredLakehouse(Lakehouse):
 def main(argv: list[str] | None = None) -> int:
     """Build every product from the reference's raw folder layout.
 
-    python -m ledgerloom.plans.build --raw ROOT --out BASE [--as-of 2025-10-01]
+    python -m ledgerloom.plans.build --raw ROOT --out BASE --as-of 2025-10-01 [--run-at 2025-10-01T06:00:00]
         [--tb-start 2023-10-01 --tb-end 2025-09-30] [--products a,b,...]
     """
     import argparse
@@ -67,7 +67,8 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(description=main.__doc__)
     p.add_argument("--raw", required=True)
     p.add_argument("--out", required=True)
-    p.add_argument("--as-of", default=dt.date.today().isoformat())
+    p.add_argument("--as-of", required=True, help="the day that counts as today")
+    p.add_argument("--run-at", default="", help="the time stamped on rows; the start of the as-of day unless given")
     p.add_argument("--tb-start", default="2023-10-01")
     p.add_argument("--tb-end", default="2025-09-30")
     p.add_argument("--scenario-start", default="2023-01-01")
@@ -82,7 +83,7 @@ def main(argv: list[str] | None = None) -> int:
     d = dt.date.fromisoformat
     lake = StoredLakehouse(spark, RawFiles(spark, a.raw), as_of=d(a.as_of), tb_start=d(a.tb_start),
                            tb_end=d(a.tb_end), scenario_start=d(a.scenario_start), scenario_end=d(a.scenario_end),
-                           run_ts=None, base=a.out)
+                           run_ts=dt.datetime.fromisoformat(a.run_at or a.as_of), base=a.out)
     built = lake.build([n for n in a.products.split(",") if n] or None)
     print(",".join(built))
     return 0

@@ -127,22 +127,27 @@ class Lakehouse:
     # planning
     @cached_property
     def dim_fpa_scenarios(self) -> DataFrame:
-        return planning.dim_fpa_scenarios(self.stg_spend_transactions, self.spark, self.scenario_start,
-                                          self.scenario_end)
+        pairs = planning.fpa_pairs(self.inputs.purchase_orders, self.inputs.coa)
+        return planning.dim_fpa_scenarios(pairs, self.scenario_start, self.scenario_end)
+
+    @cached_property
+    def fpa_plan(self) -> DataFrame:
+        i = self.inputs
+        kw = {} if self.budget_overrides is None else {"overrides": self.budget_overrides}
+        return planning.fpa_plan(i.purchase_orders, i.coa, i.spend_invoices, self.fact_emp_quarterly_cost, self.as_of,
+                                 run_ts=self.run_ts, fy_start_month=self.fy_start_month, **kw)
 
     @cached_property
     def fact_fpa_actuals(self) -> DataFrame:
-        return planning.fact_fpa_actuals(self.stg_spend_transactions, self.fact_emp_quarterly_cost,
-                                         self.run_ts, self.fy_start_month)
+        return planning.fact_fpa_actuals(self.fpa_plan)
 
     @cached_property
     def fact_fpa_budgets(self) -> DataFrame:
-        kw = {} if self.budget_overrides is None else {"overrides": self.budget_overrides}
-        return planning.fact_fpa_budgets(self.fact_fpa_actuals, self.as_of, run_ts=self.run_ts, **kw)
+        return planning.fact_fpa_budgets(self.fpa_plan)
 
     @cached_property
     def fact_fpa_forecasts(self) -> DataFrame:
-        return planning.fact_fpa_forecasts(self.fact_fpa_budgets)
+        return planning.fact_fpa_forecasts(self.fpa_plan)
 
     # purchasing analytics
     @cached_property

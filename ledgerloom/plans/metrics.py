@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import MONEY, ratio
-from ledgerloom.operators.drill_across import drill_across
-from ledgerloom.operators.metric_view import Dimension, Join, Measure, MetricView
+from ledgerloom.operators.metric_view import Dimension, DrillAcrossView, Fact, Join, Measure, MetricView
 from ledgerloom.plans.trial_balance import BALANCE
 
 CURRENCY = {"type": "currency", "currency_code": "USD", "decimal_places": {"type": "exact", "places": 2},
@@ -115,43 +114,56 @@ def cash_obligations(stg_spend: DataFrame, contracts: DataFrame) -> MetricView:
 
 
 def headcount(emp_cost: DataFrame, revenue: DataFrame, spend: DataFrame,
-              sales_cost_center: str = "1002") -> DataFrame:
-    """M3 metric_headcount by (year, quarter, legal entity), drill-across.
+              sales_cost_center: str = "1002") -> DrillAcrossView:
+    """M3 metric_headcount: cost, revenue and spend, each aggregated before they meet.
 
-    Cost, revenue and spend are each aggregated to (year, quarter, legal
-    entity) before they meet, so no sum is multiplied by the other facts'
-    row counts (the reference's plain join would be many-to-many).
+    Revenue and spend know no cost center: with that dimension chosen, their
+    amounts of the quarter and entity stand beside each cost center's cost.
     """
-    keys = ["year", "quarter", "legal_entity"]
-    cost = (emp_cost.groupBy(F.col("employment_year").alias("year"), F.col("employment_quarter").alias("quarter"),
-                             F.col("legal_entity_id").alias("legal_entity"))
-            .agg(F.sum("agg_qtr_salary").cast(BALANCE).alias("quarterly_headcount_cost"),
-                 F.sum(F.when(F.col("cost_center_id") == sales_cost_center, F.col("agg_qtr_salary")))
-                 .cast(BALANCE).alias("_sales_cost")))
-
-    def by_quarter(df, value, name):
-        return (df.groupBy(F.year("period_month").alias("year"), F.quarter("period_month").alias("quarter"),
-                           F.col("legal_entity_id").alias("legal_entity"))
-                .agg(F.sum(value).cast(BALANCE).alias(name)))
-
-    rev = by_quarter(revenue, "rev_recognized_amount", "quarterly_revenue")
-    spd = by_quarter(spend, "spend_amount", "quarterly_spend")
-    out = drill_across(cost, [rev, spd], keys)
-    per = lambda n, d: ratio(F.col(n), F.col(d), places=2, factor=100000)
-    return out.select(*keys, "quarterly_headcount_cost", "quarterly_revenue",
-                      per("quarterly_revenue", "quarterly_headcount_cost").alias("revenue_per_employee"),
-                      per("quarterly_revenue", "_sales_cost").alias("revenue_per_sales_employee"),
-                      "quarterly_spend",
-                      per("quarterly_spend", "quarterly_headcount_cost").alias("spend_per_employee"))
-
-
-def planning(scenarios: DataFrame, budgets: DataFrame, actuals: DataFrame, forecasts: DataFrame) -> MetricView:
-    """M4 metric_planning (every fact is unique per scenario_key: 1:1 joins)."""
-    key = lambda n: lambda: F.col("source.scenario_key") == F.col(f"{n}.scenario_key")
+    per = lambda n, d: lambda m: ratio(m[n], m[d], places=2, factor=100000)
+    quarter = {"year": F.year("period_month"), "quarter": F.quarter("period_month"), "legal_entity": F.col("legal_entity_id")}
+    sales = F.when(F.col("cost_center_id") == sales_cost_center, F.col("agg_qtr_salary"))
+    return DrillAcrossView(
+        "metric_headcount",
+        comment="Headcount cost against revenue and spend",
+        dimensions=[
+            Dimension("year", None, "Calendar year of the quarter", "Year", ("fiscal year",)),
+            Dimension("quarter", None, "Calendar quarter (1-4)", "Quarter", ("qtr",)),
+            Dimension("legal_entity", None, "Legal entity identifier", "Legal Entity ID", ("entity", "company")),
+            Dimension("cost_center", None, "Cost center identifier", "Cost Center ID", ("department",)),
+        ],
+        facts=[
+            Fact(emp_cost, {"year": F.col("employment_year"), "quarter": F.col("employment_quarter"),
+                            "legal_entity": F.col("legal_entity_id"), "cost_center": F.col("cost_center_id")},
+                 ["quarterly_headcount_cost", "_sales_cost"]),
+            Fact(revenue, quarter, ["quarterly_revenue"]),
+            Fact(spend, quarter, ["quarterly_spend"]),
+        ],
+        measures=[
+            Measure("quarterly_headcount_cost", lambda: F.sum("agg_qtr_salary").cast(BALANCE), comment="Salary cost of the quarter",
+                    display_name="Quarterly Headcount Cost", synonyms=("salary cost", "payroll"), format=CURRENCY),
+            Measure("_sales_cost", lambda: F.sum(sales).cast(BALANCE)),
+            Measure("quarterly_revenue", lambda: F.sum("rev_recognized_amount").cast(BALANCE), comment="Recognised revenue",
+                    display_name="Quarterly Revenue", synonyms=("revenue",), format=CURRENCY),
+            Measure("revenue_per_employee", derived=per("quarterly_revenue", "quarterly_headcount_cost"),
+                    depends=("quarterly_revenue", "quarterly_headcount_cost"), comment="Revenue per 100,000 of salary cost",
+                    display_name="Revenue per Employee", format=CURRENCY),
+            Measure("revenue_per_sales_employee", derived=per("quarterly_revenue", "_sales_cost"),
+                    depends=("quarterly_revenue", "_sales_cost"), comment="Revenue per 100,000 of sales salary cost",
+                    display_name="Revenue per Sales Employee", format=CURRENCY),
+            Measure("quarterly_spend", lambda: F.sum("spend_amount").cast(BALANCE), comment="Consumed spend",
+                    display_name="Quarterly Spend", synonyms=("spend",), format=CURRENCY),
+            Measure("spend_per_employee", derived=per("quarterly_spend", "quarterly_headcount_cost"),
+                    depends=("quarterly_spend", "quarterly_headcount_cost"), comment="Spend per 100,000 of salary cost",
+                    display_name="Spend per Employee", format=CURRENCY),
+        ])
+
+
+def planning(scenarios: DataFrame, plan: DataFrame) -> MetricView:
+    """M4 metric_planning (the plan has one row per scenario_key, so the join is 1:1)."""
     return MetricView(
         "metric_planning", scenarios,
-        joins=[Join("budgets", budgets, key("budgets")), Join("actuals", actuals, key("actuals")),
-               Join("forecast", forecasts, key("forecast"))],
+        joins=[Join("plan", plan, lambda: F.col("source.scenario_key") == F.col("plan.scenario_key"))],
         comment="Planning: budget, actual and forecast by scenario",
         dimensions=[
             Dimension("fiscal_year", "fiscal_year", "Fiscal year", "Fiscal Year"),
@@ -166,9 +178,9 @@ def planning(scenarios: DataFrame, budgets: DataFrame, actuals: DataFrame, forec
             Dimension("legal_entity", "legal_entity_name", "Legal entity name", "Legal Entity Name"),
         ],
         measures=[
-            Measure("budget_amount", _sum("budgets.budget_amount"), display_name="Budget Amount", format=CURRENCY),
-            Measure("actual_amount", _sum("actuals.actual_amount"), display_name="Actual Amount", format=CURRENCY),
-            Measure("forecast_amount", _sum("forecast.forecast_amount"), display_name="Forecast Amount",
+            Measure("budget_amount", _sum("plan.budget_amount"), display_name="Budget Amount", format=CURRENCY),
+            Measure("actual_amount", _sum("plan.actual_amount"), display_name="Actual Amount", format=CURRENCY),
+            Measure("forecast_amount", _sum("plan.forecast_amount"), display_name="Forecast Amount",
                     format=CURRENCY),
             Measure("variance_amount", derived=lambda m: (m["budget_amount"] - m["actual_amount"]).cast(BALANCE),
                     depends=("budget_amount", "actual_amount"), display_name="Budget vs Actual Variance",
@@ -182,8 +194,8 @@ def planning(scenarios: DataFrame, budgets: DataFrame, actuals: DataFrame, forec
                     derived=lambda m: ratio(m["forecast_amount"], m["actual_amount"], places=4),
                     depends=("forecast_amount", "actual_amount"), comment="forecast / actual",
                     display_name="Forecast Accuracy"),
-            Measure("actual_spend", _sum("actuals.spend_amount"), display_name="Actual Spend", format=CURRENCY),
-            Measure("actual_salary", _sum("actuals.salary_amount"), display_name="Actual Salary", format=CURRENCY),
+            Measure("actual_spend", _sum("plan.spend_amount"), display_name="Actual Spend", format=CURRENCY),
+            Measure("actual_salary", _sum("plan.salary_amount"), display_name="Actual Salary", format=CURRENCY),
         ])
 
 

@@ -172,20 +172,43 @@ def m2(spark, sf_dir):
         ["invoice_year", "invoice_status", "legal_entity", "agreement_type"])
 
 
-@query("m3_metric_headcount")
-def m3(spark, sf_dir):
+def _headcount(spark, sf_dir):
     lh = lakehouse(spark, sf_dir)
     return metrics.headcount(lh.fact_emp_quarterly_cost, lh.fact_revenue_recognition, lh.fact_spend_recognition)
 
 
+@query("m3_metric_headcount")
+def m3(spark, sf_dir):
+    return _headcount(spark, sf_dir).query(["year", "quarter", "legal_entity"])
+
+
+@query("m3_metric_headcount_by_cost_center")
+def m3_cost_center(spark, sf_dir):
+    return _headcount(spark, sf_dir).query(["year", "legal_entity", "cost_center"],
+                                           ["quarterly_headcount_cost", "quarterly_revenue", "spend_per_employee"])
+
+
 @query("m4_metric_planning")
 def m4(spark, sf_dir):
     lh = lakehouse(spark, sf_dir)
-    return metrics.planning(lh.dim_fpa_scenarios, lh.fact_fpa_budgets, lh.fact_fpa_actuals,
-                            lh.fact_fpa_forecasts).query(
+    return metrics.planning(lh.dim_fpa_scenarios, lh.fpa_plan).query(
         ["fiscal_year", "fiscal_quarter", "fiscal_quarter_name", "cost_center_id", "legal_entity_id"])
 
 
+@query("m4_metric_planning_by_name")
+def m4_names(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return metrics.planning(lh.dim_fpa_scenarios, lh.fpa_plan).query(
+        ["cost_center", "legal_entity"], ["budget_amount", "actual_amount", "forecast_accuracy"])
+
+
+@query("m2_metric_cash_obligations_by_day")
+def m2_day(spark, sf_dir):
+    lh = lakehouse(spark, sf_dir)
+    return metrics.cash_obligations(lh.stg_spend_transactions, lh.dim_all_contracts).query(
+        ["invoice_date"], ["total_invoice_amount", "distinct_contracted_value", "invoice_count"])
+
+
 @query("m5_sample_order_metrics")
 def m5(spark, sf_dir):
     return metrics.sample_orders(Fixtures(spark, sf_dir).table("orders")).query(["order_date", "customer_segment"])

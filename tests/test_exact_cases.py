@@ -10,7 +10,7 @@ from ledgerloom.functions.accounts import account_type, normal_balance
 from ledgerloom.functions.money import avg_money, ratio
 from ledgerloom.operators.amortize import amortize_monthly
 from ledgerloom.plans import ledger, scorecard, workforce
-from ledgerloom.plans.planning import fact_fpa_budgets, fact_fpa_forecasts
+from ledgerloom.plans.planning import budgeted, forecast
 
 D = dt.date
 from tests.yardsticks import quarterly_cost_by_day
@@ -147,12 +147,12 @@ def test_zero_budget_gives_null_forecast_variance_percent(spark):
         "scenario_key string, cost_center_id long, cost_center_name string, legal_entity_id long, "
         "legal_entity_name string, fiscal_year int, fiscal_quarter int, fiscal_quarter_name string, "
         "actual_amount decimal(18,2), currency string")
-    b = fact_fpa_budgets(actuals, D(2024, 5, 1), overrides=())
+    b = budgeted(actuals, D(2024, 5, 1), overrides=())
     got = {r.fiscal_quarter: r for r in b.collect()}
     assert got[1].budget_amount == Decimal("0.00") and got[1].variance_percent == Decimal("0.00")
     # Q2 2024 is the open quarter: previous base budget (0) + 8 %
     assert got[2].budget_amount == Decimal("0.00")
-    f = {r.fiscal_quarter: r for r in fact_fpa_forecasts(b).collect()}
+    f = {r.fiscal_quarter: r for r in forecast(b).collect()}
     assert f[1].variance_to_budget_percent is None
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import with_sequence_id
-from ledgerloom.operators.metric_view import Dimension, Join, Measure, MetricView
+from ledgerloom.operators.metric_view import Dimension, DrillAcrossView, Fact, Join, Measure, MetricView
 from ledgerloom.operators.running import running_sum
 from ledgerloom.plans import trial_balance
 from ledgerloom.plans.registry import lakehouse
@@ -52,7 +52,7 @@ def test_running_sum_matches_single_window_with_a_hot_group(spark):
 
 def test_sequence_ids_dense_and_ordered(spark):
     df = spark.range(0, 5000, 7).withColumnRenamed("id", "k").repartition(5)
-    out = with_sequence_id(df, ["k"], start=1, name="sid").collect()
+    out = with_sequence_id(df, ["k"], F.floor(F.col("k") / 100), start=1, name="sid").collect()
     got = sorted((r.k, r.sid) for r in out)
     assert [s for _, s in got] == list(range(1, len(got) + 1))
 
@@ -73,6 +73,26 @@ def test_metric_view_dependent_and_distinct_measures(spark):
     assert out["a"].value_per_row == 200 and out["a"].value_once == 100
     assert out["b"].value_once == 50
     assert mv.query().schema["region"].metadata["comment"] == "Region"
+    assert [(r.total, r.value_once) for r in mv.query([], ["total", "value_once"]).collect()] == [(42, 150)]
+    plan = mv.query()._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Expand" not in plan
+
+
+def test_drill_across_view_repeats_what_a_fact_does_not_know(spark):
+    cost = spark.createDataFrame([("x", "a", 10), ("x", "b", 20), (None, "a", 5)], "entity string, center string, cost int")
+    income = spark.createDataFrame([("x", 100), ("x", 50), (None, 7), ("z", 1)], "entity string, income int")
+    view = DrillAcrossView(
+        "v", [Fact(cost, {"entity": F.col("entity"), "center": F.col("center")}, ["cost"]),
+              Fact(income, {"entity": F.col("entity")}, ["income"])],
+        [Dimension("entity", None, "Entity"), Dimension("center", None)],
+        [Measure("cost", lambda: F.sum("cost")), Measure("income", lambda: F.sum("income"), comment="Income"),
+         Measure("rate", derived=lambda m: m["income"] / m["cost"], depends=("income", "cost"))])
+    assert sorted(map(str, view.query(["entity"], ["cost", "income"]).collect())) == sorted(map(str, [
+        "Row(entity='x', cost=30, income=150)", "Row(entity=None, cost=5, income=7)"]))
+    assert sorted((r.entity or "", r.center, r.income) for r in view.query().collect()) == [
+        ("", "a", 7), ("x", "a", 150), ("x", "b", 150)]
+    assert [(r.cost, r.rate) for r in view.query([], ["cost", "rate"], {"entity": "x"}).collect()] == [(30, 5.0)]
+    assert view.query().schema["income"].metadata["comment"] == "Income"
 
 
 def test_static_leg_positions_equal_window_numbering(spark):

@@ -69,3 +69,12 @@ def test_recognition_reads_each_side_once(spark):
     p = _plan(Q["g8_fact_revenue_recognition"](spark, SF_SMALL))
     assert p.count("FileScan parquet [o_orderkey") == 2      # transactions + billings, once each
     assert F is not None
+
+
+def test_planning_reads_orders_and_invoices_once(spark):
+    p = _plan(Q["m4_metric_planning"](spark, SF_SMALL))
+    assert p.count("FileScan parquet [l_orderkey") <= 3
+    assert "supplier_id" not in _plan(Q["g12_dim_fpa_scenarios"](spark, SF_SMALL))
+    for name in ("m2_metric_cash_obligations", "m2_metric_cash_obligations_by_supplier"):
+        p = _plan(Q[name](spark, SF_SMALL))
+        assert "Window" not in p and "Expand" not in p
