@@ -16,9 +16,12 @@ non-white-space characters, A-Z lower-cased).  Documents are linked when
 4. The rest is confirmed on the full sets, and the links give components.
 5. A bucket may now still hold several components.  Only its members outside
    the component of its smallest class are compared with members of other
-   components, in the same two steps.  So a large group of copies costs
-   one comparison per member and not one per pair, and yet every candidate
-   pair across components is decided.
+   components.  Of these rows a longer signature (``WIDE`` minima) is made, and
+   the comparison is part of the join on the bucket: a pair leaves the join
+   only if its estimate is promising, and only from the first band it shares.
+   What leaves is confirmed on the full sets.  So a large group of copies costs
+   one comparison per member and not one per pair, and yet every candidate pair
+   across components is decided.
 
 Rows without an id, a text or a word link with nothing.  A null ``doc_id``
 cannot be named by others: its component is null and it is kept.  Rows that
@@ -43,14 +46,15 @@ WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 51, 5
 LOW_BITS = 2
-SIGNATURE_LONGS = 8
+#: Minima of the longer signature.
+WIDE = 768
 #: Standard errors that an estimate may lie below the threshold before a pair goes.
-SLACK = 5.0
+SLACK = 4.5
 
 _HASHES = BANDS * ROWS
 _rng = np.random.default_rng(20240601)
-_A = _rng.integers(1, 1 << 32, _HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-_B = _rng.integers(0, 1 << 32, _HASHES, dtype=np.uint64).astype(np.uint32)
+_A = _rng.integers(1, 1 << 32, WIDE, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+_B = _rng.integers(0, 1 << 32, WIDE, dtype=np.uint64).astype(np.uint32)
 _MIX1, _MIX2, _STEP = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 #: Elements hashed at a time; bounds the memory of very long texts.
 _BLOCK = 2048
@@ -87,14 +91,32 @@ def shingles(text: str | None, hashes: _WordHash, words: int = WORDS) -> np.ndar
     return np.unique(out)
 
 
-def minima(sets: np.ndarray) -> np.ndarray:
-    low = np.full(_HASHES, 0xFFFFFFFF, np.uint32)
+def minima(sets: np.ndarray, hashes: int = _HASHES) -> np.ndarray:
+    low = np.full(hashes, 0xFFFFFFFF, np.uint32)
     short = (sets >> np.uint64(32)).astype(np.uint32)
     for s in range(0, len(short), _BLOCK):
-        low = np.minimum(low, (short[s:s + _BLOCK, None] * _A + _B).min(axis=0))
+        low = np.minimum(low, (short[s:s + _BLOCK, None] * _A[:hashes] + _B[:hashes]).min(axis=0))
     return low
 
 
+def packed(mins: np.ndarray) -> np.ndarray:
+    """The low bits of each row's minima, side by side in longs."""
+    rows, hashes = mins.shape
+    folded = mins ^ (mins >> np.uint32(16))
+    bits = np.zeros((rows, longs(hashes) * 64 // LOW_BITS, LOW_BITS), np.uint8)
+    for b in range(LOW_BITS):
+        bits[:, :hashes, b] = (folded >> np.uint32(b)) & np.uint32(1)
+    return np.packbits(bits.reshape(rows, -1), axis=1).view(np.int64)
+
+
+def longs(hashes: int) -> int:
+    return -(-hashes * LOW_BITS // 64)
+
+
+def _set_id(own: np.ndarray) -> np.ndarray:
+    return np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.int64)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, set_lo, set_hi, sig, bands); sig and bands are null for empty sets."""
     schema = T.StructType([
@@ -109,15 +131,10 @@ def signatures(docs: DataFrame) -> DataFrame:
             for text in pdf["text"]:
                 own = shingles(text, hashes)
                 sizes.append(len(own))
-                digest = xxhash.xxh3_128_digest(own.tobytes())
-                ids.append(np.frombuffer(digest, np.int64))
+                ids.append(_set_id(own))
                 low.append(minima(own))
             mins = np.array(low, np.uint32).reshape(-1, _HASHES)
-            folded = mins ^ (mins >> np.uint32(16))
-            bits = np.zeros((len(mins), SIGNATURE_LONGS * 64 // LOW_BITS, LOW_BITS), np.uint8)
-            for b in range(LOW_BITS):
-                bits[:, :_HASHES, b] = (folded >> np.uint32(b)) & np.uint32(1)
-            sig = np.packbits(bits.reshape(len(mins), -1), axis=1).view(np.int64)
+            sig = packed(mins)
             key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(mins), BANDS))
             for r in range(ROWS):
                 key = _mixed(key * _STEP + mins.reshape(-1, BANDS, ROWS)[:, :, r].astype(np.uint64))
@@ -131,12 +148,12 @@ def signatures(docs: DataFrame) -> DataFrame:
     return map_frames(docs.select("doc_id", "text"), run, schema)
 
 
-def estimate(a: Column, b: Column) -> Column:
+def estimate(a: Column, b: Column, hashes: int = _HASHES) -> Column:
     """Similarity estimated from packed low bits, corrected for chance agreement."""
     differing = sum((F.bit_count(_either_bit(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))))
-                     for k in range(SIGNATURE_LONGS)), F.lit(0))
+                     for k in range(longs(hashes))), F.lit(0))
     chance = 0.5 ** LOW_BITS
-    return ((F.lit(_HASHES) - differing) / F.lit(float(_HASHES)) - F.lit(chance)) / F.lit(1 - chance)
+    return ((F.lit(hashes) - differing) / F.lit(float(hashes)) - F.lit(chance)) / F.lit(1 - chance)
 
 
 def _either_bit(x: Column) -> Column:
@@ -144,35 +161,40 @@ def _either_bit(x: Column) -> Column:
     return x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
 
 
-def likely(percent: int = PERCENT) -> float:
+def likely(percent: int = PERCENT, hashes: int = _HASHES) -> float:
     """The estimate below which a pair is given up: threshold less SLACK standard errors."""
     chance = 0.5 ** LOW_BITS
     p = chance + (1 - chance) * percent / 100
-    return percent / 100 - SLACK * (p * (1 - p) / _HASHES) ** 0.5 / (1 - chance)
+    return percent / 100 - SLACK * (p * (1 - p) / hashes) ** 0.5 / (1 - chance)
+
+
+def _short(band: Column) -> Column:
+    """A band key's low bits, for telling one row's bands apart."""
+    return band.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+
+
+def _near_in_size(percent: int) -> Column:
+    return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
 
 
 def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sizes and signatures allow the similarity."""
     side = classes.select("rep", "n_shingles", "sig")
     joined = (pairs.join(side.toDF("a", "n_a", "sig_a"), "a").join(side.toDF("b", "n_b", "sig_b"), "b"))
-    sizes = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    return joined.where(sizes & (estimate(F.col("sig_a"), F.col("sig_b")) >= likely(percent))).select("a", "b")
+    return joined.where(_near_in_size(percent) & (estimate(F.col("sig_a"), F.col("sig_b")) >= likely(percent))).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that reach the similarity on their full sets."""
     wanted = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    chosen = classes.join(wanted, "rep", "left_semi").select("rep", "set_lo", "set_hi")
-    sets = stored(_full_sets(docs.join(chosen.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
-                  .join(chosen.withColumnRenamed("rep", "doc_id"), ["doc_id", "set_lo", "set_hi"], "left_semi")
-                  .select(F.col("doc_id").alias("rep"), "shingles"), "sets")
-
+    sets = stored(_of_classes(docs, classes, wanted), "sets")
     joined = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     both = F.size(F.array_intersect("x", "y"))
     return joined.where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
-def _full_sets(docs: DataFrame) -> DataFrame:
+def _full_sets(docs: DataFrame, wide: bool = False) -> DataFrame:
+    """(doc_id, set_lo, set_hi, shingles), or the longer signature in place of the shingles."""
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType),
                            T.StructField("set_lo", T.LongType()), T.StructField("set_hi", T.LongType()),
                            T.StructField("shingles", T.ArrayType(T.LongType(), False))])
@@ -182,15 +204,23 @@ def _full_sets(docs: DataFrame) -> DataFrame:
         for pdf in batches:
             for at in range(0, len(pdf), 512):
                 part = pdf.iloc[at:at + 512]
-                sets = [shingles(t, hashes).view(np.int64) for t in part["text"]]
-                ids = [np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64) for s in sets]
-                ids = np.array(ids, np.int64).reshape(-1, 2)
+                sets = [shingles(t, hashes) for t in part["text"]]
+                ids = np.array([_set_id(x) for x in sets], np.int64).reshape(-1, 2)
+                values = list(packed(np.array([minima(x, WIDE) for x in sets]))) if wide else [x.view(np.int64) for x in sets]
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "set_lo": ids[:, 0], "set_hi": ids[:, 1],
-                                    "shingles": sets})
+                                    "shingles": pd.Series(values, dtype=object)})
 
     return map_frames(docs.select("doc_id", "text"), run, schema)
 
 
+def _of_classes(docs: DataFrame, classes: DataFrame, wanted: DataFrame, wide: bool = False) -> DataFrame:
+    """(rep, shingles) of the ``wanted`` classes (rep), from the texts."""
+    chosen = classes.join(wanted, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "set_lo", "set_hi")
+    texts = docs.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
+    return (_full_sets(texts, wide).join(chosen, ["doc_id", "set_lo", "set_hi"], "left_semi")
+            .dropDuplicates(["doc_id", "set_lo", "set_hi"]).select(F.col("doc_id").alias("rep"), "shingles"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for each row of ``docs``."""
     docs = docs.select("doc_id", "text")
@@ -216,11 +246,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     grouped = shared.join(of.toDF("rep", "part"), "rep", "left").join(of.toDF("head", "main"), "head", "left").select(
         "band", "rep", F.coalesce("part", "rep").alias("part"), "head", F.coalesce("main", "head").alias("main"))
     grouped = stored(grouped, "grouped")
-    apart = grouped.where("part <> main").select("band", F.col("rep").alias("b"), F.col("part").alias("part_b"))
-    rest = grouped.where("rep <> head").select("band", F.col("rep").alias("a"), F.col("part").alias("part_a"), "main")
-    others = (apart.join(rest, "band").where("part_a <> part_b and (part_a = main or a < b)")
+    mixed = stored(grouped.join(grouped.where("part <> main").select("band").distinct(), "band", "left_semi"), "mixed")
+    wide = stored(_of_classes(docs, classes, mixed.select("rep").distinct(), wide=True).toDF("rep", "wide"), "wide")
+    marked = mixed.join(classes.select("rep", "n_shingles", F.transform("bands", _short).alias("bands")),
+                        "rep").join(wide, "rep")
+    apart = marked.where("part <> main").select("band", F.col("rep").alias("b"), F.col("part").alias("part_b"),
+                                                F.col("n_shingles").alias("n_b"), F.col("bands").alias("bands_b"),
+                                                F.col("wide").alias("wide_b"))
+    rest = marked.where("rep <> head").select("band", F.col("rep").alias("a"), F.col("part").alias("part_a"), "main",
+                                              F.col("n_shingles").alias("n_a"), F.col("bands").alias("bands_a"),
+                                              F.col("wide").alias("wide_a"))
+    undecided = F.expr("part_a <> part_b and (part_a = main or a < b)") & _near_in_size(percent)
+    near = estimate(F.col("wide_a"), F.col("wide_b"), WIDE) >= likely(percent, WIDE)
+    # The first of the bands that both share gives the pair; the others would only repeat it.
+    first = F.get("bands_a", F.array_position(F.zip_with("bands_a", "bands_b", lambda x, y: x == y), True).cast("int") - 1)
+    others = (apart.join(rest, "band").where(undecided & near & (first == _short(F.col("band"))))
               .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = _confirmed(_promising(others, classes, percent), docs, classes, percent)
+    more = _confirmed(others, docs, classes, percent)
     links = stored(links.unionByName(more).unionByName(one), "links")
     return _labelled(marks, components(links, "a", "b"), rep)
 
