@@ -100,7 +100,9 @@ class Fixtures:
         def build():
             c = self.table("customer")
             return c.select((F.lit(20000000) + c.c_custkey).alias("customer_id"),
-                            (F.lit(10000000) + c.c_custkey).alias("third_party_id"),
+                            # Two customers of one party, every eighth; some of these parties supply too.
+                            (F.lit(10000000) + c.c_custkey - F.when(F.pmod(c.c_custkey, F.lit(8)) == 2, 1).otherwise(0))
+                            .alias("third_party_id"),
                             c.c_name.alias("customer_name"),
                             c.c_mktsegment.alias("customer_industry"))
         return self._memo("customers", build)
@@ -111,7 +113,9 @@ class Fixtures:
             s = self.table("supplier")
             return s.select((F.lit(30000000) + s.s_suppkey).alias("supplier_id"),
                             F.when(F.pmod(s.s_suppkey, F.lit(4)) == 1, F.lit(10000000) + s.s_suppkey)
-                            .otherwise(F.lit(10500000) + s.s_suppkey).alias("third_party_id"),
+                            # Two suppliers of one party, every eighth.
+                            .otherwise(F.lit(10500000) + s.s_suppkey
+                                       - F.when(F.pmod(s.s_suppkey, F.lit(8)) == 3, 1).otherwise(0)).alias("third_party_id"),
                             s.s_name.alias("supplier_name"))
         return self._memo("suppliers", build)
 
@@ -181,7 +185,10 @@ class Fixtures:
             o = self.table("orders").where(F.col("o_orderstatus") != "P")
             k = o.o_orderkey
             invoice = F.date_add(F.to_date(o.o_orderdate), F.pmod(k, F.lit(31)).cast("int"))
-            billed = _pct(o.o_totalprice.cast(MONEY), F.lit(90) + F.pmod(k, F.lit(21)))
+            # 90-110 % of the transaction; every 83rd is billed too high, every 89th is a credit note.
+            share = (F.when(F.pmod(k, F.lit(83)) == 4, 125).when(F.pmod(k, F.lit(89)) == 3, -10)
+                     .otherwise(F.lit(90) + F.pmod(k, F.lit(21))))
+            billed = _pct(o.o_totalprice.cast(MONEY), share)
             due_days = F.when(F.pmod(k, F.lit(3)) == 0, 30).when(F.pmod(k, F.lit(3)) == 1, 45).otherwise(60)
             return o.select(
                 (F.lit(60000000) + k).alias("billing_id"),
@@ -243,10 +250,13 @@ class Fixtures:
             p = F.col("p")
             po_date = F.to_date("ship")
             invoice = F.date_add(po_date, (F.lit(15) + F.pmod(p, F.lit(76))).cast("int"))
-            amount = F.col("amount")
+            # Every 101st invoice is above its order, every 103rd does not add up.
+            ordered = F.col("amount")
+            amount = F.when(F.pmod(p, F.lit(101)) == 5, _pct(ordered, F.lit(110))).otherwise(ordered).cast(MONEY)
+            slip = F.when(F.pmod(p, F.lit(103)) == 6, F.lit(Decimal("1.00"))).otherwise(F.lit(Decimal("0.00"))).cast(MONEY)
             tax = F.round(amount * F.col("t").cast("decimal(4,2)"), 2).cast(MONEY)
             discount = F.round(amount * F.col("d").cast("decimal(4,2)"), 2).cast(MONEY)
-            total = (amount + tax - discount).cast(MONEY)
+            total = (amount + tax - discount + slip).cast(MONEY)
             r = F.pmod(p * 7, F.lit(100))
             status = (F.when(r < 80, "paid").when(r < 90, "approved").when(r < 95, "disputed")
                       .when(r < 98, "cancelled").otherwise(F.lit(None).cast("string")))
