@@ -11,9 +11,9 @@ context that belief is worth.
 
 A text's evidence is the difference of its log-likelihoods under the two
 models, divided by its number of words, and the part of that difference that
-comes from words speaking clearly for toxicity.  A logistic curve, fitted on
-training rows that the models fitting it have not seen, turns both into a
-score.
+comes from words speaking clearly for toxicity.  A logistic curve turns both
+into a score.  It is fitted on training texts (a bounded number of each class,
+weighted to stand for all), each weighed by the counts of all texts but itself.
 
 Training counts run over all labelled training texts: words are counted in the
 tasks that read them, then expressions from the distinct words.  What is
@@ -37,6 +37,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,6 +52,8 @@ SLOTS = 1 << 21
 BACKOFF = 40.0
 #: Evidence beyond which a word speaks clearly.
 CLEAR = 2.5
+#: Training texts of each class on which the logistic curve is fitted, at most.
+CURVE_ROWS = 4000
 #: Width and largest value of the bins of evidence from which the logistic curve is fitted.
 BIN_WIDTH, BIN_LIMIT = 0.02, 3.0
 _PAD, _END = "\x02", "\x03"
@@ -66,6 +69,24 @@ class Model(NamedTuple):
     discounts: tuple[float, float, float]   # toxic, ordinary, shared
 
 
+def sparse(model: Model) -> tuple:
+    """The model without its empty slots, for sending."""
+    parts = []
+    for table in model[:3]:
+        used = np.nonzero(table.any(axis=0))[0].astype(np.int32)
+        parts.append((used, table[:, used]))
+    return (*parts, model.discounts)
+
+
+def dense(parts: tuple) -> Model:
+    tables = []
+    for used, values in parts[:3]:
+        table = np.zeros((len(values), SLOTS), np.float32)
+        table[:, used] = values
+        tables.append(table)
+    return Model(*tables, parts[3])
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
@@ -94,29 +115,45 @@ def _padded(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, ends, starts
 
 
-def word_evidence(words: list[str], model: Model) -> np.ndarray:
-    """log P(word | toxic) - log P(word | ordinary) of each word."""
+def _share(count: np.ndarray, total: np.ndarray, kinds: np.ndarray, d: float, below: np.ndarray, worth: float) -> np.ndarray:
+    """Interpolated probability; ``worth`` occurrences of the context follow the counts below."""
+    held = total + worth
+    with np.errstate(divide="ignore", invalid="ignore"):
+        p = (np.maximum(count - d, 0) + (np.minimum(d * kinds, total) + worth) * below) / held
+    return np.where(held > 0, np.minimum(p, 1), below)
+
+
+def word_evidence(words: list[str], model: Model, times: np.ndarray | None = None, label: int | None = None) -> np.ndarray:
+    """log P(word | toxic) - log P(word | ordinary) of each word.
+
+    With ``label``, the words (``times`` each) are a training text of that
+    class, and its own occurrences are taken out of the counts first.
+    """
     if not words:
         return np.zeros(0)
     codes, ends, starts = _padded(words)
     shared = np.full(len(ends), 1 / 256.0)
     for order in range(1, ORDER):
         gram, context = _slots(codes, ends, order), _slots(codes, ends - 1, order - 1)
-        total, kinds = model.totals[0][context], model.kinds[0][context]
-        d = model.discounts[2]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            seen = (np.maximum(model.grams[0][gram] - d, 0) + d * kinds * shared) / total
-        shared = np.where(total > 0, np.minimum(seen, 1), shared)
+        shared = _share(model.grams[0][gram], model.totals[0][context], model.kinds[0][context], model.discounts[2], shared, 0)
     gram, context = _slots(codes, ends, ORDER), _slots(codes, ends - 1, ORDER - 1) ^ 1
-    total, d = model.totals[0][context] + model.totals[1][context], model.discounts[2]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        seen = (np.maximum(model.grams[0][gram] + model.grams[1][gram] - d, 0) + d * model.kinds[2][context] * shared) / total
-    shared = np.where(total > 0, np.minimum(seen, 1), shared)
-    logs = []
-    for c in (0, 1):
-        d = model.discounts[c]
-        held = d * model.kinds[c][context] + BACKOFF
-        logs.append(np.log((np.maximum(model.grams[c][gram] - d, 0) + held * shared) / (model.totals[c][context] + BACKOFF)))
+    count, total, kinds = model.grams[:, gram], model.totals[:, context], model.kinds[:, context]
+    if label is not None:
+        row = 1 - label
+        weight = np.repeat(times, np.diff([*starts, len(ends)])).astype(np.float32)
+        grams, at = np.unique(gram, return_inverse=True)
+        own = np.bincount(at, weight)[at].astype(np.float32)
+        _, in_context = np.unique(context, return_inverse=True)
+        only = (count[row] <= own) & (np.bincount(at)[at] > 0)
+        first = np.zeros(len(at), bool)
+        first[np.unique(at, return_index=True)[1]] = True
+        lost = np.bincount(in_context, only & first)[in_context].astype(np.float32)
+        gone = np.bincount(in_context, weight)[in_context].astype(np.float32)
+        count[row] = np.maximum(count[row] - own, 0)
+        total[row] = np.maximum(total[row] - gone, 0)
+        kinds[row] = np.maximum(kinds[row] - lost, 0)
+    shared = _share(count[0] + count[1], total[0] + total[1], kinds[2], model.discounts[2], shared, 0)
+    logs = [np.log(_share(count[c], total[c], kinds[c], model.discounts[c], shared, BACKOFF)) for c in (0, 1)]
     return np.add.reduceat(logs[0] - logs[1], starts)
 
 
@@ -217,34 +254,51 @@ def fit(labelled: DataFrame) -> Model | None:
                                         discount(below["n1"], below["n2"])))
 
 
-def evidence(docs: DataFrame, model: Model) -> DataFrame:
+def _told(values: np.ndarray, times: np.ndarray) -> tuple[float, float]:
+    """Evidence per word of a text, and the part of it beyond CLEAR, from its distinct words."""
+    n = max(1, times.sum())
+    return float((values * times).sum() / n), float((np.maximum(values - CLEAR, 0) * times).sum() / n)
+
+
+def evidence(docs: DataFrame, shared: Broadcast) -> DataFrame:
     """(doc_id, evidence, clear): difference of log-likelihoods per word of the whole text, and its clear part."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType),
                            T.StructField("evidence", T.DoubleType()), T.StructField("clear", T.DoubleType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, float] = {}
+        model = dense(shared.value)
         for pdf in batches:
             for at in range(0, len(pdf), 256):
                 if len(known) > 500_000:
                     known.clear()
                 part = pdf.iloc[at:at + 256]
-                texts = [words_of(t) for t in part["text"]]
-                got = [[*map(known.get, words)] for words in texts]
-                new = [*dict.fromkeys(w for words, own in zip(texts, got, strict=True) if None in own
-                                      for w, g in zip(words, own, strict=True) if g is None)]
-                known.update(zip(new, word_evidence(new, shared.value).tolist(), strict=True))
-                values = [[known[w] if g is None else g for w, g in zip(words, own, strict=True)] if None in own else own
-                          for words, own in zip(texts, got, strict=True)]
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(),
-                                    "evidence": [sum(v) / max(1, len(v)) for v in values],
-                                    "clear": [sum(x - CLEAR for x in v if x > CLEAR) / max(1, len(v)) for v in values]})
+                texts = [Counter(words_of(t)) for t in part["text"]]
+                new = list({w for text in texts for w in text.keys() - known.keys()})
+                known.update(zip(new, word_evidence(new, model).tolist(), strict=True))
+                told = [_told(np.array([*map(known.__getitem__, text)]), np.array([*text.values()])) for text in texts]
+                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "evidence": [e for e, _ in told],
+                                    "clear": [c for _, c in told]})
 
     return map_frames(docs.select("doc_id", "text"), run, schema)
 
 
-def fit_curve(bins: list[tuple[float, float, int, int]]) -> tuple[float, float, float]:
+def evidence_without_own(texts: DataFrame, shared: Broadcast) -> DataFrame:
+    """(toxic, evidence, clear) of training texts, each by the counts of all the others."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = dense(shared.value)
+        for pdf in batches:
+            told = []
+            for text, toxic in zip(pdf["text"], pdf["toxic"], strict=True):
+                words = Counter(words_of(text))
+                times = np.array([*words.values()])
+                told.append((toxic, *_told(word_evidence([*words], model, times, int(toxic)), times)))
+            yield pd.DataFrame(told, columns=["toxic", "evidence", "clear"])
+
+    return map_frames(texts.select("text", "toxic"), run, "toxic int, evidence double, clear double")
+
+
+def fit_curve(bins: list[tuple[float, float, int, float]]) -> tuple[float, float, float]:
     """Weights of evidence and clear evidence and the constant, over (evidence, clear, label, count) bins."""
     x, z, y, n = (np.array(c, float) for c in zip(*bins, strict=True))
     design = np.stack([x, z, np.ones_like(x)])
@@ -276,18 +330,20 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted), a row for each row of ``docs``."""
     docs = docs.select("doc_id", "text")
     chosen = training_labels(labels.select("doc_id", "toxic"))
-    texts = stored(docs.join(chosen, "doc_id").select("doc_id", "text", "toxic")
-                   .withColumn("half", F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS > FOLDS // 2), "training")
+    texts = stored(docs.join(chosen, "doc_id").select("doc_id", "text", "toxic"), "training")
     model = fit(texts)
-    # Each half of the training texts is weighed by a model of the other half.
-    halves = [(texts.where("half"), fit(texts.where("not half"))), (texts.where("not half"), fit(texts.where("half")))]
-    if model is None or any(other is None for _, other in halves):
+    if model is None:
         return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.lit(0.5).alias("score"),
                            F.lit(1).alias("predicted"))
-    weighed = functools.reduce(DataFrame.unionByName, [evidence(half, other) for half, other in halves])
-    bins = (weighed.join(chosen, "doc_id").groupBy(_binned("evidence"), _binned("clear"), "toxic").count().collect())
-    a, b, c = fit_curve([(r["evidence"], r["clear"], r["toxic"], r["count"]) for r in bins])
-    found = evidence(docs, model)
+    shared = docs.sparkSession.sparkContext.broadcast(sparse(model))
+    # The curve is fitted on at most CURVE_ROWS texts of each class, chosen by a hash of the doc_id.
+    held = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
+    rate = {y: min(1.0, CURVE_ROWS / n) for y, n in held.items()}
+    chosen_texts = texts.where(" or ".join(f"toxic = {y} and pmod(xxhash64(doc_id), 1000000) < {rate[y] * 1e6:.0f}" for y in rate))
+    bins = (evidence_without_own(chosen_texts, shared).groupBy(_binned("evidence"), _binned("clear"), "toxic").count().collect())
+    bins = [(r["evidence"], r["clear"], r["toxic"], r["count"] / rate[r["toxic"]]) for r in bins]
+    a, b, c = fit_curve(bins)
+    found = evidence(docs, shared)
     score = 1 / (1 + F.exp(-(F.lit(a) * F.col("evidence") + F.lit(b) * F.col("clear") + F.lit(c))))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
                         (score >= 0.5).cast("int").alias("predicted"))
