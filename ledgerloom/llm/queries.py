@@ -64,6 +64,45 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+_SPACED = "translate({}, chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     ')"
+_PLAIN_LINE = ("trim(translate(regexp_replace(" + _SPACED.format("x") + ", ' +', ' ', 'g'), "
+               "'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'))")
+ORACLE["op7_quality_rules"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+own AS (SELECT r, list_filter(string_split({_SPACED.format('t')}, ' '), lambda x: x <> '') AS ws FROM docs),
+windows AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS w
+            FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM own) x),
+again AS (SELECT r, unnest([i, i + 1, i + 2]) AS i FROM windows
+          QUALIFY count(*) OVER (PARTITION BY r, w) > 1),
+repeats AS (SELECT r, count(DISTINCT i) AS n FROM again GROUP BY r),
+lines AS (SELECT r, source, k, x, {_PLAIN_LINE} AS y,
+                 len(list_filter(string_split({_SPACED.format('x')}, ' '), lambda z: z <> '')) AS words
+          FROM (SELECT r, source, unnest(string_split(t, chr(10))) AS x, generate_subscripts(string_split(t, chr(10)), 1) AS k
+                FROM docs) p),
+doubles AS (SELECT r, count(*) - count(DISTINCT x) AS n FROM lines WHERE y <> '' GROUP BY r),
+content AS (SELECT r, source, list(y ORDER BY first) AS ys
+            FROM (SELECT r, source, y, min(k) AS first FROM lines WHERE y <> '' GROUP BY 1, 2, 3) f GROUP BY 1, 2),
+alone AS (SELECT DISTINCT d.source, coalesce(c.ys, []) AS ys FROM docs d LEFT JOIN content c USING (r)),
+sizes AS (SELECT source, count(*) AS n FROM alone GROUP BY 1),
+above AS (SELECT l.source, l.y
+          FROM (SELECT source, y, count(*) AS n FROM (SELECT source, unnest(ys) AS y FROM alone) u GROUP BY 1, 2) l
+          JOIN sizes s ON l.source IS NOT DISTINCT FROM s.source
+          WHERE l.n > {quality.LINE_DOCS} AND l.n * 1000 > s.n * {quality.LINE_PER_MILLE}),
+lost AS (SELECT r, sum(words) AS n FROM lines l JOIN above a ON l.source IS NOT DISTINCT FROM a.source AND l.y = a.y GROUP BY r),
+counts AS (SELECT doc_id, len(ws) AS n_words, list_sum(list_transform(ws, lambda x: length(x))) AS chars,
+                  length(t) - length(translate(t, '{quality.SYMBOLS}', '')) AS n_symbols, doubles.n AS doubled,
+                  repeats.n AS repeated, lost.n AS gone
+           FROM docs JOIN own USING (r) LEFT JOIN doubles USING (r) LEFT JOIN repeats USING (r) LEFT JOIN lost USING (r)),
+judged AS (SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(chars, 0) AS BIGINT) AS word_chars,
+                  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(coalesce(doubled, 0) AS BIGINT) AS n_dup_lines,
+                  CAST(coalesce(repeated, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(gone, 0) AS BIGINT) AS n_lost FROM counts)
+SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.REPEAT_PERCENT} * n_words AS base_failed,
+       NOT (n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.REPEAT_PERCENT} * n_words)
+       AND NOT (n_lost > 0 AND (n_words - n_lost < {quality.MIN_WORDS}
+                                OR 100 * (n_words - n_lost) < {quality.MIN_KEPT_PERCENT} * n_words)) AS kept
+FROM judged"""
+
+
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document."""
