@@ -412,3 +412,20 @@ def a13(spark, sf_dir):
         F.struct(F.lit(c).alias("measure"), F.col(f"{c}__n").alias("row_count"), F.col(f"{c}__min").alias("min_value"),
                  F.col(f"{c}__max").alias("max_value"), F.col(f"{c}__mean").alias("mean_value"),
                  F.col(f"{c}__sd").alias("stddev_value")) for c in measures])).alias("_r")).select("_r.*")
+
+
+@query("v18_amounts_repeated_by_documents")
+def v18(spark, sf_dir):
+    """Transactions with several billings and orders with several invoices, and
+    the amount that sums over staging would count again (D23)."""
+    fx = Fixtures(spark, sf_dir)
+
+    def repeated(source, base, amount, documents, key):
+        extra = documents.groupBy(key).agg((F.count(F.lit(1)) - 1).alias("extra")).where("extra > 0")
+        found = base.select(key, F.col(amount).alias("amount")).join(extra, key)
+        return found.agg(F.lit(source).alias("source"), F.count(F.lit(1)).alias("row_count"),
+                         F.coalesce(F.sum(F.col("amount") * F.col("extra").cast("decimal(10,0)")), F.lit(0)).cast(BALANCE)
+                         .alias("repeated_amount"))
+
+    return repeated("revenue", fx.revenue_transactions, "amount", fx.revenue_billings, "rev_trx_id").unionByName(
+        repeated("spend", fx.purchase_orders, "purchase_order_amount", fx.spend_invoices, "purchase_order_id"))
