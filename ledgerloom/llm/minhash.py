@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import components, map_frames, stored
+from ledgerloom.llm.common import components, discard, map_frames, stored
 
 WORDS = 5
 PERCENT = 75
@@ -185,12 +185,15 @@ def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that reach the similarity on their full sets."""
+    """Pairs (a, b) that reach the similarity on their full sets, stored."""
+    pairs = stored(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
     sets = stored(_of_classes(docs, classes, wanted), "sets")
     joined = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     both = F.size(F.array_intersect("x", "y"))
-    return joined.where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
+    links = stored(joined.where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b"), "links")
+    discard(pairs, sets)
+    return links
 
 
 def _full_sets(docs: DataFrame, wide: bool = False) -> DataFrame:
@@ -236,7 +239,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = stored(buckets.join(heads.select("band", "head"), "band"), "buckets")
     stars = _promising(shared.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(),
                        classes, percent)
-    links = stored(_confirmed(stars, docs, classes, percent), "links")
+    links = _confirmed(stars, docs, classes, percent)
     # A doc_id whose rows differ in text lies in several classes: one document all the same.
     held = named.select("doc_id", "set_lo", "set_hi").join(rep, ["set_lo", "set_hi"]).select("doc_id", "rep")
     repeated = held.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last")
@@ -246,7 +249,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     grouped = shared.join(of.toDF("rep", "part"), "rep", "left").join(of.toDF("head", "main"), "head", "left").select(
         "band", "rep", F.coalesce("part", "rep").alias("part"), "head", F.coalesce("main", "head").alias("main"))
     grouped = stored(grouped, "grouped")
+    discard(shared)
     mixed = stored(grouped.join(grouped.where("part <> main").select("band").distinct(), "band", "left_semi"), "mixed")
+    discard(grouped)
     wide = stored(_of_classes(docs, classes, mixed.select("rep").distinct(), wide=True).toDF("rep", "wide"), "wide")
     marked = mixed.join(classes.select("rep", "n_shingles", F.transform("bands", _short).alias("bands")),
                         "rep").join(wide, "rep")
@@ -263,8 +268,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     others = (apart.join(rest, "band").where(undecided & near & (first == _short(F.col("band"))))
               .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     more = _confirmed(others, docs, classes, percent)
-    links = stored(links.unionByName(more).unionByName(one), "links")
-    return _labelled(marks, components(links, "a", "b"), rep)
+    of = components(links.unionByName(more).unionByName(one), "a", "b")
+    discard(classes, mixed, wide, links, more)
+    return _labelled(marks, of, rep)
 
 
 def _labelled(marks: DataFrame, of: DataFrame, rep: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import map_frames, stored
+from ledgerloom.llm.common import discard, map_frames, stored
 
 ORDER = 6
 FOLDS = 5
@@ -249,6 +249,7 @@ def fit(labelled: DataFrame) -> Model | None:
     below = functools.reduce(DataFrame.unionByName, [x.select("n") for x in lower]).agg(exactly("n", 1), exactly("n", 2)).first()
     # The usual estimate of the discount from the expressions seen once and twice.
     discount = lambda one, two: one / (one + 2 * two) if one and two else 0.5
+    discard(top)
     return Model(grams, totals, kinds, (discount(counts["toxic1"], counts["toxic2"]),
                                         discount(counts["ordinary1"], counts["ordinary2"]),
                                         discount(below["n1"], below["n2"])))
@@ -342,6 +343,7 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     chosen_texts = texts.where(" or ".join(f"toxic = {y} and pmod(xxhash64(doc_id), 1000000) < {rate[y] * 1e6:.0f}" for y in rate))
     bins = (evidence_without_own(chosen_texts, shared).groupBy(_binned("evidence"), _binned("clear"), "toxic").count().collect())
     bins = [(r["evidence"], r["clear"], r["toxic"], r["count"] / rate[r["toxic"]]) for r in bins]
+    discard(texts)
     a, b, c = fit_curve(bins)
     found = evidence(docs, shared)
     score = 1 / (1 + F.exp(-(F.lit(a) * F.col("evidence") + F.lit(b) * F.col("clear") + F.lit(c))))
