@@ -275,7 +275,7 @@ def evidence(docs: DataFrame, shared: Broadcast) -> DataFrame:
                     known.clear()
                 part = pdf.iloc[at:at + 256]
                 texts = [Counter(words_of(t)) for t in part["text"]]
-                new = list({w for text in texts for w in text.keys() - known.keys()})
+                new = list({w for text in texts for w in text if w not in known})
                 known.update(zip(new, word_evidence(new, model).tolist(), strict=True))
                 told = [_told(np.array([*map(known.__getitem__, text)]), np.array([*text.values()])) for text in texts]
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "evidence": [e for e, _ in told],
