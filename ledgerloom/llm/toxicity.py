@@ -15,10 +15,12 @@ comes from words speaking clearly for toxicity.  A logistic curve turns both
 into a score.  It is fitted on training texts (a bounded number of each class,
 weighted to stand for all), each weighed by the counts of all texts but itself.
 
-Training counts run over all labelled training texts: words are counted in the
-tasks that read them, then expressions from the distinct words.  What is
-published to the executors is bounded by ``SLOTS``: counts are added up in
-hashed slots (two arrays of expressions, five of contexts).
+All counts are exact tables keyed by expressions and contexts, which grow with
+the corpus; none is gathered on the driver or sent to all executors.  Every
+different expression of the documents is looked up once, by joins.  Its value
+then goes back to blocks of different words (a block's expressions are made
+different first), and the words' evidence to blocks of documents, where a word
+is one row with the documents that hold it.
 
 Labels enter only for rows whose crc32(doc_id as text) modulo 5 is not 0;
 neither labels nor lang, source or doc_id are inputs of a score.  Null and
@@ -31,23 +33,23 @@ alike; extra columns are not read.
 from __future__ import annotations
 
 import functools
-from collections import Counter
+import gc
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerloom.llm.common import discard, map_frames, stored
 
 ORDER = 6
 FOLDS = 5
-#: Hashed slots of the published counts; their bound in memory is 7 arrays of so many 4-byte numbers.
-SLOTS = 1 << 21
 #: Occurrences of a context that the shared counts are worth.
 BACKOFF = 40.0
 #: Evidence beyond which a word speaks clearly.
@@ -56,35 +58,11 @@ CLEAR = 2.5
 CURVE_ROWS = 4000
 #: Width and largest value of the bins of evidence from which the logistic curve is fitted.
 BIN_WIDTH, BIN_LIMIT = 0.02, 3.0
+#: A block ends with the row that brings it to so many documents, words or different expressions.
+BLOCK_DOCS, BLOCK_WORDS, BLOCK_GRAMS = 1 << 14, 1 << 22, 1 << 17
 _PAD, _END = "\x02", "\x03"
-_MIX, _STEP = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0x9E3779B97F4A7C15)
-
-
-class Model(NamedTuple):
-    """Counts in hashed slots and the discounts of the top order (toxic, ordinary) and of the lower ones."""
-
-    grams: np.ndarray       # [2, SLOTS]: top order by class; lower orders in both rows
-    totals: np.ndarray      # [2, SLOTS]: sums of the counts after a context
-    kinds: np.ndarray       # [3, SLOTS]: number of different characters after a context; last of both classes
-    discounts: tuple[float, float, float]   # toxic, ordinary, shared
-
-
-def sparse(model: Model) -> tuple:
-    """The model without its empty slots, for sending."""
-    parts = []
-    for table in model[:3]:
-        used = np.nonzero(table.any(axis=0))[0].astype(np.int32)
-        parts.append((used, table[:, used]))
-    return (*parts, model.discounts)
-
-
-def dense(parts: tuple) -> Model:
-    tables = []
-    for used, values in parts[:3]:
-        table = np.zeros((len(values), SLOTS), np.float32)
-        table[:, used] = values
-        tables.append(table)
-    return Model(*tables, parts[3])
+#: Counts of an expression and its context by class (toxic, ordinary); different characters after the context, last of both.
+_COUNTS = ("a", "b", "total_a", "total_b", "kinds_a", "kinds_b", "kinds")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -95,24 +73,9 @@ def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def _slots(codes: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
-    """Slot of the ``order`` characters that end before each of ``ends``."""
-    h = np.full(len(ends), order, np.uint64)
-    for k in range(order, 0, -1):
-        h = (h ^ codes[ends - k]) * _STEP
-        h ^= h >> np.uint64(29)
-    h = (h ^ (h >> np.uint64(32))) * _MIX
-    return ((h >> np.uint64(20)) % np.uint64(SLOTS)).astype(np.int64)
-
-
-def _padded(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Character codes of all padded words; the end of every expression; where each word's expressions begin."""
-    joined = "".join(f"{_PAD * (ORDER - 1)}{w}{_END}" for w in words)
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    sizes = np.array([len(w) + 1 for w in words])
-    starts = np.cumsum(sizes) - sizes
-    ends = np.arange(sizes.sum()) + np.repeat((np.arange(len(words)) + 1) * (ORDER - 1), sizes) + 1
-    return codes, ends, starts
+def expressions_of(word: str) -> list[str]:
+    padded = f"{_PAD * (ORDER - 1)}{word}{_END}"
+    return [padded[k:k + ORDER] for k in range(len(word) + 1)]
 
 
 def _share(count: np.ndarray, total: np.ndarray, kinds: np.ndarray, d: float, below: np.ndarray, worth: float) -> np.ndarray:
@@ -123,38 +86,10 @@ def _share(count: np.ndarray, total: np.ndarray, kinds: np.ndarray, d: float, be
     return np.where(held > 0, np.minimum(p, 1), below)
 
 
-def word_evidence(words: list[str], model: Model, times: np.ndarray | None = None, label: int | None = None) -> np.ndarray:
-    """log P(word | toxic) - log P(word | ordinary) of each word.
-
-    With ``label``, the words (``times`` each) are a training text of that
-    class, and its own occurrences are taken out of the counts first.
-    """
-    if not words:
-        return np.zeros(0)
-    codes, ends, starts = _padded(words)
-    shared = np.full(len(ends), 1 / 256.0)
-    for order in range(1, ORDER):
-        gram, context = _slots(codes, ends, order), _slots(codes, ends - 1, order - 1)
-        shared = _share(model.grams[0][gram], model.totals[0][context], model.kinds[0][context], model.discounts[2], shared, 0)
-    gram, context = _slots(codes, ends, ORDER), _slots(codes, ends - 1, ORDER - 1) ^ 1
-    count, total, kinds = model.grams[:, gram], model.totals[:, context], model.kinds[:, context]
-    if label is not None:
-        row = 1 - label
-        weight = np.repeat(times, np.diff([*starts, len(ends)])).astype(np.float32)
-        grams, at = np.unique(gram, return_inverse=True)
-        own = np.bincount(at, weight)[at].astype(np.float32)
-        _, in_context = np.unique(context, return_inverse=True)
-        only = (count[row] <= own) & (np.bincount(at)[at] > 0)
-        first = np.zeros(len(at), bool)
-        first[np.unique(at, return_index=True)[1]] = True
-        lost = np.bincount(in_context, only & first)[in_context].astype(np.float32)
-        gone = np.bincount(in_context, weight)[in_context].astype(np.float32)
-        count[row] = np.maximum(count[row] - own, 0)
-        total[row] = np.maximum(total[row] - gone, 0)
-        kinds[row] = np.maximum(kinds[row] - lost, 0)
-    shared = _share(count[0] + count[1], total[0] + total[1], kinds[2], model.discounts[2], shared, 0)
-    logs = [np.log(_share(count[c], total[c], kinds[c], model.discounts[c], shared, BACKOFF)) for c in (0, 1)]
-    return np.add.reduceat(logs[0] - logs[1], starts)
+def _shared(count: Column, total: Column, kinds: Column, d: float, below: Column, worth: float = 0.0) -> Column:
+    """``_share`` as an expression."""
+    p = (F.greatest(count - d, F.lit(0.0)) + (F.least(d * kinds, total) + worth) * below) / (total + worth)
+    return F.when(total + worth > 0, F.least(p, F.lit(1.0))).otherwise(below)
 
 
 def _word_counts(labelled: DataFrame) -> DataFrame:
@@ -188,71 +123,73 @@ def _expressions(words: DataFrame) -> DataFrame:
             .groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
 
 
-def _in_slots(rows: DataFrame) -> DataFrame:
-    """(kind, slot, a, b, m, n, o) summed, from (kind, gram, a, b, m, n, o); kind tells expressions from contexts."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            grams = pdf["gram"].tolist()
-            sizes = np.array([len(g) for g in grams])
-            slot = np.zeros(len(grams), np.int64)
-            for size in np.unique(sizes):
-                at = np.nonzero(sizes == size)[0]
-                codes = np.frombuffer("".join(grams[k] for k in at).encode("utf-32-le", "surrogatepass"), "<u4")
-                slot[at] = _slots(codes.astype(np.uint64), (np.arange(len(at)) + 1) * size, int(size))
-            yield pdf.drop(columns="gram").assign(slot=slot)
-
-    sums = [F.sum(c).cast("double").alias(c) for c in ("a", "b", "m", "n", "o")]
-    schema = "kind int, a long, b long, m long, n long, o long, slot long"
-    return map_frames(rows, run, schema).groupBy("kind", "slot").agg(*sums)
-
-
-def fit(labelled: DataFrame) -> Model | None:
-    """Model of (text, toxic) rows; None if a class is missing."""
-    top = stored(_expressions(_word_counts(labelled)), "expressions")
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    some = lambda c: (F.col(c) > 0).cast("long")
-    parts = [top.select(F.lit(0).alias("kind"), "gram", F.col("toxic").alias("a"), F.col("ordinary").alias("b"),
-                        zero.alias("m"), zero.alias("n"), zero.alias("o")),
-             top.select(F.lit(2).alias("kind"), F.substring("gram", 1, ORDER - 1).alias("gram"),
-                        F.col("toxic").alias("a"), F.col("ordinary").alias("b"),
-                        some("toxic").alias("m"), some("ordinary").alias("n"), one.alias("o"))]
-    longer = top.select("gram")
-    lower = []
-    for order in range(ORDER - 1, 0, -1):
-        # Continuation count: the different expressions, one longer, that end in this one.
-        longer = longer.select(F.substring("gram", 2, order).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
-        lower.append(longer)
-        parts.append(longer.select(F.lit(0).alias("kind"), "gram", F.col("n").alias("a"), F.col("n").alias("b"),
-                                   zero.alias("m"), zero.alias("n"), zero.alias("o")))
-        parts.append(longer.select(F.lit(1).alias("kind"), F.substring("gram", 1, order - 1).alias("gram"),
-                                   F.col("n").alias("a"), F.col("n").alias("b"),
-                                   one.alias("m"), one.alias("n"), one.alias("o")))
-    rows = _in_slots(functools.reduce(DataFrame.unionByName, parts)).toArrow()
-    kind, slot = (rows[c].to_numpy() for c in ("kind", "slot"))
-    a, b, m, n, o = (rows[c].to_numpy() for c in "abmno")
-    grams, totals, kinds = (np.zeros((k, SLOTS), np.float32) for k in (2, 2, 3))
-    np.add.at(grams[0], slot[kind == 0], a[kind == 0])
-    np.add.at(grams[1], slot[kind == 0], b[kind == 0])
-    for k, flip in ((1, 0), (2, 1)):
-        # Contexts of the top order lie beside those of the lower ones, which may be as long.
-        at = slot[kind == k] ^ flip
-        np.add.at(totals[0], at, a[kind == k])
-        np.add.at(totals[1], at, b[kind == k])
-        np.add.at(kinds[0], at, m[kind == k])
-        np.add.at(kinds[1], at, n[kind == k])
-        np.add.at(kinds[2], at, o[kind == k])
-    exactly = lambda c, k: F.count_if(F.col(c) == k).alias(f"{c}{k}")
-    counts = top.agg(*(exactly(c, k) for c in ("toxic", "ordinary") for k in (1, 2)),
-                     F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).first()
-    if not (counts["toxic"] and counts["ordinary"]):
-        return None
-    below = functools.reduce(DataFrame.unionByName, [x.select("n") for x in lower]).agg(exactly("n", 1), exactly("n", 2)).first()
-    # The usual estimate of the discount from the expressions seen once and twice.
-    discount = lambda one, two: one / (one + 2 * two) if one and two else 0.5
-    discard(top)
-    return Model(grams, totals, kinds, (discount(counts["toxic1"], counts["toxic2"]),
-                                        discount(counts["ordinary1"], counts["ordinary2"]),
-                                        discount(below["n1"], below["n2"])))
+class Model:
+    """Exact counts of (text, toxic) rows, as tables."""
+
+    def __init__(self, labelled: DataFrame):
+        counted = _expressions(_word_counts(labelled))
+        self.top = top = stored(counted, "expressions")
+        exactly = lambda c, k: F.count_if(F.col(c) == k).alias(f"{c}{k}")
+        counts = top.agg(*(exactly(c, k) for c in ("toxic", "ordinary") for k in (1, 2)),
+                         F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).first()
+        self.complete = bool(counts["toxic"] and counts["ordinary"])
+        if not self.complete:
+            return
+        # Continuation counts: the different expressions, one longer, that end in this one.
+        self.lower, longer = {}, top
+        for order in range(ORDER - 1, 0, -1):
+            longer = stored(longer.select(F.substring("gram", 2, order).alias("gram")).groupBy("gram")
+                            .agg(F.count("*").alias("n")), "continuations")
+            self.lower[order] = longer
+        below = functools.reduce(DataFrame.unionByName, [x.select("n") for x in self.lower.values()]).agg(
+            exactly("n", 1), exactly("n", 2)).first()
+        # The usual estimate of the discount from the expressions seen once and twice.
+        discount = lambda one, two: one / (one + 2 * two) if one and two else 0.5
+        self.discounts = (discount(counts["toxic1"], counts["toxic2"]), discount(counts["ordinary1"], counts["ordinary2"]),
+                          discount(below["n1"], below["n2"]))
+
+    def discard(self) -> None:
+        discard(self.top, *(self.lower.values() if self.complete else ()))
+
+    def _backoff(self, grams: DataFrame) -> DataFrame:
+        """(gram, p): shared probability of the expressions of fewer than ORDER characters that end ``grams``."""
+        found, d = None, self.discounts[2]
+        for order in range(1, ORDER):
+            wanted = grams.select(F.substring("gram", ORDER - order + 1, order).alias("gram")).distinct()
+            counts = self.lower[order]
+            contexts = counts.groupBy(F.substring("gram", 1, order - 1).alias("context")).agg(
+                F.sum("n").cast("double").alias("total"), F.count("*").cast("double").alias("kinds"))
+            rows = (wanted.join(counts, "gram", "left").withColumn("context", F.substring("gram", 1, order - 1))
+                    .join(contexts, "context", "left"))
+            if found is None:
+                below = F.lit(1 / 256.0)
+            else:
+                rows, below = rows.withColumn("end", F.substring("gram", 2, order - 1)).join(found, "end"), F.col("below")
+            none = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+            p = _shared(none("n"), none("total"), none("kinds"), d, below)
+            found = rows.select(F.col("gram").alias("end"), p.alias("below"))
+        return found
+
+    def values(self, grams: DataFrame) -> DataFrame:
+        """``grams`` with their counts, the shared probability ``below`` them and ``value``, their evidence.
+
+        At most one expression for each character stands for a context or an
+        end, so no key of these joins is frequent.
+        """
+        top = self.top.select("gram", F.col("toxic").alias("a"), F.col("ordinary").alias("b"))
+        some = lambda c: F.count_if(F.col(c) > 0)
+        contexts = top.groupBy(F.substring("gram", 1, ORDER - 1).alias("context")).agg(
+            F.sum("a").alias("total_a"), F.sum("b").alias("total_b"), some("a").alias("kinds_a"), some("b").alias("kinds_b"),
+            F.count("*").alias("kinds"))
+        rows = (grams.join(top, "gram", "left")
+                .withColumns({"context": F.substring("gram", 1, ORDER - 1), "end": F.substring("gram", 2, ORDER - 1)})
+                .join(contexts, "context", "left").join(self._backoff(grams), "end"))
+        rows = rows.select("gram", *(F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in _COUNTS), "below")
+        c = {k: F.col(k) for k in (*_COUNTS, "below")}
+        rows = rows.withColumn("shared", _shared(c["a"] + c["b"], c["total_a"] + c["total_b"], c["kinds"], self.discounts[2], c["below"]))
+        logs = [F.log(_shared(c[x], c[f"total_{x}"], c[f"kinds_{x}"], self.discounts[k], F.col("shared"), BACKOFF))
+                for k, x in enumerate("ab")]
+        return rows.withColumn("value", logs[0] - logs[1]).drop("shared")
 
 
 def _told(values: np.ndarray, times: np.ndarray) -> tuple[float, float]:
@@ -261,42 +198,167 @@ def _told(values: np.ndarray, times: np.ndarray) -> tuple[float, float]:
     return float((values * times).sum() / n), float((np.maximum(values - CLEAR, 0) * times).sum() / n)
 
 
-def evidence(docs: DataFrame, shared: Broadcast) -> DataFrame:
-    """(doc_id, evidence, clear): difference of log-likelihoods per word of the whole text, and its clear part."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType),
-                           T.StructField("evidence", T.DoubleType()), T.StructField("clear", T.DoubleType())])
+def _free_shuffles(spark: SparkSession) -> None:
+    """Shuffle files go once nothing refers to them, which the driver notices only when it collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
+
+def _block_ids() -> Iterator[int]:
+    at = TaskContext.get().partitionId() << 32
+    while True:
+        yield at
+        at += 1
+
+
+def _with_expressions(rows: DataFrame) -> DataFrame:
+    """(block, gram, text, toxic): rows of (text, toxic) in blocks, and each block's different expressions.
+
+    To be stored before it is read twice: a block is numbered by the task that makes it.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, float] = {}
-        model = dense(shared.value)
-        for pdf in batches:
-            for at in range(0, len(pdf), 256):
-                if len(known) > 500_000:
-                    known.clear()
-                part = pdf.iloc[at:at + 256]
-                texts = [Counter(words_of(t)) for t in part["text"]]
-                new = list({w for text in texts for w in text if w not in known})
-                known.update(zip(new, word_evidence(new, model).tolist(), strict=True))
-                told = [_told(np.array([*map(known.__getitem__, text)]), np.array([*text.values()])) for text in texts]
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "evidence": [e for e, _ in told],
-                                    "clear": [c for _, c in told]})
-
-    return map_frames(docs.select("doc_id", "text"), run, schema)
-
-
-def evidence_without_own(texts: DataFrame, shared: Broadcast) -> DataFrame:
-    """(toxic, evidence, clear) of training texts, each by the counts of all the others."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = dense(shared.value)
+        ids, grams, texts = _block_ids(), set(), []
+
+        def out() -> pd.DataFrame:
+            own = [*grams]
+            return pd.DataFrame({"block": next(ids), "gram": [*own, *[None] * len(texts)],
+                                 "text": [*[None] * len(own), *(t for t, _ in texts)],
+                                 "toxic": [*[None] * len(own), *(y for _, y in texts)]}, dtype=object)
+
         for pdf in batches:
-            told = []
             for text, toxic in zip(pdf["text"], pdf["toxic"], strict=True):
-                words = Counter(words_of(text))
-                times = np.array([*words.values()])
-                told.append((toxic, *_told(word_evidence([*words], model, times, int(toxic)), times)))
-            yield pd.DataFrame(told, columns=["toxic", "evidence", "clear"])
-
-    return map_frames(texts.select("text", "toxic"), run, "toxic int, evidence double, clear double")
+                texts.append((text, toxic))
+                for word in {*words_of(text)}:
+                    grams.update(expressions_of(word))
+                if len(grams) >= BLOCK_GRAMS:
+                    yield out()
+                    grams, texts = set(), []
+        if texts:
+            yield out()
+
+    return map_frames(rows.select("text", "toxic"), run, "block long, gram string, text string, toxic int")
+
+
+def _of_blocks(blocks: DataFrame, values: DataFrame, columns: tuple[str, ...], run, schema: str) -> DataFrame:
+    """``run(texts, toxic, grams, numbers)`` for every block of ``_with_expressions``; numbers are the ``columns`` of its grams."""
+    target = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def of(block: pa.Table) -> pa.Table:
+        is_text = block["gram"].is_null()
+        own, texts = block.filter(pa.compute.invert(is_text)), block.filter(is_text)
+        numbers = np.array([own[c].to_numpy() for c in columns])
+        return pa.Table.from_pydict(run(texts["text"].to_pylist(), texts["toxic"].to_pylist(), own["gram"].to_pylist(), numbers), target)
+
+    grams = blocks.where("gram is not null").select("block", "gram").join(values.select("gram", *columns), "gram")
+    grams = grams.select("block", "gram", F.lit(None).cast("string").alias("text"), F.lit(None).cast("int").alias("toxic"), *columns)
+    texts = blocks.where("gram is null").select("*", *(F.lit(None).cast("double").alias(c) for c in columns))
+    return grams.unionByName(texts).groupBy("block").applyInArrow(of, schema)
+
+
+def word_evidence(blocks: DataFrame, values: DataFrame) -> DataFrame:
+    """(word, value): log P(word | toxic) - log P(word | ordinary) of each word of ``blocks``."""
+    def run(words: list, _: list, grams: list[str], numbers: np.ndarray) -> dict:
+        value = dict(zip(grams, numbers[0].tolist(), strict=True))
+        return {"word": words, "value": [sum(map(value.__getitem__, expressions_of(w))) for w in words]}
+
+    return _of_blocks(blocks, values, ("value",), run, "word string, value double")
+
+
+def evidence_without_own(blocks: DataFrame, values: DataFrame, discounts: tuple[float, float, float]) -> DataFrame:
+    """(toxic, evidence, clear) of the training texts of ``blocks``, each by the counts of all the others."""
+    def run(texts: list, toxic: list, grams: list[str], numbers: np.ndarray) -> dict:
+        index = {g: k for k, g in enumerate(grams)}
+        _, context_of = np.unique(np.array([g[:-1] for g in grams], dtype=object), return_inverse=True)
+        told = []
+        for text, label in zip(texts, toxic, strict=True):
+            words = Counter(words_of(text))
+            if not words:
+                told.append((0.0, 0.0))
+                continue
+            times = np.array([*words.values()], float)
+            own = [expressions_of(w) for w in words]
+            sizes = np.array([len(x) for x in own])
+            gram, at = np.unique(np.array([index[g] for x in own for g in x]), return_inverse=True)
+            uses = np.bincount(at, np.repeat(times, sizes))
+            count, total, kinds, both, below = (x.copy() for x in (
+                numbers[0:2, gram], numbers[2:4, gram], numbers[4:6, gram], numbers[6, gram], numbers[7, gram]))
+            # The text's own occurrences are taken out of the counts of its class.
+            row = 1 - label
+            _, context = np.unique(context_of[gram], return_inverse=True)
+            only = count[row] <= uses
+            total[row] -= np.bincount(context, uses)[context]
+            kinds[row] -= np.bincount(context, only)[context]
+            both -= np.bincount(context, only & (count[1 - row] <= 0))[context]
+            count[row] -= uses
+            shared = _share(count.sum(0), total.sum(0), both, discounts[2], below, 0)
+            logs = [np.log(_share(count[c], total[c], kinds[c], discounts[c], shared, BACKOFF)) for c in (0, 1)]
+            told.append(_told(np.add.reduceat((logs[0] - logs[1])[at], np.cumsum(sizes) - sizes), times))
+        return {"toxic": toxic, "evidence": [e for e, _ in told], "clear": [c for _, c in told]}
+
+    return _of_blocks(blocks, values, (*_COUNTS, "below"), run, "toxic int, evidence double, clear double")
+
+
+def _words_in_blocks(docs: DataFrame) -> DataFrame:
+    """(block, word, docs, times, keys...): of every block of documents, its words with the documents that hold them.
+
+    Without a word, a row is the document of that place, with the other
+    columns of ``docs``.
+    """
+    keys = [f for f in docs.schema if f.name != "text"]
+    fields = T.StructType([T.StructField("block", T.LongType()), T.StructField("word", T.StringType()),
+                           T.StructField("docs", T.ArrayType(T.ShortType())), T.StructField("times", T.ArrayType(T.IntegerType())), *keys])
+    target = to_arrow_schema(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = _block_ids()
+
+        def out(rows: pa.RecordBatch, numbers: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+            block, n = next(ids), len(rows)
+            place = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32), pa.array(np.arange(n, dtype=np.int16)))
+            no_times = pa.nulls(n, target.field("times").type)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.nulls(n, pa.string()), place, no_times,
+                                              *(rows.column(f.name).cast(target.field(f.name).type) for f in keys)], schema=target)
+            word = np.concatenate(numbers).astype(np.int64)
+            doc = np.repeat(np.arange(n), [len(x) for x in numbers])
+            pairs, times = np.unique(word << 15 | doc, return_counts=True)
+            starts = np.searchsorted(pairs >> 15, np.arange(len(names) + 1)).astype(np.int32)
+            docs_of, times = (pairs & 0x7FFF).astype(np.int16), times.astype(np.int32)
+            for lo in range(0, len(names), 50_000):
+                hi = min(lo + 50_000, len(names))
+                a, b = starts[lo], starts[hi]
+                lists = [pa.ListArray.from_arrays(starts[lo:hi + 1] - a, pa.array(x[a:b])) for x in (docs_of, times)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(hi - lo, block)), pa.array(names[lo:hi], pa.string()), *lists,
+                                                  *(pa.nulls(hi - lo, target.field(f.name).type) for f in keys)], schema=target)
+
+        for batch in batches:
+            texts, numbers, index, first, held = batch.column("text").to_pylist(), [], defaultdict(), 0, 0
+            index.default_factory = index.__len__
+            for k, text in enumerate(texts):
+                own = words_of(text)
+                numbers.append(np.fromiter(map(index.__getitem__, own), np.int32, len(own)))
+                held += len(own)
+                if len(numbers) >= BLOCK_DOCS or held >= BLOCK_WORDS or k + 1 == len(texts):
+                    yield from out(batch.slice(first, k + 1 - first), numbers, [*index])
+                    numbers, first, held = [], k + 1, 0
+                    index.clear()
+
+    return docs.mapInArrow(run, fields)
+
+
+def evidence(found: DataFrame, words: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, evidence, clear): difference of log-likelihoods per word of the whole text, and its clear part.
+
+    ``found`` is of ``_words_in_blocks``, ``words`` of ``word_evidence``.
+    """
+    each = (found.where("word is not null").select("block", "word", "docs", "times").join(words, "word")
+            .select("block", "value", F.explode(F.arrays_zip("docs", "times")).alias("x"))
+            .select("block", F.col("x.docs").alias("doc"), "value", F.col("x.times").alias("times")))
+    clear = F.greatest(F.col("value") - CLEAR, F.lit(0.0))
+    sums = each.groupBy("block", "doc").agg(F.sum(F.col("value") * F.col("times")).alias("evidence"),
+                                            F.sum(clear * F.col("times")).alias("clear"), F.sum("times").alias("n"))
+    rows = found.where("word is null").select("block", F.get("docs", F.lit(0)).alias("doc"), *keys)
+    per_word = lambda c: F.coalesce(F.col(c) / F.col("n"), F.lit(0.0)).alias(c)
+    return rows.join(sums, ["block", "doc"], "left").select(*keys, per_word("evidence"), per_word("clear"))
 
 
 def fit_curve(bins: list[tuple[float, float, int, float]]) -> tuple[float, float, float]:
@@ -332,20 +394,33 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     chosen = training_labels(labels.select("doc_id", "toxic"))
     texts = stored(docs.join(chosen, "doc_id").select("doc_id", "text", "toxic"), "training")
-    model = fit(texts)
-    if model is None:
+    _free_shuffles(docs.sparkSession)
+    model = Model(texts)
+    if not model.complete:
         return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.lit(0.5).alias("score"),
                            F.lit(1).alias("predicted"))
-    shared = docs.sparkSession.sparkContext.broadcast(sparse(model))
+    found = stored(_words_in_blocks(docs), "words")
+    words = found.where("word is not null").select(F.col("word").alias("text")).distinct()
+    blocks = stored(_with_expressions(words.withColumn("toxic", F.lit(None).cast("int"))), "blocks")
+    grams = stored(blocks.where("gram is not null").select("gram").distinct(), "grams")
+    values = stored(model.values(grams), "values")
+    model.discard()
+    discard(grams)
+    _free_shuffles(docs.sparkSession)
     # The curve is fitted on at most CURVE_ROWS texts of each class, chosen by a hash of the doc_id.
     held = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     rate = {y: min(1.0, CURVE_ROWS / n) for y, n in held.items()}
     chosen_texts = texts.where(" or ".join(f"toxic = {y} and pmod(xxhash64(doc_id), 1000000) < {rate[y] * 1e6:.0f}" for y in rate))
-    bins = (evidence_without_own(chosen_texts, shared).groupBy(_binned("evidence"), _binned("clear"), "toxic").count().collect())
+    curve_blocks = stored(_with_expressions(chosen_texts), "curve")
+    bins = (evidence_without_own(curve_blocks, values, model.discounts)
+            .groupBy(_binned("evidence"), _binned("clear"), "toxic").count().collect())
     bins = [(r["evidence"], r["clear"], r["toxic"], r["count"] / rate[r["toxic"]]) for r in bins]
-    discard(texts)
+    discard(texts, curve_blocks)
+    _free_shuffles(docs.sparkSession)
     a, b, c = fit_curve(bins)
-    found = evidence(docs, shared)
+    told = stored(word_evidence(blocks, values), "evidence")
+    discard(blocks, values)
+    _free_shuffles(docs.sparkSession)
     score = 1 / (1 + F.exp(-(F.lit(a) * F.col("evidence") + F.lit(b) * F.col("clear") + F.lit(c))))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
-                        (score >= 0.5).cast("int").alias("predicted"))
+    return evidence(found, told, ["doc_id"]).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))

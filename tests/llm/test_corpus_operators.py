@@ -149,6 +149,64 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(r.predicted == int(r.score >= 0.5) for r in got.values())
 
 
+def exact_evidence(texts, training):
+    """Evidence per word of each text, by exact counts of the (text, toxic) rows of ``training``."""
+    padded = lambda w: "\x02" * 5 + w + "\x03"
+    grams = lambda w: [padded(w)[k:k + 6] for k in range(len(w) + 1)]
+    top = [collections.Counter(), collections.Counter()]
+    for text, toxic in training:
+        for w in text.lower().split():
+            top[1 - toxic].update(grams(w))
+    both, lower = top[0] + top[1], {}
+    longer = both
+    for order in range(5, 0, -1):
+        lower[order] = longer = collections.Counter(g[1:] for g in longer)
+    discount = lambda n: (lambda one, two: one / (one + 2 * two) if one and two else 0.5)(
+        sum(v == 1 for v in n), sum(v == 2 for v in n))
+    d = [discount(top[0].values()), discount(top[1].values()), discount([v for c in lower.values() for v in c.values()])]
+
+    def contexts(counts):
+        total, kinds = collections.Counter(), collections.Counter()
+        for g, n in counts.items():
+            total[g[:-1]] += n
+            kinds[g[:-1]] += 1
+        return total, kinds
+
+    of_lower, of_top, of_both = {k: contexts(c) for k, c in lower.items()}, [contexts(c) for c in top], contexts(both)
+
+    def share(counts, around, g, discount, below, worth):
+        total, kinds = around[0][g[:-1]], around[1][g[:-1]]
+        if not total + worth:
+            return below
+        return min(1, (max(counts[g] - discount, 0) + (min(discount * kinds, total) + worth) * below) / (total + worth))
+
+    def value(g):
+        p = 1 / 256
+        for order in range(1, 6):
+            p = share(lower[order], of_lower[order], g[6 - order:], d[2], p, 0)
+        p = share(both, of_both, g, d[2], p, 0)
+        return np.log(share(top[0], of_top[0], g, d[0], p, 40.0)) - np.log(share(top[1], of_top[1], g, d[1], p, 40.0))
+
+    return [sum(value(g) for w in t.lower().split() for g in grams(w)) / max(1, len(t.split())) for t in texts]
+
+
+def test_toxicity_counts_are_exact(spark, monkeypatch):
+    """With thousands of different expressions, any fold of the counts would show in some text."""
+    import zlib
+    rng = random.Random(8)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(2, 9)))
+    rows = [(k, " ".join(word("abcdefghijklmnopqrstuvwxyz" if k % 3 else "äöüabcdefghi") for _ in range(40)), int(k % 3 == 0))
+            for k in range(300)]
+    training = [(t, y) for k, t, y in rows if zlib.crc32(str(k).encode()) % 5]
+    # This curve makes the score the evidence's own.
+    monkeypatch.setattr(toxicity, "fit_curve", lambda bins: (1.0, 0.0, 0.0))
+    got = {r.doc_id: np.log(r.score / (1 - r.score)) for r in toxicity.scores(
+        spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string"),
+        spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")).collect()}
+    want = exact_evidence([t for _, t, _ in rows], training)
+    assert max(abs(got[k] - want[k]) for k in range(300)) < 1e-9
+
+
 def test_toxicity_without_a_class(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
