@@ -12,8 +12,9 @@ The method looks across documents: lines are normalised (A-Z lower-cased,
 white space runs to one space, digits to 0) and hashed, and for every host and
 line the distinct documents are counted.  Documents with the same lines are
 one document in this count, so a text is not held against itself for having
-been copied.  A line is above its limit when more than ``LINE_DOCS`` documents
-and more than ``LINE_PER_MILLE`` thousandths of the host's documents have it.
+been copied.  A line is above its limit when more than ``LINE_DOCS`` documents of
+the host have it, however large the host is; ``LINE_PER_MILLE`` thousandths of
+the host's documents can be asked for besides (0: no share is asked for).
 Such lines are removed; a document left with fewer than ``MIN_KEPT_PERCENT``
 percent of its words, or with fewer than ``MIN_WORDS`` of them, is depleted
 and rejected.
@@ -36,8 +37,8 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 
-LINE_DOCS = 100
-LINE_PER_MILLE = 100
+LINE_DOCS = 20
+LINE_PER_MILLE = 0
 MIN_KEPT_PERCENT = 30
 
 
@@ -107,19 +108,30 @@ def line_hashes(text: Column) -> Column:
         normal_line(x), lambda y: F.when(y != "", F.xxhash64(y))))
 
 
-def common_lines(docs: DataFrame, docs_limit: int = LINE_DOCS, per_mille: int = LINE_PER_MILLE) -> DataFrame:
-    """(host, line): the lines above their limit in a host; ``docs`` has text and source.
+def line_table(docs: DataFrame) -> DataFrame:
+    """(host, text_hash, own): hash and number of words of every line with a word, once for equal texts of a host."""
+    parts = F.arrays_zip(F.split(F.coalesce("text", F.lit("")), "\n").alias("line"), line_hashes(F.col("text")).alias("hash"))
+    own = F.transform(F.filter(parts, lambda x: x["hash"].isNotNull()),
+                      lambda x: F.struct(x["hash"].alias("hash"), F.size(words(x["line"])).alias("n")))
+    return docs.select(F.col("source").alias("host"), F.xxhash64("text").alias("text_hash"), own.alias("own")).dropDuplicates(
+        ["host", "text_hash"])
+
+
+def common_lines(own: DataFrame, docs_limit: int = LINE_DOCS, per_mille: int = LINE_PER_MILLE) -> DataFrame:
+    """(host, line): the lines above their limit in a host; ``own`` is a ``line_table``.
 
     A document counts by the hash of its distinct lines, which the rows of
     equal documents share: (host, line, document) is made distinct, and its
     counts are partial aggregates, so that neither a hot host nor a line that
     everyone has is gathered in one place.
     """
-    own = docs.select(F.col("source").alias("host"), F.array_distinct(F.array_compact(line_hashes(F.col("text")))).alias("own"))
-    unique = stored(own.select("host", F.xxhash64("own").alias("doc"), "own").dropDuplicates(["host", "doc"]), "documents")
-    sizes = unique.groupBy("host").agg(F.count("*").alias("n_docs"))
+    unique = (own.select("host", F.array_distinct("own.hash").alias("own")).withColumn("doc", F.xxhash64("own"))
+              .dropDuplicates(["host", "doc"]))
     counted = (unique.select("host", F.explode("own").alias("line")).groupBy("host", "line")
                .agg(F.count("*").alias("n")).where(F.col("n") > docs_limit))
+    if not per_mille:
+        return counted.select("host", "line")
+    sizes = unique.groupBy("host").agg(F.count("*").alias("n_docs"))
     same = F.expr("counted.host <=> sizes.host")
     return (counted.alias("counted").join(sizes.alias("sizes"), same)
             .where(F.col("n") * 1000 > F.col("n_docs") * per_mille).select("counted.host", "line"))
@@ -128,19 +140,20 @@ def common_lines(docs: DataFrame, docs_limit: int = LINE_DOCS, per_mille: int =
 def judged(docs: DataFrame, docs_limit: int = LINE_DOCS, per_mille: int = LINE_PER_MILLE) -> DataFrame:
     """docs with the base columns, ``n_lost`` (words in removed lines), ``kept`` and ``common`` (their hashes).
 
-    The lines above the limit are gathered by host: at most 1000 / per_mille
-    lines of a host's average document can be above it, which bounds the array
-    that is joined to the host's documents.
+    The number of a host's lines above the limit grows with the host, so they
+    are joined to the lines of its texts, and what a text loses to the text:
+    ``common`` holds lines of the document itself only.
     """
-    above = stored(common_lines(docs, docs_limit, per_mille).groupBy("host")
-                   .agg(F.array_sort(F.collect_list("line")).alias("common")), "lines")
-    found = base(docs).alias("d").join(above.alias("a"), F.expr("d.source <=> a.host"), "left").drop("host")
-    common = F.coalesce("common", F.array().cast("array<bigint>"))
-    found = found.withColumn("common", common)
-    lost = F.aggregate(
-        F.arrays_zip(F.split(F.coalesce("text", F.lit("")), "\n").alias("line"), line_hashes(F.col("text")).alias("hash")),
-        F.lit(0), lambda n, x: n + F.when(F.array_contains("common", x["hash"]), F.size(words(x["line"]))).otherwise(0))
-    found = found.withColumn("n_lost", F.when(F.size("common") > 0, lost).otherwise(0).cast("long"))
+    own = stored(line_table(docs), "texts")
+    above = stored(common_lines(own, docs_limit, per_mille), "lines")
+    lost = (own.select("host", "text_hash", F.explode("own").alias("x")).alias("o")
+            .join(above.alias("a"), F.expr("o.host <=> a.host and o.x.hash = a.line"))
+            .groupBy("o.host", "text_hash").agg(F.sum("x.n").alias("n_lost"), F.array_sort(F.collect_set("line")).alias("common")))
+    lost = stored(lost, "lost").alias("l")
+    found = base(docs).withColumn("_hash", F.xxhash64("text")).alias("d")
+    found = found.join(lost, F.expr("d.source <=> l.host and d._hash = l.text_hash"), "left").drop("host", "text_hash", "_hash")
+    found = found.withColumn("common", F.coalesce("common", F.array().cast("array<bigint>")))
+    found = found.withColumn("n_lost", F.coalesce("n_lost", F.lit(0)).cast("long"))
     left = F.col("n_words") - F.col("n_lost")
     depleted = (F.col("n_lost") > 0) & ((left < MIN_WORDS) | (100 * left < MIN_KEPT_PERCENT * F.col("n_words")))
     return found.withColumn("kept", ~F.col("base_failed") & ~depleted)

@@ -202,6 +202,17 @@ def test_lines_above_the_limit_are_removed_by_host(spark):
     assert quality.judged(docs.limit(0)).count() == 0
 
 
+def test_lines_of_some_dozens_of_documents_go_from_a_large_host(spark):
+    body = lambda k: " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}{chr(97 + j % 26)}{chr(97 + j // 26)}"
+                              for j in range(60))
+    # Of 1,000 documents 40 share a line, 20 another one; the same 40 in a host of their own.
+    line = lambda k: "\nRead more on our page" if k < 40 else "\nSeen by few" if k < 60 else ""
+    rows = [(k, body(k) + line(k), "large") for k in range(1000)] + [(2000 + k, body(k) + line(k), "small") for k in range(40)]
+    got = {r.doc_id: r for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[k].n_lost == got[2000 + k].n_lost == 5 and len(got[k].common) == 1 and got[k].kept for k in range(40))
+    assert all(got[k].n_lost == 0 and got[k].kept for k in range(40, 1000))
+
+
 # -- secrets -----------------------------------------------------------------
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
