@@ -53,6 +53,10 @@ ARTICLE_PARTS = frozenset(("header", "banner"))
 CLOSED_BY = {"li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")),
              "tr": frozenset(("tr", "td", "th")), "td": frozenset(("td", "th")), "th": frozenset(("td", "th")),
              "option": frozenset(("option",))}
+#: Elements that may stand in the head of a page; the start of any other ends it, as its author may leave out the end tag.
+HEAD_PARTS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+#: What ends a markup comment, also wrongly written.
+COMMENT_END = re.compile(r"--(?:\s*|!)>")
 #: Elements beyond which such an end is not looked for.
 SCOPE = frozenset(("table", "ul", "ol", "dl", "article", "section", "div", "body", "main", "nav", "aside", "form"))
 
@@ -130,6 +134,24 @@ class _Blocks(HTMLParser):
         self.words = self.linked = 0
         self.has_article = False
 
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """The end of the comment at ``i``: pages are fed whole, so one that has no end hides the rest."""
+        for empty in (">", "->"):
+            if self.rawdata.startswith(empty, i + 4):
+                return i + 4 + len(empty)
+        end = COMMENT_END.search(self.rawdata, i + 4)
+        return end.end() if end else len(self.rawdata)
+
+    def parse_marked_section(self, i: int, report: bool = True) -> int:
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:         # a declaration that the parser gives up on
+            return self.parse_bogus_comment(i)
+
+    def _end_head(self) -> None:
+        while any(x[0] == "head" for x in self.open):
+            self._pop()
+
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
@@ -173,6 +195,8 @@ class _Blocks(HTMLParser):
         return bool(found - ARTICLE_PARTS if self.articles else found)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in ("body", "article", "main") or tag not in HEAD_PARTS and self.open and self.open[-1][0] == "head":
+            self._end_head()
         if tag == "br":
             self.parts.append(" ")
         if tag in BLOCK:
@@ -184,9 +208,6 @@ class _Blocks(HTMLParser):
             self._close(frozenset(("a",)), SCOPE | {"p", "li", "td"})
         if tag in VOID:
             return
-        if tag in ("body", "article", "main"):
-            while self.unseen and any(x[0] == "head" for x in self.open):
-                self._pop()
         own = dict(attrs)
         entry = (tag, self._is_furniture(tag, own), "k" in own)
         self.open.append(entry)
@@ -203,6 +224,8 @@ class _Blocks(HTMLParser):
             self._close(frozenset((tag,)), frozenset())
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][0] == "head" and not data.isspace():
+            self._end_head()
         if self.unseen:
             return
         self.parts.append(data)
@@ -213,10 +236,7 @@ class _Blocks(HTMLParser):
 
 def blocks_of(html: str) -> tuple[list[Block], bool]:
     """The blocks of a page, and whether it marks an article."""
-    begun = html.rfind("<!--")
-    if begun >= 0 and html.find("-->", begun) < 0:       # a comment that never ends hides the rest
-        html = html[:begun]
-    for source in (html, html.replace("<!", "&lt;!").replace("<?", "&lt;?")):
+    for source in (html, re.sub(r"<(?=!(?!--)|\?)", "&lt;", html)):
         parser = _Blocks()
         try:
             parser.feed(source)

@@ -326,6 +326,25 @@ def test_main_text(html, text):
     assert html_extract.main_text(html, html_extract.trained()) == text
 
 
+ARTICLE = "<article><h1>Title</h1><p>The text.</p></article>"
+PROSE = "The harbour was built when the town had no more than forty houses and a chapel, and for long it was the only safe place."
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<script>var s='<!--';</script>{ARTICLE}", "Title\n\nThe text."),
+    (f"<script><!-- hidden\nrun();\n</script>{ARTICLE}", "Title\n\nThe text."),
+    (f"<p title='<!--'></p>{ARTICLE}", "Title\n\nThe text."),
+    (f"<!-- note --!>{ARTICLE}", "Title\n\nThe text."), (f"<!-->{ARTICLE}", "Title\n\nThe text."),
+    (f"{ARTICLE}<!-- never <p>closed", "Title\n\nThe text."),
+    (f"<![if x]><!-- note -->{ARTICLE}<!-- never <p>closed", "Title\n\nThe text."),
+    (f"<head><title>T</title><meta name=a><noscript><img src=a></noscript><style>p {{}}</style><h1>Title</h1><p>{PROSE}</p>",
+     f"Title\n\n{PROSE}"),
+    (f"<html><head><title>T</title><div>{PROSE}</div>", PROSE), (f"<head><title>T</title>\n{PROSE}", PROSE),
+    (f"<head><title>a <b>bold</b> title</title></head><p>{PROSE}", PROSE)])
+def test_nothing_is_lost_behind_comments_and_heads(html, text):
+    assert html_extract.main_text(html, html_extract.trained()) == text
+
+
 def test_op9_takes_the_articles(spark):
     import html
     import re
