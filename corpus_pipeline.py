@@ -37,15 +37,18 @@ def _rows(found: DataFrame, docs: DataFrame, text=None) -> DataFrame:
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    scored = toxicity.scores(docs, table(spark, sf_dir, "labels"))
-    toxic = stored(scored.where("predicted = 1 and doc_id is not null").select("doc_id").distinct(), "toxic")
-    return docs.join(toxic, "doc_id", "left_anti").select(*docs.columns)
+    # A row goes by the score of its own text, whatever its doc_id.
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    scored = toxicity.scores(docs.select("doc_id", "text", digest.alias("digest")), table(spark, sf_dir, "labels"), "digest")
+    toxic = stored(scored.where("predicted = 1").select("digest").distinct(), "toxic")
+    return docs.join(toxic, digest == toxic["digest"], "left_anti").select(*docs.columns)
 
 
 def with_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = quality.judged(_with_row(docs, "text", "source")).where("kept")
     clean = F.when(F.size("common") > 0, quality.without_common_lines(F.col("text"), F.col("common"))).otherwise(F.col("text"))
-    return _rows(found, docs, clean)
+    # Stored, as the filter of a later stage would pull the whole expression of the text into itself.
+    return stored(_rows(found, docs, clean), "clean")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,10 +24,11 @@ is one row with the documents that hold it.
 
 Labels enter only for rows whose crc32(doc_id as text) modulo 5 is not 0;
 neither labels nor lang, source or doc_id are inputs of a score.  Null and
-empty texts have no evidence and score the curve's value at 0, as do all texts
-if a class has no training row (then 0.5).  Of several labels of one doc_id
-the larger toxic value counts; null labels are ignored.  Repeated rows score
-alike; extra columns are not read.
+empty texts have no evidence and score the curve's value at 0.  If a class has
+no training row, nothing tells the classes apart: all texts score 0.5, and none
+is predicted to be toxic.  Of several labels of one doc_id the larger toxic
+value counts; null labels are ignored.  A score depends on the row's own text
+alone, so rows with equal texts score alike; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -389,16 +390,16 @@ def _binned(c: str) -> Column:
     return (F.round(bound / BIN_WIDTH) * BIN_WIDTH).alias(c)
 
 
-def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted), a row for each row of ``docs``."""
-    docs = docs.select("doc_id", "text")
+def scores(docs: DataFrame, labels: DataFrame, *keys: str) -> DataFrame:
+    """(doc_id, keys, held_out, score, predicted), a row for each row of ``docs``; ``keys`` are more of its columns."""
+    docs = docs.select("doc_id", *keys, "text")
     chosen = training_labels(labels.select("doc_id", "toxic"))
     texts = stored(docs.join(chosen, "doc_id").select("doc_id", "text", "toxic"), "training")
     _free_shuffles(docs.sparkSession)
     model = Model(texts)
     if not model.complete:
-        return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.lit(0.5).alias("score"),
-                           F.lit(1).alias("predicted"))
+        return docs.select("doc_id", *keys, held_out(F.col("doc_id")).alias("held_out"), F.lit(0.5).alias("score"),
+                           F.lit(0).alias("predicted"))
     found = stored(_words_in_blocks(docs), "words")
     words = found.where("word is not null").select(F.col("word").alias("text")).distinct()
     blocks = stored(_with_expressions(words.withColumn("toxic", F.lit(None).cast("int"))), "blocks")
@@ -422,5 +423,5 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     discard(blocks, values)
     _free_shuffles(docs.sparkSession)
     score = 1 / (1 + F.exp(-(F.lit(a) * F.col("evidence") + F.lit(b) * F.col("clear") + F.lit(c))))
-    return evidence(found, told, ["doc_id"]).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+    return evidence(found, told, ["doc_id", *keys]).select(
+        "doc_id", *keys, held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))

@@ -439,6 +439,21 @@ def test_stages_keep_the_columns_and_do_their_work(spark, corpus):
     assert {r.doc_id for r in packed.collect()} == set(ids)
 
 
+def test_toxicity_stage_removes_rows_by_their_own_text(spark, tmp_path):
+    rows = labelled_corpus()
+    toxic, clean = "kvexba kvexlo kvexta", rows[1][1]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows] + [(None, toxic), (None, clean), (None, None), (7000, toxic), (7000, clean)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+    labels.write.parquet(f"{tmp_path}/some/labels.parquet")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.without_toxic(spark, docs, f"{tmp_path}/some").collect()]
+    assert {(None, clean), (None, None), (7000, clean)} <= set(kept) and toxic not in {t for _, t in kept}
+    # Where either class has no training row, nothing can be called toxic.
+    for name, few in (("clean", labels.where("toxic = 0")), ("toxic", labels.where("toxic = 1")), ("none", labels.limit(0))):
+        few.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        assert corpus_pipeline.without_toxic(spark, docs, f"{tmp_path}/{name}").count() == docs.count()
+
+
 def test_pipeline_runs_end_to_end(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and len({(r.doc_id, r.piece) for r in rows}) == len(rows)
