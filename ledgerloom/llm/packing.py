@@ -1,22 +1,21 @@
 """Best-fit packing of documents into sequences of a fixed token budget.
 
-Bulk-synchronous best fit.  Documents become pieces of at most ``budget``
-tokens.  Pieces are range-sorted by length, which gives every piece its rank
-among the pieces of equal length.  One superstep takes one length, longest
-first: all its pieces look for their successor, the smallest gap that holds
-them; of pieces that want the same gap the lower ranks win and the rest sweep
-on to the next larger gap; the gaps shrink, and pieces that found none open
-new sequences.  That repeats down to the shortest length, and gives exactly
-the packing of sequential best-fit decreasing.
-
-All pieces of one length are alike, and so are all sequences with the same
-gap.  The state between supersteps is therefore kept as runs: (gap, offset,
+Documents become pieces of at most ``budget`` tokens.  Pieces are range-sorted
+by length in Spark, which gives every piece its rank among the pieces of equal
+length.  There is no distributed sweep in which pieces look for their gaps: the
+sweeps are replaced by a plan over length counts.  ``plan_sweeps`` is a
+sequential best-fit-decreasing loop on the driver that takes one length at a
+time, longest first, puts its pieces into the smallest gaps that hold them and
+opens new sequences for the rest.  The result is exactly the packing of
+sequential best-fit decreasing.
+
+That works on counts since all pieces of one length are alike, and so are all
+sequences with the same gap.  The plan's state is kept as runs: (gap, offset,
 first sequence, number of sequences).  Its size depends on the number of
 different lengths, which the budget bounds, and not on the number of
-documents: one count per length is all that leaves the executors
-(``plan_sweeps``).  The sweeps themselves are applied where the pieces are:
-each range partition maps its pieces' (length, rank) to sequences by binary
-search in the published moves (``place``).
+documents: one count per length is all that leaves the executors.  The executors
+look up the finished moves: each range partition maps its pieces' (length,
+rank) to sequences by binary search (``place``).
 
 Null texts count as empty, and an empty text still holds its closing id, so
 every row has at least one piece.  Rows that repeat a ``doc_id`` are packed as
