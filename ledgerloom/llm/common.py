@@ -69,6 +69,20 @@ def discard(*tables: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: Bytes of Arrow data that a Python worker turns into Python objects at once.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in order, in parts of at most ``limit`` bytes; a longer row stands alone."""
+    if batch.num_rows <= 1 or batch.nbytes <= limit:
+        yield batch
+        return
+    half = batch.num_rows // 2
+    yield from slices(batch.slice(0, half), limit)
+    yield from slices(batch.slice(half), limit)
+
+
 def map_frames(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
                schema: T.StructType | str) -> DataFrame:
     """``mapInPandas`` with Python values: integers stay integers beside nulls, and a null is None."""

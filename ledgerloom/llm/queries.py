@@ -9,8 +9,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat, embeddings, html_extract, minhash, packing, quality, secret_scan, toxicity, warc
-from ledgerloom.llm.common import ship, table
+from ledgerloom.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    embeddings,
+    html_extract,
+    minhash,
+    packing,
+    periodic,
+    prefix_trie,
+    quality,
+    secret_scan,
+    toxicity,
+    warc,
+)
+from ledgerloom.llm.common import discard, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -137,3 +151,34 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message, tool call and tool result of the conversations in canonical JSON, in topological order."""
     tools = chat.tool_schemas(spark, TOOLS, {"search": ["query"]})
     return chat.documents(table(spark, sf_dir, "conversations"), tools)
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    rows = prefix_trie.rebuilt(table(spark, sf_dir, "conversations"))
+    found = prefix_trie.trie(rows)
+    discard(rows)
+    return found
+
+
+@query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What benchmark items leave in every document."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of them with a repeated tail."""
+    found = periodic.with_runs(periodic.with_repeats(table(spark, sf_dir, "documents")))
+    line = lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period")))
+    best = F.col("strongest")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+                        best["length"].alias("length"), best["period"].alias("period"),
+                        F.floor(best["length"] * 1000 / best["period"]).cast("long").alias("exponent_milli"),
+                        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
