@@ -83,7 +83,7 @@ def pieces(docs: DataFrame, path: str, budget: int = BUDGET, end_id: int = END_I
                     own = ids[start:start + length]
                     row = (doc_id, k, start, length, zlib.crc32(own.tobytes()))
                     rows.append((*row, own.astype(np.int32)) if with_ids else row)
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return map_frames(docs.select("doc_id", "text"), run, T.StructType(fields))
 

@@ -193,8 +193,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
             for name, content in zip(pdf["path"], pdf["content"], strict=True):
                 data = gzip.decompress(content) if name.endswith(".gz") else content
                 rows = _captures(name.rsplit("/", 1)[-1], data)
-                out = pd.DataFrame(rows, columns=RECORD.names).astype(object)
-                yield out.where(out.notna(), None)
+                yield pd.DataFrame(rows, columns=RECORD.names, dtype=object)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
     return map_frames(files, run, RECORD)
