@@ -84,14 +84,18 @@ def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.Recor
 
 
 def map_frames(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
-               schema: T.StructType | str) -> DataFrame:
-    """``mapInPandas`` with Python values: integers stay integers beside nulls, and a null is None."""
+               schema: T.StructType | str, limit: int | None = None) -> DataFrame:
+    """``mapInPandas`` with Python values: integers stay integers beside nulls, and a null is None.
+
+    With ``limit`` a frame holds a slice of an Arrow batch of at most so many
+    bytes, so a worker never holds a whole batch of texts as Python objects.
+    """
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     target = to_arrow_schema(fields)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frames = (pd.DataFrame({n: pd.Series(c.to_pylist(), dtype=object) for n, c in zip(b.schema.names, b.columns, strict=True)})
-                  for b in parts)
+                  for whole in parts for b in (slices(whole, limit) if limit else [whole]))
         for pdf in run(frames):
             arrays = [pa.array(pdf[f.name].tolist(), f.type, from_pandas=True) for f in target]
             yield pa.RecordBatch.from_arrays(arrays, schema=target)

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import components, discard, map_frames, stored
+from ledgerloom.llm.common import SLICE_BYTES, components, discard, map_frames, stored
 
 WORDS = 5
 PERCENT = 75
@@ -49,7 +49,7 @@ LOW_BITS = 2
 #: Minima of the longer signature.
 WIDE = 768
 #: Standard errors that an estimate may lie below the threshold before a pair goes.
-SLACK = 4.5
+SLACK = 5.0
 
 _HASHES = BANDS * ROWS
 _rng = np.random.default_rng(20240601)
@@ -69,7 +69,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class _WordHash(dict):
     """word -> 64-bit hash, remembered for up to so many words."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -145,7 +145,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                                 "sig": [s if ok else None for s, ok in zip(sig, some, strict=True)],
                                 "bands": [k if ok else None for k, ok in zip(key, some, strict=True)]})
 
-    return map_frames(docs.select("doc_id", "text"), run, schema)
+    return map_frames(docs.select("doc_id", "text"), run, schema, SLICE_BYTES)
 
 
 def estimate(a: Column, b: Column, hashes: int = _HASHES) -> Column:
@@ -205,15 +205,13 @@ def _full_sets(docs: DataFrame, wide: bool = False) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _WordHash()
         for pdf in batches:
-            for at in range(0, len(pdf), 512):
-                part = pdf.iloc[at:at + 512]
-                sets = [shingles(t, hashes) for t in part["text"]]
-                ids = np.array([_set_id(x) for x in sets], np.int64).reshape(-1, 2)
-                values = list(packed(np.array([minima(x, WIDE) for x in sets]))) if wide else [x.view(np.int64) for x in sets]
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "set_lo": ids[:, 0], "set_hi": ids[:, 1],
-                                    "shingles": pd.Series(values, dtype=object)})
-
-    return map_frames(docs.select("doc_id", "text"), run, schema)
+            sets = [shingles(t, hashes) for t in pdf["text"]]
+            ids = np.array([_set_id(x) for x in sets], np.int64).reshape(-1, 2)
+            values = list(packed(np.array([minima(x, WIDE) for x in sets]))) if wide else [x.view(np.int64) for x in sets]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "set_lo": ids[:, 0], "set_hi": ids[:, 1],
+                                "shingles": pd.Series(values, dtype=object)})
+
+    return map_frames(docs.select("doc_id", "text"), run, schema, SLICE_BYTES)
 
 
 def _of_classes(docs: DataFrame, classes: DataFrame, wanted: DataFrame, wide: bool = False) -> DataFrame:
