@@ -19,8 +19,9 @@ All counts are exact tables keyed by expressions and contexts, which grow with
 the corpus; none is gathered on the driver or sent to all executors.  Every
 different expression of the documents is looked up once, by joins.  Its value
 then goes back to blocks of different words (a block's expressions are made
-different first), and the words' evidence to blocks of documents, where a word
-is one row with the documents that hold it.
+different first), and the words' evidence to blocks of documents: only a block's
+different words are sent out and only their values back, and they are added up
+where the block's numbered words are.
 
 Labels enter only for rows whose crc32(doc_id as text) modulo 5 is not 0;
 neither labels nor lang, source or doc_id are inputs of a score.  Null and
@@ -34,20 +35,19 @@ alone, so rows with equal texts score alike; extra columns are not read.
 from __future__ import annotations
 
 import functools
-import gc
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgerloom.llm.common import discard, map_frames, stored
+from ledgerloom.llm.common import SLICE_BYTES, discard, map_frames, slices, stored
 
 ORDER = 6
 FOLDS = 5
@@ -59,8 +59,8 @@ CLEAR = 2.5
 CURVE_ROWS = 4000
 #: Width and largest value of the bins of evidence from which the logistic curve is fitted.
 BIN_WIDTH, BIN_LIMIT = 0.02, 3.0
-#: A block ends with the row that brings it to so many documents, words or different expressions.
-BLOCK_DOCS, BLOCK_WORDS, BLOCK_GRAMS = 1 << 14, 1 << 22, 1 << 17
+#: A block ends with the slice or row that brings it to so many documents, words, different words or expressions.
+BLOCK_DOCS, BLOCK_WORDS, BLOCK_KINDS, BLOCK_GRAMS = 1 << 16, 1 << 23, 1 << 19, 1 << 17
 _PAD, _END = "\x02", "\x03"
 #: Counts of an expression and its context by class (toxic, ordinary); different characters after the context, last of both.
 _COUNTS = ("a", "b", "total_a", "total_b", "kinds_a", "kinds_b", "kinds")
@@ -111,7 +111,7 @@ def _word_counts(labelled: DataFrame) -> DataFrame:
                     counts = (Counter(), Counter())
         yield out()
 
-    parts = map_frames(labelled, run, "word string, toxic long, ordinary long")
+    parts = map_frames(labelled, run, "word string, toxic long, ordinary long", SLICE_BYTES)
     return parts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
@@ -199,12 +199,6 @@ def _told(values: np.ndarray, times: np.ndarray) -> tuple[float, float]:
     return float((values * times).sum() / n), float((np.maximum(values - CLEAR, 0) * times).sum() / n)
 
 
-def _free_shuffles(spark: SparkSession) -> None:
-    """Shuffle files go once nothing refers to them, which the driver notices only when it collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _block_ids() -> Iterator[int]:
     at = TaskContext.get().partitionId() << 32
     while True:
@@ -237,7 +231,7 @@ def _with_expressions(rows: DataFrame) -> DataFrame:
         if texts:
             yield out()
 
-    return map_frames(rows.select("text", "toxic"), run, "block long, gram string, text string, toxic int")
+    return map_frames(rows.select("text", "toxic"), run, "block long, gram string, text string, toxic int", SLICE_BYTES)
 
 
 def _of_blocks(blocks: DataFrame, values: DataFrame, columns: tuple[str, ...], run, schema: str) -> DataFrame:
@@ -300,48 +294,50 @@ def evidence_without_own(blocks: DataFrame, values: DataFrame, discounts: tuple[
 
 
 def _words_in_blocks(docs: DataFrame) -> DataFrame:
-    """(block, word, docs, times, keys...): of every block of documents, its words with the documents that hold them.
+    """(block, place, word, words, times, keys...): documents in blocks, whose words are numbered.
 
-    Without a word, a row is the document of that place, with the other
-    columns of ``docs``.
+    A row with a word is that word of the block and its number (``place``).  A
+    row without is a document: the numbers of its different words, ascending and
+    as differences, how often it holds each, and the other columns of ``docs``.
     """
     keys = [f for f in docs.schema if f.name != "text"]
-    fields = T.StructType([T.StructField("block", T.LongType()), T.StructField("word", T.StringType()),
-                           T.StructField("docs", T.ArrayType(T.ShortType())), T.StructField("times", T.ArrayType(T.IntegerType())), *keys])
+    fields = T.StructType([T.StructField("block", T.LongType()), T.StructField("place", T.IntegerType()),
+                           T.StructField("word", T.StringType()), T.StructField("words", T.BinaryType()),
+                           T.StructField("times", T.BinaryType()), *keys])
     target = to_arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _block_ids()
+        block, index, docs_held, held = next(ids), {}, 0, 0
 
-        def out(rows: pa.RecordBatch, numbers: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
-            block, n = next(ids), len(rows)
-            place = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32), pa.array(np.arange(n, dtype=np.int16)))
-            no_times = pa.nulls(n, target.field("times").type)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.nulls(n, pa.string()), place, no_times,
-                                              *(rows.column(f.name).cast(target.field(f.name).type) for f in keys)], schema=target)
-            word = np.concatenate(numbers).astype(np.int64)
-            doc = np.repeat(np.arange(n), [len(x) for x in numbers])
-            pairs, times = np.unique(word << 15 | doc, return_counts=True)
-            starts = np.searchsorted(pairs >> 15, np.arange(len(names) + 1)).astype(np.int32)
-            docs_of, times = (pairs & 0x7FFF).astype(np.int16), times.astype(np.int32)
+        def numbered() -> Iterator[pa.RecordBatch]:
+            names = [*index]
             for lo in range(0, len(names), 50_000):
-                hi = min(lo + 50_000, len(names))
-                a, b = starts[lo], starts[hi]
-                lists = [pa.ListArray.from_arrays(starts[lo:hi + 1] - a, pa.array(x[a:b])) for x in (docs_of, times)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(hi - lo, block)), pa.array(names[lo:hi], pa.string()), *lists,
-                                                  *(pa.nulls(hi - lo, target.field(f.name).type) for f in keys)], schema=target)
-
-        for batch in batches:
-            texts, numbers, index, first, held = batch.column("text").to_pylist(), [], defaultdict(), 0, 0
-            index.default_factory = index.__len__
-            for k, text in enumerate(texts):
-                own = words_of(text)
-                numbers.append(np.fromiter(map(index.__getitem__, own), np.int32, len(own)))
-                held += len(own)
-                if len(numbers) >= BLOCK_DOCS or held >= BLOCK_WORDS or k + 1 == len(texts):
-                    yield from out(batch.slice(first, k + 1 - first), numbers, [*index])
-                    numbers, first, held = [], k + 1, 0
-                    index.clear()
+                part = names[lo:lo + 50_000]
+                n = len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, block)), pa.array(np.arange(lo, lo + n, dtype=np.int32)), pa.array(part, pa.string()),
+                     *(pa.nulls(n, target.field(c).type) for c in ("words", "times", *(f.name for f in keys)))], schema=target)
+
+        for whole in batches:
+            for batch in slices(whole):
+                lists, times = [], []
+                for text in batch.column("text"):
+                    own = words_of(text.as_py())
+                    at = np.fromiter((index.setdefault(w, len(index)) for w in own), np.int32, len(own))
+                    kinds, n = np.unique(at, return_counts=True)
+                    lists.append(np.diff(kinds, prepend=np.int32(0)).astype("<i4").tobytes())
+                    times.append(n.astype("<i4").tobytes())
+                    held += len(own)
+                n = batch.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, block)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string()), pa.array(lists, pa.binary()),
+                     pa.array(times, pa.binary()), *(batch.column(f.name).cast(target.field(f.name).type) for f in keys)], schema=target)
+                docs_held += n
+                if docs_held >= BLOCK_DOCS or held >= BLOCK_WORDS or len(index) >= BLOCK_KINDS:
+                    yield from numbered()
+                    block, index, docs_held, held = next(ids), {}, 0, 0
+        yield from numbered()
 
     return docs.mapInArrow(run, fields)
 
@@ -349,17 +345,25 @@ def _words_in_blocks(docs: DataFrame) -> DataFrame:
 def evidence(found: DataFrame, words: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, evidence, clear): difference of log-likelihoods per word of the whole text, and its clear part.
 
-    ``found`` is of ``_words_in_blocks``, ``words`` of ``word_evidence``.
+    ``found`` is of ``_words_in_blocks``, ``words`` of ``word_evidence``.  Only a
+    block's different words meet the values; the sums are taken in the block.
     """
-    each = (found.where("word is not null").select("block", "word", "docs", "times").join(words, "word")
-            .select("block", "value", F.explode(F.arrays_zip("docs", "times")).alias("x"))
-            .select("block", F.col("x.docs").alias("doc"), "value", F.col("x.times").alias("times")))
-    clear = F.greatest(F.col("value") - CLEAR, F.lit(0.0))
-    sums = each.groupBy("block", "doc").agg(F.sum(F.col("value") * F.col("times")).alias("evidence"),
-                                            F.sum(clear * F.col("times")).alias("clear"), F.sum("times").alias("n"))
-    rows = found.where("word is null").select("block", F.get("docs", F.lit(0)).alias("doc"), *keys)
-    per_word = lambda c: F.coalesce(F.col(c) / F.col("n"), F.lit(0.0)).alias(c)
-    return rows.join(sums, ["block", "doc"], "left").select(*keys, per_word("evidence"), per_word("clear"))
+    values = (found.where("word is not null").select("block", "place", "word").join(words, "word")
+              .select(F.col("block").alias("of_block"), "place", "value"))
+    docs = found.where("word is null").select("block", "words", "times", *keys)
+    fields = T.StructType([*(found.schema[k] for k in keys), T.StructField("evidence", T.DoubleType()),
+                           T.StructField("clear", T.DoubleType())])
+    target = to_arrow_schema(fields)
+
+    def of(own: pa.Table, block: pa.Table) -> pa.Table:
+        value = np.zeros(own.num_rows)
+        value[own["place"].to_numpy()] = own["value"].to_numpy()
+        told = [_told(value[np.cumsum(np.frombuffer(w.as_py(), "<i4"))], np.frombuffer(n.as_py(), "<i4"))
+                for w, n in zip(block["words"], block["times"], strict=True)]
+        return pa.Table.from_arrays([*(block[k].cast(target.field(k).type) for k in keys),
+                                     *(pa.array([t[j] for t in told], pa.float64()) for j in (0, 1))], schema=target)
+
+    return values.groupBy("of_block").cogroup(docs.groupBy("block")).applyInArrow(of, fields)
 
 
 def fit_curve(bins: list[tuple[float, float, int, float]]) -> tuple[float, float, float]:
@@ -395,10 +399,9 @@ def scores(docs: DataFrame, labels: DataFrame, *keys: str) -> DataFrame:
     docs = docs.select("doc_id", *keys, "text")
     chosen = training_labels(labels.select("doc_id", "toxic"))
     texts = stored(docs.join(chosen, "doc_id").select("doc_id", "text", "toxic"), "training")
-    _free_shuffles(docs.sparkSession)
     model = Model(texts)
     if not model.complete:
-        return docs.select("doc_id", *keys, held_out(F.col("doc_id")).alias("held_out"), F.lit(0.5).alias("score"),
+        return docs.select("doc_id", *keys, held_out(F.col("doc_id")).alias("held_out"), F.lit(0.0).alias("score"),
                            F.lit(0).alias("predicted"))
     found = stored(_words_in_blocks(docs), "words")
     words = found.where("word is not null").select(F.col("word").alias("text")).distinct()
@@ -407,7 +410,6 @@ def scores(docs: DataFrame, labels: DataFrame, *keys: str) -> DataFrame:
     values = stored(model.values(grams), "values")
     model.discard()
     discard(grams)
-    _free_shuffles(docs.sparkSession)
     # The curve is fitted on at most CURVE_ROWS texts of each class, chosen by a hash of the doc_id.
     held = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     rate = {y: min(1.0, CURVE_ROWS / n) for y, n in held.items()}
@@ -417,11 +419,9 @@ def scores(docs: DataFrame, labels: DataFrame, *keys: str) -> DataFrame:
             .groupBy(_binned("evidence"), _binned("clear"), "toxic").count().collect())
     bins = [(r["evidence"], r["clear"], r["toxic"], r["count"] / rate[r["toxic"]]) for r in bins]
     discard(texts, curve_blocks)
-    _free_shuffles(docs.sparkSession)
     a, b, c = fit_curve(bins)
     told = stored(word_evidence(blocks, values), "evidence")
     discard(blocks, values)
-    _free_shuffles(docs.sparkSession)
     score = 1 / (1 + F.exp(-(F.lit(a) * F.col("evidence") + F.lit(b) * F.col("clear") + F.lit(c))))
     return evidence(found, told, ["doc_id", *keys]).select(
         "doc_id", *keys, held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))

@@ -210,7 +210,7 @@ def test_toxicity_counts_are_exact(spark, monkeypatch):
 def test_toxicity_without_a_class(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
-    assert {r.score for r in toxicity.scores(docs, labels).collect()} == {0.5}
+    assert {(r.score, r.predicted) for r in toxicity.scores(docs, labels).collect()} == {(0.0, 0)}
     assert toxicity.scores(docs.limit(0), labels.limit(0)).count() == 0
 
 
@@ -464,3 +464,44 @@ def test_stages_on_an_empty_table(spark, corpus):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_dedup_stage_tells_texts_of_one_id_apart(spark):
+    first, second = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(2**60 + 3, first, 1), (2**60 + 3, second, 2), (2**60 + 3, first, 3), (None, first, 4), (None, second + " end", 5),
+            (7, " ".join(f"c{k}" for k in range(60)), 6), (None, None, 7), (None, None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row long").repartition(3)
+    kept = corpus_pipeline.one_of_each(spark, docs, SF)
+    assert kept.columns == docs.columns
+    texts = sorted((str(r.doc_id), r.text) for r in kept.collect() if r.text)
+    assert texts == sorted([(str(2**60 + 3), first), (str(2**60 + 3), second), ("7", rows[5][1])])
+
+
+# -- large ids ----------------------------------------------------------------
+BIG = [2**60 + 1, None, 2**60 + 3, 2**53 + 1, 0]
+
+
+def ids(df, name="doc_id"):
+    return sorted((r[name] for r in df.select(name).collect()), key=lambda x: (x is not None, x or 0))
+
+
+def test_ids_above_a_double_beside_nulls(spark):
+    """Every operator returns the ids it was given."""
+    from ledgerloom.llm import bpe, packing
+    from ledgerloom.llm.queries import VOCABULARY
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(60)) + " password = hunter22"
+    docs = spark.createDataFrame([(d, text(k), "s") for k, d in enumerate(BIG)], "doc_id long, text string, source string").coalesce(1)
+    want = sorted(BIG, key=lambda x: (x is not None, x or 0))
+    labels = spark.createDataFrame([(d, k % 2) for k, d in enumerate(BIG)], "doc_id long, toxic int")
+    for found in (minhash.near_duplicates(docs), toxicity.scores(docs, labels), packing.pack(docs, VOCABULARY),
+                  bpe.round_trip_digests(docs, VOCABULARY), quality.judged(docs), secret_scan.scanned(docs.select("doc_id", "text"))):
+        assert ids(found) == want
+    pages = spark.createDataFrame([(d, "http://u", f"<p>{text(k % 3)}</p>") for k, d in enumerate(BIG)],
+                                  "page_id long, url string, html string").coalesce(1)
+    assert ids(warc.round_trip(pages), "page_id") == ids(html_extract.extract(pages), "page_id") == want
+    # Equal pages: rows 0 and 3, and rows 1 (no id) and 4.
+    assert {r.refers_to for r in warc.round_trip(pages).collect()} == {None, 0, 2**53 + 1}
+    vectors = spark.createDataFrame([(d, [float(k), 1.0, 0.5, 2.0]) for k, d in enumerate(BIG)], "vec_id long, embedding array<double>")
+    assert ids(embeddings.near_duplicates(vectors), "vec_id") == want
+    talk = spark.createDataFrame([(d, 0, "user", "hi") for d in BIG], "conv_id long, turn long, role string, text string").coalesce(1)
+    assert ids(chat.documents(talk, chat.tool_schemas(spark, TOOLS, {})), "conv_id") == want
