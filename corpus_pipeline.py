@@ -12,6 +12,14 @@ Each stage takes all that the one before it kept and returns the columns of
 
 Where a stage changes a text, ``n_chars`` is counted anew.  ``run`` writes
 every stage's result to the shared folder and reads it again.
+
+Every stage decides by row.  Null and empty texts are not toxic and fail the
+quality rules (they have too few words).  Rows that repeat a doc_id, or have
+none, are documents of their own: a toxic one does not take others of its id
+with it, and near-dedup keeps the row of smallest doc_id (null last; ties: the
+smallest text) of each group, so of equal rows one stays, and different texts
+of one id both stay.  Further columns are carried along under any name; an
+empty table goes through as an empty table.
 """
 
 from __future__ import annotations
@@ -51,18 +59,23 @@ def with_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return stored(_rows(found, docs, clean), "clean")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with ``row``, a number in order of doc_id (null last) and text."""
+    order = [F.col("doc_id").asc_nulls_last(), F.col("text")]
+    return stored(docs.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"), F.monotonically_increasing_id().alias("row")), "rows")
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    found = stored(minhash.near_duplicates(docs), "components")
-    others = found.where("not kept").select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
-    # Rows that repeat the id of a kept document are copies of it as well.
-    again = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    again = stored(again, "repeated")
-    if again.isEmpty():
-        return kept
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(
-        kept.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    if docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+        found = stored(minhash.near_duplicates(docs), "components")
+        return docs.join(found.where("not kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    # Without an id of its own a row goes by its number, so that texts that share an id are told apart.
+    rows = _numbered(docs)
+    found = stored(minhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), F.col("whole.text").alias("text"))), "components")
+    others = found.where("not kept").select(F.col("doc_id").alias("row"))
+    return rows.join(others, "row", "left_anti").select(*(F.col("whole").getField(c).alias(c) for c in docs.columns))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
