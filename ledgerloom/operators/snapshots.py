@@ -14,6 +14,12 @@ aggregations, a 24-way union).  Here:
    generate - no join, no broadcast), emitting exactly one output row per
    (as_of, key) with no re-aggregation.
 
+``snapshot_totals`` answers sums over all keys of such balances without one
+row per key and month end: a running row's value enters at its month and leaves
+at the key's next active month, so the change at each active month is an event;
+events add up per (month, group), and one prefix sum over the few months of each
+group gives every month end.
+
 Sum, count, min and max compose this way; null dates drop out of every
 snapshot, null dims form their own group (as in ``GROUP BY``).
 """
@@ -22,7 +28,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -68,5 +74,44 @@ def cumulative_snapshots(df: DataFrame, date_col: str, dims: list[str], sums: di
     return out.drop("_month_start", "_month_end", "_next_month_end")
 
 
+def snapshot_totals(df: DataFrame, date_col: str, dims: list[str], sums: dict[str, str], values: dict[str, Column],
+                    start, end, group: list[str] = (), count_of: str | None = None, as_of_col: str = "as_of_date") -> DataFrame:
+    """Per month end in [start, end] and ``group`` (some of ``dims``): sums of ``values`` over the keys of ``dims``.
+
+    ``values`` are expressions over a key's running ``sums``; with ``count_of``
+    (one of ``dims``) the column ``different`` counts its distinct non-null
+    values among the keys that have a balance.  Equal to aggregating
+    ``cumulative_snapshots``, with one row per key and active month in place of
+    one per key and month end.  A group appears from its first entry on.
+    """
+    start, end, group = _date(start), _date(end), list(group)
+    keep = F.col(date_col).isNotNull() & (F.col(date_col) <= F.lit(end))
+    first_end = F.last_day(F.lit(start).cast("date"))
+    # Entries before the calendar count at its first month end.
+    month = F.greatest(F.last_day(F.col(date_col)), first_end).alias("_month")
+    monthly = df.where(keep).groupBy(*dims, month).agg(*(F.sum(src).alias(name) for name, src in sums.items()))
+    w = Window.partitionBy(*dims).orderBy("_month")
+    running = monthly.select(*dims, "_month", *(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(n) for n in sums))
+    held = running.select(*dims, "_month", *(v.alias(n) for n, v in values.items()))
+    change = lambda n: (F.col(n) - F.coalesce(F.lag(n).over(w), F.lit(0))).alias(n)
+    events = held.select(*dims, "_month", *(change(n) for n in values))
+    counted = [count_of] if count_of and count_of not in group else []
+    # Few rows from here on: one per month, group and counted value.
+    by_value = events.groupBy(*group, *counted, "_month").agg(*(F.sum(n).alias(n) for n in values))
+    if count_of:
+        seen = F.row_number().over(Window.partitionBy(*dict.fromkeys([*group, count_of])).orderBy("_month")) == 1
+        by_value = by_value.withColumn("different", F.when(F.col(count_of).isNotNull() & seen, 1).otherwise(0).cast("long"))
+    names = [*values, *(["different"] if count_of else [])]
+    by_month = by_value.groupBy(*group, "_month").agg(*(F.sum(n).alias(n) for n in names))
+    months = Window.partitionBy(*group).orderBy("_month")
+    totals = by_month.select(*group, "_month", F.lead("_month").over(months).alias("_next"),
+                             *(F.sum(n).over(months.rowsBetween(Window.unboundedPreceding, 0)).alias(n) for n in names))
+    last = F.coalesce(F.add_months(F.trunc("_next", "month"), -1), F.lit(end.replace(day=1)))
+    each = F.explode(F.sequence(F.trunc("_month", "month"), last, F.expr("interval 1 month"))).alias("_start")
+    out = (totals.where(F.trunc("_month", "month") <= last).select(*group, *names, each)
+           .withColumn(as_of_col, F.last_day("_start")))
+    return out.where((F.col(as_of_col) >= F.lit(start)) & (F.col(as_of_col) <= F.lit(end))).select(as_of_col, *group, *names)
+
+
 def _date(value) -> dt.date:
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(str(value))

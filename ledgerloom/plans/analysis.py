@@ -28,10 +28,6 @@ def _gl_accounts(spark, sf_dir, *accounts) -> DataFrame:
     return ledger.gl_for_accounts(lh.stg_revenue_transactions, lh.stg_spend_transactions, list(accounts), lh.run_ts)
 
 
-def _tb(spark, sf_dir) -> DataFrame:
-    return lakehouse(spark, sf_dir).fact_gl_trial_balances
-
-
 def _latest_tb(spark, sf_dir) -> DataFrame:
     """Rows of the latest trial-balance snapshot, computed as one aggregation."""
     lh = lakehouse(spark, sf_dir)
@@ -111,11 +107,16 @@ def q8(spark, sf_dir):
                                              "credit_balance")]))
 
 
+def _totals(spark, sf_dir, group, count_of=None) -> DataFrame:
+    lh = lakehouse(spark, sf_dir)
+    found = trial_balance.balance_totals(lh.fact_gl_entries, lh.tb_start, lh.tb_end, group, count_of)
+    return (found.drop("net_balance").withColumnRenamed("debit_balance", "total_debit_balance")
+            .withColumnRenamed("credit_balance", "total_credit_balance"))
+
+
 @query("q9_monthly_balance_summary")
 def q9(spark, sf_dir):
-    return (_tb(spark, sf_dir).groupBy("as_of_date")
-            .agg(_b("debit_balance").alias("total_debit_balance"), _b("credit_balance").alias("total_credit_balance"),
-                 F.count_distinct("account_number").alias("account_count")))
+    return _totals(spark, sf_dir, [], "account_number").withColumnRenamed("different", "account_count")
 
 
 @query("q10_latest_by_account_type")
@@ -154,8 +155,7 @@ def q12(spark, sf_dir):
 
 @query("q13_trend_by_month_end_and_type")
 def q13(spark, sf_dir):
-    return (_tb(spark, sf_dir).groupBy("as_of_date", "account_type")
-            .agg(_b("debit_balance").alias("total_debit_balance"), _b("credit_balance").alias("total_credit_balance")))
+    return _totals(spark, sf_dir, ["account_type"])
 
 
 @query("q14_latest_by_cost_center")

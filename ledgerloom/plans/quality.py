@@ -13,6 +13,7 @@ from ledgerloom.functions.keys import bucket, with_sequence_id
 from ledgerloom.functions.money import MONEY, ratio
 from ledgerloom.operators.bands import band
 from ledgerloom.operators.running import running_sum
+from ledgerloom.plans import trial_balance
 from ledgerloom.plans.registry import lakehouse, query
 from ledgerloom.plans.trial_balance import BALANCE
 from ledgerloom.sources.fixtures import AS_OF, Fixtures
@@ -42,7 +43,7 @@ def ledger_totals(gl: DataFrame) -> DataFrame:
 
 
 def month_end_balance(tb: DataFrame) -> DataFrame:
-    """V3: per month end, debit balances vs credit balances (flag within a cent)."""
+    """V3: per month end, debit balances vs credit balances (flag within a cent), of stored balances or their totals."""
     return (tb.groupBy("as_of_date")
             .agg(_b("debit_balance").alias("total_debits"), _b("credit_balance").alias("total_credits"))
             .withColumn("variance", (F.col("total_debits") - F.col("total_credits")).cast(BALANCE))
@@ -61,7 +62,8 @@ def v2(spark, sf_dir):
 
 @query("v3_month_end_balance")
 def v3(spark, sf_dir):
-    return month_end_balance(lakehouse(spark, sf_dir).fact_gl_trial_balances)
+    lh = lakehouse(spark, sf_dir)
+    return month_end_balance(trial_balance.balance_totals(lh.fact_gl_entries, lh.tb_start, lh.tb_end))
 
 
 # ---------------------------------------------------------------- contract coverage and utilisation

@@ -34,20 +34,15 @@ def materialize(df: DataFrame, spark: SparkSession, name: str, base: str | None
     return spark.read.parquet(path)
 
 
-#: Files into which one partition folder is spread.
-FILES_PER_FOLDER = 4
-
-
-def gathered(df: DataFrame, columns: list[str], files: int = FILES_PER_FOLDER) -> DataFrame:
-    """Rows dealt so that each folder of ``columns`` is written by at most ``files`` tasks.
+def gathered(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows dealt by folder of ``columns``, a large folder to as many tasks as its bytes ask for.
 
     Without this every task writes into every folder (tasks x folders files).
-    The salt, from the row's other values, spreads a folder that holds a large
-    share of the rows.
+    The rebalance leaves sizes to adaptive execution: it splits a folder above
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` by bytes, and lets one
+    task write several small ones, so files follow the data at any size.
     """
-    others = [c for c, kind in df.dtypes if c not in columns and not kind.startswith(("map", "variant"))]
-    salt = F.pmod(F.xxhash64(*others), F.lit(files)) if others else F.lit(0)
-    return df.withColumn("_salt", salt).repartition(*columns, "_salt").drop("_salt")
+    return df.hint("rebalance", *columns)
 
 
 def write_json_single(df: DataFrame, path: str) -> None:

@@ -8,6 +8,7 @@ from ledgerloom.plans.build import StoredLakehouse
 from ledgerloom.plans.registry import lakehouse
 from ledgerloom.sources import fixtures as fx
 from ledgerloom.sources.fixtures import Fixtures
+from ledgerloom.sources import sinks
 from ledgerloom.sources.sinks import new_scratch
 from ledgerloom.streaming.refresh import read_months, refresh_months
 from tests.conftest import SF_SMALL
@@ -47,13 +48,42 @@ def test_refresh_drops_months_that_became_empty(spark):
     assert [r.v for r in out.collect()] == [1]
 
 
-def test_refresh_writes_few_files(spark):
+def _folder_files(path):
     import glob
+    import os
+    import collections
+    return collections.Counter(os.path.basename(os.path.dirname(f)) for f in glob.glob(path.removeprefix("file:") + "/*/*.parquet"))
+
+
+def test_refresh_writes_few_files(spark):
     path = new_scratch(spark, "refresh")
     rows_ = spark.range(4000, numPartitions=16).select(
         F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 90).cast("int")).alias("d"), "id")
     refresh_months(rows_, path, "d")
-    assert len(glob.glob(path.removeprefix("file:") + "/*/*.parquet")) <= 3 * 4
+    assert _folder_files(path) == {f"period_month=2024-0{m}-01": 1 for m in (1, 2, 3)}
+
+
+def test_files_of_a_folder_follow_its_bytes(spark):
+    """A hot folder is written by many tasks, small folders by one each; no row is lost."""
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    hot = spark.range(300_000, numPartitions=24).select(F.lit("hot").alias("folder"), F.md5(F.col("id").cast("string")).alias("v"))
+    small = spark.range(2_000, numPartitions=4).select(F.concat(F.lit("s"), (F.col("id") % 5).cast("string")).alias("folder"),
+                                                       F.md5(F.col("id").cast("string")).alias("v"))
+    both = hot.unionByName(small)
+    spark.conf.set(advisory, "1m")
+    try:
+        found = {}
+        for size in ("1m", "4m"):
+            spark.conf.set(advisory, size)
+            path = new_scratch(spark, "follow")
+            sinks.materialize(both, spark, "t", path, ["folder"])
+            found[size] = _folder_files(f"{path}/t")
+            assert spark.read.parquet(f"{path}/t").groupBy("folder").count().count() == 6
+            assert rows(spark.read.parquet(f"{path}/t").select("folder", "v")) == rows(both)
+    finally:
+        spark.conf.unset(advisory)
+    assert found["1m"]["folder=hot"] >= 8 and 1 < found["4m"]["folder=hot"] < found["1m"]["folder=hot"]
+    assert all(n == 1 for counts in found.values() for f, n in counts.items() if f != "folder=hot")
 
 
 def test_materialize_reuses_one_folder(spark):
