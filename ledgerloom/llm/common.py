@@ -48,15 +48,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex[:12]}"
 
 
+#: Spark's setting to delete a query's shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it from there.
 
     Later steps start from files that every executor reaches, so a lost
-    executor costs a re-read and nothing upstream is computed twice.
+    executor costs a re-read and nothing upstream is computed twice.  Once the
+    table is written its shuffle files serve nothing, so Spark deletes them then.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
     out.stored_in = path
     return out
 
