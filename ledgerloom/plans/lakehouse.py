@@ -105,6 +105,14 @@ class Lakehouse:
     def fact_spend_recognition(self) -> DataFrame:
         return recognition.fact_spend_recognition(self.stg_commit_spend, self.stg_spend_transactions)
 
+    @cached_property
+    def fact_revenue_recognition_resolved(self) -> DataFrame:
+        return recognition.fact_revenue_recognition_resolved(self.stg_commit_revenue, self.stg_revenue_transactions)
+
+    @cached_property
+    def fact_spend_recognition_resolved(self) -> DataFrame:
+        return recognition.fact_spend_recognition_resolved(self.stg_commit_spend, self.stg_spend_transactions)
+
     # ledger
     @cached_property
     def fact_gl_entries(self) -> DataFrame:

@@ -83,6 +83,16 @@ def g8(spark, sf_dir):
     return lakehouse(spark, sf_dir).fact_revenue_recognition
 
 
+@query("g8_fact_revenue_recognition_resolved")
+def g8_resolved(spark, sf_dir):
+    return lakehouse(spark, sf_dir).fact_revenue_recognition_resolved
+
+
+@query("g6_fact_spend_recognition_resolved")
+def g6_resolved(spark, sf_dir):
+    return lakehouse(spark, sf_dir).fact_spend_recognition_resolved
+
+
 # ---------------------------------------------------------------- ledger
 @query("s6_stg_revenue_invoice_entries")
 def s6(spark, sf_dir):
@@ -252,3 +262,45 @@ def m2_supplier(spark, sf_dir):
     return metrics.cash_obligations(lh.stg_spend_transactions, lh.dim_all_contracts).query(
         ["supplier", "contract_status", "invoice_month"],
         ["total_invoice_amount", "outstanding_payables", "days_payable_outstanding", "invoice_count"])
+
+
+# ---------------------------------------------------------------- quarantine of dirty raw files (PF15, IO2)
+from pyspark.sql import functions as F  # noqa: E402
+
+from ledgerloom.sources import quarantine  # noqa: E402
+from ledgerloom.sources.fixtures import dirty_employee_lines, dirty_revenue_transactions  # noqa: E402
+
+
+def _dirty_lanes(spark, sf_dir, source):
+    """Raw files with planted faults, read through the checks."""
+    fx, root = Fixtures(spark, sf_dir), sinks.new_scratch(spark, "dirty")
+    if source == "employees":
+        dirty_employee_lines(fx).write.text(f"{root}/{readers.JSON_FOLDERS[source]}")
+    else:
+        # Without quoting a comma inside a field makes a line of too many fields.
+        (sinks.gathered(dirty_revenue_transactions(fx), ["month"]).write.option("header", "true").option("quote", "")
+         .partitionBy("month").csv(f"{root}/{readers.MONTH_FOLDERS[source]}"))
+    return quarantine.load(spark, root, source, sinks.new_scratch(spark, "lanes"))
+
+
+@query("io_quarantine_rejected")
+def io_rejected(spark, sf_dir):
+    """Every rejected row of both sources with its reasons; the key of a line that does not parse is read from the line."""
+    out = None
+    for source in ("revenue_transactions", "employees"):
+        found = _dirty_lanes(spark, sf_dir, source).rejected
+        key = F.coalesce(F.col(quarantine.KEYS[source]), F.regexp_extract("line", r"(\d+)", 1).try_cast("long"))
+        part = found.select(F.lit(source).alias("source"), key.alias("record_key"), F.array_join("reasons", "; ").alias("reasons"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _accepted(source):
+    def fn(spark, sf_dir):
+        """The accepted rows in their silver form."""
+        return readers.to_silver(_dirty_lanes(spark, sf_dir, source).accepted, source)
+    return fn
+
+
+for _src in ("revenue_transactions", "employees"):
+    query(f"io_quarantine_accepted_{_src}")(_accepted(_src))

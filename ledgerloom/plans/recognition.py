@@ -15,7 +15,7 @@ in one reducer.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import month_start
@@ -65,6 +65,59 @@ def recognize(commit: DataFrame, consumption: DataFrame) -> DataFrame:
     return c.join(t, cond, "full_outer")
 
 
+# How a row of the resolved recognition came about.
+MATCH_STEPS = ["exact", "party", "contract"]
+
+
+def match_in_steps(commit: DataFrame, consumption: DataFrame) -> DataFrame:
+    """Commitment and consumption matched in ranked steps, every row used once.
+
+    First rows that agree on all JOIN_KEYS, then what is left on contract, month
+    and party, then on contract and month.  Within a step both sides are ranked
+    by entity (then party) and equal ranks meet.  The result is that of
+    ``recognize`` (``c_`` / ``t_`` columns) with ``match_step``: a step, or
+    ``commit`` / ``consumption`` for rows that met none.
+
+    One exchange by (contract, month) serves all steps, since every window and
+    the final grouping are partitioned by these two and more.  A group holds the
+    few aggregated rows of one contract and month.  Rows without contract or
+    month never match and do not take part.
+    """
+    sides = []
+    for prefix, df in (("c", commit), ("t", consumption)):
+        sides.append(df.select(*JOIN_KEYS, F.lit(prefix).alias("side"), F.struct(*df.columns).alias(prefix)))
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    named = both.where("contract_id is not null and month is not null").repartition("contract_id", "month")
+    keys = {"exact": ["third_party_id", "legal_entity_id"], "party": ["third_party_id"], "contract": []}
+    open_rows = named.withColumn("match_step", F.lit(None).cast("string")).withColumn("nth", F.lit(None).cast("int"))
+    order = [F.asc_nulls_last("legal_entity_id"), F.asc_nulls_last("third_party_id")]
+    for step in MATCH_STEPS:
+        free = F.col("match_step").isNull()
+        for k in keys[step]:
+            free = free & F.col(k).isNotNull()
+        group = ["contract_id", "month", *keys[step], "_free"]
+        own = F.row_number().over(Window.partitionBy(*group, "side").orderBy(*order))
+        count = lambda side: F.count_if(F.col("side") == side).over(Window.partitionBy(*group))  # noqa: E731, B023
+        ranked = open_rows.withColumn("_free", free).withColumn("_nth", own)
+        met = F.col("_free") & (F.col("_nth") <= F.least(count("c"), count("t")))
+        ranked = ranked.withColumn("_met", met)
+        open_rows = (ranked.withColumn("match_step", F.when(F.col("_met"), F.lit(step)).otherwise(F.col("match_step")))
+                     .withColumn("nth", F.when(F.col("_met"), F.col("_nth")).otherwise(F.col("nth")))
+                     .drop("_free", "_nth", "_met"))
+    # A row that met none is alone under its side and its own keys.
+    alone = F.when(F.col("side") == "c", F.lit("commit")).otherwise(F.lit("consumption"))
+    party = F.when(F.col("match_step").isNull() | F.col("match_step").isin("exact", "party"), F.col("third_party_id"))
+    entity = F.when(F.col("match_step").isNull() | (F.col("match_step") == "exact"), F.col("legal_entity_id"))
+    paired = (open_rows.groupBy("contract_id", "month", F.coalesce("match_step", alone).alias("match_step"), party.alias("_party"),
+                                entity.alias("_entity"), F.coalesce("nth", F.lit(0)).alias("_nth"))
+              .agg(F.first("c", ignorenulls=True).alias("c"), F.first("t", ignorenulls=True).alias("t"))
+              .select("match_step", "c", "t"))
+    never = both.where("contract_id is null or month is null").select(alone.alias("match_step"), "c", "t")
+    wide = paired.unionByName(never)
+    return wide.select(*(F.col("c").getField(x).alias(f"c_{x}") for x in commit.columns),
+                       *(F.col("t").getField(x).alias(f"t_{x}") for x in consumption.columns), "match_step")
+
+
 def _recognition_select(j: DataFrame, name_col: str, amount_col: str, measures: list[str]) -> DataFrame:
     present = F.col("t_period_transaction_count").isNotNull()
     return j.select(
@@ -82,6 +135,7 @@ def _recognition_select(j: DataFrame, name_col: str, amount_col: str, measures:
         F.col("t_period_transaction_count").alias("period_transaction_count"),
         *[F.col("t_" + m).alias(m) for m in measures],
         F.col("t_contract_id").alias("trx_contract_id"),
+        *(["match_step"] if "match_step" in j.columns else []),
     )
 
 
@@ -127,6 +181,12 @@ def fact_revenue_recognition(commit_revenue: DataFrame, stg_rev: DataFrame) -> D
     return _recognition_select(j, "customer_name", "rev_sku_all", REVENUE_MEASURES)
 
 
+def fact_revenue_recognition_resolved(commit_revenue: DataFrame, stg_rev: DataFrame) -> DataFrame:
+    """G8 without double recognition (D5): legal entities may differ where nothing agrees on all keys."""
+    j = match_in_steps(_commit_side(commit_revenue), revenue_consumption(stg_rev))
+    return _recognition_select(j, "customer_name", "rev_sku_all", REVENUE_MEASURES)
+
+
 SPEND_MEASURES = ["spend_amount", "spend_linear_payments", "spend_nonlinear_payments"]
 
 
@@ -149,3 +209,9 @@ def fact_spend_recognition(commit_spend: DataFrame, stg_spend: DataFrame) -> Dat
     follow the reference, including its revenue wording (D6)."""
     j = recognize(_commit_side(commit_spend), spend_consumption(stg_spend))
     return _recognition_select(j, "supplier_name", "spend_amount", SPEND_MEASURES)
+
+
+def fact_spend_recognition_resolved(commit_spend: DataFrame, stg_spend: DataFrame) -> DataFrame:
+    """G6 without double recognition."""
+    j = match_in_steps(_commit_side(commit_spend), spend_consumption(stg_spend))
+    return _recognition_select(j, "supplier_name", "spend_amount", SPEND_MEASURES)

@@ -304,3 +304,40 @@ class Fixtures:
                 .alias("hire_date"),
             )
         return self._memo("emp", build)
+
+
+# -- planted faults of raw files ------------------------------------------------
+def dirty_revenue_transactions(fx: Fixtures) -> DataFrame:
+    """Raw revenue transactions as text fields, some of them wrong, with their month folder.
+
+    By rev_trx_id k: k % 97 = 3 has a word as amount, k % 89 = 5 a word as date,
+    k % 101 = 7 a contract number as contract_id, k % 113 = 11 one field too many.
+    """
+    from ledgerloom.sources.sinks import to_bronze
+
+    raw = to_bronze(fx.revenue_transactions, "revenue_transactions")
+    k = F.col("rev_trx_id")
+    text = {c: F.col(c).cast("string") for c in raw.columns}
+    text["amount"] = F.when(k % 97 == 3, F.lit("n/a")).otherwise(text["amount"])
+    text["amount"] = F.when(k % 113 == 11, F.concat(text["amount"], F.lit(",extra"))).otherwise(text["amount"])
+    text["transaction_date"] = F.when(k % 89 == 5, F.lit("someday")).otherwise(text["transaction_date"])
+    text["contract_id"] = F.when(k % 101 == 7, F.lit("C-17")).otherwise(text["contract_id"])
+    month = F.date_format(F.timestamp_seconds("transaction_date"), "yyyy_MM")
+    return raw.select(*(v.alias(c) for c, v in text.items()), month.alias("month"))
+
+
+def dirty_employee_lines(fx: Fixtures) -> DataFrame:
+    """Raw employees as JSON lines, some of them wrong.
+
+    By employee_id k: k % 31 = 4 is cut off after 30 characters, k % 37 = 2 has a
+    word as salary, k % 41 = 1 no employee_id.
+    """
+    from ledgerloom.sources.sinks import to_bronze
+
+    raw = to_bronze(fx.employees, "employees")
+    k = F.col("employee_id")
+    own = [F.when(k % 41 != 1, k).alias("employee_id"), "employee_name",
+           F.when(k % 37 == 2, F.lit("lots")).otherwise(F.col("salary").cast("string")).alias("salary"),
+           *(c for c in raw.columns if c not in ("employee_id", "employee_name", "salary"))]
+    line = F.to_json(F.struct(*own))
+    return raw.select(F.when(k % 31 == 4, F.substring(line, 1, 30)).otherwise(line).alias("value"))
