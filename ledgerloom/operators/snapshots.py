@@ -35,11 +35,12 @@ from pyspark.sql import functions as F
 def cumulative_snapshots(df: DataFrame, date_col: str, dims: list[str], sums: dict[str, str],
                          start, end, as_of_col: str = "as_of_date",
                          count_col: str | None = "entry_count", first_col: str | None = "first_entry_date",
-                         last_col: str | None = "last_entry_date") -> DataFrame:
+                         last_col: str | None = "last_entry_date", opening: DataFrame | None = None) -> DataFrame:
     """Balances of ``sums`` (output name -> input column) at every month end in [start, end].
 
     Entries after ``end`` are filtered out before any aggregation (pushed
-    towards the scan).
+    towards the scan).  ``opening`` (rows of an earlier result at one month end)
+    stands for all entries up to then; ``df`` then holds only later ones.
     """
     start = _date(start)
     end = _date(end)
@@ -52,6 +53,9 @@ def cumulative_snapshots(df: DataFrame, date_col: str, dims: list[str], sums: di
     if last_col:
         aggs.append(F.max(date_col).alias(last_col))
     monthly = df.where(keep).groupBy(*dims, F.last_day(F.col(date_col)).alias("_month_end")).agg(*aggs)
+    if opening is not None:
+        monthly = monthly.unionByName(opening.select(
+            *dims, F.col(as_of_col).alias("_month_end"), *sums, *(c for c in (count_col, first_col, last_col) if c)))
     w = Window.partitionBy(*dims).orderBy("_month_end")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = [F.sum(name).over(running).alias(name) for name in sums]
@@ -74,6 +78,29 @@ def cumulative_snapshots(df: DataFrame, date_col: str, dims: list[str], sums: di
     return out.drop("_month_start", "_month_end", "_next_month_end")
 
 
+def snapshots_at(df: DataFrame, date_col: str, dims: list[str], sums: dict[str, str], dates: list, as_of_col: str = "as_of_date",
+                 count_col: str = "entry_count", first_col: str = "first_entry_date", last_col: str = "last_entry_date") -> DataFrame:
+    """Balances of ``sums`` at each of ``dates``, which need not be month ends.
+
+    An entry counts from the first of the dates that is not before it, so the
+    plan is that of ``cumulative_snapshots`` with the dates as its calendar.
+    """
+    days = sorted({_date(d) for d in dates})
+    if not days:
+        raise ValueError("snapshots_at needs at least one date")
+    calendar = F.array(*(F.lit(d) for d in days))
+    period = F.element_at(F.filter(calendar, lambda d: d >= F.col(date_col)), 1).alias("_from")
+    held = df.where(F.col(date_col) <= F.lit(days[-1])).groupBy(*dims, period).agg(
+        *(F.sum(src).alias(name) for name, src in sums.items()), F.count(F.lit(1)).alias(count_col),
+        F.min(date_col).alias(first_col), F.max(date_col).alias(last_col))
+    w = Window.partitionBy(*dims).orderBy("_from")
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = held.select(*dims, "_from", F.lead("_from").over(w).alias("_next"), *(F.sum(n).over(running).alias(n) for n in (*sums, count_col)),
+                         F.min(first_col).over(running).alias(first_col), F.max(last_col).over(running).alias(last_col))
+    stands = F.filter(calendar, lambda d: (d >= F.col("_from")) & F.coalesce(d < F.col("_next"), F.lit(True)))
+    return totals.select(*dims, *sums, count_col, first_col, last_col, F.explode(stands).alias(as_of_col))
+
+
 def snapshot_totals(df: DataFrame, date_col: str, dims: list[str], sums: dict[str, str], values: dict[str, Column],
                     start, end, group: list[str] = (), count_of: str | None = None, as_of_col: str = "as_of_date") -> DataFrame:
     """Per month end in [start, end] and ``group`` (some of ``dims``): sums of ``values`` over the keys of ``dims``.

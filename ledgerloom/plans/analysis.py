@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import MONEY, ratio
+from ledgerloom.operators.asof import as_of
 from ledgerloom.plans import ledger, recognition, statements, trial_balance, workforce
 from ledgerloom.plans.registry import STATEMENT_DATE, lakehouse, query, tabular
 from ledgerloom.plans.trial_balance import BALANCE
@@ -173,6 +174,27 @@ def q16(spark, sf_dir):
     return statements.income_statement(_tb_at(spark, sf_dir, STATEMENT_DATE), STATEMENT_DATE)
 
 
+# ---------------------------------------------------------------- balances on any date
+@query("j19_payables_at_due_date")
+def j19(spark, sf_dir):
+    """What was owed to each invoice's supplier on the invoice's due date, of the payables account."""
+    lh = lakehouse(spark, sf_dir)
+    invoices = lh.stg_spend_transactions.where(F.col("invoice_id").isNotNull()).select("invoice_id", "third_party_id", "payment_due_date")
+    owed = (F.coalesce("credit_amount", F.lit(0)) - F.coalesce("debit_amount", F.lit(0))).alias("owed")
+    legs = _gl_accounts(spark, sf_dir, 2000).select("third_party_id", "gl_date", owed, F.lit(1).alias("one"))
+    found = as_of(invoices, legs, ["third_party_id"], "payment_due_date", "gl_date",
+                  sums={"payables": "owed", "entry_count": "one"}, lasts={"last_entry_date": "gl_date"})
+    return found.withColumn("payables", F.col("payables").cast(BALANCE))
+
+
+SNAPSHOT_DAYS = [dt.date(1999, 12, 15), dt.date(2000, 2, 29), dt.date(2000, 3, 1), dt.date(2001, 1, 10)]
+
+
+@query("j19_trial_balances_at_dates")
+def j19_dates(spark, sf_dir):
+    return tabular(trial_balance.trial_balances_at(_gl(spark, sf_dir), SNAPSHOT_DAYS, lakehouse(spark, sf_dir).run_ts))
+
+
 # ---------------------------------------------------------------- revenue (Q17-Q22)
 @query("q17_revenue_by_month_and_entity")
 def q17(spark, sf_dir):

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ledgerloom.plans import trial_balance
 from ledgerloom.plans.lakehouse import Lakehouse
-from ledgerloom.sources.sinks import materialize
+from ledgerloom.sources.sinks import gathered, has_files, materialize, shared_folder
 
 # (product, partition columns) in dependency order.
 ORDER = [
@@ -49,6 +50,26 @@ class StoredLakehouse(Lakehouse):
             self._stored[name] = materialize(df, self.spark, name, self.base, parts)
         return dict(self._stored)
 
+    def refresh_ledger(self, months: list) -> DataFrame:
+        """Rebuilds ``months`` of the stored ledger from its upstream and restates the balances they change.
+
+        Products that were built before come from storage.  Ledger and balances
+        are kept by month below the base folder; the first call writes all of both.
+        """
+        from ledgerloom.streaming.refresh import refresh_months, refresh_trial_balances
+
+        base = (self.base or shared_folder(self.spark, "tables")).rstrip("/")
+        ledger, balances = f"{base}/ledger_by_month", f"{base}/balances_by_month_end"
+        entries = Lakehouse.fact_gl_entries.func(self)
+        if not has_files(self.spark, ledger):
+            refresh_months(entries, ledger, "gl_date")
+            whole = trial_balance.fact_gl_trial_balances(self.spark.read.parquet(ledger).drop("period_month"), self.spark,
+                                                         self.tb_start, self.tb_end, self.run_ts)
+            gathered(whole, ["as_of_date"]).write.mode("overwrite").partitionBy("as_of_date").parquet(balances)
+            return self.spark.read.schema(whole.schema).parquet(balances)
+        refresh_months(entries, ledger, "gl_date", months)
+        return refresh_trial_balances(self.spark, ledger, balances, months, self.tb_start, self.tb_end, self.run_ts)
+
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -233,8 +233,7 @@ def v14(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- recognition and ledger scope checks
-@query("v15_double_recognised_contract_months")
-def v15(spark, sf_dir):
+def double_recognised(r: DataFrame) -> DataFrame:
     """Contract-months recognised twice: a commit-only row and an unmatched
     consumption row of the same contract and month (legal entities differ, D5).
 
@@ -245,7 +244,6 @@ def v15(spark, sf_dir):
     """
     from pyspark.sql import Window
 
-    r = lakehouse(spark, sf_dir).fact_revenue_recognition
     commit = (F.col("rev_recognition_indicator") == "commit_revenue") & F.col("contract_id").isNotNull()
     unmatched = F.col("contract_id").isNull() & F.col("trx_contract_id").isNotNull()
     tagged = (r.where(commit | unmatched)
@@ -262,6 +260,24 @@ def v15(spark, sf_dir):
                     F.col("legal_entity_id").alias("consumption_legal_entity_id")))
 
 
+@query("v15_double_recognised_contract_months")
+def v15(spark, sf_dir):
+    return double_recognised(lakehouse(spark, sf_dir).fact_revenue_recognition)
+
+
+@query("v15_match_steps")
+def v15_steps(spark, sf_dir):
+    """How the resolved recognition came about: rows and amounts by direction and step, and what is still recognised twice."""
+    lh = lakehouse(spark, sf_dir)
+    out = None
+    for direction, r in (("revenue", lh.fact_revenue_recognition_resolved), ("spend", lh.fact_spend_recognition_resolved)):
+        part = r.groupBy(F.lit(direction).alias("direction"), "match_step").agg(
+            F.count(F.lit(1)).alias("row_count"), _b("rev_recognized_amount").alias("recognized_amount"),
+            _b("contract_amortization_value").alias("amortized_value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _unpivot_counts(row: DataFrame, names: list[str], label: str, value: str) -> DataFrame:
     """One-row aggregate -> one row per named count (narrow explode)."""
     return row.select(F.explode(F.array(*[F.struct(F.lit(n).alias(label), F.col(n).alias(value))

@@ -23,6 +23,11 @@ def shared_folder(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts])
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def materialize(df: DataFrame, spark: SparkSession, name: str, base: str | None = None,
                 partition_by: list[str] | None = None) -> DataFrame:
     """IO10: overwrite ``name`` as parquet and return a DataFrame reading it."""

@@ -5,15 +5,21 @@ refreshes without a full rebuild.  The Spark equivalent here: recompute only
 the months that changed and overwrite exactly those partitions
 (``partitionOverwriteMode=dynamic``).  Re-running a refresh for the same
 months rewrites the same files, so a retried or duplicated run is harmless.
+
+Trial balances are running totals, so a late entry restates its own month and
+all later ones.  ``refresh_trial_balances`` starts from the stored balances of
+the month end before the first changed month and reads only the ledger's months
+from there on.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.plans import trial_balance
 from ledgerloom.sources.sinks import gathered
 
 
@@ -32,12 +38,15 @@ def refresh_months(df: DataFrame, path: str, date_col: str, months: list[dt.date
     if months is not None:
         months = sorted({m.replace(day=1) for m in months})
         out = out.where(F.col(month_col).isin(months))
-    (gathered(out, [month_col]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # The months that have rows are learned while they are written.
+    seen = Observation()
+    observed = out.observe(seen, F.collect_set(month_col).alias("months"))
+    (gathered(observed, [month_col]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(month_col).parquet(path))
     if months is None:
         return spark.read.schema(out.schema).parquet(path)
     stored = read_months(spark, path, months, month_col, out.schema)
-    empty = set(months) - {r[0] for r in out.select(month_col).distinct().collect()}
+    empty = set(months) - set(seen.get["months"])
     for month in sorted(empty):                      # at most one folder per named month
         _drop_folder(spark, f"{path.rstrip('/')}/{month_col}={month.isoformat()}")
     return stored.where(~F.col(month_col).isin(sorted(empty))) if empty else stored
@@ -53,3 +62,27 @@ def read_months(spark: SparkSession, path: str, months: list[dt.date], month_col
     """Read selected month partitions (partition pruning on ``month_col``)."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path).where(F.col(month_col).isin([m.replace(day=1) for m in months]))
+
+
+def refresh_trial_balances(spark: SparkSession, ledger: str, path: str, months: list[dt.date], start: dt.date, end: dt.date,
+                           run_ts: Column | None = None, month_col: str = "period_month") -> DataFrame:
+    """Restates the balances below ``path`` after ``months`` of the ledger below ``ledger`` have changed.
+
+    The ledger is partitioned by ``month_col`` (``refresh_months``), the balances
+    by ``as_of_date``; both folders exist.  Returns the restated rows.  Equal to
+    a full build over the ledger.
+    """
+    first = min(m.replace(day=1) for m in months)
+    before = first - dt.timedelta(days=1)
+    entries = spark.read.parquet(ledger)
+    opening = None
+    if before >= start:
+        stored = spark.read.parquet(path)
+        opening = stored.where(F.col("as_of_date") == F.lit(before))
+        entries = entries.where((F.col(month_col) >= F.lit(first)) & (F.col(month_col) <= F.lit(end)))
+    else:
+        first = start
+    fresh = trial_balance.fact_gl_trial_balances(entries.drop(month_col), spark, max(first, start), end, run_ts, opening)
+    (gathered(fresh, ["as_of_date"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("as_of_date").parquet(path))
+    return spark.read.schema(fresh.schema).parquet(path).where(F.col("as_of_date") >= F.lit(max(first, start)))

@@ -132,3 +132,80 @@ def test_metric_view_as_sql_view(spark):
     mv.create_view("sample_order_metrics", ["customer_segment"])
     got = spark.sql("SELECT SUM(order_count) FROM sample_order_metrics").first()[0]
     assert got == Fixtures(spark, SF_SMALL).table("orders").count()
+
+
+def _ledger_rows(rows_):
+    """Ledger rows (day, account, entity, debit, credit) with the columns that balances need."""
+    from decimal import Decimal
+    return [(d, a, f"acc{a}", e, f"ent{e}", 1, "cc", None, 9, "party", Decimal(x) if x is not None else None,
+             Decimal(y) if y is not None else None) for d, a, e, x, y in rows_]
+
+
+LEDGER = ("gl_date date, account_number int, account_name string, legal_entity_id long, legal_entity_name string, cost_center_id long, "
+          "cost_center_name string, category string, third_party_id long, third_party_name string, debit_amount decimal(18,2), "
+          "credit_amount decimal(18,2)")
+
+
+def test_late_entries_restate_only_later_balances(spark):
+    from ledgerloom.plans import trial_balance
+    from ledgerloom.streaming.refresh import refresh_trial_balances
+    start, end = dt.date(2024, 1, 31), dt.date(2024, 6, 30)
+    first = _ledger_rows([(dt.date(2023, 7, 1), 1000, 1, 5, None), (dt.date(2024, 1, 9), 1000, 1, 7, None),
+                          (dt.date(2024, 2, 2), 2000, 1, None, 3), (dt.date(2024, 4, 4), 1000, 2, 1, None), (dt.date(2024, 4, 5), 2000, 1, 8, None)])
+    ledger, balances = new_scratch(spark, "ledger"), new_scratch(spark, "balances")
+    refresh_months(spark.createDataFrame(first, LEDGER), ledger, "gl_date")
+
+    def full():
+        gl = spark.read.parquet(ledger).drop("period_month")
+        return trial_balance.fact_gl_trial_balances(gl, spark, start, end, F.lit(0).cast("timestamp"))
+
+    sinks.gathered(full(), ["as_of_date"]).write.partitionBy("as_of_date").parquet(balances)
+    old = {f: n for f, n in _files_by_folder(balances).items() if f <= "as_of_date=2024-03-31"}
+    # April gets a late entry and a new key, and loses the entry that was the only one of its key.
+    april = dt.date(2024, 4, 1)
+    late = _ledger_rows([(dt.date(2024, 4, 5), 2000, 1, 8, None), (dt.date(2024, 4, 6), 1000, 1, 2, None), (dt.date(2024, 4, 7), 3000, 5, None, 6)])
+    refresh_months(spark.createDataFrame(late, LEDGER), ledger, "gl_date", [april])
+    out = refresh_trial_balances(spark, ledger, balances, [april], start, end, F.lit(0).cast("timestamp"))
+    assert rows(spark.read.parquet(balances)) == rows(full())
+    assert {r[0] for r in out.select("as_of_date").distinct().collect()} == {dt.date(2024, 4, 30), dt.date(2024, 5, 31), end}
+    # Earlier snapshots are the same files, and the plan reads one of them and the ledger from April on.
+    assert {f: n for f, n in _files_by_folder(balances).items() if f <= "as_of_date=2024-03-31"} == old
+    # An entry before the calendar restates everything.
+    july = dt.date(2023, 7, 1)
+    refresh_months(spark.createDataFrame(_ledger_rows([(july, 1000, 1, 50, None)]), LEDGER), ledger, "gl_date", [july])
+    refresh_trial_balances(spark, ledger, balances, [july], start, end, F.lit(0).cast("timestamp"))
+    assert rows(spark.read.parquet(balances)) == rows(full())
+
+
+def _files_by_folder(path):
+    import glob
+    import os
+    out = {}
+    for f in glob.glob(path.removeprefix("file:") + "/*/*.parquet"):
+        out.setdefault(os.path.basename(os.path.dirname(f)), set()).add(os.path.basename(f))
+    return out
+
+
+def test_refresh_reads_changed_partitions_only(spark, monkeypatch):
+    from ledgerloom.plans import trial_balance
+    from ledgerloom.streaming import refresh
+    ledger, balances = new_scratch(spark, "ledger"), new_scratch(spark, "balances")
+    days = [dt.date(2024, m, 3) for m in range(1, 7)]
+    refresh_months(spark.createDataFrame(_ledger_rows([(d, 1000, 1, 1, None) for d in days]), LEDGER), ledger, "gl_date")
+    start, end = dt.date(2024, 1, 31), dt.date(2024, 6, 30)
+    full = trial_balance.fact_gl_trial_balances(spark.read.parquet(ledger).drop("period_month"), spark, start, end, F.lit(0).cast("timestamp"))
+    full.write.partitionBy("as_of_date").parquet(balances)
+    plans = []
+    monkeypatch.setattr(refresh, "gathered", lambda df, by: plans.append(df._jdf.queryExecution().executedPlan().toString()) or sinks.gathered(df, by))
+    refresh.refresh_trial_balances(spark, ledger, balances, [dt.date(2024, 5, 1)], start, end, F.lit(0).cast("timestamp"))
+    assert "period_month" in plans[0] and "PartitionFilters: [isnotnull(period_month" in plans[0]
+    assert "PartitionFilters: [isnotnull(as_of_date" in plans[0] and "2024-04-30" in plans[0]
+
+
+def test_stored_lakehouse_refreshes_its_ledger(spark):
+    base = new_scratch(spark, "ledgers")
+    st = StoredLakehouse(spark, Fixtures(spark, SF_SMALL), as_of=fx.AS_OF, tb_start=fx.TB_START, tb_end=fx.TB_END, base=base)
+    whole = rows(st.refresh_ledger([]))
+    assert whole == rows(lakehouse(spark, SF_SMALL).fact_gl_trial_balances)
+    again = st.refresh_ledger([dt.date(2001, 5, 1)])
+    assert rows(again) == rows(lakehouse(spark, SF_SMALL).fact_gl_trial_balances.where("as_of_date >= '2001-05-31'"))

@@ -83,3 +83,44 @@ def test_inline_rows_and_materialize(spark):
     df = readers.inline_rows(spark, [(1, Decimal("1.50"), dt.date(2024, 1, 31))], "a int, m decimal(18,2), d date")
     back = sinks.materialize(df, spark, "inline_check", sinks.new_scratch(spark, "mat"))
     assert rows(back) == rows(df)
+
+
+def test_quarantine_keeps_what_does_not_convert(spark):
+    from ledgerloom.sources import quarantine
+    root = sinks.new_scratch(spark, "raw")
+    lines = ['{"customer_id": 1, "third_party_id": 2, "customer_name": "a", "customer_industry": null}',
+             '{"customer_id": "x", "third_party_id": 2.5, "customer_name": "b"}', '{"customer_id": 3', '{"third_party_id": 4}',
+             '{"customer_id": 9007199254740993, "third_party_id": null, "customer_name": {"first": "n"}, "more": 1}', '[1]', '']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{root}/customers")
+    lanes = quarantine.load(spark, root, "customers", sinks.new_scratch(spark, "lanes"))
+    assert sorted(tuple(r) for r in lanes.accepted.select("customer_id", "third_party_id").collect()) == [(1, 2), (9007199254740993, None)]
+    bad = {r.line: r.reasons for r in lanes.rejected.collect()}
+    assert bad['{"customer_id": 3'] == ["line: does not parse"] and bad["[1]"] == ["line: does not parse"]
+    assert ["customer_id: not a bigint", "third_party_id: not a bigint"] in bad.values() and ["customer_id: missing"] in bad.values()
+    assert len(bad) == 4
+
+
+def test_quarantine_of_csv_lines(spark):
+    from ledgerloom.sources import quarantine
+    root = sinks.new_scratch(spark, "raw")
+    text = ["rev_trx_id,contract_id,customer_id,transaction_date,coa_id,cost_category,amount", '1,,2,86400,3,"a,b",4.50', "2,,2,86400,3,x,NaN",
+            "3,,2,86400,3,x", "4,,2,86400,3,x,1,9", ",,2,86400,3,x,1", "6,,2,1.5,3,x,1e400", "7,,2,86400,3,,-0.25"]
+    spark.createDataFrame([("\n".join(text),)], "value string").coalesce(1).write.text(f"{root}/revenue_transactions/2024_01")
+    files = quarantine.CheckedFiles(spark, root, sinks.new_scratch(spark, "lanes"))
+    assert sorted((r.rev_trx_id, r.cost_category, r.amount) for r in files.revenue_transactions.collect()) == [
+        (1, "a,b", Decimal("4.50")), (7, None, Decimal("-0.25"))]
+    bad = sorted((r.rev_trx_id or 0, r.reasons) for r in files.lanes("revenue_transactions").rejected.collect())
+    assert bad == [(0, ["rev_trx_id: missing"]), (2, ["amount: not a double"]), (3, ["line: does not parse"]), (4, ["line: does not parse"]),
+                   (6, ["transaction_date: not a bigint", "amount: not a double"])]
+
+
+def test_quarantine_writes_both_lanes_from_one_scan(spark):
+    from ledgerloom.sources import quarantine, schemas
+    root = sinks.new_scratch(spark, "raw")
+    sinks.write_raw(Fixtures(spark, SF_SMALL).spend_invoices, root, "spend_invoices")
+    fields = quarantine.read_text_fields(spark, root, "spend_invoices")
+    plan = quarantine.checked(fields, schemas.SCHEMAS["spend_invoices"], "invoice_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    files = quarantine.CheckedFiles(spark, root, sinks.new_scratch(spark, "lanes"))
+    assert rows(files.spend_invoices) == rows(readers.RawFiles(spark, root).spend_invoices)
+    assert files.lanes("spend_invoices").rejected.count() == 0

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import with_sequence_id
 from ledgerloom.operators.metric_view import Dimension, DrillAcrossView, Fact, Join, Measure, MetricView
+from ledgerloom.operators.asof import as_of
 from ledgerloom.operators.running import running_sum
 from ledgerloom.operators.snapshots import cumulative_snapshots, snapshot_totals
-from ledgerloom.plans import trial_balance
+from ledgerloom.plans import quality, recognition, trial_balance
 from ledgerloom.plans.registry import lakehouse
 from tests.conftest import SF_SMALL
 from tests.helpers import rows
@@ -146,3 +147,72 @@ def test_gl_for_accounts_equals_filtered_ledger(spark):
     for accounts in ([1100], [2000, 5100], [1000], [3000]):
         part = ledger.gl_for_accounts(lh.stg_revenue_transactions, lh.stg_spend_transactions, accounts, lh.run_ts)
         assert rows(part) == rows(full.where(F.col("account_number").isin(accounts)))
+
+
+# -- as-of join -------------------------------------------------------------------
+@pytest.mark.parametrize("block", ["month", "year", "day"])
+def test_as_of_by_brute_force(spark, block):
+    import random
+    rng = random.Random(block)
+    day = lambda: dt.date(2023, 11, 20) + dt.timedelta(rng.randint(0, 200))
+    states = [(rng.choice([1, 1, 1, 2, None]), rng.choice(["a", "b"]), day() if rng.random() < 0.95 else None, k, rng.randint(-9, 9) if rng.random() < 0.8 else None)
+              for k in range(150)]
+    asks = [(k, rng.choice([1, 1, 2, 3, None]), rng.choice(["a", "b"]), day() if rng.random() < 0.95 else None) for k in range(120)] + [(0, 1, "a", dt.date(2000, 1, 1))]
+    s = spark.createDataFrame(states, "k long, g string, d date, id int, v long").repartition(4)
+    r = spark.createDataFrame(asks, "id int, k long, g string, d date").repartition(3)
+    got = list(tuple(x) for x in as_of(r.withColumnRenamed("d", "due"), s, ["k", "g"], "due", "d", {"total": "v"}, {"latest": "v"}, "id", block)
+                 .select("id", "total", "latest", "k").fillna(-1, ["k"]).collect())
+    want = []
+    for i, k, g, d in asks:
+        own = [x for x in states if None not in (x[0], x[2], k, d) and (x[0], x[1]) == (k, g) and x[2] <= d]
+        vals = [x[4] for x in own if x[4] is not None]
+        # The last value is that of the greatest id among a day's states; a null one is passed over.
+        last = None
+        for day_ in sorted({x[2] for x in own}):
+            final = max((x for x in own if x[2] == day_), key=lambda x: x[3])
+            last = final[4] if final[4] is not None else last
+        want.append((i, sum(vals) if vals else None, last, -1 if k is None else k))
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_as_of_of_nothing(spark):
+    s = spark.createDataFrame([], "k long, d date, v long")
+    r = spark.createDataFrame([(1, dt.date(2024, 1, 1))], "k long, due date")
+    assert [tuple(x) for x in as_of(r, s, ["k"], "due", "d", {"t": "v"}).collect()] == [(1, dt.date(2024, 1, 1), None)]
+    assert as_of(r.where("false"), s, ["k"], "due", "d", {"t": "v"}).count() == 0
+
+
+def test_as_of_spreads_a_hot_key(spark):
+    """No window is partitioned by the key alone but the one over its blocks."""
+    s = spark.range(1000).select(F.lit(1).alias("k"), F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 300).cast("int")).alias("d"), "id")
+    p = as_of(s.withColumnRenamed("id", "r"), s, ["k"], "d", "d", {"t": "id"})
+    plan = p._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 2 and sum("_block" in w.split("windowspecdefinition")[1].split("_day")[0] for w in windows) == 2
+
+
+# -- recognition in steps -----------------------------------------------------------
+def test_resolved_recognition_counts_no_month_twice(spark):
+    lh = lakehouse(spark, SF_SMALL)
+    plain, solved = lh.fact_revenue_recognition, lh.fact_revenue_recognition_resolved
+    assert quality.double_recognised(plain).count() > 0 and quality.double_recognised(solved).count() == 0
+    sums = [F.sum(c) for c in ("contract_amortization_value", "rev_sku_all", "rev_billed_amount", "period_transaction_count")]
+    assert plain.agg(*sums).first() == solved.agg(*sums).first()
+    steps = {r.match_step: r["count"] for r in solved.groupBy("match_step").count().collect()}
+    assert steps["exact"] == plain.where("contract_id is not null and trx_contract_id is not null").count()
+    assert steps["party"] + steps.get("contract", 0) > 0
+    p = solved._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in p and "NestedLoop" not in p
+
+
+def test_matching_in_steps_uses_every_row_once(spark):
+    m = dt.date(2024, 1, 1)
+    c = spark.createDataFrame([(1, m, 5, 10, "c1"), (1, m, 5, 11, "c2"), (2, m, 6, 10, "c3"), (3, m, 7, 10, "c4"), (None, m, 7, 10, "c5"), (4, m, None, 3, "c6")],
+                              "contract_id long, month date, third_party_id long, legal_entity_id long, c string")
+    t = spark.createDataFrame([(1, m, 5, 10, "t1"), (1, m, 5, 12, "t2"), (1, m, 5, 13, "t3"), (2, m, 8, 99, "t4"), (None, m, 7, 10, "t5"),
+                               (None, m, 7, 10, "t6"), (4, m, None, 3, "t7"), (5, None, 1, 1, "t8")],
+                              "contract_id long, month date, third_party_id long, legal_entity_id long, t string")
+    got = list((r.match_step, r.c_c, r.t_t) for r in recognition.match_in_steps(c, t).collect())
+    assert sorted(got, key=str) == sorted([("exact", "c1", "t1"), ("party", "c2", "t2"), ("consumption", None, "t3"), ("contract", "c3", "t4"),
+                                           ("commit", "c4", None), ("commit", "c5", None), ("consumption", None, "t5"), ("consumption", None, "t6"),
+                                           ("contract", "c6", "t7"), ("consumption", None, "t8")], key=str)
