@@ -20,8 +20,8 @@ the corpus; none is gathered on the driver or sent to all executors.  Every
 different expression of the documents is looked up once, by joins.  Its value
 then goes back to blocks of different words (a block's expressions are made
 different first), and the words' evidence to blocks of documents: only a block's
-different words are sent out and only their values back, and they are added up
-where the block's numbered words are.
+different words are sent out, with their places, and only their values back,
+and they are added up where the block's numbered words are.
 
 Labels enter only for rows whose crc32(doc_id as text) modulo 5 is not 0;
 neither labels nor lang, source or doc_id are inputs of a score.  Null and
@@ -199,69 +199,102 @@ def _told(values: np.ndarray, times: np.ndarray) -> tuple[float, float]:
     return float((values * times).sum() / n), float((np.maximum(values - CLEAR, 0) * times).sum() / n)
 
 
+#: Bits of a place that hold a word's number in its block, and of a block that hold its number in its task.
+PLACE_BITS, TASK_BITS = 22, 16
+#: Places of a word are gathered from so many tasks (as a power of two) at most.
+GROUP_BITS = 10
+
+
 def _block_ids() -> Iterator[int]:
-    at = TaskContext.get().partitionId() << 32
+    at = TaskContext.get().partitionId() << TASK_BITS
     while True:
         yield at
         at += 1
 
 
+def _short(numbers: np.ndarray) -> bytes:
+    """Small numbers in as few bytes each as the largest needs, after that width."""
+    width = 1 if (top := int(numbers.max(initial=0))) < 1 << 8 else 2 if top < 1 << 16 else 4
+    return bytes([width]) + numbers.astype(f"<u{width}").tobytes()
+
+
+def _long(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
 def _with_expressions(rows: DataFrame) -> DataFrame:
-    """(block, gram, text, toxic): rows of (text, toxic) in blocks, and each block's different expressions.
+    """(block, gram, text, further columns): ``rows`` of text and more in blocks, and each block's different expressions.
 
     To be stored before it is read twice: a block is numbered by the task that makes it.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, grams, texts = _block_ids(), set(), []
+    more = [T.StructField(f.name, f.dataType) for f in rows.schema if f.name != "text"]
+    fields = T.StructType([T.StructField("block", T.LongType()), T.StructField("gram", T.StringType()),
+                           T.StructField("text", T.StringType()), *more])
+    target = to_arrow_schema(fields)
 
-        def out() -> pd.DataFrame:
-            own = [*grams]
-            return pd.DataFrame({"block": next(ids), "gram": [*own, *[None] * len(texts)],
-                                 "text": [*[None] * len(own), *(t for t, _ in texts)],
-                                 "toxic": [*[None] * len(own), *(y for _, y in texts)]}, dtype=object)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = _block_ids()
+        block, grams, some = next(ids), set(), False
 
-        for pdf in batches:
-            for text, toxic in zip(pdf["text"], pdf["toxic"], strict=True):
-                texts.append((text, toxic))
-                for word in {*words_of(text)}:
-                    grams.update(expressions_of(word))
-                if len(grams) >= BLOCK_GRAMS:
-                    yield out()
-                    grams, texts = set(), []
-        if texts:
-            yield out()
+        def expressions() -> pa.RecordBatch:
+            own = [*grams]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(own), block)), pa.array(own, pa.string()),
+                 *(pa.nulls(len(own), f.type) for f in list(target)[2:])], schema=target)
 
-    return map_frames(rows.select("text", "toxic"), run, "block long, gram string, text string, toxic int", SLICE_BYTES)
+        for whole in batches:
+            for batch in slices(whole):
+                first, texts = 0, batch.column("text").to_pylist()
+                for k, text in enumerate(texts):
+                    some = True
+                    for word in {*words_of(text)}:
+                        grams.update(expressions_of(word))
+                    if len(grams) >= BLOCK_GRAMS or k + 1 == len(texts):
+                        part = batch.slice(first, k + 1 - first)
+                        n = part.num_rows
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(n, block)), pa.nulls(n, pa.string()), part.column("text"),
+                             *(part.column(f.name).cast(target.field(f.name).type) for f in more)], schema=target)
+                        first = k + 1
+                    if len(grams) >= BLOCK_GRAMS:
+                        yield expressions()
+                        block, grams, some = next(ids), set(), False
+        if some:
+            yield expressions()
+
+    return rows.select("text", *(f.name for f in more)).mapInArrow(run, fields)
 
 
 def _of_blocks(blocks: DataFrame, values: DataFrame, columns: tuple[str, ...], run, schema: str) -> DataFrame:
-    """``run(texts, toxic, grams, numbers)`` for every block of ``_with_expressions``; numbers are the ``columns`` of its grams."""
+    """``run(rows, grams, numbers)`` for every block of ``_with_expressions``; numbers are the ``columns`` of its grams."""
     target = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def of(block: pa.Table) -> pa.Table:
         is_text = block["gram"].is_null()
-        own, texts = block.filter(pa.compute.invert(is_text)), block.filter(is_text)
+        own, rows = block.filter(pa.compute.invert(is_text)), block.filter(is_text)
         numbers = np.array([own[c].to_numpy() for c in columns])
-        return pa.Table.from_pydict(run(texts["text"].to_pylist(), texts["toxic"].to_pylist(), own["gram"].to_pylist(), numbers), target)
+        return pa.Table.from_pydict(run(rows, own["gram"].to_pylist(), numbers), target)
 
+    more = [f for f in blocks.schema if f.name not in ("block", "gram")]
     grams = blocks.where("gram is not null").select("block", "gram").join(values.select("gram", *columns), "gram")
-    grams = grams.select("block", "gram", F.lit(None).cast("string").alias("text"), F.lit(None).cast("int").alias("toxic"), *columns)
-    texts = blocks.where("gram is null").select("*", *(F.lit(None).cast("double").alias(c) for c in columns))
-    return grams.unionByName(texts).groupBy("block").applyInArrow(of, schema)
+    grams = grams.select("block", "gram", *(F.lit(None).cast(f.dataType).alias(f.name) for f in more), *columns)
+    rows = blocks.where("gram is null").select("*", *(F.lit(None).cast("double").alias(c) for c in columns))
+    return grams.unionByName(rows).groupBy("block").applyInArrow(of, schema)
 
 
 def word_evidence(blocks: DataFrame, values: DataFrame) -> DataFrame:
-    """(word, value): log P(word | toxic) - log P(word | ordinary) of each word of ``blocks``."""
-    def run(words: list, _: list, grams: list[str], numbers: np.ndarray) -> dict:
+    """(places, value): log P(word | toxic) - log P(word | ordinary) of each word of ``blocks``, for where it stands."""
+    def run(rows: pa.Table, grams: list[str], numbers: np.ndarray) -> dict:
         value = dict(zip(grams, numbers[0].tolist(), strict=True))
-        return {"word": words, "value": [sum(map(value.__getitem__, expressions_of(w))) for w in words]}
+        return {"places": rows["places"], "value": [sum(map(value.__getitem__, expressions_of(w))) for w in rows["text"].to_pylist()]}
 
-    return _of_blocks(blocks, values, ("value",), run, "word string, value double")
+    return _of_blocks(blocks, values, ("value",), run, "places array<long>, value double")
 
 
 def evidence_without_own(blocks: DataFrame, values: DataFrame, discounts: tuple[float, float, float]) -> DataFrame:
     """(toxic, evidence, clear) of the training texts of ``blocks``, each by the counts of all the others."""
-    def run(texts: list, toxic: list, grams: list[str], numbers: np.ndarray) -> dict:
+    def run(rows: pa.Table, grams: list[str], numbers: np.ndarray) -> dict:
+        texts, toxic = rows["text"].to_pylist(), rows["toxic"].to_pylist()
         index = {g: k for k, g in enumerate(grams)}
         _, context_of = np.unique(np.array([g[:-1] for g in grams], dtype=object), return_inverse=True)
         told = []
@@ -294,14 +327,15 @@ def evidence_without_own(blocks: DataFrame, values: DataFrame, discounts: tuple[
 
 
 def _words_in_blocks(docs: DataFrame) -> DataFrame:
-    """(block, place, word, words, times, keys...): documents in blocks, whose words are numbered.
+    """(place, word, words, times, keys...): documents in blocks, whose words are numbered.
 
-    A row with a word is that word of the block and its number (``place``).  A
-    row without is a document: the numbers of its different words, ascending and
-    as differences, how often it holds each, and the other columns of ``docs``.
+    A row with a word is that word; ``place`` holds the block and the word's
+    number in it.  A row without is a document: its block, the numbers of its
+    different words (ascending, as differences), how often it holds each, and
+    the other columns of ``docs``.
     """
     keys = [f for f in docs.schema if f.name != "text"]
-    fields = T.StructType([T.StructField("block", T.LongType()), T.StructField("place", T.IntegerType()),
+    fields = T.StructType([T.StructField("place", T.LongType()),
                            T.StructField("word", T.StringType()), T.StructField("words", T.BinaryType()),
                            T.StructField("times", T.BinaryType()), *keys])
     target = to_arrow_schema(fields)
@@ -316,7 +350,7 @@ def _words_in_blocks(docs: DataFrame) -> DataFrame:
                 part = names[lo:lo + 50_000]
                 n = len(part)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, block)), pa.array(np.arange(lo, lo + n, dtype=np.int32)), pa.array(part, pa.string()),
+                    [pa.array((block << PLACE_BITS) + np.arange(lo, lo + n)), pa.array(part, pa.string()),
                      *(pa.nulls(n, target.field(c).type) for c in ("words", "times", *(f.name for f in keys)))], schema=target)
 
         for whole in batches:
@@ -326,12 +360,12 @@ def _words_in_blocks(docs: DataFrame) -> DataFrame:
                     own = words_of(text.as_py())
                     at = np.fromiter((index.setdefault(w, len(index)) for w in own), np.int32, len(own))
                     kinds, n = np.unique(at, return_counts=True)
-                    lists.append(np.diff(kinds, prepend=np.int32(0)).astype("<i4").tobytes())
-                    times.append(n.astype("<i4").tobytes())
+                    lists.append(_short(np.diff(kinds, prepend=np.int32(0))))
+                    times.append(_short(n))
                     held += len(own)
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, block)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string()), pa.array(lists, pa.binary()),
+                    [pa.array(np.full(n, block << PLACE_BITS)), pa.nulls(n, pa.string()), pa.array(lists, pa.binary()),
                      pa.array(times, pa.binary()), *(batch.column(f.name).cast(target.field(f.name).type) for f in keys)], schema=target)
                 docs_held += n
                 if docs_held >= BLOCK_DOCS or held >= BLOCK_WORDS or len(index) >= BLOCK_KINDS:
@@ -345,20 +379,21 @@ def _words_in_blocks(docs: DataFrame) -> DataFrame:
 def evidence(found: DataFrame, words: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, evidence, clear): difference of log-likelihoods per word of the whole text, and its clear part.
 
-    ``found`` is of ``_words_in_blocks``, ``words`` of ``word_evidence``.  Only a
-    block's different words meet the values; the sums are taken in the block.
+    ``found`` is of ``_words_in_blocks``, ``words`` of ``word_evidence``.  The
+    values of a block's different words go back to it, and the sums are taken there.
     """
-    values = (found.where("word is not null").select("block", "place", "word").join(words, "word")
-              .select(F.col("block").alias("of_block"), "place", "value"))
-    docs = found.where("word is null").select("block", "words", "times", *keys)
+    place = F.explode("places").alias("place")
+    block = F.shiftright("place", PLACE_BITS)
+    values = words.select(place, "value").select(block.alias("of_block"), F.col("place").bitwiseAND((1 << PLACE_BITS) - 1).alias("number"), "value")
+    docs = found.where("word is null").select(block.alias("block"), "words", "times", *keys)
     fields = T.StructType([*(found.schema[k] for k in keys), T.StructField("evidence", T.DoubleType()),
                            T.StructField("clear", T.DoubleType())])
     target = to_arrow_schema(fields)
 
     def of(own: pa.Table, block: pa.Table) -> pa.Table:
         value = np.zeros(own.num_rows)
-        value[own["place"].to_numpy()] = own["value"].to_numpy()
-        told = [_told(value[np.cumsum(np.frombuffer(w.as_py(), "<i4"))], np.frombuffer(n.as_py(), "<i4"))
+        value[own["number"].to_numpy()] = own["value"].to_numpy()
+        told = [_told(value[np.cumsum(_long(w.as_py()))], _long(n.as_py()))
                 for w, n in zip(block["words"], block["times"], strict=True)]
         return pa.Table.from_arrays([*(block[k].cast(target.field(k).type) for k in keys),
                                      *(pa.array([t[j] for t in told], pa.float64()) for j in (0, 1))], schema=target)
@@ -404,8 +439,10 @@ def scores(docs: DataFrame, labels: DataFrame, *keys: str) -> DataFrame:
         return docs.select("doc_id", *keys, held_out(F.col("doc_id")).alias("held_out"), F.lit(0.0).alias("score"),
                            F.lit(0).alias("predicted"))
     found = stored(_words_in_blocks(docs), "words")
-    words = found.where("word is not null").select(F.col("word").alias("text")).distinct()
-    blocks = stored(_with_expressions(words.withColumn("toxic", F.lit(None).cast("int"))), "blocks")
+    # A word is one row with its places, at most those of 2**GROUP_BITS tasks.
+    near = F.shiftright("place", PLACE_BITS + TASK_BITS + GROUP_BITS)
+    words = found.where("word is not null").groupBy(F.col("word").alias("text"), near.alias("near")).agg(F.collect_list("place").alias("places"))
+    blocks = stored(_with_expressions(words.select("text", "places")), "blocks")
     grams = stored(blocks.where("gram is not null").select("gram").distinct(), "grams")
     values = stored(model.values(grams), "values")
     model.discard()
@@ -414,7 +451,7 @@ def scores(docs: DataFrame, labels: DataFrame, *keys: str) -> DataFrame:
     held = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     rate = {y: min(1.0, CURVE_ROWS / n) for y, n in held.items()}
     chosen_texts = texts.where(" or ".join(f"toxic = {y} and pmod(xxhash64(doc_id), 1000000) < {rate[y] * 1e6:.0f}" for y in rate))
-    curve_blocks = stored(_with_expressions(chosen_texts), "curve")
+    curve_blocks = stored(_with_expressions(chosen_texts.select("text", "toxic")), "curve")
     bins = (evidence_without_own(curve_blocks, values, model.discounts)
             .groupBy(_binned("evidence"), _binned("clear"), "toxic").count().collect())
     bins = [(r["evidence"], r["clear"], r["toxic"], r["count"] / rate[r["toxic"]]) for r in bins]
