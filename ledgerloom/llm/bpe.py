@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from ledgerloom.llm.common import map_frames
 
 #: Words kept in each of the two generations of a worker's cache.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000
 #: No pair here can be merged; larger than any (rank, position) key.
 NO_PAIR = 1 << 62
 #: Fixed value: the pattern that cuts words, as the vocabulary's own file names it (byte level with its regex).
