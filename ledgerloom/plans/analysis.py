@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import MONEY, ratio
 from ledgerloom.operators.asof import as_of
+from ledgerloom.operators.distinct import as_row, distinct_counts
 from ledgerloom.plans import ledger, recognition, statements, trial_balance, workforce
 from ledgerloom.plans.registry import STATEMENT_DATE, lakehouse, query, tabular
 from ledgerloom.plans.trial_balance import BALANCE
@@ -298,13 +299,10 @@ def q25(spark, sf_dir):
 # ---------------------------------------------------------------- parties (Q26-Q28)
 @query("q26_party_key_cardinality")
 def q26(spark, sf_dir):
-    p = lakehouse(spark, sf_dir).dim_third_party
-    return p.agg(F.count("third_party_id").alias("third_party_count"),
-                 F.count_distinct("third_party_id").alias("distinct_third_parties"),
-                 F.count("supplier_id").alias("supplier_count"),
-                 F.count_distinct("supplier_id").alias("distinct_suppliers"),
-                 F.count("customer_id").alias("customer_count"),
-                 F.count_distinct("customer_id").alias("distinct_customers"))
+    keys = {"third_party_id": ("third_party_count", "distinct_third_parties"), "supplier_id": ("supplier_count", "distinct_suppliers"),
+            "customer_id": ("customer_count", "distinct_customers")}
+    counts = distinct_counts(lakehouse(spark, sf_dir).dim_third_party, list(keys), dense=list(keys))
+    return as_row(counts, {n: (c, kind) for c, names in keys.items() for n, kind in zip(names, ("known", "different"), strict=True)})
 
 
 def _names_of_several(df, key, one, name, out):

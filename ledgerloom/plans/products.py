@@ -304,3 +304,63 @@ def _accepted(source):
 
 for _src in ("revenue_transactions", "employees"):
     query(f"io_quarantine_accepted_{_src}")(_accepted(_src))
+
+
+# ---------------------------------------------------------------- catalog tables and the other CSV reads (IO3-IO5, IO10, IO15, SL2)
+from ledgerloom.sources import catalog, schemas  # noqa: E402
+
+
+def _bucketed(spark, sf_dir, *names):
+    """A lakehouse over facts that are stored in buckets of their join key."""
+    inputs = catalog.BucketedInputs(spark, Fixtures(spark, sf_dir), buckets=8).build(list(names))
+    return lakehouse(spark, sf_dir, inputs=inputs)
+
+
+@query("io_bucketed_stg_spend_transactions")
+def io_bucketed_spend(spark, sf_dir):
+    return tabular(_bucketed(spark, sf_dir, "purchase_orders", "spend_invoices").stg_spend_transactions)
+
+
+@query("io_bucketed_stg_revenue_transactions")
+def io_bucketed_revenue(spark, sf_dir):
+    return tabular(_bucketed(spark, sf_dir, "revenue_transactions", "revenue_billings").stg_revenue_transactions)
+
+
+@query("io_table_comments")
+def io_comments(spark, sf_dir):
+    """Comment and rows of each bucketed fact, as the catalog tells them."""
+    inputs = catalog.BucketedInputs(spark, Fixtures(spark, sf_dir), buckets=8).build()
+    out = None
+    for name in catalog.BUCKET_KEYS:
+        described = spark.sql(f"DESCRIBE EXTENDED {inputs.database}.{name}").where("col_name = 'Comment'")
+        n = getattr(inputs, name).agg(F.count(F.lit(1)).alias("row_count"))
+        part = described.select(F.lit(name).alias("table_name"), F.col("data_type").alias("comment")).join(n, F.lit(True))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _typed(df, source):
+    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SCHEMAS[source]))
+
+
+@query("io_inferred_csv_purchase_orders")
+def io_inferred(spark, sf_dir):
+    root = sinks.new_scratch(spark, "inferred")
+    sinks.write_raw(Fixtures(spark, sf_dir).purchase_orders, root, "purchase_orders")
+    return readers.to_silver(_typed(readers.read_csv_inferred(spark, f"{root}/purchase_orders"), "purchase_orders"), "purchase_orders")
+
+
+@query("io_glob_csv_purchase_orders")
+def io_glob(spark, sf_dir):
+    root = sinks.new_scratch(spark, "glob")
+    sinks.write_raw(Fixtures(spark, sf_dir).purchase_orders, root, "purchase_orders")
+    casts = {f.name: f.dataType.simpleString() for f in schemas.PURCHASE_ORDERS}
+    return readers.to_silver(readers.read_csv_glob(spark, f"{root}/purchase_orders/*/*.csv", casts), "purchase_orders")
+
+
+@query("sl2_clustered_ledger_receivables")
+def sl2(spark, sf_dir):
+    """The ledger written by account and date, and one account read from it."""
+    gl = tabular(lakehouse(spark, sf_dir).fact_gl_entries)
+    stored = sinks.write_clustered(gl, sinks.new_scratch(spark, "clustered"), ["account_number", "gl_date"])
+    return stored.where(F.col("account_number") == 1100)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.keys import bucket, with_sequence_id
 from ledgerloom.functions.money import MONEY, ratio
 from ledgerloom.operators.bands import band
+from ledgerloom.operators.distinct import as_row, distinct_counts
 from ledgerloom.operators.running import running_sum
 from ledgerloom.plans import trial_balance
 from ledgerloom.plans.registry import lakehouse, query
@@ -180,10 +181,10 @@ def v10(spark, sf_dir):
 @query("v11_invoice_po_one_to_one")
 def v11(spark, sf_dir):
     inv = Fixtures(spark, sf_dir).spend_invoices
-    return (inv.agg(F.count(F.lit(1)).alias("invoice_count"),
-                    F.count_distinct("invoice_id").alias("distinct_invoice_ids"),
-                    F.count_distinct("invoice_number").alias("distinct_invoice_numbers"),
-                    F.count_distinct("purchase_order_id").alias("distinct_purchase_orders"))
+    counts = distinct_counts(inv, ["invoice_id", "invoice_number", "purchase_order_id"], dense=["invoice_id", "purchase_order_id"])
+    return (as_row(counts, {"invoice_count": ("invoice_id", "n_rows"), "distinct_invoice_ids": ("invoice_id", "different"),
+                            "distinct_invoice_numbers": ("invoice_number", "different"),
+                            "distinct_purchase_orders": ("purchase_order_id", "different")})
             .withColumn("one_to_one", F.col("invoice_count") == F.col("distinct_purchase_orders")))
 
 
@@ -198,20 +199,18 @@ def v12(spark, sf_dir):
 
 @query("v13_key_uniqueness")
 def v13(spark, sf_dir):
-    """Row count vs distinct keys; one aggregation per table."""
+    """Row count vs distinct keys; a narrow pass per key, bitmaps for numbered ones."""
     fx = Fixtures(spark, sf_dir)
     lh = lakehouse(spark, sf_dir)
-    specs = [("raw_coa_hierarchy", fx.coa, ["coa_id"]), ("dim_all_contracts", lh.dim_all_contracts, ["contract_id"]),
-             ("raw_spend_invoices", fx.spend_invoices, ["invoice_id", "invoice_number"]),
-             ("raw_revenue_transactions", fx.revenue_transactions, ["rev_trx_id"]),
-             ("raw_purchase_orders", fx.purchase_orders, ["purchase_order_id"]),
-             ("fact_gl_entries", lh.fact_gl_entries, ["gl_entry_id"])]
+    specs = [("raw_coa_hierarchy", fx.coa, ["coa_id"], []), ("dim_all_contracts", lh.dim_all_contracts, ["contract_id"], ["contract_id"]),
+             ("raw_spend_invoices", fx.spend_invoices, ["invoice_id", "invoice_number"], ["invoice_id"]),
+             ("raw_revenue_transactions", fx.revenue_transactions, ["rev_trx_id"], ["rev_trx_id"]),
+             ("raw_purchase_orders", fx.purchase_orders, ["purchase_order_id"], ["purchase_order_id"]),
+             ("fact_gl_entries", lh.fact_gl_entries, ["gl_entry_id"], [])]
     out = None
-    for t, df, keys in specs:
-        row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_distinct(k).alias(k) for k in keys])
-        part = row.select(F.explode(F.array(*[
-            F.struct(F.lit(t).alias("table_name"), F.lit(k).alias("key_column"), F.col("_n").alias("row_count"),
-                     F.col(k).alias("distinct_keys")) for k in keys])).alias("_r")).select("_r.*")
+    for t, df, keys, dense in specs:
+        part = distinct_counts(df, keys, dense).select(F.lit(t).alias("table_name"), F.col("column").alias("key_column"),
+                                                       F.col("n_rows").alias("row_count"), F.col("different").alias("distinct_keys"))
         out = part if out is None else out.unionByName(part)
     return out.withColumn("is_unique", F.col("row_count") == F.col("distinct_keys"))
 
@@ -322,7 +321,7 @@ def contract_drawdown(consumption: DataFrame, contracts: DataFrame, amount: str,
     rows = (consumption.where(F.col("contract_id").isNotNull())
             .select("contract_id", id_col, date_col, F.col(amount).cast(MONEY).alias("amount"))
             .join(contracts.select("contract_id", "total_contract_value"), "contract_id", "inner"))
-    run = running_sum(rows, "contract_id", date_col, [id_col], "amount", "cumulative_amount")
+    run = running_sum(rows, "contract_id", date_col, [id_col], "amount", "cumulative_amount", split_by=id_col)
     before = F.col("cumulative_amount") - F.col("amount")
     remaining = (F.col("total_contract_value") - before)
     return run.select(

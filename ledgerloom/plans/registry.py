@@ -28,8 +28,9 @@ def lakehouse(spark: SparkSession, sf_dir: str, **kw) -> Lakehouse:
     params = dict(as_of=fx.AS_OF, tb_start=fx.TB_START, tb_end=fx.TB_END,
                   scenario_start=fx.SCENARIO_START, scenario_end=fx.SCENARIO_END,
                   budget_overrides=((1999, 2, Decimal("0.85")),))
+    inputs = kw.pop("inputs", None) or Fixtures(spark, sf_dir, as_of=fx.AS_OF)
     params.update(kw)
-    return Lakehouse(spark, Fixtures(spark, sf_dir, as_of=fx.AS_OF), **params)
+    return Lakehouse(spark, inputs, **params)
 
 
 def query(name: str):

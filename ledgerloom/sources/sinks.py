@@ -50,6 +50,35 @@ def gathered(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def clustered(df: DataFrame, by: list[str]) -> DataFrame:
+    """SL2: rows range-partitioned and sorted by ``by``, so that files and row groups hold narrow ranges.
+
+    The minimum and maximum of every row group then let a filter on the leading
+    columns skip nearly all of them.  With more columns than the leading one a
+    value that most rows share is still spread over many tasks.
+    """
+    return df.repartitionByRange(*by).sortWithinPartitions(*by)
+
+
+def write_clustered(df: DataFrame, path: str, by: list[str]) -> DataFrame:
+    """Writes ``df`` clustered by ``by`` and returns a DataFrame reading it."""
+    clustered(df, by).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str, comment: str | None = None) -> DataFrame:
+    """IO10: a catalog table of ``buckets`` files, hashed and sorted by ``key``, stored at ``path``.
+
+    Tables bucketed alike by their join key are joined without an exchange of
+    either.  Rows are dealt by the bucket's own hash first, so a bucket is one file.
+    """
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(name))
+    if comment is not None:
+        comment_table(df.sparkSession, name, comment)
+    return readers.read_table(df.sparkSession, name)
+
+
 def write_json_single(df: DataFrame, path: str) -> None:
     """IO7: one JSON file (``coalesce(1)``): only for the account hierarchy, which does not grow with the data."""
     df.coalesce(1).write.mode("overwrite").json(path)

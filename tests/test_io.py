@@ -124,3 +124,41 @@ def test_quarantine_writes_both_lanes_from_one_scan(spark):
     files = quarantine.CheckedFiles(spark, root, sinks.new_scratch(spark, "lanes"))
     assert rows(files.spend_invoices) == rows(readers.RawFiles(spark, root).spend_invoices)
     assert files.lanes("spend_invoices").rejected.count() == 0
+
+
+def test_clustered_files_skip_row_groups(spark):
+    """One account lies in few of many row groups, also where most rows are its own."""
+    import glob
+
+    import pyarrow.parquet as pq
+    path = sinks.new_scratch(spark, "clustered")
+    df = spark.range(60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1000)).otherwise(2000 + F.col("id") % 40).cast("int").alias("account_number"),
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 365).cast("int")).alias("gl_date"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")      # so small a table would be one file
+    try:
+        back = sinks.write_clustered(df, path, ["account_number", "gl_date"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert rows(back) == rows(df)
+    groups = []
+    for f in glob.glob(path.removeprefix("file:") + "/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        at = meta.schema.names.index("account_number")
+        groups += [(g.column(at).statistics.min, g.column(at).statistics.max) for g in map(meta.row_group, range(meta.num_row_groups))]
+    assert len(groups) >= 4
+    assert sum(low <= 2007 <= high for low, high in groups) == 1
+    assert 2 <= sum(low <= 1000 <= high for low, high in groups) < len(groups)
+    plan = back.where("account_number = 2007")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(account_number), EqualTo(account_number,2007)]" in plan
+
+
+def test_bucketed_tables_hold_one_file_a_bucket(spark):
+    import glob
+
+    from ledgerloom.sources import catalog
+    fxs = Fixtures(spark, SF_SMALL)
+    inputs = catalog.BucketedInputs(spark, fxs, buckets=4).build(["spend_invoices"])
+    assert rows(inputs.spend_invoices) == rows(fxs.spend_invoices)
+    assert len(glob.glob(f"{inputs.root.removeprefix('file:')}/spend_invoices/*.parquet")) == 4
+    assert rows(inputs.coa) == rows(fxs.coa)

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import with_sequence_id
 from ledgerloom.operators.metric_view import Dimension, DrillAcrossView, Fact, Join, Measure, MetricView
+from ledgerloom.operators import running
 from ledgerloom.operators.asof import as_of
+from ledgerloom.operators.distinct import distinct_counts
 from ledgerloom.operators.running import running_sum
 from ledgerloom.operators.snapshots import cumulative_snapshots, snapshot_totals
 from ledgerloom.plans import quality, recognition, trial_balance
@@ -216,3 +218,28 @@ def test_matching_in_steps_uses_every_row_once(spark):
     assert sorted(got, key=str) == sorted([("exact", "c1", "t1"), ("party", "c2", "t2"), ("consumption", None, "t3"), ("contract", "c3", "t4"),
                                            ("commit", "c4", None), ("commit", "c5", None), ("consumption", None, "t5"), ("consumption", None, "t6"),
                                            ("contract", "c6", "t7"), ("consumption", None, "t8")], key=str)
+
+
+# -- distinct counts -----------------------------------------------------------------
+def test_distinct_counts_of_nulls_negatives_and_repeats(spark):
+    data = [(k % 70_000 - 100 if k % 11 else None, f"s{k % 13}" if k % 5 else None, None) for k in range(90_000)]
+    df = spark.createDataFrame(data, "a long, b string, c int").repartition(5)
+    want = {c: (len(data), sum(r[i] is not None for r in data), len({r[i] for r in data} - {None})) for i, c in enumerate("abc")}
+    for dense in (["a", "c"], ["a"], []):
+        got = {r.column: (r.n_rows, r.known, r.different) for r in distinct_counts(df, ["a", "b", "c"], dense).collect()}
+        assert got == want
+    empty = {tuple(r) for r in distinct_counts(df.where("false"), ["a", "b"], ["a"]).collect()}
+    assert empty == {("a", 0, 0, 0), ("b", 0, 0, 0)}
+
+
+# -- running sums over one bulk-load day ------------------------------------------------
+def test_running_sum_splits_a_day_with_most_rows(spark):
+    day = dt.date(2024, 5, 5)
+    data = [(1, day, k * 7 % 20_011, Decimal(k % 17 - 5)) for k in range(20_000)]
+    data += [(1, dt.date(2024, 5, 4 + 2 * (k % 2)), 30_000 + k, Decimal(3)) for k in range(40)] + [(2, day, k, Decimal(1)) for k in range(30)]
+    df = spark.createDataFrame(data, "g int, d date, id long, v decimal(18,2)").repartition(6)
+    split = running_sum(df, "g", "d", ["id"], "v", "rt", split_by="id", split_rows=1000)
+    w = Window.partitionBy("g").orderBy("d", "id").rowsBetween(Window.unboundedPreceding, 0)
+    assert rows(split) == rows(df.withColumn("rt", F.sum("v").over(w)))
+    parts = [r["count"] for r in running._sub_chunks(df, "g", "d", "id", 1000).groupBy("g", "d", "_sub").count().collect()]
+    assert max(parts) <= 2 * 20_000 / running.SPLITS
