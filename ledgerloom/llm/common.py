@@ -50,23 +50,31 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 #: Spark's setting to delete a query's shuffle files when it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, parts: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it from there.
 
     Later steps start from files that every executor reaches, so a lost
     executor costs a re-read and nothing upstream is computed twice.  Once the
     table is written its shuffle files serve nothing, so Spark deletes them then.
+    With ``parts`` the values of that column (a few) are folders of their own,
+    which ``discard_part`` can delete.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    # So few folders are written side by side, without a sort.
+    wanted = {_CLEANUP: "true", **({_WRITERS: "8"} if parts else {})}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        writer = df.write.option("compression", "zstd")
+        (writer.partitionBy(parts) if parts else writer).parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_in = path
     return out
@@ -75,9 +83,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Deletes tables made by ``stored`` that nothing will read again."""
     for df in tables:
-        spark = df.sparkSession
-        folder = spark._jvm.org.apache.hadoop.fs.Path(df.stored_in)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(df.sparkSession, df.stored_in)
+
+
+def discard_part(table: DataFrame, folder: str) -> None:
+    """Deletes one folder (``column=value``) of a table stored with ``parts``; nothing reads those rows again."""
+    _delete(table.sparkSession, f"{table.stored_in}/{folder}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 #: Bytes of Arrow data that a Python worker turns into Python objects at once.

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgerloom.llm.common import SLICE_BYTES, discard, map_frames, slices, stored
+from ledgerloom.llm.common import SLICE_BYTES, discard, discard_part, map_frames, slices, stored
 
 ORDER = 6
 FOLDS = 5
@@ -283,12 +283,12 @@ def _of_blocks(blocks: DataFrame, values: DataFrame, columns: tuple[str, ...], r
 
 
 def word_evidence(blocks: DataFrame, values: DataFrame) -> DataFrame:
-    """(places, value): log P(word | toxic) - log P(word | ordinary) of each word of ``blocks``, for where it stands."""
+    """(place, more, value): log P(word | toxic) - log P(word | ordinary) of each word of ``blocks``, and where it stands."""
     def run(rows: pa.Table, grams: list[str], numbers: np.ndarray) -> dict:
         value = dict(zip(grams, numbers[0].tolist(), strict=True))
-        return {"places": rows["places"], "value": [sum(map(value.__getitem__, expressions_of(w))) for w in rows["text"].to_pylist()]}
+        return {"place": rows["place"], "more": rows["more"], "value": [sum(map(value.__getitem__, expressions_of(w))) for w in rows["text"].to_pylist()]}
 
-    return _of_blocks(blocks, values, ("value",), run, "places array<long>, value double")
+    return _of_blocks(blocks, values, ("value",), run, "place long, more string, value double")
 
 
 def evidence_without_own(blocks: DataFrame, values: DataFrame, discounts: tuple[float, float, float]) -> DataFrame:
@@ -327,17 +327,18 @@ def evidence_without_own(blocks: DataFrame, values: DataFrame, discounts: tuple[
 
 
 def _words_in_blocks(docs: DataFrame) -> DataFrame:
-    """(place, word, words, times, keys...): documents in blocks, whose words are numbered.
+    """(place, word, words, times, keys..., part): documents in blocks, whose words are numbered.
 
-    A row with a word is that word; ``place`` holds the block and the word's
-    number in it.  A row without is a document: its block, the numbers of its
-    different words (ascending, as differences), how often it holds each, and
-    the other columns of ``docs``.
+    A row of part ``word`` is a word; ``place`` holds the block and the word's
+    number in it.  A row of part ``document`` is a document: its block, the
+    numbers of its different words (ascending, as differences), how often it
+    holds each, and the other columns of ``docs``.
     """
     keys = [f for f in docs.schema if f.name != "text"]
     fields = T.StructType([T.StructField("place", T.LongType()),
                            T.StructField("word", T.StringType()), T.StructField("words", T.BinaryType()),
-                           T.StructField("times", T.BinaryType()), *keys])
+                           T.StructField("times", T.BinaryType()), *keys,
+                           T.StructField("part", T.StringType())])
     target = to_arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,7 +352,8 @@ def _words_in_blocks(docs: DataFrame) -> DataFrame:
                 n = len(part)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((block << PLACE_BITS) + np.arange(lo, lo + n)), pa.array(part, pa.string()),
-                     *(pa.nulls(n, target.field(c).type) for c in ("words", "times", *(f.name for f in keys)))], schema=target)
+                     *(pa.nulls(n, target.field(c).type) for c in ("words", "times", *(f.name for f in keys))),
+                     pa.array(["word"] * n)], schema=target)
 
         for whole in batches:
             for batch in slices(whole):
@@ -366,7 +368,8 @@ def _words_in_blocks(docs: DataFrame) -> DataFrame:
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, block << PLACE_BITS)), pa.nulls(n, pa.string()), pa.array(lists, pa.binary()),
-                     pa.array(times, pa.binary()), *(batch.column(f.name).cast(target.field(f.name).type) for f in keys)], schema=target)
+                     pa.array(times, pa.binary()), *(batch.column(f.name).cast(target.field(f.name).type) for f in keys),
+                     pa.array(["document"] * n)], schema=target)
                 docs_held += n
                 if docs_held >= BLOCK_DOCS or held >= BLOCK_WORDS or len(index) >= BLOCK_KINDS:
                     yield from numbered()
@@ -382,10 +385,10 @@ def evidence(found: DataFrame, words: DataFrame, keys: list[str]) -> DataFrame:
     ``found`` is of ``_words_in_blocks``, ``words`` of ``word_evidence``.  The
     values of a block's different words go back to it, and the sums are taken there.
     """
-    place = F.explode("places").alias("place")
     block = F.shiftright("place", PLACE_BITS)
-    values = words.select(place, "value").select(block.alias("of_block"), F.col("place").bitwiseAND((1 << PLACE_BITS) - 1).alias("number"), "value")
-    docs = found.where("word is null").select(block.alias("block"), "words", "times", *keys)
+    more = words.where("more is not null").select(F.explode(F.split("more", ",").cast("array<long>")).alias("place"), "value")
+    values = words.select("place", "value").unionByName(more).select(block.alias("of_block"), F.col("place").bitwiseAND((1 << PLACE_BITS) - 1).alias("number"), "value")
+    docs = found.where("part = 'document'").select(block.alias("block"), "words", "times", *keys)
     fields = T.StructType([*(found.schema[k] for k in keys), T.StructField("evidence", T.DoubleType()),
                            T.StructField("clear", T.DoubleType())])
     target = to_arrow_schema(fields)
@@ -438,11 +441,14 @@ def scores(docs: DataFrame, labels: DataFrame, *keys: str) -> DataFrame:
     if not model.complete:
         return docs.select("doc_id", *keys, held_out(F.col("doc_id")).alias("held_out"), F.lit(0.0).alias("score"),
                            F.lit(0).alias("predicted"))
-    found = stored(_words_in_blocks(docs), "words")
-    # A word is one row with its places, at most those of 2**GROUP_BITS tasks.
+    found = stored(_words_in_blocks(docs), "words", "part")
+    # A word is one row with its places, at most those of 2**GROUP_BITS tasks; nearly all words have one.
     near = F.shiftright("place", PLACE_BITS + TASK_BITS + GROUP_BITS)
-    words = found.where("word is not null").groupBy(F.col("word").alias("text"), near.alias("near")).agg(F.collect_list("place").alias("places"))
-    blocks = stored(_with_expressions(words.select("text", "places")), "blocks")
+    words = found.where("part = 'word'").groupBy(F.col("word").alias("text"), near.alias("near")).agg(
+        F.min("place").alias("place"), F.collect_list("place").alias("places"))
+    more = F.when(F.size("places") > 1, F.array_join(F.array_remove("places", F.col("place")), ","))
+    blocks = stored(_with_expressions(words.select("text", "place", more.alias("more"))), "blocks")
+    discard_part(found, "part=word")
     grams = stored(blocks.where("gram is not null").select("gram").distinct(), "grams")
     values = stored(model.values(grams), "values")
     model.discard()
