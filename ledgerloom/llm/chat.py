@@ -48,6 +48,43 @@ def tool_schemas(spark: SparkSession, schemas: dict[str, dict[str, str]], requir
     return spark.createDataFrame(rows, "tool string, names map<string,string>, required array<string>")
 
 
+def with_tool_use(conversations: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text): the turns at ten times their number, and a tool call and its result after user turns.
+
+    Real conversations without tools thus become ones with them, by Spark and
+    for every user turn that has a conversation and a number.  By h, the crc32 of
+    ``conv_id:turn``: the call has no identifier (h % 13 = 0), one that others
+    share (h % 11 = 0) or its own; its tool is unknown (h % 17 = 0), its arguments
+    are no object (h % 19 = 0), lack the query (h % 7 = 0) or have a text as number
+    (h % 3 = 0); the result is missing (h % 5 = 0), names another call
+    (h % 31 = 0), stands before its call (h % 23 = 0) or comes twice (h % 29 = 0).
+    """
+    ten = F.col("turn").cast("long") * 10
+    own = conversations.select("conv_id", ten.alias("turn"), "role", "text")
+    h = F.crc32(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")))
+    asked = conversations.where((F.lower("role") == "user") & F.col("conv_id").isNotNull() & F.col("turn").isNotNull()).select(
+        "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("text", F.lit("")).alias("text"), h.alias("h"))
+    every = lambda n, of=0: F.col("h") % n == of
+    name = lambda kind: F.concat(F.lit(kind), F.col("turn").cast("string"))
+    call_id = F.when(every(13), F.lit(None).cast("string")).when(every(11), F.lit("same")).otherwise(name("c"))
+    text = F.col("text")
+    tool = F.when(every(17), "weather").when(every(19) | every(7), "search").when(every(3, 1), "calculate").otherwise("search")
+    said = lambda **fields: F.to_json(F.struct(*(v.alias(k) for k, v in fields.items())))
+    arguments = (F.when(every(17), said(query=text)).when(every(19), F.to_json(F.array(text))).when(every(7), said(limit=F.lit(3)))
+                 .when(every(3), said(limit=F.lit("3"), query=text)).when(every(3, 1), said(expression=text))
+                 .otherwise(said(limit=F.col("h") % 100, query=text)))
+    quoted = lambda c: F.to_json(F.array(c))
+    inside = lambda c: F.substring(quoted(c), F.lit(2), F.length(quoted(c)) - 2)
+    call = F.concat(F.lit('{"arguments":'), arguments, F.coalesce(F.concat(F.lit(',"id":'), inside(call_id)), F.lit("")),
+                    F.lit(',"name":'), inside(tool), F.lit("}"))
+    calls = asked.select("conv_id", (F.col("turn") * 10 + 1).alias("turn"), F.lit("assistant").alias("role"), call.alias("text"))
+    answer = said(content=F.col("h").cast("string"), tool_call_id=F.when(every(31), name("lost")).otherwise(call_id))
+    at = F.col("turn") * 10
+    turns = F.array_compact(F.array(F.when(every(23), at - 5).otherwise(at + 2), F.when(every(29), at + 3)))
+    results = asked.where(~every(5)).select("conv_id", F.explode(turns).alias("turn"), F.lit("tool").alias("role"), answer.alias("text"))
+    return own.unionByName(calls).unionByName(results)
+
+
 def canonical(text: Column) -> Column:
     """Canonical form of a JSON text, null if it is none."""
     return F.to_json(F.try_parse_json(text))

@@ -148,9 +148,9 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message, tool call and tool result of the conversations in canonical JSON, in topological order."""
+    """Every message, tool call and tool result in canonical JSON, in topological order; tool use is derived from the turns."""
     tools = chat.tool_schemas(spark, TOOLS, {"search": ["query"]})
-    return chat.documents(table(spark, sf_dir, "conversations"), tools)
+    return chat.documents(chat.with_tool_use(table(spark, sf_dir, "conversations")), tools)
 
 
 @query
