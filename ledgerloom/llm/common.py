@@ -48,6 +48,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex[:12]}"
 
 
+#: What a Python worker keeps between tasks, by the operator that keeps it: how to let go of it.
+_kept: dict[str, Callable[[], object]] = {}
+
+
+def keep_in_worker(operator: str, release: Callable[[], object] | None = None) -> None:
+    """Called as a task begins: what other operators have kept in this worker is let go, then ``release`` noted for this one.
+
+    Spark gives a worker to the tasks of one stage after another; a cache that
+    serves the tasks of its own operator only takes room from the next.
+    """
+    for other in [k for k in _kept if k != operator]:
+        _kept.pop(other)()
+    if release is not None:
+        _kept[operator] = release
+
+
 #: Spark's setting to delete a query's shuffle files when it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _WRITERS = "spark.sql.maxConcurrentOutputFileWriters"

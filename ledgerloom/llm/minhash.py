@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import SLICE_BYTES, components, discard, map_frames, stored
+from ledgerloom.llm.common import SLICE_BYTES, components, discard, keep_in_worker, map_frames, stored
 
 WORDS = 5
 PERCENT = 75
@@ -125,6 +125,7 @@ def signatures(docs: DataFrame) -> DataFrame:
         T.StructField("sig", T.ArrayType(T.LongType())), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_in_worker("minhash")
         hashes = _WordHash()
         for pdf in batches:
             sizes, ids, low = [], [], []

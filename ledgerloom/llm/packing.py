@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm.bpe import encoder
-from ledgerloom.llm.common import map_frames, stored
+from ledgerloom.llm.common import keep_in_worker, map_frames, stored
 
 BUDGET = 2048
 #: Id that closes every document.
@@ -73,6 +73,7 @@ def pieces(docs: DataFrame, path: str, budget: int = BUDGET, end_id: int = END_I
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_in_worker("encoder", encoder.cache_clear)
         enc = encoder(path)
         for pdf in batches:
             rows = []

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgerloom.llm.common import SLICE_BYTES, discard, discard_part, map_frames, slices, stored
+from ledgerloom.llm.common import SLICE_BYTES, discard, discard_part, keep_in_worker, map_frames, slices, stored
 
 ORDER = 6
 FOLDS = 5
@@ -60,7 +60,7 @@ CURVE_ROWS = 4000
 #: Width and largest value of the bins of evidence from which the logistic curve is fitted.
 BIN_WIDTH, BIN_LIMIT = 0.02, 3.0
 #: A block ends with the slice or row that brings it to so many documents, words, different words or expressions.
-BLOCK_DOCS, BLOCK_WORDS, BLOCK_KINDS, BLOCK_GRAMS = 1 << 16, 1 << 23, 1 << 19, 1 << 17
+BLOCK_DOCS, BLOCK_WORDS, BLOCK_KINDS, BLOCK_GRAMS = 1 << 16, 1 << 22, 1 << 18, 1 << 17
 _PAD, _END = "\x02", "\x03"
 #: Counts of an expression and its context by class (toxic, ordinary); different characters after the context, last of both.
 _COUNTS = ("a", "b", "total_a", "total_b", "kinds_a", "kinds_b", "kinds")
@@ -96,6 +96,7 @@ def _shared(count: Column, total: Column, kinds: Column, d: float, below: Column
 def _word_counts(labelled: DataFrame) -> DataFrame:
     """(word, toxic, ordinary): occurrences in training texts of either class."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_in_worker("toxicity")
         counts = (Counter(), Counter())
 
         def out() -> pd.DataFrame:
@@ -233,6 +234,7 @@ def _with_expressions(rows: DataFrame) -> DataFrame:
     target = to_arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_in_worker("toxicity")
         ids = _block_ids()
         block, grams, some = next(ids), set(), False
 
@@ -342,6 +344,7 @@ def _words_in_blocks(docs: DataFrame) -> DataFrame:
     target = to_arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_in_worker("toxicity")
         ids = _block_ids()
         block, index, docs_held, held = next(ids), {}, 0, 0
 

@@ -337,3 +337,16 @@ def test_slices_hold_all_rows_in_order():
     parts = list(slices(batch, 1000))
     assert sum((p.column(0).to_pylist() for p in parts), []) == list(range(50))
     assert all(p.nbytes <= 1000 or p.num_rows == 1 for p in parts)
+
+
+def test_a_worker_lets_go_of_what_other_operators_kept():
+    from ledgerloom.llm import common
+    gone = []
+    common.keep_in_worker("a", lambda: gone.append("a"))
+    common.keep_in_worker("a", lambda: gone.append("a"))
+    assert gone == []
+    common.keep_in_worker("b")
+    assert gone == ["a"]
+    common.keep_in_worker("a", lambda: gone.append("again"))
+    assert gone == ["a"]
+    common._kept.clear()
