@@ -35,10 +35,12 @@ SPLIT_ROWS, SPLITS = 1_000_000, 64
 def _sub_chunks(df: DataFrame, group: str, chunk: str, split_by: str, limit: int) -> DataFrame:
     """``df`` with ``_sub``: how many of its chunk's bounds a row is above; 0 in chunks that are not split."""
     shares = [k / SPLITS for k in range(1, SPLITS)]
-    large = (df.groupBy(group, chunk).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(split_by, shares, 10_000).alias("_bounds"))
-             .where(F.col("_n") > limit).select(group, chunk, F.array_distinct("_bounds").alias("_bounds")))
+    large = df.groupBy(group, chunk).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(group, chunk)
+    # Only the rows of large chunks are sketched; where there are none, adaptive execution drops this branch.
+    bounds = (df.select(group, chunk, split_by).join(large, [group, chunk], "left_semi").groupBy(group, chunk)
+              .agg(F.array_distinct(F.percentile_approx(split_by, shares, 10_000)).alias("_bounds")))
     above = F.size(F.filter("_bounds", lambda b: b < F.col(split_by)))
-    return (df.join(large, [group, chunk], "left")
+    return (df.join(bounds, [group, chunk], "left")
             .withColumn("_sub", F.when(F.col("_bounds").isNull(), 0).otherwise(above)).drop("_bounds"))
 
 
