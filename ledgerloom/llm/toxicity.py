@@ -461,10 +461,11 @@ def scores(docs: DataFrame, labels: DataFrame, *keys: str) -> DataFrame:
     rate = {y: min(1.0, CURVE_ROWS / n) for y, n in held.items()}
     chosen_texts = texts.where(" or ".join(f"toxic = {y} and pmod(xxhash64(doc_id), 1000000) < {rate[y] * 1e6:.0f}" for y in rate))
     curve_blocks = stored(_with_expressions(chosen_texts.select("text", "toxic")), "curve")
-    bins = (evidence_without_own(curve_blocks, values, model.discounts)
-            .groupBy(_binned("evidence"), _binned("clear"), "toxic").count().collect())
-    bins = [(r["evidence"], r["clear"], r["toxic"], r["count"] / rate[r["toxic"]]) for r in bins]
-    discard(texts, curve_blocks)
+    # At most so many rows as there are bins and classes.
+    counted = stored(evidence_without_own(curve_blocks, values, model.discounts)
+                     .groupBy(_binned("evidence"), _binned("clear"), "toxic").count(), "bins")
+    bins = [(r["evidence"], r["clear"], r["toxic"], r["count"] / rate[r["toxic"]]) for r in counted.collect()]
+    discard(texts, curve_blocks, counted)
     a, b, c = fit_curve(bins)
     told = stored(word_evidence(blocks, values), "evidence")
     discard(blocks, values)
