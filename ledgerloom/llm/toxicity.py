@@ -18,16 +18,17 @@ weighted to stand for all), each weighed by the counts of all texts but itself.
 All counts are exact tables keyed by expressions and contexts, which grow with
 the corpus; none is gathered on the driver or sent to all executors.  Every
 different expression of the documents is looked up once, by joins.  Its value
-then goes back to blocks of different words (a block's expressions are made
-different first), and the words' evidence to blocks of documents: only a block's
-different words are sent out, with their places, and only their values back,
-and they are added up where the block's numbered words are.
+then goes back to blocks of different words, which are neighbours in sorted order
+(a block's expressions are made different first, and neighbours share most of
+them), and the words' evidence to blocks of documents: only a block's different
+words are sent out, with their places, and only their values back, and they are
+added up where the block's numbered words are.
 
 Labels enter only for rows whose crc32(doc_id as text) modulo 5 is not 0;
 neither labels nor lang, source or doc_id are inputs of a score.  Null and
 empty texts have no evidence and score the curve's value at 0.  If a class has
-no training row, nothing tells the classes apart: all texts score 0.5, and none
-is predicted to be toxic.  Of several labels of one doc_id the larger toxic
+no training row, nothing tells the classes apart: all texts score 0, so none is
+predicted to be toxic.  Of several labels of one doc_id the larger toxic
 value counts; null labels are ignored.  A score depends on the row's own text
 alone, so rows with equal texts score alike; extra columns are not read.
 """
@@ -59,7 +60,7 @@ CLEAR = 2.5
 CURVE_ROWS = 4000
 #: Width and largest value of the bins of evidence from which the logistic curve is fitted.
 BIN_WIDTH, BIN_LIMIT = 0.02, 3.0
-#: A block ends with the slice or row that brings it to so many documents, words, different words or expressions.
+#: A block ends with the slice or row that brings it to so many documents, words, different words (or rows) or expressions.
 BLOCK_DOCS, BLOCK_WORDS, BLOCK_KINDS, BLOCK_GRAMS = 1 << 16, 1 << 22, 1 << 18, 1 << 17
 _PAD, _END = "\x02", "\x03"
 #: Counts of an expression and its context by class (toxic, ordinary); different characters after the context, last of both.
@@ -223,48 +224,53 @@ def _long(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
+def _compressed(rows: pa.RecordBatch) -> bytes:
+    """Rows as one compressed value, which travels as a whole."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
 def _with_expressions(rows: DataFrame) -> DataFrame:
-    """(block, gram, text, further columns): ``rows`` of text and more in blocks, and each block's different expressions.
+    """(block, gram, rows): ``rows`` of text and more in blocks of neighbours, and each block's different expressions.
 
-    To be stored before it is read twice: a block is numbered by the task that makes it.
+    A row holds one expression or, compressed, some of the rows.  To be stored
+    before it is read twice: a block is numbered by the task that makes it.
     """
-    more = [T.StructField(f.name, f.dataType) for f in rows.schema if f.name != "text"]
-    fields = T.StructType([T.StructField("block", T.LongType()), T.StructField("gram", T.StringType()),
-                           T.StructField("text", T.StringType()), *more])
-    target = to_arrow_schema(fields)
+    schema = "block long, gram string, rows binary"
+    target = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_in_worker("toxicity")
         ids = _block_ids()
-        block, grams, some = next(ids), set(), False
+        block, grams, held = next(ids), set(), 0
 
         def expressions() -> pa.RecordBatch:
-            own = [*grams]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(own), block)), pa.array(own, pa.string()),
-                 *(pa.nulls(len(own), f.type) for f in list(target)[2:])], schema=target)
+            n = len(grams)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.array([*grams], pa.string()), pa.nulls(n, pa.binary())],
+                                              schema=target)
 
         for whole in batches:
             for batch in slices(whole):
                 first, texts = 0, batch.column("text").to_pylist()
                 for k, text in enumerate(texts):
-                    some = True
+                    held += 1
                     for word in {*words_of(text)}:
                         grams.update(expressions_of(word))
-                    if len(grams) >= BLOCK_GRAMS or k + 1 == len(texts):
-                        part = batch.slice(first, k + 1 - first)
-                        n = part.num_rows
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(n, block)), pa.nulls(n, pa.string()), part.column("text"),
-                             *(part.column(f.name).cast(target.field(f.name).type) for f in more)], schema=target)
+                    full = len(grams) >= BLOCK_GRAMS or held >= BLOCK_KINDS
+                    if full or k + 1 == len(texts):
+                        part = _compressed(batch.slice(first, k + 1 - first))
+                        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.nulls(1, pa.string()),
+                                                          pa.array([part], pa.binary())], schema=target)
                         first = k + 1
-                    if len(grams) >= BLOCK_GRAMS:
+                    if full:
                         yield expressions()
-                        block, grams, some = next(ids), set(), False
-        if some:
+                        block, grams, held = next(ids), set(), 0
+        if held:
             yield expressions()
 
-    return rows.select("text", *(f.name for f in more)).mapInArrow(run, fields)
+    return rows.mapInArrow(run, schema)
 
 
 def _of_blocks(blocks: DataFrame, values: DataFrame, columns: tuple[str, ...], run, schema: str) -> DataFrame:
@@ -272,25 +278,26 @@ def _of_blocks(blocks: DataFrame, values: DataFrame, columns: tuple[str, ...], r
     target = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def of(block: pa.Table) -> pa.Table:
-        is_text = block["gram"].is_null()
-        own, rows = block.filter(pa.compute.invert(is_text)), block.filter(is_text)
+        is_rows = block["gram"].is_null()
+        own = block.filter(pa.compute.invert(is_rows))
+        rows = pa.concat_tables([pa.ipc.open_stream(part.as_py()).read_all() for part in block.filter(is_rows)["rows"]])
         numbers = np.array([own[c].to_numpy() for c in columns])
         return pa.Table.from_pydict(run(rows, own["gram"].to_pylist(), numbers), target)
 
-    more = [f for f in blocks.schema if f.name not in ("block", "gram")]
     grams = blocks.where("gram is not null").select("block", "gram").join(values.select("gram", *columns), "gram")
-    grams = grams.select("block", "gram", *(F.lit(None).cast(f.dataType).alias(f.name) for f in more), *columns)
+    grams = grams.select("block", "gram", F.lit(None).cast("binary").alias("rows"), *columns)
     rows = blocks.where("gram is null").select("*", *(F.lit(None).cast("double").alias(c) for c in columns))
     return grams.unionByName(rows).groupBy("block").applyInArrow(of, schema)
 
 
 def word_evidence(blocks: DataFrame, values: DataFrame) -> DataFrame:
-    """(place, more, value): log P(word | toxic) - log P(word | ordinary) of each word of ``blocks``, and where it stands."""
+    """(places, value): log P(word | toxic) - log P(word | ordinary) of each word of ``blocks``, and where it stands."""
     def run(rows: pa.Table, grams: list[str], numbers: np.ndarray) -> dict:
         value = dict(zip(grams, numbers[0].tolist(), strict=True))
-        return {"place": rows["place"], "more": rows["more"], "value": [sum(map(value.__getitem__, expressions_of(w))) for w in rows["text"].to_pylist()]}
+        told = [sum(map(value.__getitem__, expressions_of(w))) for w in rows["text"].to_pylist()]
+        return {"places": rows["places"], "value": told}
 
-    return _of_blocks(blocks, values, ("value",), run, "place long, more string, value double")
+    return _of_blocks(blocks, values, ("value",), run, "places array<long>, value double")
 
 
 def evidence_without_own(blocks: DataFrame, values: DataFrame, discounts: tuple[float, float, float]) -> DataFrame:
@@ -389,8 +396,8 @@ def evidence(found: DataFrame, words: DataFrame, keys: list[str]) -> DataFrame:
     values of a block's different words go back to it, and the sums are taken there.
     """
     block = F.shiftright("place", PLACE_BITS)
-    more = words.where("more is not null").select(F.explode(F.split("more", ",").cast("array<long>")).alias("place"), "value")
-    values = words.select("place", "value").unionByName(more).select(block.alias("of_block"), F.col("place").bitwiseAND((1 << PLACE_BITS) - 1).alias("number"), "value")
+    values = (words.select(F.explode("places").alias("place"), "value")
+              .select(block.alias("of_block"), F.col("place").bitwiseAND((1 << PLACE_BITS) - 1).cast("int").alias("number"), "value"))
     docs = found.where("part = 'document'").select(block.alias("block"), "words", "times", *keys)
     fields = T.StructType([*(found.schema[k] for k in keys), T.StructField("evidence", T.DoubleType()),
                            T.StructField("clear", T.DoubleType())])
@@ -445,12 +452,13 @@ def scores(docs: DataFrame, labels: DataFrame, *keys: str) -> DataFrame:
         return docs.select("doc_id", *keys, held_out(F.col("doc_id")).alias("held_out"), F.lit(0.0).alias("score"),
                            F.lit(0).alias("predicted"))
     found = stored(_words_in_blocks(docs), "words", "part")
-    # A word is one row with its places, at most those of 2**GROUP_BITS tasks; nearly all words have one.
+    # A word is one row with its places, at most those of 2**GROUP_BITS tasks; nearly all words have one.  Sorted
+    # neighbours share most expressions, so a block of them has few, and a frequent word has one row for each block.
     near = F.shiftright("place", PLACE_BITS + TASK_BITS + GROUP_BITS)
-    words = found.where("part = 'word'").groupBy(F.col("word").alias("text"), near.alias("near")).agg(
-        F.min("place").alias("place"), F.collect_list("place").alias("places"))
-    more = F.when(F.size("places") > 1, F.array_join(F.array_remove("places", F.col("place")), ","))
-    blocks = stored(_with_expressions(words.select("text", "place", more.alias("more"))), "blocks")
+    words = (found.where("part = 'word'").select(F.col("word").alias("text"), near.alias("near"), "place")
+             .repartitionByRange("text", "near").groupBy("text", "near").agg(F.collect_list("place").alias("places"))
+             .sortWithinPartitions("text").select("text", "places"))
+    blocks = stored(_with_expressions(words), "blocks")
     discard_part(found, "part=word")
     grams = stored(blocks.where("gram is not null").select("gram").distinct(), "grams")
     values = stored(model.values(grams), "values")
