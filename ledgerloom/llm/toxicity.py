@@ -36,7 +36,7 @@ alone, so rows with equal texts score alike; extra columns are not read.
 from __future__ import annotations
 
 import functools
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -335,6 +335,13 @@ def evidence_without_own(blocks: DataFrame, values: DataFrame, discounts: tuple[
     return _of_blocks(blocks, values, (*_COUNTS, "below"), run, "toxic int, evidence double, clear double")
 
 
+def _numbers() -> defaultdict[str, int]:
+    """Numbers words from 0 on, in the order in which they are first asked for."""
+    index = defaultdict(int)
+    index.default_factory = index.__len__
+    return index
+
+
 def _words_in_blocks(docs: DataFrame) -> DataFrame:
     """(place, word, words, times, keys..., part): documents in blocks, whose words are numbered.
 
@@ -353,7 +360,7 @@ def _words_in_blocks(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_in_worker("toxicity")
         ids = _block_ids()
-        block, index, docs_held, held = next(ids), {}, 0, 0
+        block, index, docs_held, held = next(ids), _numbers(), 0, 0
 
         def numbered() -> Iterator[pa.RecordBatch]:
             names = [*index]
@@ -370,7 +377,7 @@ def _words_in_blocks(docs: DataFrame) -> DataFrame:
                 lists, times = [], []
                 for text in batch.column("text"):
                     own = words_of(text.as_py())
-                    at = np.fromiter((index.setdefault(w, len(index)) for w in own), np.int32, len(own))
+                    at = np.fromiter(map(index.__getitem__, own), np.int32, len(own))
                     kinds, n = np.unique(at, return_counts=True)
                     lists.append(_short(np.diff(kinds, prepend=np.int32(0))))
                     times.append(_short(n))
@@ -383,7 +390,7 @@ def _words_in_blocks(docs: DataFrame) -> DataFrame:
                 docs_held += n
                 if docs_held >= BLOCK_DOCS or held >= BLOCK_WORDS or len(index) >= BLOCK_KINDS:
                     yield from numbered()
-                    block, index, docs_held, held = next(ids), {}, 0, 0
+                    block, index, docs_held, held = next(ids), _numbers(), 0, 0
         yield from numbered()
 
     return docs.mapInArrow(run, fields)
