@@ -42,6 +42,11 @@ class StoredLakehouse(Lakehouse):
             return stored[name]
         return object.__getattribute__(self, name)
 
+    @property
+    def gl_by_party(self) -> DataFrame:
+        """Balances are those of the stored ledger, once there is one."""
+        return self._stored["fact_gl_entries"] if "fact_gl_entries" in self._stored else Lakehouse.gl_by_party.func(self)
+
     def build(self, names: list[str] | None = None) -> dict[str, DataFrame]:
         for name, parts in ORDER:
             if names is not None and name not in names:

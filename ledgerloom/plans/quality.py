@@ -64,7 +64,7 @@ def v2(spark, sf_dir):
 @query("v3_month_end_balance")
 def v3(spark, sf_dir):
     lh = lakehouse(spark, sf_dir)
-    return month_end_balance(trial_balance.balance_totals(lh.fact_gl_entries, lh.tb_start, lh.tb_end))
+    return month_end_balance(trial_balance.balance_totals(lh.gl_by_party, lh.tb_start, lh.tb_end))
 
 
 # ---------------------------------------------------------------- contract coverage and utilisation

@@ -14,7 +14,7 @@ from ledgerloom.operators.asof import as_of
 from ledgerloom.operators.distinct import distinct_counts
 from ledgerloom.operators.running import running_sum
 from ledgerloom.operators.snapshots import cumulative_snapshots, snapshot_totals
-from ledgerloom.plans import quality, recognition, trial_balance
+from ledgerloom.plans import ledger, quality, recognition, trial_balance
 from ledgerloom.plans.registry import lakehouse
 from tests.conftest import SF_SMALL
 from tests.helpers import rows
@@ -243,3 +243,70 @@ def test_running_sum_splits_a_day_with_most_rows(spark):
     assert rows(split) == rows(df.withColumn("rt", F.sum("v").over(w)))
     parts = [r["count"] for r in running._sub_chunks(df, "g", "d", "id", 1000).groupBy("g", "d", "_sub").count().collect()]
     assert max(parts) <= 2 * 20_000 / running.SPLITS
+
+
+def _staged(spark):
+    """Staged rows with null parties, null hierarchy and repeated keys."""
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
+    coa = lambda i: None if i % 7 == 0 else (i % 3, i % 2, f"CC{i % 2}", i % 3, f"E{i % 3}")
+    struct = "coa_meta struct<coa_id bigint, cost_center_id bigint, cost_center_name string, legal_entity_id bigint, legal_entity_name string>"
+    spend = [(i // 2, None if i % 5 == 0 else i % 4, f"S{i % 4}", i % 4, i % 3, coa(i), "labor" if i % 2 else None, f"I{i}", None if i % 11 == 0 else day(i % 90),
+              "paid" if i % 3 else None, Decimal(i % 9), Decimal(1), None if i % 2 else Decimal("0.50"), Decimal(i % 9 + 1), Decimal(i % 9),
+              day(i % 120) if i % 3 else None, f"P{i}") for i in range(200)]
+    rev = [(i // 2, i, None if i % 5 == 0 else i % 4, f"C{i % 4}", i % 4, i % 3, coa(i), "labor" if i % 2 else None, f"R{i}", day(i % 90),
+            Decimal(i % 9 - 1), day(i % 150) if i % 3 else None, None if i % 2 else Decimal("0.25")) for i in range(200)]
+    money = "decimal(18,2)"
+    return (spark.createDataFrame(rev, f"rev_trx_id long, billing_id long, third_party_id long, customer_name string, customer_id long, contract_id long, "
+                                  f"{struct}, rev_category string, invoice_number string, invoice_date date, billed_amount {money}, "
+                                  f"payment_received_date date, retention_amount {money}"),
+            spark.createDataFrame(spend, f"invoice_id long, third_party_id long, supplier_name string, supplier_id long, contract_id long, {struct}, "
+                                  f"invoice_category string, invoice_number string, invoice_date date, invoice_status string, invoice_amount {money}, "
+                                  f"discount_amount {money}, tax_amount {money}, total_invoice_amount {money}, amount_paid {money}, payment_date date, "
+                                  "payment_reference string"))
+
+
+def test_balances_of_rows_dealt_by_party_equal_those_of_the_ledger(spark):
+    rev, spend = _staged(spark)
+    gl, dealt = ledger.fact_gl_entries(rev, spend), ledger.gl_by_party(rev, spend)
+    assert rows(dealt.drop("created_timestamp")) == rows(gl.drop("created_timestamp"))
+    start, end = dt.date(2024, 1, 31), dt.date(2024, 4, 30)
+    tb = lambda df: trial_balance.fact_gl_trial_balances(df, spark, start, end).drop("snapshot_timestamp")
+    assert rows(tb(dealt)) == rows(tb(gl))
+    for day in (start, dt.date(2024, 2, 29), end):
+        plain = (trial_balance.classify(gl).where(F.col("gl_date") <= day).groupBy(*trial_balance.TB_DIMS)
+                 .agg(F.sum("debit_amount").cast("decimal(28,2)").alias("total_debits"), F.count(F.lit(1)).alias("entry_count")))
+        cols = [*trial_balance.TB_DIMS, "total_debits", "entry_count"]
+        assert rows(tb(dealt).where(F.col("as_of_date") == day), cols) == rows(plain, cols)
+        assert rows(trial_balance.trial_balances_at(dealt, [day, dt.date(2030, 1, 1)]).where(F.col("as_of_date") == day), cols) == rows(plain, cols)
+
+
+def test_source_rows_without_a_join_key_are_spread(spark):
+    fact = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, F.col("id") % 6).alias("k"))
+    dim = spark.createDataFrame([(0, 10), (2, 20), (None, 30), (4, None)], "k long, value int")
+    view = lambda **kw: MetricView("t", fact, joins=[Join("d", dim, **kw)], dimensions=[Dimension("value", "d.value")],
+                                   measures=[Measure("n", lambda: F.count(F.lit(1)))])
+    by_key = view(key="k", deal=("id",))
+    assert rows(by_key.query()) == rows(view(on=lambda: F.col("source.k") == F.col("d.k")).query())
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        sizes = [r["count"] for r in by_key.relation().groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert sum(sizes) == 4000 and max(sizes) < 1600          # 3000 of the rows have no key
+
+
+def test_as_of_makes_its_rows_once(spark):
+    states = spark.range(300).select((F.col("id") % 5).alias("k"), F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 100).cast("int")).alias("d"),
+                                     F.col("id").cast("decimal(18,2)").alias("v"))
+    asked = spark.range(100).select("id", (F.col("id") % 7).alias("k"),
+                                    F.date_add(F.lit(dt.date(2023, 12, 20)), (F.col("id") % 130).cast("int")).alias("due"))
+    found = as_of(asked, states, ["k"], "due", "d", sums={"total": "v"}, lasts={"last": "d"})
+    plain = asked.join(states.withColumnRenamed("k", "k2"), (F.col("k") == F.col("k2")) & (F.col("d") <= F.col("due")), "left").groupBy("id", "k", "due").agg(
+        F.sum("v").alias("total"), F.max("d").alias("last"))
+    got = {r.id: (r.total, r.last) for r in found.collect()}
+    assert got == {r.id: (r.total, r.last) for r in plain.collect()}
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") >= 1 and plan.count("Range (0, 300") == 1

@@ -116,3 +116,38 @@ def test_bucketed_facts_are_joined_in_place(spark):
     for p in plans:
         assert "SortMergeJoin" in p and "Bucketed: true" in p
         assert "hashpartitioning(purchase_order_id" not in p and "hashpartitioning(rev_trx_id" not in p
+
+
+BALANCES = ("g11_fact_gl_trial_balances", "j19_trial_balances_at_dates", "v3_month_end_balance", "q8_account_balances_by_month_end",
+            "q9_monthly_balance_summary", "q10_latest_by_account_type", "q11_top_balances_latest", "q12_latest_by_entity_and_type",
+            "q13_trend_by_month_end_and_type", "q14_latest_by_cost_center", "q15_balance_sheet", "q16_income_statement")
+
+
+def test_balances_exchange_staged_rows_and_no_legs(spark):
+    """The rows travel by party once, below the legs; what is made of a key's legs stays in its task."""
+    for name in BALANCES:
+        lines = _plan(Q[name](spark, SF_SMALL)).splitlines()
+        legs = min(k for k, line in enumerate(lines) if "Generate explode(array_remove" in line)
+        above = [line for line in lines[:legs] if "Exchange hashpartitioning" in line and "third_party_id" in line]
+        assert not above, name
+        assert any("third_party_id" in line and "REPARTITION_BY_NUM" in line for line in lines[legs:]), name
+
+
+def test_unread_references_are_not_exchanged(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "PAY-" not in _plan(Q["q15_balance_sheet"](spark, SF_SMALL))
+        assert "PAY-" in _plan(Q["g10_fact_gl_entries"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_invoices_are_joined_where_they_were_grouped(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = _plan(Q["g5_fact_spend_transactions"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert p.count("Exchange hashpartitioning(purchase_order_id") == 1          # the orders, after the supplier join
