@@ -162,3 +162,22 @@ def test_bucketed_tables_hold_one_file_a_bucket(spark):
     assert rows(inputs.spend_invoices) == rows(fxs.spend_invoices)
     assert len(glob.glob(f"{inputs.root.removeprefix('file:')}/spend_invoices/*.parquet")) == 4
     assert rows(inputs.coa) == rows(fxs.coa)
+
+
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    import glob
+
+    from ledgerloom.sources import catalog
+    monkeypatch.setattr(catalog, "BUCKET_ROWS", 100)
+
+    class Facts:
+        purchase_orders = spark.range(1050).select(F.col("id").alias("purchase_order_id"))
+        spend_invoices = spark.range(300).select(F.col("id").alias("purchase_order_id"), F.col("id").alias("invoice_id"))
+        revenue_transactions = spark.range(30).select(F.col("id").alias("rev_trx_id"))
+    inputs = catalog.BucketedInputs(spark, Facts()).build(["purchase_orders", "spend_invoices", "revenue_transactions"])
+    files = {n: len(glob.glob(f"{inputs.root.removeprefix('file:')}/{n}/*.parquet")) for n in inputs._built}
+    # Facts that are joined have the same number of buckets; small ones keep a few.
+    assert files["purchase_orders"] == files["spend_invoices"] == 11
+    assert files["revenue_transactions"] <= catalog.FEWEST_BUCKETS
+    for n in files:
+        assert rows(getattr(inputs, n)) == rows(getattr(Facts, n))
