@@ -44,18 +44,22 @@ def as_of(requests: DataFrame, states: DataFrame, keys: list[str], request_date:
         "*", *(F.lit(None).cast(daily.schema[f"_v_{n}"].dataType).alias(f"_v_{n}") for n in values), F.lit(True).alias("_asked"))
     merged = daily.unionByName(asked).groupBy(*own, "_day").agg(
         *(F.max(f"_v_{n}").alias(f"_v_{n}") for n in values), F.max("_asked").alias("_asked"))
-    rows = merged.withColumn("_block", F.date_trunc(block, "_day"))
+    # The condition holds for all rows; stated here, it is the same below both readers of the rows.
+    rows = merged.withColumn("_block", F.date_trunc(block, "_day")).where(
+        functools.reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*own, "_block"]]))
 
     through = Window.partitionBy(*own, "_block").orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
     last = lambda n, w: F.last(f"_v_{n}", ignorenulls=True).over(w)
     local = rows.select(*own, "_day", "_block", "_asked", *(F.sum(f"_v_{n}").over(through).alias(f"_r_{n}") for n in sums),
                         *(last(n, through).alias(f"_r_{n}") for n in lasts))
+    # Both readers of the rows take the same columns, so that Spark makes the rows once.
     blocks = rows.groupBy(*own, "_block").agg(
+        F.max("_asked").alias("_asked"),
         *(F.sum(f"_v_{n}").alias(f"_v_{n}") for n in sums),
         *(F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), F.col("_day"))).alias(f"_v_{n}") for n in lasts))
     earlier = Window.partitionBy(*own).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = blocks.select(*own, "_block", *(F.sum(f"_v_{n}").over(earlier).alias(f"_c_{n}") for n in sums),
-                            *(last(n, earlier).alias(f"_c_{n}") for n in lasts))
+    carried = blocks.select(*own, "_block", "_asked", *(F.sum(f"_v_{n}").over(earlier).alias(f"_c_{n}") for n in sums),
+                            *(last(n, earlier).alias(f"_c_{n}") for n in lasts)).where("_asked").drop("_asked")
     # A sum of nothing stays null, so that a request before all states can be told from a zero balance.
     total = lambda n: F.coalesce(F.col(f"_r_{n}") + F.col(f"_c_{n}"), f"_r_{n}", f"_c_{n}").alias(n)
     answers = local.where("_asked").join(carried, [*own, "_block"]).select(
