@@ -133,6 +133,8 @@ class MergeTable:
 
     #: Words of up to so many bytes are merged together; longer ones one by one.
     WIDEST = 64
+    #: Words merged together at most, so that their trees stay in a core's cache.
+    TOGETHER = 8192
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
@@ -143,6 +145,9 @@ class MergeTable:
         self.merged = np.zeros(max(r for _, r in pairs) + 1 if pairs else 1, np.int64)
         for rank, made in vocab.merges.values():
             self.merged[rank] = made
+        # Ranks of the pairs that words begin with, by their two bytes.
+        left, right = np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256)
+        self.byte_keys = self.keys(left, right, np.zeros(1 << 16, np.int64))
 
     def keys(self, left: np.ndarray, right: np.ndarray, at: np.ndarray) -> np.ndarray:
         """rank * 64 + position of the pairs that can be merged, else the largest number."""
@@ -153,13 +158,14 @@ class MergeTable:
     def merge(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word as little-endian bytes; one segment tree per word, all stepped together."""
         out: list[bytes] = [b""] * len(words)
-        lengths = np.array([len(w) for w in words])
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
         width = 2
         while width <= self.WIDEST:
             rows = np.nonzero((lengths <= width) & (lengths > (width // 2 if width > 2 else 0)))[0]
-            if len(rows):
-                ids = self._merge([words[r] for r in rows], lengths[rows], width)
-                for r, own in zip(rows.tolist(), ids, strict=True):
+            for lo in range(0, len(rows), self.TOGETHER):
+                part = rows[lo:lo + self.TOGETHER]
+                at = part.tolist()
+                for r, own in zip(at, self._merge([words[r] for r in at], lengths[part], width), strict=True):
                     out[r] = own
             width *= 2
         for r in np.nonzero(lengths > self.WIDEST)[0]:
@@ -168,43 +174,51 @@ class MergeTable:
 
     def _merge(self, words: list[bytes], lengths: np.ndarray, width: int) -> list[bytes]:
         n, none = len(words), np.iinfo(np.int32).max
-        raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(n, width)
+        raw = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(n, width)
         place = np.arange(width)
         # Column ``width`` stands for "no neighbour": its id is -1 and no pair has it.
-        ids = np.full((n, width + 1), -1, np.int64)
+        wide = width + 1
+        ids = np.full((n, wide), -1, np.int64)
         ids[:, :width] = np.where(place < lengths[:, None], self.byte_ids[raw], -1)
         after = np.tile(np.append(place + 1, width), (n, 1))
         before = np.tile(np.append(np.where(place > 0, place - 1, width), width), (n, 1))
         tree = np.full((n, 2 * width), none, np.int32)
-        tree[:, width:] = self.keys(ids[:, :width], ids[:, 1:], place)
+        first = self.byte_keys[(raw[:, :-1].astype(np.int32) << 8) | raw[:, 1:]]
+        some = (first != none) & (place[1:] < lengths[:, None])
+        tree[:, width:-1] = np.where(some, first + place[:-1].astype(np.int32), none)
         for k in range(width - 1, 0, -1):
-            tree[:, k] = np.minimum(tree[:, 2 * k], tree[:, 2 * k + 1])
+            np.minimum(tree[:, 2 * k], tree[:, 2 * k + 1], out=tree[:, k])
+        # The same arrays in one dimension, where single places are read and written faster.
+        ids_at, after_at, before_at, tree_at = (x.reshape(-1) for x in (ids, after, before, tree))
         row = np.arange(n)
-        while len(row := row[tree[row, 1] != none]):
-            best = tree[row, 1]
+        while len(row := row[(best := tree[row, 1]) != none]):
+            best = best[best != none]
+            base, top = row * wide, row * (2 * width)
             i = best % self.WIDEST
-            ids[row, i] = new = self.merged[best // self.WIDEST]
-            j = after[row, i]
-            ids[row, j] = -1
-            k = after[row, j]
-            after[row, i] = k
-            before[row, k] = i
-            h = before[row, i]
-            first = h == width
-            left = self.keys(ids[row, h], new, h)
-            right = self.keys(new, ids[row, k], i)
-            h = np.where(first, i, h)
-            tree[row, width + h] = left
-            tree[row, width + i] = right
-            tree[row, width + j] = none
+            new = self.merged[best // self.WIDEST]
+            ids_at[base + i] = new
+            j = after_at[base + i]
+            ids_at[base + j] = -1
+            k = after_at[base + j]
+            after_at[base + i] = k
+            before_at[base + k] = i
+            h = before_at[base + i]
+            left = self.keys(ids_at[base + h], new, h)
+            right = self.keys(new, ids_at[base + k], i)
+            # Without a pair before it the merged pair's own leaf is written twice.
+            tree_at[top + width + np.where(h == width, i, h)] = left
+            tree_at[top + width + i] = right
+            tree_at[top + width + j] = none
             # The merged pair, the one before it and the one after it are new.
-            for at in (width + h, width + i, width + j):
-                while at[0] > 1:
-                    at = at >> 1
-                    tree[row, at] = np.minimum(tree[row, 2 * at], tree[row, 2 * at + 1])
+            at = np.concatenate([width + np.where(h == width, i, h), width + i, width + j])
+            top = np.tile(top, 3)
+            for _ in range(width.bit_length() - 1):
+                at >>= 1
+                under = top + 2 * at
+                tree_at[top + at] = np.minimum(tree_at[under], tree_at[under + 1])
         kept = ids[:, :width] >= 0
-        flat, ends = ids[:, :width][kept].astype("<u4").tobytes(), np.cumsum(kept.sum(axis=1)) * 4
-        return [flat[s:e] for s, e in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        flat, ends = ids[:, :width][kept].astype("<u4").tobytes(), (np.cumsum(kept.sum(axis=1)) * 4).tolist()
+        return [flat[s:e] for s, e in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 class Cache:
@@ -261,17 +275,37 @@ class Encoder:
 
     def _learn(self, spaced: Iterable[str], bare: Iterable[str]) -> None:
         """Puts what the caches lack into them: first single words, then the chunks made of them."""
-        chunks = [(self.spaced, c, self._words(c, " ")) for c in spaced if self.spaced.known(c) is None]
-        chunks += [(self.bare, c, self._words(c, "")) for c in bare if self.bare.known(c) is None]
-        new = list(dict.fromkeys(w for _, _, words in chunks for w in words if self._word(w) is None))
-        for word, ids in zip(new, self.merge(new) if new else [], strict=True):
-            if word[0] == " " and len(word) > 1:
-                self.spaced.young[word[1:]] = ids
-            else:
-                self.bare.young[word] = ids
-        for cache, chunk, words in chunks:
-            if chunk not in cache.young:
-                cache.young[chunk] = b"".join(map(self._word, words))
+        mark = dict.fromkeys(",.")
+        single, marked, mixed, words = [], [], [], {}
+        for cache, chunks, space in ((self.spaced, spaced, " "), (self.bare, bare, "")):
+            young, old = cache.young, cache.old
+            fresh = [c for c in chunks if c not in young]
+            again = [c for c in fresh if c in old]
+            if again:
+                young.update(zip(again, [old[c] for c in again], strict=True))
+                fresh = [c for c in fresh if c not in young]
+            rest = [c for c in fresh if not c.isalpha()]
+            ends = [c for c in rest if c[-1:] in mark and c[:-1].isalpha()]
+            other = [c for c in rest if not (c[-1:] in mark and c[:-1].isalpha())]
+            heads = [c for c in dict.fromkeys([c[:-1] for c in ends]) if cache.known(c) is None]
+            single.append(dict.fromkeys([c for c in fresh if c.isalpha()] + heads))
+            marked.append(ends)
+            parts = [self._words(c, space) for c in other]
+            mixed.append((cache, other, parts))
+            words.update(dict.fromkeys([w for own in parts for w in own]))
+        words = [w for w in [*words, *mark] if self._word(w) is None]
+        after = {w[1:]: None for w in words if w[0] == " " and len(w) > 1} | single[0]
+        alone = {w: None for w in words if not (w[0] == " " and len(w) > 1)} | single[1]
+        ids = self.merge([" " + w for w in after] + [*alone]) if after or alone else []
+        self.spaced.young.update(zip(after, ids))
+        self.bare.young.update(zip(alone, ids[len(after):], strict=True))
+        for cache, ends in zip((self.spaced, self.bare), marked, strict=True):
+            young, end = cache.young, self.bare.young
+            young.update([(c, young[c[:-1]] + end[c[-1]]) for c in ends])
+        for cache, chunks, parts in mixed:
+            for c, own in zip(chunks, parts, strict=True):
+                if c not in cache.young:
+                    cache.young[c] = b"".join(map(self._word, own))
 
     @staticmethod
     def _cut(text: str) -> list[str]:

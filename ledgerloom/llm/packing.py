@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm.bpe import encoder
-from ledgerloom.llm.common import keep_in_worker, map_frames, stored
+from ledgerloom.llm.common import SLICE_BYTES, keep_in_worker, map_frames, stored
 
 BUDGET = 2048
 #: Id that closes every document.
@@ -86,7 +86,7 @@ def pieces(docs: DataFrame, path: str, budget: int = BUDGET, end_id: int = END_I
                     rows.append((*row, own.astype(np.int32)) if with_ids else row)
             yield pd.DataFrame(rows, columns=names, dtype=object)
 
-    return map_frames(docs.select("doc_id", "text"), run, T.StructType(fields))
+    return map_frames(docs.select("doc_id", "text"), run, T.StructType(fields), SLICE_BYTES)
 
 
 def plan_sweeps(counts: dict[int, int], budget: int = BUDGET) -> list[Move]:
