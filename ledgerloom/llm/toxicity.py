@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgerloom.llm.common import SLICE_BYTES, discard, discard_part, keep_in_worker, map_frames, slices, stored
+from ledgerloom.llm.common import SLICE_BYTES, discard, discard_part, keep_in_worker, made_from, map_frames, slices, stored
 
 ORDER = 6
 FOLDS = 5
@@ -456,8 +456,15 @@ def scores(docs: DataFrame, labels: DataFrame, *keys: str) -> DataFrame:
     texts = stored(docs.join(chosen, "doc_id").select("doc_id", "text", "toxic"), "training")
     model = Model(texts)
     if not model.complete:
-        return docs.select("doc_id", *keys, held_out(F.col("doc_id")).alias("held_out"), F.lit(0.0).alias("score"),
-                           F.lit(0).alias("predicted"))
+        return made_from(docs.select("doc_id", *keys, held_out(F.col("doc_id")).alias("held_out"), F.lit(0.0).alias("score"),
+                                     F.lit(0).alias("predicted")))
+    # The curve is fitted on at most CURVE_ROWS texts of each class, chosen by a hash of the doc_id.  The other
+    # training texts have been counted and go before the documents' words take their room.
+    held = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
+    rate = {y: min(1.0, CURVE_ROWS / n) for y, n in held.items()}
+    chosen_texts = texts.where(" or ".join(f"toxic = {y} and pmod(xxhash64(doc_id), 1000000) < {rate[y] * 1e6:.0f}" for y in rate))
+    curve_blocks = stored(_with_expressions(chosen_texts.select("text", "toxic")), "curve")
+    discard(texts)
     found = stored(_words_in_blocks(docs), "words", "part")
     # A word is one row with its places, at most those of 2**GROUP_BITS tasks; nearly all words have one.  Sorted
     # neighbours share most expressions, so a block of them has few, and a frequent word has one row for each block.
@@ -471,19 +478,15 @@ def scores(docs: DataFrame, labels: DataFrame, *keys: str) -> DataFrame:
     values = stored(model.values(grams), "values")
     model.discard()
     discard(grams)
-    # The curve is fitted on at most CURVE_ROWS texts of each class, chosen by a hash of the doc_id.
-    held = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
-    rate = {y: min(1.0, CURVE_ROWS / n) for y, n in held.items()}
-    chosen_texts = texts.where(" or ".join(f"toxic = {y} and pmod(xxhash64(doc_id), 1000000) < {rate[y] * 1e6:.0f}" for y in rate))
-    curve_blocks = stored(_with_expressions(chosen_texts.select("text", "toxic")), "curve")
     # At most so many rows as there are bins and classes.
     counted = stored(evidence_without_own(curve_blocks, values, model.discounts)
                      .groupBy(_binned("evidence"), _binned("clear"), "toxic").count(), "bins")
     bins = [(r["evidence"], r["clear"], r["toxic"], r["count"] / rate[r["toxic"]]) for r in counted.collect()]
-    discard(texts, curve_blocks, counted)
+    discard(curve_blocks, counted)
     a, b, c = fit_curve(bins)
     told = stored(word_evidence(blocks, values), "evidence")
     discard(blocks, values)
     score = 1 / (1 + F.exp(-(F.lit(a) * F.col("evidence") + F.lit(b) * F.col("clear") + F.lit(c))))
-    return evidence(found, told, ["doc_id", *keys]).select(
-        "doc_id", *keys, held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+    return made_from(evidence(found, told, ["doc_id", *keys]).select(
+        "doc_id", *keys, held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
+        (score >= 0.5).cast("int").alias("predicted")), found, told)
