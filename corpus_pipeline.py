@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import minhash, packing, quality, secret_scan, toxicity
-from ledgerloom.llm.common import ship, stored, table
+from ledgerloom.llm.common import discard, ship, stored, table
 from ledgerloom.llm.queries import VOCABULARY
 
 
@@ -49,14 +49,19 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
     scored = toxicity.scores(docs.select("doc_id", "text", digest.alias("digest")), table(spark, sf_dir, "labels"), "digest")
     toxic = stored(scored.where("predicted = 1").select("digest").distinct(), "toxic")
+    discard(*scored.made_from)
     return docs.join(toxic, digest == toxic["digest"], "left_anti").select(*docs.columns)
 
 
 def with_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = quality.judged(_with_row(docs, "text", "source")).where("kept")
-    clean = F.when(F.size("common") > 0, quality.without_common_lines(F.col("text"), F.col("common"))).otherwise(F.col("text"))
+    judged = quality.judged(_with_row(docs, "text", "source"))
+    # The text is taken from the row, so that it travels to its common lines once.
+    text = F.col("row")["text"]
+    clean = F.when(F.size("common") > 0, quality.without_common_lines(text, F.col("common"))).otherwise(text)
     # Stored, as the filter of a later stage would pull the whole expression of the text into itself.
-    return stored(_rows(found, docs, clean), "clean")
+    found = stored(_rows(judged.where("kept"), docs, clean), "clean")
+    discard(*judged.made_from)
+    return found
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -66,14 +71,21 @@ def _numbered(docs: DataFrame) -> DataFrame:
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"), F.monotonically_increasing_id().alias("row")), "rows")
 
 
+def _components(docs: DataFrame) -> DataFrame:
+    found = minhash.near_duplicates(docs)
+    out = stored(found, "components")
+    discard(*found.made_from)
+    return out
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     if docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
-        found = stored(minhash.near_duplicates(docs), "components")
+        found = _components(docs)
         return docs.join(found.where("not kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
     # Without an id of its own a row goes by its number, so that texts that share an id are told apart.
     rows = _numbered(docs)
-    found = stored(minhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), F.col("whole.text").alias("text"))), "components")
+    found = _components(rows.select(F.col("row").alias("doc_id"), F.col("whole.text").alias("text")))
     others = found.where("not kept").select(F.col("doc_id").alias("row"))
     return rows.join(others, "row", "left_anti").select(*(F.col("whole").getField(c).alias(c) for c in docs.columns))
 

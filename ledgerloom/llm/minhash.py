@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import SLICE_BYTES, components, discard, keep_in_worker, map_frames, stored
+from ledgerloom.llm.common import SLICE_BYTES, components, discard, keep_in_worker, made_from, map_frames, stored
 
 WORDS = 5
 PERCENT = 75
@@ -226,12 +226,15 @@ def _of_classes(docs: DataFrame, classes: DataFrame, wanted: DataFrame, wide: bo
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for each row of ``docs``."""
     docs = docs.select("doc_id", "text")
-    marks = stored(signatures(docs), "signatures")
+    whole = stored(signatures(docs), "signatures")
+    # The classes hold signatures and bands; of all rows only size and set are needed on.
+    marks = stored(whole.select("doc_id", "n_shingles", "set_lo", "set_hi"), "marks")
     named = marks.where("n_shingles > 0 and doc_id is not null")
     rep = named.groupBy("set_lo", "set_hi").agg(F.min("doc_id").alias("rep"))
     first = F.col("doc_id") == F.col("rep")
-    classes = stored(named.join(rep, ["set_lo", "set_hi"]).where(first).dropDuplicates(["set_lo", "set_hi"])
+    classes = stored(whole.where("n_shingles > 0 and doc_id is not null").join(rep, ["set_lo", "set_hi"]).where(first).dropDuplicates(["set_lo", "set_hi"])
                      .select("rep", "n_shingles", "set_lo", "set_hi", "sig", "bands"), "classes")
+    discard(whole)
 
     buckets = classes.select("rep", F.explode("bands").alias("band"))
     heads = buckets.groupBy("band").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("head < last")
@@ -269,7 +272,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     more = _confirmed(others, docs, classes, percent)
     of = components(links.unionByName(more).unionByName(one), "a", "b")
     discard(classes, mixed, wide, links, more)
-    return _labelled(marks, of, rep)
+    return made_from(_labelled(marks, of, rep), marks)
 
 
 def _labelled(marks: DataFrame, of: DataFrame, rep: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored
+from ledgerloom.llm.common import discard, made_from, stored
 
 #: Fixed values of the base rules.
 SPACES = " \t\n\x0b\x0c\r"
@@ -149,14 +149,15 @@ def judged(docs: DataFrame, docs_limit: int = LINE_DOCS, per_mille: int = LINE_P
     lost = (own.select("host", "text_hash", F.explode("own").alias("x")).alias("o")
             .join(above.alias("a"), F.expr("o.host <=> a.host and o.x.hash = a.line"))
             .groupBy("o.host", "text_hash").agg(F.sum("x.n").alias("n_lost"), F.array_sort(F.collect_set("line")).alias("common")))
-    lost = stored(lost, "lost").alias("l")
+    lost = stored(lost, "lost")
+    discard(own, above)
     found = base(docs).withColumn("_hash", F.xxhash64("text")).alias("d")
-    found = found.join(lost, F.expr("d.source <=> l.host and d._hash = l.text_hash"), "left").drop("host", "text_hash", "_hash")
+    found = found.join(lost.alias("l"), F.expr("d.source <=> l.host and d._hash = l.text_hash"), "left").drop("host", "text_hash", "_hash")
     found = found.withColumn("common", F.coalesce("common", F.array().cast("array<bigint>")))
     found = found.withColumn("n_lost", F.coalesce("n_lost", F.lit(0)).cast("long"))
     left = F.col("n_words") - F.col("n_lost")
     depleted = (F.col("n_lost") > 0) & ((left < MIN_WORDS) | (100 * left < MIN_KEPT_PERCENT * F.col("n_words")))
-    return found.withColumn("kept", ~F.col("base_failed") & ~depleted)
+    return made_from(found.withColumn("kept", ~F.col("base_failed") & ~depleted), lost)
 
 
 def without_common_lines(text: Column, common: Column) -> Column:
