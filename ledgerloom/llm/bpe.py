@@ -19,6 +19,7 @@ own; columns other than ``doc_id`` and ``text`` are not read.
 from __future__ import annotations
 
 import functools
+import gc
 import hashlib
 import json
 import re
@@ -368,7 +369,9 @@ class Encoder:
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder for each worker process and vocabulary."""
-    return Encoder(path)
+    made = Encoder(path)
+    gc.freeze()       # it and the loaded modules stay, so collections need not visit them
+    return made
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
