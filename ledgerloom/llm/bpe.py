@@ -9,7 +9,9 @@ logarithmic time, until the root says that no pair can be merged.  A run of n
 bytes without a word boundary so costs n log n, not n squared.
 
 Words repeat, so ``Encoder`` remembers their ids in a cache of bounded size;
-the cache only saves work and never changes a result.
+the cache only saves work and never changes a result.  Many texts are cut into
+words at once by the kinds of neighbouring characters (``word_starts``), and a
+word of up to 16 bytes is looked up by its bytes as two integers (``Cache``).
 
 Null texts encode as empty texts: no ids, and an empty decoded text.  Rows are
 independent, so repeated rows, ties and empty tables need no rule of their
@@ -33,16 +35,13 @@ from pyspark.sql import types as T
 
 from ledgerloom.llm.common import map_frames
 
-#: Words kept in each of the two generations of a worker's cache.
+#: A worker's cache is emptied when it holds more than twice as many words.
 CACHE_WORDS = 500_000
 #: No pair here can be merged; larger than any (rank, position) key.
 NO_PAIR = 1 << 62
 #: Fixed value: the pattern that cuts words, as the vocabulary's own file names it (byte level with its regex).
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-_SPACE_THEN_SPACE = re.compile(r" \s")
-_CUT = re.compile(r" (?=\S)")
-
 
 def byte_letters() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies.
@@ -222,28 +221,122 @@ class MergeTable:
         return [flat[s:e] for s, e in zip([0, *ends[:-1]], ends, strict=True)]
 
 
+#: Kinds of characters, as the pattern tells them apart; ``_END`` stands behind each stretch of text.
+_OTHER, _LETTER, _NUMBER, _SPACE, _END = range(5)
+
+
+@functools.lru_cache(maxsize=1)
+def character_kinds() -> np.ndarray:
+    """The kind of every code point."""
+    kinds = np.full(0x110000, _OTHER, np.uint8)
+    every = "".join(map(chr, range(0xD800))) + "".join(map(chr, range(0xE000, 0x110000)))
+    for pattern, kind in ((r"\p{L}+", _LETTER), (r"\p{N}+", _NUMBER), (r"\s+", _SPACE)):
+        for m in regex.finditer(pattern, every):
+            kinds[ord(every[m.start()]):ord(every[m.end() - 1]) + 1] = kind
+    kinds[0xD800:0xE000] = _OTHER
+    return kinds
+
+
+def word_starts(points: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Which characters begin a word of ``WORD_PATTERN``; every stretch of text ends with one of kind ``_END``."""
+    start = np.ones(len(points), bool)
+    np.not_equal(kinds[1:], kinds[:-1], out=start[1:])
+    # The last white space before a word: a space is part of the word, another one a word of its own.
+    next_ = np.flatnonzero((kinds[:-1] == _SPACE) & (kinds[1:] < _SPACE)) + 1
+    start[next_ - 1] = True
+    start[next_[points[next_ - 1] == 0x20]] = False
+    # A lone apostrophe takes the letters of a contraction with it; the letters after those are another word.
+    mark = np.flatnonzero(points == 0x27)
+    mark = mark[start[mark] & (kinds[mark + 1] == _LETTER)]
+    one = points[mark + 1]
+    short = mark[np.isin(one, [ord(c) for c in "stmd"])]
+    two = one.astype(np.int64) << 32 | points[mark + 2]
+    long = mark[np.isin(two, [ord(a) << 32 | ord(b) for a, b in ("re", "ve", "ll")])]
+    for at, letters in ((short, 1), (long, 2)):
+        start[at + 1] = False
+        after = at + 1 + letters
+        start[after[kinds[after] == _LETTER]] = True
+    return start
+
+
+def _room(held: np.ndarray, n: int) -> np.ndarray:
+    """``held`` with room for ``n`` values."""
+    if n <= len(held):
+        return held
+    out = np.empty(max(n, 2 * len(held)), held.dtype)
+    out[:len(held)] = held
+    return out
+
+
 class Cache:
-    """Ids of words and of runs of words that no space parts, in two generations of bounded size."""
+    """Numbers of words of at most 16 bytes, which are looked up many at a time.
 
-    def __init__(self, limit: int):
-        self.limit = limit
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+    A word's bytes are its key, as two integers filled up with zeros, so a
+    word with a zero byte does not belong here.  Keys stand in a hash table with
+    open addressing; a key that is not the one asked for is passed over, so two words
+    never share a number.
+    """
 
-    def turn(self) -> None:
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
+    WIDEST = 16
+    _ROOM = 1 << 12
+    _MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
-    def known(self, key: str) -> bytes | None:
-        got = self.young.get(key)
-        if got is None and (got := self.old.get(key)) is not None:
-            self.young[key] = got
-        return got
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.n, self.bits = 0, 13
+        self.low, self.high, self.number = (np.empty(self._ROOM, t) for t in (np.uint64, np.uint64, np.int32))
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+
+    @classmethod
+    def keys(cls, raw: bytes, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of the words at ``at``; ``raw`` goes on for 16 bytes after the last."""
+        eight = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+        return (eight[at] & cls._MASKS[np.minimum(size, 8)],
+                eight[at + 8] & cls._MASKS[np.clip(size - 8, 0, 8)])
+
+    def _slot(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        mixed = low * self._MIX[0] + high * self._MIX[1]
+        mixed ^= mixed >> np.uint64(32)
+        return (mixed * self._MIX[0] >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The words' numbers, -1 for words that are not here."""
+        at = self._slot(low, high)
+        got = self.slots[at]
+        wrong = np.flatnonzero(((self.low[got] != low) | (self.high[got] != high)) & (got >= 0))
+        while len(wrong):
+            at[wrong] = at[wrong] + 1 & len(self.slots) - 1
+            now = got[wrong] = self.slots[at[wrong]]
+            wrong = wrong[((self.low[now] != low[wrong]) | (self.high[now] != high[wrong])) & (now >= 0)]
+        return np.where(got >= 0, self.number[got], -1)
+
+    def add(self, low: np.ndarray, high: np.ndarray, number: np.ndarray) -> None:
+        """Takes in words that differ and are not here."""
+        first, self.n = self.n, self.n + len(low)
+        for name, values in (("low", low), ("high", high), ("number", number)):
+            held = _room(getattr(self, name), self.n)
+            held[first:self.n] = values
+            setattr(self, name, held)
+        if 2 * self.n > len(self.slots):
+            self.bits, first = int(2 * self.n).bit_length() + 1, 0
+            self.slots = np.full(1 << self.bits, -1, np.int32)
+        own = np.arange(first, self.n, dtype=np.int32)
+        at = self._slot(self.low[first:self.n], self.high[first:self.n])
+        while len(own):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = own[free]       # of several for one slot the last stays
+            left = self.slots[at] != own
+            own, at = own[left], at[left] + 1 & len(self.slots) - 1
 
 
 class Encoder:
     """Encodes and decodes texts with one vocabulary.
 
+    Many texts are cut into words at a time, and the words looked up together.
     ``merge`` gives the ids of words (as little-endian bytes); by default the
     segment trees of ``MergeTable``.
     """
@@ -253,66 +346,35 @@ class Encoder:
 
     def __init__(self, path: str, merge: Callable[[list[str]], list[bytes]] | None = None):
         self.vocab = Vocabulary(path)
+        #: Cuts one text as ``word_starts`` cuts many.
         self.pattern = regex.compile(WORD_PATTERN)
-        if merge is None:
-            merges = MergeTable(self.vocab)
-            merge = lambda words: merges.merge([w.encode() for w in words])
-        self.merge = merge
+        self.merge = MergeTable(self.vocab).merge if merge is None else lambda words: merge([w.decode() for w in words])
         special = sorted(self.vocab.special, key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        # Keyed by the text after a space, and for those that no space precedes.
+        # Keyed by the bytes after a space, and for words that no space precedes.
         self.spaced, self.bare = Cache(CACHE_WORDS), Cache(CACHE_WORDS // 4)
-
-    def _words(self, chunk: str, space: str) -> list[str]:
-        """The words of a chunk; plain letters, with a mark after them or not, need no pattern."""
-        if chunk.isalpha():
-            return [space + chunk]
-        if chunk[-1:] in ",." and chunk[:-1].isalpha():
-            return [space + chunk[:-1], chunk[-1]]
-        return self.pattern.findall(space + chunk)
-
-    def _word(self, word: str) -> bytes | None:
-        return self.spaced.known(word[1:]) if word[0] == " " and len(word) > 1 else self.bare.known(word)
-
-    def _learn(self, spaced: Iterable[str], bare: Iterable[str]) -> None:
-        """Puts what the caches lack into them: first single words, then the chunks made of them."""
-        mark = dict.fromkeys(",.")
-        single, marked, mixed, words = [], [], [], {}
-        for cache, chunks, space in ((self.spaced, spaced, " "), (self.bare, bare, "")):
-            young, old = cache.young, cache.old
-            fresh = [c for c in chunks if c not in young]
-            again = [c for c in fresh if c in old]
-            if again:
-                young.update(zip(again, [old[c] for c in again], strict=True))
-                fresh = [c for c in fresh if c not in young]
-            rest = [c for c in fresh if not c.isalpha()]
-            ends = [c for c in rest if c[-1:] in mark and c[:-1].isalpha()]
-            other = [c for c in rest if not (c[-1:] in mark and c[:-1].isalpha())]
-            heads = [c for c in dict.fromkeys([c[:-1] for c in ends]) if cache.known(c) is None]
-            single.append(dict.fromkeys([c for c in fresh if c.isalpha()] + heads))
-            marked.append(ends)
-            parts = [self._words(c, space) for c in other]
-            mixed.append((cache, other, parts))
-            words.update(dict.fromkeys([w for own in parts for w in own]))
-        words = [w for w in [*words, *mark] if self._word(w) is None]
-        after = {w[1:]: None for w in words if w[0] == " " and len(w) > 1} | single[0]
-        alone = {w: None for w in words if not (w[0] == " " and len(w) > 1)} | single[1]
-        ids = self.merge([" " + w for w in after] + [*alone]) if after or alone else []
-        self.spaced.young.update(zip(after, ids))
-        self.bare.young.update(zip(alone, ids[len(after):], strict=True))
-        for cache, ends in zip((self.spaced, self.bare), marked, strict=True):
-            young, end = cache.young, self.bare.young
-            young.update([(c, young[c[:-1]] + end[c[-1]]) for c in ends])
-        for cache, chunks, parts in mixed:
-            for c, own in zip(chunks, parts, strict=True):
-                if c not in cache.young:
-                    cache.young[c] = b"".join(map(self._word, own))
-
-    @staticmethod
-    def _cut(text: str) -> list[str]:
-        # A space before a non-space always begins a word, so a text can be cut
-        # there first and the pieces, which repeat, looked up whole.
-        return _CUT.split(text) if _SPACE_THEN_SPACE.search(text) or text.endswith(" ") else text.split(" ")
+        self._clear()
+
+    def _clear(self) -> None:
+        """Lets go of all words; number 0 stands for no ids, the next for special tokens."""
+        self.spaced.clear()
+        self.bare.clear()
+        self.long: dict[bytes, int] = {}       # words that are too long for a key, or hold a zero byte
+        self.ids, self.begin, self.size = (np.empty(Cache._ROOM, t) for t in (np.uint32, np.int64, np.int64))
+        self.n_ids = self.n_words = 0
+        self._number([b"", *(i.to_bytes(4, "little") for i in self.vocab.special.values())])
+        self.marks = {t: k for k, t in enumerate(self.vocab.special, 1)}
+
+    def _number(self, ids: list[bytes]) -> np.ndarray:
+        """New numbers for words with these ids."""
+        own = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first, end, end_ids = self.n_words, self.n_words + len(ids), self.n_ids + len(own)
+        self.begin, self.size, self.ids = _room(self.begin, end), _room(self.size, end), _room(self.ids, end_ids)
+        self.begin[first:end], self.size[first:end] = self.n_ids + np.cumsum(size) - size, size
+        self.ids[self.n_ids:end_ids] = own
+        self.n_words, self.n_ids = end, end_ids
+        return np.arange(first, end)
 
     def encode_all(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """Ids of each text, in order; special tokens written in a text count as themselves."""
@@ -323,40 +385,85 @@ class Encoder:
             if size >= self.AT_ONCE:
                 yield from self._encode(held)
                 held, size = [], 0
-        yield from self._encode(held)
+        if held:
+            yield from self._encode(held)
 
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        self.spaced.turn()
-        self.bare.turn()
-        cuts = []      # per text: its stretches between special tokens, and the id after each
+        # Twice the limit: as many as two generations of words.
+        if self.spaced.n > 2 * self.spaced.limit or self.bare.n > 2 * self.bare.limit or len(self.long) > self.bare.limit:
+            self._clear()
+        stretches, after, last = [], [], []      # stretches of text, the number of what follows each, each text's last one
         for text in texts:
-            marks = [*self.special.finditer(text)] if self.special and self.special.search(text) else []
-            starts = [0, *(m.end() for m in marks)]
-            ends = [*(m.start() for m in marks), len(text)]
-            cuts.append([(self._cut(text[s:e] if marks else text), i) for s, e, i in zip(
-                starts, ends, [*(self.vocab.special[m.group()] for m in marks), None], strict=True)])
-        missing: dict[str, None] = {}
-        firsts = [parts[0] for text in cuts for parts, _ in text]
-        found = []
-        for text in cuts:
-            for parts, _ in text:
-                del parts[0]
-                got = [*map(self.spaced.young.get, parts)]
-                if None in got:
-                    missing.update(dict.fromkeys([c for c, g in zip(parts, got, strict=True) if g is None]))
-                found.append(got)
-        self._learn(missing, dict.fromkeys(firsts))
-        after, bare, at = self.spaced.young, self.bare.young, 0
-        for text in cuts:
-            out = []
-            for parts, i in text:
-                out.append(bare[firsts[at]])
-                got = found[at]
-                out += [after[c] if g is None else g for c, g in zip(parts, got, strict=True)] if None in got else got
-                if i is not None:
-                    out.append(i.to_bytes(4, "little"))
-                at += 1
-            yield np.frombuffer(b"".join(out), "<u4")
+            done = 0
+            if self.special:
+                for m in self.special.finditer(text):
+                    stretches.append(text[done:m.start()])
+                    after.append(self.marks[m.group()])
+                    done = m.end()
+            stretches.append(text[done:] if done else text)
+            after.append(0)
+            last.append(len(after) - 1)
+        numbers, ends = self._words(stretches)
+        numbers[ends] = after
+        size = self.size[numbers]
+        stop = np.cumsum(size)
+        ids = self.ids[np.repeat(self.begin[numbers] - stop + size, size) + np.arange(stop[-1])]
+        stops = stop[ends[last]].tolist()
+        for s, e in zip([0, *stops[:-1]], stops, strict=True):
+            yield ids[s:e]
+
+    def _words(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all words in order, with one more place after each stretch, and these places."""
+        whole = "\n".join([*stretches, ""])
+        raw = whole.encode()
+        points = np.frombuffer(raw, np.uint8) if len(raw) == len(whole) else np.frombuffer(whole.encode("utf-32-le"), "<u4")
+        kinds = character_kinds()[points]
+        kinds[np.cumsum(np.fromiter(map(len, stretches), np.int64, len(stretches)) + 1) - 1] = _END
+        at = np.flatnonzero(word_starts(points, kinds) | (kinds == _END))
+        ends = np.flatnonzero(kinds[at] == _END)
+        begin = at
+        if len(raw) != len(whole):     # places of characters become places of bytes
+            width = np.ones(len(points), np.int8)
+            for wider in (0x80, 0x800, 0x10000):
+                width += points >= wider
+            begin = (np.cumsum(width, dtype=np.int64) - width)[at]
+        size = np.diff(begin, append=len(raw))
+        spaced = (points[at] == 0x20) & (size > 1)
+        begin, size = begin + spaced, size - spaced
+        long = size > Cache.WIDEST
+        zeros = np.flatnonzero(points == 0)
+        if len(zeros):
+            long[np.searchsorted(at, zeros, side="right") - 1] = True
+        numbers = np.zeros(len(at), np.int64)
+        low, high = Cache.keys(raw + b"\0" * Cache.WIDEST, begin, size)
+        short = ~long
+        short[ends] = False
+        for cache, own in ((self.spaced, spaced & short), (self.bare, short & ~spaced)):
+            own = np.flatnonzero(own)
+            own_low, own_high = low[own], high[own]
+            got = cache.find(own_low, own_high)
+            fresh = np.flatnonzero(got < 0)
+            if len(fresh):
+                fresh = fresh[np.lexsort((own_low[fresh], own_high[fresh]))]
+                new_low, new_high = own_low[fresh], own_high[fresh]
+                one = np.append(True, (new_low[1:] != new_low[:-1]) | (new_high[1:] != new_high[:-1]))
+                words = own[fresh[one]]
+                made = self._learn(raw, begin[words] - (cache is self.spaced), begin[words] + size[words])
+                cache.add(new_low[one], new_high[one], made)
+                got[fresh] = made[np.cumsum(one) - 1]
+            numbers[own] = got
+        long[ends] = False
+        at = np.flatnonzero(long)
+        if len(at):
+            words = [raw[s:e] for s, e in zip((begin - spaced)[at].tolist(), (begin + size)[at].tolist(), strict=True)]
+            fresh = [w for w in dict.fromkeys(words) if w not in self.long]
+            self.long.update(zip(fresh, self._number(self.merge(fresh)).tolist(), strict=True))
+            numbers[at] = [self.long[w] for w in words]
+        return numbers, ends
+
+    def _learn(self, raw: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Numbers for new words, given by their places."""
+        return self._number(self.merge([raw[s:e] for s, e in zip(begin.tolist(), end.tolist(), strict=True)]))
 
     def encode(self, text: str) -> np.ndarray:
         return next(self.encode_all([text]))

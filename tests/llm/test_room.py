@@ -102,6 +102,64 @@ def test_chunks_are_learned_alike_from_either_cache(monkeypatch):
     assert [x.tolist() for x in few.encode_all(texts)] == want
 
 
+def test_many_texts_are_cut_as_the_pattern_cuts_one():
+    path, rng = public_tokenizers.path("byte_bpe_50k.json"), random.Random(21)
+    enc = bpe.Encoder(path)
+    parts = [" ", "  ", "\n", "\t", "\u3000", "\x1c", "'", "''", "'s", "'re", "'ll", "'l", "'sa", "s", "re", "a", "the", "wörd", "日本語", "7", "Ⅷ",
+             "é", "\u0301", "😀", "--", ".", "\0", "ab\0", "x" * 16, "x" * 17, "é" * 8, "é" * 9, "<|endoftext|>", "<|endoftext"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(4000)]
+    texts += ["", "'", "it's", "it'", "'ll", " 's", "\n's", "a'sa'd's", "\0", " \0", "a", "a\0", "a\0\0"]
+    special = enc.vocab.special
+    want = []
+    for t in texts:
+        cut = enc.special.split(t) if enc.special else [t]
+        marks = [special[m] for m in enc.special.findall(t)] if enc.special else []
+        ids = [[i for w in enc.pattern.findall(c) for i in bpe.merge_word(w.encode(), enc.vocab)] for c in cut]
+        want.append([i for own, mark in zip(ids, [*([m] for m in marks), []], strict=True) for i in own + mark])
+    for at_once in (1, 200, 1_500_000):
+        enc.AT_ONCE = at_once
+        assert [x.tolist() for x in enc.encode_all(texts)] == want
+
+
+def test_texts_are_encoded_without_a_call_for_every_word():
+    """Python's time follows the batches and the long words, not the words."""
+    import sys
+    enc, rng = bpe.Encoder(public_tokenizers.path("byte_bpe_50k.json")), random.Random(4)
+    # Few words and marks, but many different stretches between spaces.
+    stems = ["".join(rng.choices("etaoinshr", k=rng.randint(3, 9))) for _ in range(1000)]
+    marks = ["".join(rng.choices("!?;:-", k=rng.randint(0, 3))) for _ in range(50)]
+    words = [rng.choice(stems) + rng.choice(marks) for _ in range(20_000)]
+    next(enc.encode_all(["warm"]))
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+    sys.setprofile(count)
+    try:
+        n = sum(len(ids) for ids in enc.encode_all([" ".join(words)]))
+    finally:
+        sys.setprofile(None)
+    assert n > len(words)
+    assert calls < len(words) / 2
+
+
+def test_words_whose_keys_meet_in_a_slot_stay_apart():
+    cache, rng = bpe.Cache(10), np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 60, (5000, 2)), axis=0).astype(np.uint64)
+    low, high = keys[:, 0], keys[:, 1]
+    cache._MIX = np.zeros(2, np.uint64)        # all in one slot
+    half = 200
+    cache.add(low[:half], high[:half], np.arange(half))
+    assert cache.find(low[:400], high[:400]).tolist() == [*range(half), *[-1] * 200]
+    del cache._MIX
+    cache.clear()
+    for lo in range(0, len(low), 700):         # the table grows on the way
+        cache.add(low[lo:lo + 700], high[lo:lo + 700], np.arange(lo, min(lo + 700, len(low))))
+    assert cache.find(low, high).tolist() == list(range(len(low)))
+    assert cache.find(low + np.uint64(100), high).max() == -1
+
+
 def test_packing_takes_texts_in_slices(spark, monkeypatch):
     asked = []
     whole = packing.map_frames
