@@ -153,6 +153,38 @@ def test_clustered_files_skip_row_groups(spark):
     assert "PushedFilters: [IsNotNull(account_number), EqualTo(account_number,2007)]" in plan
 
 
+def test_clustered_folders_hold_one_account_and_narrow_dates(spark):
+    """The clustered ledger: entries are dealt by date, also where most fall on one day, and an account is a folder."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from ledgerloom.plans import ledger
+    from ledgerloom.plans.registry import lakehouse, tabular
+    lh = lakehouse(spark, SF_SMALL)
+    hot = F.when(F.col("invoice_date").isNotNull() & (F.col("invoice_id") % 4 != 0), F.lit(dt.date(2000, 12, 29))).otherwise(F.col("invoice_date"))
+    spend = lh.stg_spend_transactions.withColumn("invoice_date", hot)
+    path = sinks.new_scratch(spark, "clustered")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        gl = tabular(ledger.gl_by_date(lh.stg_revenue_transactions, spend))
+        back = sinks.write_clustered_folders(gl, path, "account_number", "gl_date")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert back.dtypes == gl.dtypes
+    assert rows(back) == rows(tabular(ledger.fact_gl_entries(lh.stg_revenue_transactions, spend)))
+    dates = {}
+    for f in glob.glob(path.removeprefix("file:") + "/account_number=*/*.parquet"):
+        days = pq.read_table(f, columns=["gl_date"]).column("gl_date").to_pylist()
+        assert days == sorted(days)
+        dates.setdefault(f.split("account_number=")[1].split("/")[0], []).append((days[0], days[-1]))
+    assert sorted(dates) == ["1000", "1100", "2000", "4000", "5000", "5100"]
+    assert sum(low <= dt.date(2000, 12, 29) <= high for low, high in dates["5000"]) >= 2
+    assert sum(low <= dt.date(1999, 3, 1) <= high for low, high in dates["5000"]) <= 2 < len(dates["5000"])
+    plan = back.where("account_number = 2000")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(account_number" in plan
+
+
 def test_bucketed_tables_hold_one_file_a_bucket(spark):
     import glob
 
