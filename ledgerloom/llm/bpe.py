@@ -342,7 +342,7 @@ class Encoder:
     """
 
     #: Characters of text encoded at a time, so that the words of many texts are merged together.
-    AT_ONCE = 1_500_000
+    AT_ONCE = 400_000
 
     def __init__(self, path: str, merge: Callable[[list[str]], list[bytes]] | None = None):
         self.vocab = Vocabulary(path)

@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgerloom.llm.common import SLICE_BYTES, discard, discard_part, keep_in_worker, made_from, map_frames, slices, stored
+from ledgerloom.llm.common import SLICE_BYTES, discard, discard_part, give_back, giving_back, keep_in_worker, made_from, map_frames, slices, stored
 
 ORDER = 6
 FOLDS = 5
@@ -270,20 +270,25 @@ def _with_expressions(rows: DataFrame) -> DataFrame:
         if held:
             yield expressions()
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(giving_back(run), schema)
 
 
 def _of_blocks(blocks: DataFrame, values: DataFrame, columns: tuple[str, ...], run, schema: str) -> DataFrame:
     """``run(rows, grams, numbers)`` for every block of ``_with_expressions``; numbers are the ``columns`` of its grams."""
     target = to_arrow_schema(T.StructType.fromDDL(schema))
 
-    def of(block: pa.Table) -> pa.Table:
+    def answers(block: pa.Table) -> pa.Table:
         is_rows = block["gram"].is_null()
         own = block.filter(pa.compute.invert(is_rows))
         rows = pa.concat_tables([pa.ipc.open_stream(part.as_py()).read_all() for part in block.filter(is_rows)["rows"]])
         numbers = np.array([own[c].to_numpy() for c in columns])
         return pa.Table.from_pydict(run(rows, own["gram"].to_pylist(), numbers), target)
 
+    def of(block: pa.Table) -> pa.Table:
+        out = answers(block)
+        give_back()
+        return out
+
     grams = blocks.where("gram is not null").select("block", "gram").join(values.select("gram", *columns), "gram")
     grams = grams.select("block", "gram", F.lit(None).cast("binary").alias("rows"), *columns)
     rows = blocks.where("gram is null").select("*", *(F.lit(None).cast("double").alias(c) for c in columns))
@@ -393,7 +398,7 @@ def _words_in_blocks(docs: DataFrame) -> DataFrame:
                     block, index, docs_held, held = next(ids), _numbers(), 0, 0
         yield from numbered()
 
-    return docs.mapInArrow(run, fields)
+    return docs.mapInArrow(giving_back(run), fields)
 
 
 def evidence(found: DataFrame, words: DataFrame, keys: list[str]) -> DataFrame:
@@ -410,7 +415,7 @@ def evidence(found: DataFrame, words: DataFrame, keys: list[str]) -> DataFrame:
                            T.StructField("clear", T.DoubleType())])
     target = to_arrow_schema(fields)
 
-    def of(own: pa.Table, block: pa.Table) -> pa.Table:
+    def answers(own: pa.Table, block: pa.Table) -> pa.Table:
         value = np.zeros(own.num_rows)
         value[own["number"].to_numpy()] = own["value"].to_numpy()
         told = [_told(value[np.cumsum(_long(w.as_py()))], _long(n.as_py()))
@@ -418,6 +423,11 @@ def evidence(found: DataFrame, words: DataFrame, keys: list[str]) -> DataFrame:
         return pa.Table.from_arrays([*(block[k].cast(target.field(k).type) for k in keys),
                                      *(pa.array([t[j] for t in told], pa.float64()) for j in (0, 1))], schema=target)
 
+    def of(own: pa.Table, block: pa.Table) -> pa.Table:
+        out = answers(own, block)
+        give_back()
+        return out
+
     return values.groupBy("of_block").cogroup(docs.groupBy("block")).applyInArrow(of, fields)
 
 

@@ -1,10 +1,14 @@
 """What operators leave in the shared folder, carry through joins and hold at once."""
 
 import random
+import re
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerloom.llm import bpe, common, packing, quality, toxicity
@@ -167,3 +171,59 @@ def test_packing_takes_texts_in_slices(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     assert packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")).count() == 2
     assert asked == [common.SLICE_BYTES]
+
+
+def test_rows_go_to_python_in_batches_of_bounded_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "mb": [batch.nbytes >> 20], "longest": [
+                max(map(len, batch.column("text").to_pylist()), default=0)]})
+
+    # Longer rows than a batch may hold stand alone.
+    long = F.when(F.col("id") == 7, F.repeat(F.lit("y"), 6 << 20)).otherwise(F.repeat(F.lit("x"), 10_000))
+    texts = spark.range(2000).coalesce(1).select("id", long.alias("text"))
+    got = common.stored(texts.mapInArrow(sizes, "rows long, mb long, longest long"), "sizes").collect()
+    assert sum(r["rows"] for r in got) == 2000 and max(r["longest"] for r in got) == 6 << 20
+    assert max(r["mb"] for r in got if r["longest"] == 10_000) <= common.SLICE_BYTES >> 20
+    assert max(r["mb"] for r in got) <= 12
+
+
+def own_mb():
+    with open("/proc/self/smaps_rollup") as f:
+        return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", f.read()))) / 1024
+
+
+def test_a_worker_gives_back_what_it_has_freed():
+    # Blocks that the C library keeps, as one behind them stays.
+    held = [bytearray(b"x" * 50_000) for _ in range(2000)]
+    last, full = held[-1], own_mb()
+    del held
+    common.give_back()
+    assert len(last) == 50_000 and own_mb() < full - 80
+
+
+def test_python_tasks_give_back_their_room_at_the_end(monkeypatch):
+    gave = []
+    monkeypatch.setattr(common, "give_back", lambda: gave.append(1))
+    run = common.giving_back(lambda batches: (2 * b for b in batches))
+    assert list(run(iter([1, 2]))) == [2, 4] and len(gave) == 1
+    early = run(iter([1, 2]))
+    next(early)
+    early.close()
+    assert len(gave) == 2
+    common.keep_in_worker("a", lambda: None)
+    assert len(gave) == 2
+    common.keep_in_worker("b")
+    assert len(gave) == 3
+
+
+def test_encoding_many_texts_takes_little_room():
+    enc, rng = bpe.Encoder(public_tokenizers.path("byte_bpe_50k.json")), random.Random(8)
+    words = ["".join(rng.choices("etaoinshr", k=rng.randint(2, 8))) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=1000)) for _ in range(500)]     # 3 million characters
+    next(enc.encode_all([" ".join(words)]))
+    tracemalloc.start()
+    n = sum(len(ids) for ids in enc.encode_all(texts))
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert n > 500_000 and peak < 20
