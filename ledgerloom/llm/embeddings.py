@@ -9,8 +9,14 @@
 3. Multiprobe: besides its own bucket a vector enters the buckets of its next
    best vertices, in the order of how much is lost by them (``PROBES`` keys a
    table), so fewer tables find a neighbour.
-4. Two vectors in one bucket of a table are a candidate pair, verified by the
-   cosine of the full vectors in double precision.
+4. Two vectors in one bucket of a table are a candidate pair, unless their
+   outlines (15 coordinates of a rotation and the length of the rest, 32 bytes)
+   show that their cosine is too small: Cauchy and Schwarz bound it from above,
+   so no link is lost.  Unlike vectors that share a bucket, whose number grows
+   with the square of the table, thus never leave the bucket's task.
+5. A pair is verified on vectors rounded to bytes, whose cosine is known up to
+   the rounding; where that leaves it open, by the cosine of the full vectors in
+   double precision.  So the full vectors travel for doubtful pairs only.
 
 Links are counted per vector, so every verified pair is needed; copies count
 by class size and are not expanded.  Buckets have no cap.
@@ -40,6 +46,9 @@ COSINE = 0.95
 TABLES = 16
 JOINED = 3
 PROBES = 4
+#: Numbers of an outline, and what the 16-bit number of a length 1 is.
+OUTLINE = 16
+UNIT = 32767
 _SEED = 20240602
 
 
@@ -106,61 +115,129 @@ def unit_vectors(rows: list) -> list[np.ndarray | None]:
     return out
 
 
+def outline(unit: np.ndarray) -> np.ndarray:
+    """[rows, ``OUTLINE`` / 4] integers that hold ``OUTLINE`` 16-bit numbers of each unit vector.
+
+    The numbers are the first coordinates of a rotation of the vector and, rounded
+    up, the length of what remains.  Their dot product over ``UNIT`` squared is a
+    cosine's upper bound, but for rounding (at most 0.00012).
+    """
+    n, d = unit.shape
+    width = 1 << max(1, (d - 1).bit_length())
+    x = np.zeros((n, width))
+    x[:, :d] = unit
+    for r in range(3):
+        x = hadamard(x * signs(width)[0, 0, r])
+    near, rest = x[:, :OUTLINE - 1], x[:, OUTLINE - 1:]
+    held = np.zeros((n, OUTLINE), np.int64)
+    held[:, :near.shape[1]] = np.rint(near * UNIT)
+    held[:, -1] = np.ceil(np.sqrt((rest ** 2).sum(1)) * UNIT)
+    return np.clip(held, -UNIT, UNIT).astype("<i2").view("<i8")
+
+
+def rounded(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit vectors as bytes, what a byte stands for, and how far the bytes are from the vector."""
+    step = np.abs(unit).max(1) / 127
+    held = np.rint(unit / step[:, None])
+    off = np.sqrt(((unit - held * step[:, None]) ** 2).sum(1))
+    return held.astype(np.int8), step, off
+
+
 def directions(vectors: DataFrame) -> DataFrame:
-    """(vec_id, vec, keys, class): unit vectors, their bucket numbers and a hash of them; null where nothing can link."""
+    """(vec_id, vec, class): unit vectors and a hash of them; null where nothing can link."""
     schema = T.StructType([T.StructField("vec_id", vectors.schema["vec_id"].dataType),
                            T.StructField("vec", T.ArrayType(T.DoubleType())),
-                           T.StructField("keys", T.ArrayType(T.LongType())),
-                           T.StructField("class", T.StringType())])
+                           T.StructField("class", T.BinaryType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for at in range(0, len(pdf), 1024):
                 part = pdf.iloc[at:at + 1024]
                 unit = unit_vectors(part["embedding"].tolist())
-                number: list = [None] * len(unit)
-                for size in {len(v) for v in unit if v is not None}:
-                    rows = [k for k, v in enumerate(unit) if v is not None and len(v) == size]
-                    got = keys(np.stack([unit[k] for k in rows])).reshape(len(rows), -1)
-                    # The length is part of the bucket, for vectors of different lengths do not link.
-                    for k, own in zip(rows, got, strict=True):
-                        number[k] = np.unique(own * 4096 + size % 4096)
-                names = [None if v is None else xxhash.xxh3_128_hexdigest(v.tobytes()) for v in unit]
+                names = [None if v is None else xxhash.xxh3_128_digest(v.tobytes()) for v in unit]
                 yield pd.DataFrame({"vec_id": part["vec_id"], "vec": pd.Series(unit, part.index, object),
-                                    "keys": pd.Series(number, part.index, object),
                                     "class": pd.Series(names, part.index, object)})
 
     return map_frames(vectors.select("vec_id", "embedding"), run, schema)
 
 
+def hashed(classes: DataFrame) -> DataFrame:
+    """``classes`` with the bucket numbers (keys), outline and bytes of each ``vec``."""
+    made = T.StructType([T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("outline", T.ArrayType(T.LongType())),
+                         T.StructField("bytes", T.ArrayType(T.ByteType())), T.StructField("step", T.DoubleType()),
+                         T.StructField("off", T.DoubleType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), 1024):
+                part = pdf.iloc[at:at + 1024]
+                vecs = [np.asarray(v) for v in part["vec"]]
+                out: list = [None] * len(vecs)
+                for size in {len(v) for v in vecs}:
+                    rows = [k for k, v in enumerate(vecs) if len(v) == size]
+                    unit = np.stack([vecs[k] for k in rows])
+                    # The length is part of the bucket, for vectors of different lengths do not link.
+                    own = keys(unit).reshape(len(rows), -1) * 4096 + size % 4096
+                    for k, number, *rest in zip(rows, own, outline(unit), *rounded(unit), strict=True):
+                        out[k] = (np.unique(number), *rest)
+                yield pd.DataFrame({**{c: part[c] for c in part.columns},
+                                    **{f.name: pd.Series([o[i] for o in out], part.index, object) for i, f in enumerate(made)}})
+
+    return map_frames(classes, run, T.StructType([*classes.schema, *made]))
+
+
+def like(a: str, b: str, least: float):
+    """Whether two outlines leave it possible that their vectors' cosine is ``least``."""
+    number = lambda c, i: F.shiftright(F.shiftleft(F.col(f"{c}{i // 4}"), 48 - 16 * (i % 4)), 48)
+    dot = functools.reduce(lambda x, y: x + y, (number(a, i) * number(b, i) for i in range(OUTLINE)))
+    return dot >= F.lit(int((least - 0.001) * UNIT ** 2))
+
+
+def candidates(classes: DataFrame, least: float) -> DataFrame:
+    """(a, b): pairs of classes (by id, a below b) that share a bucket and whose outlines are alike, each once."""
+    words = range(OUTLINE // 4)
+    buckets = classes.select(F.explode("keys").alias("key"), "id", *(F.col("outline")[i].alias(f"o{i}") for i in words))
+    one, two = (buckets.toDF("key", c, *(f"{c}{i}" for i in words)) for c in ("a", "b"))
+    return one.join(two, "key").where((F.col("a") < F.col("b")) & like("a", "b", least)).select("a", "b").distinct()
+
+
 def cosine(a: str, b: str):
     """Dot product of two unit vectors, summed in order in double precision."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
+def verified(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """(a, b, n_a, n_b): the ``pairs`` whose cosine is ``least`` or more, with the sizes of their classes."""
+    def of(c: str) -> DataFrame:
+        return classes.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), *(F.col(x).alias(f"{x}_{c}") for x in ("bytes", "step", "off")))
+
+    product = F.aggregate(F.zip_with("bytes_a", "bytes_b", lambda x, y: x.cast("int") * y.cast("int")), F.lit(0).cast("long"), lambda s, x: s + x)
+    held = pairs.join(of("a"), "a").join(of("b"), "b").where(F.size("bytes_a") == F.size("bytes_b")).select(
+        "a", "b", "n_a", "n_b", (product * F.col("step_a") * F.col("step_b")).alias("about"),
+        # What the bytes leave out of either vector, and more than double precision does.
+        (F.col("off_a") + F.col("off_b") + F.col("off_a") * F.col("off_b") + 1e-9).alias("within"))
+    near = stored(held.where(F.col("about") + F.col("within") >= least).select(
+        "a", "b", "n_a", "n_b", (F.col("about") - F.col("within") >= least).alias("sure")), "near")
+    full = classes.select("id", "vec")
+    doubtful = near.where("not sure").join(full.toDF("a", "x"), "a").join(full.toDF("b", "y"), "b").where(cosine("x", "y") >= least)
+    return near.where("sure").drop("sure").unionByName(doubtful.select("a", "b", "n_a", "n_b"))
+
+
 def near_duplicates(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept), a row for each row of ``vectors``."""
     marks = stored(directions(vectors), "directions")
     able = marks.where("vec is not null")
-    classes = stored(able.groupBy("class").agg(F.count("*").alias("n"), F.min("vec_id").alias("first"),
-                                               F.any_value("vec").alias("vec"), F.any_value("keys").alias("keys")), "classes")
-
-    buckets = classes.select("class", F.explode("keys").alias("key"))
-    shared = buckets.join(buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "key")
-    pairs = (shared.toDF("key", "a").join(shared.toDF("key", "b"), "key").where("a < b")
-             .select("a", "b").distinct())
-    own = classes.select("class", "vec")
-    links = stored(pairs.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b")
-                   .where((F.size("x") == F.size("y")) & (cosine("x", "y") >= least)).select("a", "b"), "links")
-
-    size = classes.select("class", "n")
-    both = links.select(F.col("a").alias("class"), F.col("b").alias("other")).unionByName(
-        links.select(F.col("b").alias("class"), F.col("a").alias("other")))
-    linked = both.join(size.toDF("other", "m"), "other").groupBy("class").agg(F.sum("m").alias("others"))
-    of = components(links, "a", "b").toDF("class", "part")
-    named = classes.join(of, "class", "left").select("class", "n", "first", F.coalesce("part", "class").alias("part"))
+    grouped = able.groupBy("class").agg(F.count("*").alias("n"), F.min("vec_id").alias("first"), F.any_value("vec").alias("vec"))
+    # The numbers name classes within this table alone; nothing returned depends on them.
+    classes = stored(hashed(grouped).withColumn("id", F.monotonically_increasing_id()), "classes")
+    links = stored(verified(candidates(classes, least), classes, least), "links")
+
+    both = links.select(F.col("a").alias("id"), F.col("n_b").alias("m")).unionByName(links.select(F.col("b").alias("id"), F.col("n_a").alias("m")))
+    linked = both.groupBy("id").agg(F.sum("m").alias("others"))
+    of = components(links, "a", "b").toDF("id", "part")
+    named = classes.select("id", "class", "n", "first").join(of, "id", "left").withColumn("part", F.coalesce("part", "id"))
     names = named.groupBy("part").agg(F.min("first").alias("component"))
-    told = (named.join(linked, "class", "left").join(names, "part")
+    told = (named.join(linked, "id", "left").join(names, "part")
             .select("class", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component"))
     found = marks.select("vec_id", "class").join(told, "class", "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id"))

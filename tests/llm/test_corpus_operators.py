@@ -405,6 +405,33 @@ def test_hashing_finds_close_vectors():
     assert recall >= 0.99
 
 
+@pytest.mark.parametrize("dims", [2, 3, 16, 48, 300])
+def test_outlines_and_bytes_bound_the_cosine(dims):
+    rng = np.random.default_rng(dims)
+    x = rng.normal(size=(400, dims))
+    x[200:] = x[:200] + rng.normal(size=(200, dims)) * rng.choice([0.01, 0.1, 0.3], (200, 1))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    cosines = x @ x.T
+    held = embeddings.outline(x).view("<i2").astype(np.int64)
+    assert (held @ held.T / embeddings.UNIT ** 2 >= cosines - 0.00012).all()
+    held, step, off = embeddings.rounded(x)
+    about = (held.astype(np.int64) @ held.T.astype(np.int64)) * step * step[:, None]
+    assert (np.abs(about - cosines) <= off + off[:, None] + off * off[:, None] + 1e-9).all()
+
+
+def test_unlike_vectors_of_a_bucket_are_no_candidates(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(600, 64))
+    x[300:310] = x[:10] + rng.normal(size=(10, 64)) * 0.05
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    classes = embeddings.hashed(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "id long, vec array<double>"))
+    # One bucket holds all: nothing but the vectors themselves can tell the pairs apart.
+    classes = classes.withColumn("keys", F.array(F.lit(1).cast("long"), F.lit(2).cast("long")))
+    got = {(r.a, r.b) for r in embeddings.candidates(classes, 0.95).collect()}
+    assert {(k, 300 + k) for k in range(10)} <= got
+    assert len(got) < 0.01 * 600 * 599 / 2
+
+
 # -- pipeline ----------------------------------------------------------------
 @pytest.fixture(scope="module")
 def corpus(spark):
