@@ -339,3 +339,26 @@ def test_as_of_makes_its_rows_once(spark):
     assert got == {r.id: (r.total, r.last) for r in plain.collect()}
     plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("ReusedExchange") >= 1 and plan.count("Range (0, 300") == 1
+
+
+def test_as_of_rows_takes_requests_and_states_of_one_table(spark):
+    from ledgerloom.operators.asof import as_of_rows
+    d = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
+    table = [(1, d(3), True, None, "a"), (1, d(3), False, 5, None), (1, d(1), False, 2, None), (1, d(40), False, 7, None), (1, d(45), True, None, "b"),
+             (1, d(0), True, None, "c"), (None, d(50), True, None, "d"), (None, d(1), False, 9, None), (2, None, True, None, "e"), (2, d(2), False, 1, None),
+             (2, None, False, 4, None), (2, d(2), True, None, "f"), (2, d(2), True, None, "f")]
+    rows_ = spark.createDataFrame(table, "k long, d date, ask boolean, v long, name string")
+    for block in ("month", "day"):
+        found = as_of_rows(rows_, F.col("ask"), ["k"], "d", {"total": "v"}, {"latest": "v"}, block=block)
+        assert sorted((r.name, r.k, r.total, r.latest) for r in found.collect()) == [
+            ("a", 1, 7, 5), ("b", 1, 14, 7), ("c", 1, None, None), ("d", None, None, None), ("e", 2, None, None), ("f", 2, 1, 1), ("f", 2, 1, 1)]
+
+
+def test_invoices_and_payables_are_the_legs_beside_the_invoices(spark):
+    lh = lakehouse(spark, SF_SMALL)
+    both = ledger.invoices_and_payables(lh.stg_spend_transactions, "payment_due_date")
+    columns = ["third_party_id", "gl_date", "transaction_type", "debit_amount", "credit_amount"]
+    legs = ledger.gl_for_accounts(lh.stg_revenue_transactions, lh.stg_spend_transactions, [2000], lh.run_ts)
+    assert rows(both.where("account_number = 2000").select(*columns)) == rows(legs.select(*columns))
+    invoices = lh.stg_spend_transactions.where("invoice_id is not null").select("invoice_id", "third_party_id", F.col("payment_due_date").alias("gl_date"))
+    assert rows(both.where(F.col("transaction_type") == ledger.INVOICE_ITSELF).select(*invoices.columns)) == rows(invoices)
