@@ -151,3 +151,25 @@ def test_invoices_are_joined_where_they_were_grouped(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert p.count("Exchange hashpartitioning(purchase_order_id") == 1          # the orders, after the supplier join
+
+
+def test_payables_at_due_date_make_the_staged_rows_once(spark):
+    df = Q["j19_payables_at_due_date"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # One reading for the orders and one for the invoices; the requests and the legs come from the rows joined of them.
+    assert plan.count("FileScan parquet [l_orderkey") == 2
+    assert plan.count("ReusedExchange") >= 1
+
+
+def test_balances_are_made_before_their_month_ends(spark):
+    p = _plan(Q["g11_fact_gl_trial_balances"](spark, SF_SMALL))
+    generate = [line for line in p.splitlines() if "Generate explode(sequence" in line]
+    assert len(generate) == 1 and "debit_balance" in generate[0] and "interval" not in generate[0]
+
+
+def test_balances_deal_no_rows_without_a_document(spark):
+    p = _plan(Q["g11_fact_gl_trial_balances"](spark, SF_SMALL))
+    for key in ("purchase_order_id", "rev_trx_id"):
+        join = [line for line in p.splitlines() if f"Join [{key}#" in line]
+        assert join and all("Inner" in line for line in join)
